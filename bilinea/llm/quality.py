@@ -5,19 +5,26 @@ Everything is a Spark expression over one row; no row leaves its task, so the st
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import NOT_SPACE, words
 
 #: A line ends well if its last visible character is one of these.
-ENDINGS = r"[.!?:;,…。！？；：”’»\"')\]]\s*$"
-#: A line of menu entries: three or more separators, or a lone navigation phrase.
-NAVIGATION = r"(?i)(?:[|»›•·>][^|»›•·>]*){3}|^\s*(?:home|menu|log ?in|sign ?(?:in|up)|next|previous|back to top|skip to content|read more|share(?: this)?|search|site ?map)[\s.!:»>]*$"
-#: Phrases of legal and technical boilerplate.
-BOILERPLATE = r"(?i)all rights reserved|licensed? under|released under the|terms of (?:use|service)|privacy policy|cookies? policy|uses? cookies|enable javascript|lorem ipsum|click here|subscribe to our"
+ENDINGS = ".!?:;,…。！？；：”’»\"')]"
+#: Three or more separators make a line of menu entries.
+SEPARATORS = r"(?:[|»›•·>][^|»›•·>]*){3}"
+#: A line that is nothing but one of these, in any case and apart from closing marks, is navigation.
+MENU_WORDS = ("home", "menu", "login", "log in", "sign in", "sign up", "next", "previous", "back to top", "skip to content", "read more", "share", "share this", "search", "sitemap", "site map")
+#: Phrases of legal and technical boilerplate, in lower case.
+BOILERPLATE = ("all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies", "uses cookies", "enable javascript", "lorem ipsum", "click here", "subscribe to our")
 #: Boilerplate is looked for in lines of at most so many characters: longer ones are prose that mentions it.
 BOILERPLATE_LINE = 250
+#: White space that may follow a line's last visible character.
+VISIBLE_END = " \t\n\x0b\f\r"
 #: Words in removed lines, as a share of all words, above which a document is rejected.
 MAX_LOST = 0.5
 #: Words in a window that counts as repeated when the text has it twice.
@@ -26,7 +33,10 @@ WINDOW = 8
 
 def bad_line(line: Column) -> Column:
     """Whether a line with a word in it fails the punctuation, the navigation or the boilerplate rule."""
-    return ~line.rlike(ENDINGS) | line.rlike(NAVIGATION) | ((F.length(line) <= BOILERPLATE_LINE) & line.rlike(BOILERPLATE))
+    last = F.right(F.rtrim(line, F.lit(VISIBLE_END)), F.lit(1))
+    menu = (F.length(line) <= 40) & F.lower(F.btrim(line, F.lit(VISIBLE_END + ".!:»>"))).isin(*MENU_WORDS)
+    legal = with_value(F.lower(line), lambda low: reduce(or_, [low.contains(p) for p in BOILERPLATE]))
+    return ~F.lit(ENDINGS).contains(last) | line.rlike(SEPARATORS) | menu | ((F.length(line) <= BOILERPLATE_LINE) & legal)
 
 
 def with_value(value: Column, f) -> Column:
@@ -34,6 +44,13 @@ def with_value(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def window_hashes(hashes: Column) -> Column:
+    """The hash of each window of WINDOW = 8 words: pairs of words, pairs of pairs, and pairs of those."""
+    joined = lambda h, k: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + k)))
+    eights = with_value(hashes, lambda h1: with_value(joined(h1, 1), lambda h2: with_value(joined(h2, 2), lambda h4: joined(h4, 4))))
+    return F.slice(eights, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(0)))
+
+
 def repeated_words(grams: Column) -> Column:
     """Words covered by the windows whose hash occurs twice or more; grams: the hash of each window, by place.
 
@@ -66,9 +83,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.withColumn("_words", words(text)).withColumn("_lines", F.split(text, "\n"))
     out = out.withColumn("_spoken", F.filter("_lines", lambda x: x.rlike(NOT_SPACE)))
     out = out.withColumn("_bad", F.filter("_spoken", bad_line))
-    out = out.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    starts = F.when(F.size("_words") >= WINDOW, F.sequence(F.lit(1), F.size("_words") - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    out = out.withColumn("_grams", F.transform(starts, lambda i: F.xxhash64(F.slice("_hashes", i, WINDOW))))
+    out = out.withColumn("_grams", with_value(F.transform("_words", lambda w: F.xxhash64(w)), window_hashes))
     n_words = F.size("_words").cast("long")
     out = out.withColumn("_repeats", repeated_words(F.col("_grams")))
     failed = (n_words < 20) | (100 * F.col("_repeats") > 30 * n_words)
@@ -86,7 +101,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (~failed & (F.col("_lost") <= MAX_LOST * n_words)).alias("kept"),
         clean.alias("clean_text"),
     )
-    return out.withColumn("quality", quality).drop("_text", "_words", "_lines", "_spoken", "_bad", "_hashes", "_grams", "_repeats", "_lost")
+    return out.withColumn("quality", quality).drop("_text", "_words", "_lines", "_spoken", "_bad", "_grams", "_repeats", "_lost")
 
 
 def filtered(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
