@@ -55,19 +55,22 @@ def bucket_digits(rows: int) -> int:
     return max(1, math.ceil(math.log(max(1, rows / ROWS_PER_BUCKET), 16)))
 
 
-def ranked(df: DataFrame, key: str, hashed: str, ties: list[str], rows: int, sizes: str | None = None) -> DataFrame:
+def ranked(df: DataFrame, key: str, hashed: str, ties: list[str], rows: int, sizes: str | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Adds `rank`, the 0-based place of a row among those of its key in order of the hash and then ties, and with
     sizes also `before`, the sum of sizes ahead of it.
 
     A window over the key alone would put a hot key in one task. The leading digits of the hash part each key into
     buckets that follow its order; a window ranks within (key, bucket), and sums over earlier buckets are added.
-    key and hash must not be null; rows is the row count of the largest key. df is read twice: store it first.
+    key and hash must not be null; rows is the row count of the largest key. df is read twice, to count and to rank;
+    counted can give the same rows with just key, hash and sizes for the first.
     """
-    part = df.withColumn("_bucket", F.substring(hashed, 1, bucket_digits(rows)))
+    bucket = F.substring(hashed, 1, bucket_digits(rows)).alias("_bucket")
+    part = df.select("*", bucket)
     amount = F.col(sizes) if sizes else F.lit(0)
     earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = (
-        part.groupBy(key, "_bucket")
+        (df if counted is None else counted)
+        .groupBy(key, bucket)
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_sum"))
         .select(
             key,

@@ -7,24 +7,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bilinea.llm import exact_dedup, quality, sharding
+from bilinea.llm.common import store
+from bilinea.llm import exact_dedup, mixing, packing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_bounded_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), 24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
+    return packing.pack(cut, capacity=4096)
+
+
 def op3_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", "kept")
     return measured.select("doc_id", *[f"quality.{c}" for c in names])
 
 
+def op9_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    in_order = mixing.by_position(store(planned, "mix-plan"))
+    return in_order.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("positions", F.lit(0)), 6).alias("position"))
+
+
 def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.scratch_index(spark)
     labels = exact_dedup.label(table(spark, sf_dir, "documents"), index)
@@ -33,13 +51,14 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op3_line_first_quality, op10_digest_index_dedup)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op9_curriculum_mixing, op10_digest_index_dedup)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_first_quality": OP3_SQL,
+        "op9_curriculum_mixing": OP9_SQL,
         "op10_digest_index_dedup": OP10_SQL,
     }
 
@@ -89,3 +108,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND lost_words <= 0.5 * n_words AS kept
 FROM m
 """
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+t AS (SELECT source, sum(size) AS total FROM d GROUP BY source),
+n AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind FROM t),
+w AS (SELECT *, [5, 2, 1][kind + 1] AS weight, CAST(2 * total AS DOUBLE) AS cap, sum(total) OVER () * 1.5::DOUBLE AS budget FROM n),
+r AS (
+  SELECT *, coalesce(sum(cap) OVER f, 0) AS caps, sum(weight) OVER () - coalesce(sum(weight) OVER f, 0) AS open_weight
+  FROM w WINDOW f AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+o AS (SELECT *, min(CASE WHEN (budget - caps) * weight / open_weight > cap THEN 1 ELSE 0 END) OVER (ORDER BY cap / weight, source) AS full_up FROM r),
+p AS (
+  SELECT source, kind, CAST(total AS BIGINT) AS source_size, CASE WHEN full_up = 1 THEN cap ELSE
+    (budget - coalesce(sum(CASE WHEN full_up = 1 THEN cap END) OVER (), 0)) * weight / sum(CASE WHEN full_up = 0 THEN weight END) OVER () END AS target
+  FROM o
+),
+b AS (
+  SELECT d.doc_id, size, source_size, target, kind,
+    CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+),
+k AS (
+  SELECT *, CASE WHEN size > 0 AND before + size / 2 <= target THEN 1 ELSE 0 END + CASE WHEN size > 0 AND before + source_size + size / 2 <= target THEN 1 ELSE 0 END AS times,
+    CASE WHEN kind = 2 AND before >= 0.375 * target THEN 0.5 ELSE 0 END AS since,
+    before - CASE WHEN kind = 2 AND before >= 0.375 * target THEN 0.375 * target ELSE 0 END AS rest,
+    target * CASE WHEN kind = 0 THEN 1.5 WHEN kind = 2 AND before < 0.375 * target THEN 0.5 ELSE 1 END AS rate,
+    target * CASE kind WHEN 0 THEN -1 WHEN 1 THEN 0 ELSE 1 END AS change
+  FROM b
+)
+SELECT doc_id, size, source_size, target, size * times AS taken,
+  CASE WHEN times > 0 THEN round(since + CASE WHEN rest > 0 THEN 2 * rest / (rate + sqrt(greatest(0, rate * rate + 2 * change * rest))) ELSE 0 END, 6) END AS position
+FROM k
+"""
