@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import store
-from bilinea.llm import exact_dedup, mixing, packing, quality, sharding
+from bilinea.llm import exact_dedup, mixing, packing, quality, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op3_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", *[f"quality.{c}" for c in names])
 
 
+def op7_trie_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = simhash.label(table(spark, sf_dir, "documents"))
+    return labels.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     in_order = mixing.by_position(store(planned, "mix-plan"))
@@ -51,7 +56,7 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op9_curriculum_mixing, op10_digest_index_dedup)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op7_trie_simhash, op9_curriculum_mixing, op10_digest_index_dedup)
     return {f.__name__: f for f in found}
 
 
