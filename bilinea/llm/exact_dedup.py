@@ -76,20 +76,13 @@ def label(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "
 
 
 def deduplicate(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; one row of each group of equal texts.
-
-    Rows that repeat the id as well as the text are cut to one by a second step that sees only such groups.
-    """
-    columns = docs.columns
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("digest"))
-    rows = store(given.select("doc_id", "digest", F.monotonically_increasing_id().alias("row_tag")), "digest-rows")
-    decisions = ingest(rows, table).where("keep_tag is not null").select("digest", "keep_id")
-    winners = rows.join(decisions, "digest").where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest", "keep_id").agg(F.count(F.lit(1)).alias("repeats"))
-    winners = store(winners.withColumnRenamed("digest", "w_digest"), "digest-winners")
-    kept = given.join(winners, (given["digest"] == winners["w_digest"]) & given["doc_id"].eqNullSafe(winners["keep_id"]))
-    once = kept.where("repeats = 1").select("row.*")
-    again = kept.where("repeats > 1").dropDuplicates(["digest"]).select("row.*")
-    return once.unionByName(again)
+    """The documents that stay, with all their columns; one row of each group of equal texts. The documents are stored
+    with a tag for each row, so that rows which repeat the id as well as the text are told apart."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = store(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("digest"), F.monotonically_increasing_id().alias("row_tag"), row), "digest-rows")
+    decisions = ingest(rows.drop("row"), table)
+    kept = decisions.where("keep_tag is not null").select(F.col("keep_tag").alias("row_tag"))
+    return rows.join(kept, "row_tag").select("row.*")
 
 
 def scratch_index(spark: SparkSession) -> str:

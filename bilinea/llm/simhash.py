@@ -16,8 +16,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bilinea.llm.common import store
 
@@ -56,17 +57,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * set_bits > n).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """doc_id, fingerprint (as a signed long). Null and empty texts, and those without words, have fingerprint zero."""
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, carry: list[Column] = ()) -> DataFrame:
+    """doc_id, fingerprint (as a signed long) and what is asked to carry. Null and empty texts, and those without words,
+    have fingerprint zero."""
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    schema = T.StructType([given.schema["doc_id"], T.StructField("fingerprint", T.LongType()), *given.schema.fields[2:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             signed = pa.array(np.array(found, dtype=np.uint64).astype(np.int64))
-            yield pa.record_batch([batch.column(0), signed], names=["doc_id", "fingerprint"])
+            yield pa.record_batch([batch.column(0), signed, *batch.columns[2:]], names=schema.names)
 
-    return given.mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, fingerprint long")
+    return given.mapInArrow(run, schema)
 
 
 # The walk within a task
@@ -228,6 +231,13 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"the components still change after {most_rounds} rounds")
 
 
+def rooted(prints: DataFrame, most_in_task: int = MOST_IN_TASK) -> DataFrame:
+    """fingerprint, root, first of each distinct fingerprint: its component's smallest fingerprint, its smallest id."""
+    distinct = store(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = components(self_join(distinct, most_in_task)).withColumnRenamed("node", "fp")
+    return store(distinct.join(roots, "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "fp").alias("root"), "first"), "simhash-rooted")
+
+
 def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most_in_task: int = MOST_IN_TASK) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id.
 
@@ -236,10 +246,18 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     the join. Other columns are not read; an empty table gives no rows.
     """
     prints = store(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    distinct = store(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = store(components(self_join(distinct, most_in_task)), "simhash-roots")
-    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    joined = store(joined, "simhash-joined")
-    least = store(joined.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
-    named = store(joined.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id"), "simhash-named")
+    nodes = rooted(prints, most_in_task)
+    least = store(nodes.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
+    named = store(nodes.join(least, "root").select("fingerprint", "component_id"), "simhash-named")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """One document of each component, with all its columns: that with the smallest id, a null one only where there is
+    no other; of rows that repeat the id, any one."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    prints = store(fingerprints(docs, id_col, text_col, shingle, [F.monotonically_increasing_id().alias("row_tag"), row]), "simhash-rows")
+    small = prints.select("doc_id", "fingerprint", "row_tag")
+    nodes = rooted(small)
+    best = small.join(nodes, "fingerprint").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_tag")).alias("best"))
+    return prints.join(store(best.select("best.row_tag"), "simhash-kept"), "row_tag").select("row.*")
