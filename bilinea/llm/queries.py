@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import store
-from bilinea.llm import exact_dedup, mixing, packing, quality, sharding, simhash
+from bilinea.llm import exact_dedup, mixing, packing, quality, sharding, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op3_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", *[f"quality.{c}" for c in names])
 
 
+def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(table(spark, sf_dir, "pages"))
+    records = store(warc.read(index, with_text=False), "warc-read")
+    return warc.resolve(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_trie_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = simhash.label(table(spark, sf_dir, "documents"))
     return labels.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -56,7 +62,7 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op7_trie_simhash, op9_curriculum_mixing, op10_digest_index_dedup)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op7_trie_simhash, op9_curriculum_mixing, op10_digest_index_dedup)
     return {f.__name__: f for f in found}
 
 
