@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import store
-from bilinea.llm import exact_dedup, mixing, packing, quality, sharding, simhash, warc
+from bilinea.llm import exact_dedup, mixing, packing, pii, quality, sharding, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,15 @@ def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = pii.label(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    written = F.transform("base", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    terms = F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string")))
+    return marked.select("doc_id", *counts, F.sha2(F.array_join(written, ","), 256).alias("base_sha256"), F.array_join(F.concat(written, terms), ",").alias("spans"))
+
+
 def op7_trie_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = simhash.label(table(spark, sf_dir, "documents"))
     return labels.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -62,7 +71,7 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op7_trie_simhash, op9_curriculum_mixing, op10_digest_index_dedup)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op6_disclosure_pii, op7_trie_simhash, op9_curriculum_mixing, op10_digest_index_dedup)
     return {f.__name__: f for f in found}
 
 
