@@ -5,7 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,3 +89,19 @@ def ranked(df: DataFrame, key: str, hashed: str, ties: list[str], rows: int, siz
     if sizes:
         out = out.withColumn("before", F.col("_sum0") + F.coalesce(F.sum(sizes).over(so_far), F.lit(0)))
     return out.drop("_bucket", "_n0", "_sum0")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 rows in this session: texts can be long, and a batch is held whole on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def slices(texts: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of rows with about most_bytes of text, one row at least."""
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
+    at = 0
+    while at < len(texts):
+        done = size[at - 1] if at else 0
+        until = max(at + 1, int(np.searchsorted(size, done + most_bytes, side="right")))
+        yield at, until - at
+        at = until

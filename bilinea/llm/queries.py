@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import store
-from bilinea.llm import exact_dedup, mixing, packing, pii, quality, sharding, simhash, warc
+from bilinea.llm import exact_dedup, langid, lm, mixing, packing, pii, quality, sharding, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,11 @@ def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_window_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, *lm.learn(docs))
+
+
 def op6_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = pii.label(table(spark, sf_dir, "documents"))
     kinds = F.transform("base", lambda s: s["kind"])
@@ -57,6 +62,13 @@ def op7_trie_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_byte_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True)).alias("held_out")
+    model = langid.train(docs.select("doc_id", "text", "lang", held_out).where("not held_out"))
+    return langid.label(docs, model, carry=[held_out]).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     in_order = mixing.by_position(store(planned, "mix-plan"))
@@ -71,7 +83,7 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op6_disclosure_pii, op7_trie_simhash, op9_curriculum_mixing, op10_digest_index_dedup)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op5_window_pseudo_likelihood, op6_disclosure_pii, op7_trie_simhash, op8_byte_gru_langid, op9_curriculum_mixing, op10_digest_index_dedup)
     return {f.__name__: f for f in found}
 
 
