@@ -10,7 +10,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,57 +18,124 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bilinea.llm.common import order_hash, ranked, store
+from bilinea.llm.common import order_hash, ranked, slices, small_batches, store
 
 PLAN = "length int, rank_from long, rank_to long, sequence_from long, per_sequence int, offset_from int"
 PIECES = "row_tag long, doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
 
 
-@dataclass
+#: ASCII punctuation and symbols, which the tokenizer parts from letters before them.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+#: Latin (without U+0130, which lower-casing parts), Greek, Cyrillic, kana, Han and Hangul blocks, whose letters stay
+#: letters when they are composed and lower-cased.
+STEADY = r"^[A-Za-z\x{c0}-\x{12f}\x{131}-\x{24f}\x{370}-\x{482}\x{48a}-\x{52f}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}]+$"
+
+
+def plain(units: pa.Array) -> pa.Array:
+    """Which units are letters and stay so when the tokenizer composes and lower-cases them; others are encoded alone."""
+    return pc.and_(pc.utf8_is_alpha(units), pc.match_substring_regex(units, STEADY))
+
+
 class WordIds:
-    """Token ids of words that white space parts. The tokenizer drops white space and never joins across it, so a text's
-    ids are its words' ids in order; each distinct word of a batch is encoded once."""
+    """Token ids of whole texts by way of their distinct words.
+
+    The tokenizer drops white space and never joins across it, nor across the border of a run of letters, so a text's
+    ids are those of its words in order, and a word of letters with punctuation after it is two such units.
+    Each distinct unit of a slice is encoded once; texts are put together from the units' ids by array operations.
+    """
 
-    tokenizer_file: str
-    known: dict[str, np.ndarray] = field(default_factory=dict)
-    #: Words kept from batch to batch; beyond that the memory starts anew.
-    most_known: int = 200_000
+    #: Units remembered from slice to slice; beyond that the memory starts anew.
+    MOST_KNOWN = 300_000
 
-    def __post_init__(self) -> None:
+    def __init__(self, tokenizer_file: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(self.tokenizer_file)
-
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > self.most_known:
-            self.known = {}
-            fresh = words
-        for word, found in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.known[word] = np.asarray(found.ids, dtype="<u4")
-        return [self.known[w] for w in words]
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+
+    def encode(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+    def encode_letters(self, units: list[str], at_once: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """ids and the number of ids of each unit. Units of letters are encoded as one text: each ends at a token that
+        closes a word. Should the count of those differ, the chunk is encoded unit by unit."""
+        ids, sizes = [], []
+        for chunk in (units[i : i + at_once] for i in range(0, len(units), at_once)):
+            found = np.array(self.encode([" ".join(chunk)])[0], dtype="<u4")
+            ends = np.flatnonzero(self.closes[found]) + 1
+            if len(ends) != len(chunk):
+                each = self.encode(chunk)
+                found, ends = np.array([i for e in each for i in e], dtype="<u4"), np.cumsum([len(e) for e in each])
+            ids.append(found)
+            sizes.append(np.diff(ends, prepend=0))
+        return np.concatenate([np.zeros(0, dtype="<u4"), *ids]), np.concatenate([np.zeros(0, dtype=np.int64), *sizes])
+
+    def learn(self, units: pa.Array) -> np.ndarray:
+        """Each unit's place among the known ones, after the new ones are encoded. Units must differ."""
+        if len(self.known) > self.MOST_KNOWN:
+            self.forget()
+        place = np.fromiter(map(self.known.get, units.to_pylist(), repeat(-1)), dtype=np.int64, count=len(units))
+        fresh = np.flatnonzero(place < 0)
+        new = units.take(pa.array(fresh))
+        letters = np.asarray(plain(new))
+        words, others = new.filter(pa.array(letters)).to_pylist(), new.filter(pa.array(~letters)).to_pylist()
+        ids, sizes = self.encode_letters(words)
+        each = self.encode(others) if others else []
+        at = len(self.sizes)
+        place[fresh[letters]] = np.arange(at, at + len(words))
+        place[fresh[~letters]] = np.arange(at + len(words), at + len(fresh))
+        self.flat = np.concatenate([self.flat, ids, np.array([i for e in each for i in e], dtype="<u4")])
+        self.sizes = np.concatenate([self.sizes, sizes, np.array([len(e) for e in each], dtype=np.int64)])
+        self.known.update(zip(words + others, range(at, len(self.sizes))))
+        return place
 
     def batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each text closed by end_id, and where each text's ids end."""
-        parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        # an own "word" closes each text: the dictionary's last entry
-        coded = parts.flatten().dictionary_encode()
-        table = [*self.of(coded.dictionary.to_pylist()), np.array([end_id], dtype="<u4")]
-        ends = np.asarray(parts.offsets)[1:] - np.asarray(parts.offsets)[0]
-        codes = np.insert(np.asarray(coded.indices), ends, len(table) - 1)
-        sizes = np.fromiter(map(len, table), dtype=np.int64, count=len(table))
-        flat, first = np.concatenate(table), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        of_word = sizes[codes]
-        until = np.cumsum(of_word)
-        ids = flat[np.arange(int(until[-1]) if len(until) else 0) + np.repeat(first[codes] - (until - of_word), of_word)]
-        return ids, until[ends + np.arange(len(ends))]
-
-
-def cut(batches: Iterator[pa.RecordBatch], tokenizer_file: str, capacity: int, end_id: int, rows_at_once: int = 500) -> Iterator[pa.RecordBatch]:
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words = parts.flatten()
+        cores = pc.ascii_rtrim(words, characters=MARKS)
+        coded = cores.dictionary_encode()
+        letters = plain(coded.dictionary)
+        code, whole = np.array(coded.indices), ~np.asarray(letters)[np.asarray(coded.indices)]
+        rest = words.filter(pa.array(whole)).dictionary_encode()
+        code[whole] = len(coded.dictionary) + np.asarray(rest.indices)
+        tails = suffixes(words, cores, whole).dictionary_encode()
+        units = pa.concat_arrays([pc.if_else(letters, coded.dictionary, ""), rest.dictionary, tails.dictionary])
+        differ = units.dictionary_encode()
+        place = self.learn(differ.dictionary)[np.asarray(differ.indices)]
+        # core and tail of each word in turn
+        pieces = np.empty(2 * len(words), dtype=np.int64)
+        pieces[::2], pieces[1::2] = place[code], place[len(coded.dictionary) + len(rest.dictionary) + np.asarray(tails.indices)]
+        size, first = self.sizes[pieces], (np.cumsum(self.sizes) - self.sizes)[pieces]
+        until = np.concatenate([[0], np.cumsum(size)])
+        flat = self.flat[np.repeat(first - until[:-1], size) + np.arange(until[-1])]
+        ends = until[2 * (np.asarray(parts.offsets)[1:].astype(np.int64) - np.asarray(parts.offsets)[0])]
+        return np.insert(flat, ends, end_id), ends + np.arange(1, len(ends) + 1)
+
+
+def suffixes(words: pa.Array, cores: pa.Array, without: np.ndarray) -> pa.Array:
+    """What each word has after its core; nothing where it is to go without."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    size = np.where(without, 0, np.diff(offsets) - np.asarray(pc.binary_length(cores)))
+    until = np.concatenate([[0], np.cumsum(size)])
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[np.repeat(offsets[1:] - size - until[:-1], size) + np.arange(until[-1])]
+    return pa.StringArray.from_buffers(len(words), pa.py_buffer(until.astype(np.int32)), pa.py_buffer(data))
+
+
+def cut(batches: Iterator[pa.RecordBatch], tokenizer_file: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder = WordIds(tokenizer_file)
     for whole in batches:
-        for at in range(0, whole.num_rows, rows_at_once):
-            batch = whole.slice(at, rows_at_once)
+        for at, n in slices(whole.column(2)):
+            batch = whole.slice(at, n)
             ids, ends = encoder.batch(batch.column(2).cast(pa.string()), end_id)
             raw = memoryview(ids).cast("B")
             out: list[tuple[int, int, int, int, int]] = []
@@ -91,6 +158,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, end_id: i
     A document is its text's ids and then end_id; a null or empty text is end_id alone. Only what is longer than
     capacity is cut, into full pieces and a last one. Repeated rows are separate documents, told apart by row_tag.
     """
+    small_batches(docs.sparkSession)
     given = docs.select(F.monotonically_increasing_id().alias("row_tag"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = PIECES.format(id_type=given.schema["doc_id"].dataType.simpleString())
     return given.mapInArrow(lambda batches: cut(batches, tokenizer_file, capacity, end_id), schema)
