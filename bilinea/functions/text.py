@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,6 +67,11 @@ def split_record_id(column: Column) -> Column:
     return F.when(F.size(part) == 4, F.struct(*[F.get(part, F.lit(i)).try_cast("int").alias(name) for i, name in enumerate(("book", "paragraph", "word_begin", "word_end"))]))
 
 
+def with_value(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value computed once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def ordered_join(place: Column, text: Column, separator: str = "") -> Column:
     """Aggregate: the texts of a group joined in order of place, nulls left out."""
     rows = F.array_sort(F.collect_list(F.struct(place.alias("place"), text.alias("text"))))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bilinea.functions.text import is_blank, ordered_join, page_number, strip, zero_padded
+from bilinea.functions.text import is_blank, ordered_join, page_number, strip, with_value, zero_padded
 
 #: Elements that never have an end tag; a fixed list of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -146,9 +146,10 @@ def extract_local_notes(pages: DataFrame, keys: list[str] = ("corpus", "file"))
     counts. Within a page, so nothing is shuffled."""
     pattern = r'(?is)<span\s+id="note([0-9]+)">(.*?)</span>'
     found = F.arrays_zip(F.regexp_extract_all("html", F.lit(pattern), F.lit(1)).alias("n"), F.regexp_extract_all("html", F.lit(pattern), F.lit(2)).alias("t"))
-    notes = F.transform(found, lambda x: F.struct(x["n"].cast("long").alias("note_id"), strip(x["t"]).alias("text")))
-    later = lambda x, i: F.exists(F.slice(notes, i + 2, F.size(notes)), lambda y: y["note_id"] == x["note_id"])
-    return pages.select(*keys, F.explode(F.filter(notes, lambda x, i: ~later(x, i))).alias("n")).select(*keys, "n.note_id", "n.text")
+    notes = F.sort_array(F.transform(found, lambda x, i: F.struct(x["n"].cast("long").alias("note_id"), i.alias("i"), strip(x["t"]).alias("text"))))
+    # sorted, the last note of a number is the one that no other of the number follows
+    last = with_value(notes, lambda n: F.filter(n, lambda x, i: F.coalesce(F.get(n, i + 1)["note_id"] != x["note_id"], F.lit(True))))
+    return pages.select(*keys, F.explode(last).alias("n")).select(*keys, "n.note_id", "n.text")
 
 
 def resolve_glossary(segments: DataFrame, glossary: DataFrame) -> DataFrame:
