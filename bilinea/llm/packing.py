@@ -100,7 +100,9 @@ class WordIds:
 
     def batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each text closed by end_id, and where each text's ids end."""
-        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        texts = pc.fill_null(texts, "")
+        # special tokens are told by their case, so texts that may have some stay as they are
+        parts = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
         words = parts.flatten()
         cores = pc.ascii_rtrim(words, characters=MARKS)
         coded = cores.dictionary_encode()

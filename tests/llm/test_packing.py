@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
-ODD = [None, "", " ", "a.", "a..", "İstanbul İİ. x", "it's don't, x.y", " a b.", "<|endoftext|> a<|endoftext|>b.", "ÉCOLE, É.", "école.", "12,34. ,", "日本語。 x", "ς Σ. ΑΣ", "\ttab\x0bvt\x0c. ", "'s 's. '", "１２ ²³ Ⅷ.", "ﬁ ﬂ, ǅ", "क़. क़क़, x", "word " * 5000, "x" * 30000]
+ODD = [None, "", " ", "a.", "a..", "İstanbul İİ. x", "it's don't, x.y", " a b.", "<|endoftext|> a<|endoftext|>b.", "<|ENDOFTEXT|> Ab <|startoftext|>X, Y", "ÉCOLE, É.", "école.", "12,34. ,", "日本語。 x", "ς Σ. ΑΣ", "\ttab\x0bvt\x0c. ", "'s 's. '", "１２ ²³ Ⅷ.", "ﬁ ﬂ, ǅ", "क़. क़क़, x", "word " * 5000, "x" * 30000]
 
 
 def expected(text, capacity=4096):
