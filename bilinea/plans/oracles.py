@@ -187,5 +187,9 @@ SELECT c_custkey AS corpus, 1 AS book_id, CAST(coalesce(a, 0) AS INT) AS para_st
 WITH {LINES}
 SELECT o_orderkey AS chapter, CASE WHEN o_custkey % 11 = 0 THEN 'missing_file' WHEN o_custkey % 7 = 0 THEN 'blank_text' WHEN o_orderkey NOT IN (SELECT o FROM l) THEN 'no_sentences' WHEN o_custkey % 5 = 0 THEN 'no_reply' ELSE 'ok' END AS status FROM orders""",
         "r1_alignment_report": REPORT,
+        "k2_para_map_round_trip": "SELECT o_orderpriority AS corpus, o_orderkey || '.html' AS html, CAST(o_custkey AS INT) AS para_start, CAST(o_custkey + 3 AS INT) AS para_end FROM orders",
+        "k4_s3_glossary_round_trip": f"WITH {NOTES} SELECT id, pali_word FROM g WHERE pali_word IS NOT NULL",
+        "k5_summary_round_trip": """
+SELECT o_orderkey::VARCHAR AS no, o_orderkey || '.txt' AS file, CASE WHEN o_custkey % 3 > 0 THEN o_custkey::VARCHAR END AS sentences, (o_custkey + 1)::VARCHAR AS chars, o_orderstatus AS model, NULL::VARCHAR AS prompt_tokens, NULL::VARCHAR AS completion_tokens, NULL::VARCHAR AS hunks, NULL::VARCHAR AS hunks_left, 'now, then' AS generated_at FROM orders""",
         "k3_aligned_round_trip": "SELECT concat_ws('-', conv_id, turn, 0, length(coalesce(text, ''))) AS id, role AS original, CASE WHEN (turn + 1) % 4 <> 0 THEN md5(coalesce(text, '')) END AS content_md5 FROM conversations",
     }

@@ -389,10 +389,39 @@ def k3_aligned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("id", "original", F.md5("content").alias("content_md5"))
 
 
+def k4_s3_glossary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The glossary written as CSV and read back as its words."""
+    path = new_path(spark, "glossary")
+    writers.write_glossary(glossary.extract_glossary(note_pages(spark, sf_dir)), f"{path}/csv", f"{path}/json")
+    return readers.read_glossary(spark, f"{path}/csv")
+
+
+def k2_para_map_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map rows appended in two runs and read back."""
+    path = new_path(spark, "map")
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(F.col("o_orderpriority").alias("corpus"), cat(F.col("o_orderkey"), ".html").alias("html"), F.col("o_custkey").cast("int").alias("para_start"), (F.col("o_custkey") + 3).cast("int").alias("para_end"))
+    for part in (0, 1):
+        writers.write_para_map(rows.where(F.col("para_start") % 2 == part), path)
+    return spark.read.schema("html string, para_start int, para_end int, corpus string").json(path)
+
+
+def k5_summary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary written under its headings and read back."""
+    path = new_path(spark, "summary")
+    orders = table(spark, sf_dir, "orders")
+    cells = {"no": F.col("o_orderkey"), "file": cat(F.col("o_orderkey"), ".txt"), "sentences": F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey")), "chars": F.col("o_custkey") + 1, "model": F.col("o_orderstatus"), "generated_at": F.lit("now, then")}
+    rest = {c: F.lit(None).cast("int") for c in writers.SUMMARY_HEADINGS if c not in cells}
+    writers.write_summary(orders.select(F.col("o_orderpriority").alias("corpus"), *[c.alias(n) for n, c in (cells | rest).items()]), path)
+    found = spark.read.csv(path, header=True, quote='"', escape='"', schema=", ".join(f"`{h}` string" for h in writers.SUMMARY_HEADINGS.values()))
+    back = {h: n for n, h in writers.SUMMARY_HEADINGS.items()}
+    return found.select(*[F.col(f"`{h}`").alias(n) for h, n in back.items()])
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     a1_trailing_char_profile, a1_profile_totals, a3_aligned_text, a4_build_prompts, a5_chapter_metrics, a6_cursor_start, a7_backfill_meta, a8_glossary_totals,
     chapter_states, f1_match_pages, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
-    k3_aligned_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
+    k2_para_map_round_trip, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
     p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s2_last_wins, s5_read_aligned,
 )
 

@@ -116,3 +116,10 @@ def test_summary(spark, tmp_path):
     assert len(list((tmp_path / "a/corpus=c").iterdir())) == 2
     ordinals = summary.filter_by_ordinal(para_map, 2, None)
     assert {r["text"] for r in ordinals.collect()} == {"a.txt", "n.txt"} and summary.filter_by_ordinal(para_map, 0, 1).count() == 1
+
+
+def test_source_tables(spark, tmp_path):
+    spark.createDataFrame([(1, 2, "x")], "book int, paragraph int, text string").write.parquet(f"{tmp_path}/pali_texts")
+    spark.createDataFrame([(5, 1, 2, 3, 4, "x")], "id long, book int, paragraph int, word_begin int, word_end int, text string").write.parquet(f"{tmp_path}/pali_sentences")
+    texts, sentences = readers.read_source_tables(spark, str(tmp_path))
+    assert texts.first()["text"] == "x" and sentences.first()["word_end"] == 4
