@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,27 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bilinea.functions.storage import new_path
+
 #: The six ASCII white-space characters that part words, as a Java character class.
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
-#: Rows that one window task should rank at most; more rows get more buckets.
-ROWS_PER_BUCKET = 50_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/bilinea/{label}-{uuid.uuid4().hex}"
+#: Rows of one key in a bucket at most, about: few enough that the buckets of a hot key spread evenly over the tasks.
+ROWS_PER_BUCKET = 1_000
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -91,6 +77,27 @@ def ranked(df: DataFrame, key: str, hashed: str, ties: list[str], rows: int, siz
     return out.drop("_bucket", "_n0", "_sum0")
 
 
+def keep_rows(docs: DataFrame, id_col: str, all_rows: DataFrame, wanted: DataFrame, keyed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The documents that wanted names by id and content key, one row of docs for each row of wanted.
+
+    all_rows (doc_id, ...) has a row per document, wanted (doc_id, key) is stored and has none twice. Ids that one row
+    has are enough to find it, so the documents are shuffled once, against ids, and stored nowhere. Documents whose id is
+    null or repeated need their key as well: keyed adds it as `_key`, to these only, and equal ones are cut to one.
+    """
+    mine = f"_id_{uuid.uuid4().hex}"  # a name that no column of docs has
+    ids = all_rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias(mine))
+    unclear = store(ids, "unclear-ids")
+    if unclear.isEmpty():
+        return docs.join(wanted.select(F.col("doc_id").alias(mine)).hint("shuffle_hash"), F.col(id_col) == F.col(mine), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    plain = wanted.join(unclear, F.col("doc_id").eqNullSafe(F.col(mine)), "left_anti").select(F.col("doc_id").alias(mine))
+    clear = docs.join(plain.hint("shuffle_hash"), F.col(id_col) == F.col(mine), "left_semi")
+    rest = keyed(docs.join(unclear, F.col(id_col).eqNullSafe(F.col(mine)), "left_semi").select(F.col(id_col).alias("_id"), row))
+    odd = wanted.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"))
+    found = rest.join(odd, F.col("_id").eqNullSafe(F.col("w_id")) & (F.col("_key") == F.col("w_key")), "left_semi").dropDuplicates(["_id", "_key"])
+    return clear.unionByName(found.select("row.*"))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1,000 rows in this session: texts can be long, and a batch is held whole on both sides."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

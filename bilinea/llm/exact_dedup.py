@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bilinea.llm.common import store
+from bilinea.llm.common import keep_rows, store
 
 SCHEMA = "digest BINARY, keep_id BIGINT"
 
@@ -76,13 +76,12 @@ def label(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "
 
 
 def deduplicate(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; one row of each group of equal texts. The documents are stored
-    with a tag for each row, so that rows which repeat the id as well as the text are told apart."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = store(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("digest"), F.monotonically_increasing_id().alias("row_tag"), row), "digest-rows")
-    decisions = ingest(rows.drop("row"), table)
-    kept = decisions.where("keep_tag is not null").select(F.col("keep_tag").alias("row_tag"))
-    return rows.join(kept, "row_tag").select("row.*")
+    """The documents that stay, with all their columns; one row of each group of equal texts, also of rows that repeat
+    the id as well as the text."""
+    rows = store(docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"), F.monotonically_increasing_id().alias("row_tag")), "digest-rows")
+    decisions = ingest(rows, table)
+    wanted = store(decisions.where("keep_tag is not null").select(F.col("keep_id").alias("doc_id"), F.col("digest").alias("key")), "digest-wanted")
+    return keep_rows(docs, id_col, rows, wanted, lambda some: some.withColumn("_key", digest(F.col(f"row.{text_col}"))))
 
 
 def scratch_index(spark: SparkSession) -> str:

@@ -11,10 +11,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bilinea.functions.text import with_value
 from bilinea.llm.common import NOT_SPACE, words
 
 #: A line ends well if its last visible character is one of these.
 ENDINGS = ".!?:;,…。！？；：”’»\"')]"
+#: So does one that has at most two words after its last sentence end: the fragment does not condemn the sentences.
+FRAGMENT = r"[.!?…。！？][\"')\]]*\s+\S+(?:\s+\S+)?\s*$"
 #: Three or more separators make a line of menu entries.
 SEPARATORS = r"(?:[|»›•·>][^|»›•·>]*){3}"
 #: A line that is nothing but one of these, in any case and apart from closing marks, is navigation.
@@ -36,12 +39,8 @@ def bad_line(line: Column) -> Column:
     last = F.right(F.rtrim(line, F.lit(VISIBLE_END)), F.lit(1))
     menu = (F.length(line) <= 40) & F.lower(F.btrim(line, F.lit(VISIBLE_END + ".!:»>"))).isin(*MENU_WORDS)
     legal = with_value(F.lower(line), lambda low: reduce(or_, [low.contains(p) for p in BOILERPLATE]))
-    return ~F.lit(ENDINGS).contains(last) | line.rlike(SEPARATORS) | menu | ((F.length(line) <= BOILERPLATE_LINE) & legal)
-
-
-def with_value(value: Column, f) -> Column:
-    """f(value), with value computed once."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
+    unended = ~F.lit(ENDINGS).contains(last) & ~line.rlike(FRAGMENT)
+    return unended | line.rlike(SEPARATORS) | menu | ((F.length(line) <= BOILERPLATE_LINE) & legal)
 
 
 def window_hashes(hashes: Column) -> Column:
@@ -109,6 +108,7 @@ def filtered(docs: DataFrame, text_col: str = "text", length_col: str | None = "
     one, tells its new length in characters."""
     columns = docs.columns
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text_col).alias("text"))
-    out = measure(given).where("quality.kept")
+    # not a where: Spark would move that below the measures and take them twice
+    out = measure(given).select("row", F.explode(F.filter(F.array("quality"), lambda q: q["kept"])).alias("quality"))
     new = {text_col: F.col("quality.clean_text")} | ({length_col: F.length("quality.clean_text").cast("long")} if length_col in columns else {})
     return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col("row")[c].alias(c) for c in columns])

@@ -112,7 +112,7 @@ w AS (
 ),
 f AS (
   SELECT doc_id, text, ws, ls,
-    list_filter(ls, lambda x: NOT contains('.!?:;,…。！？；：”’»"'')]', right(rtrim(x, e' \t\n\x0b\f\r'), 1))
+    list_filter(ls, lambda x: (NOT contains('.!?:;,…。！？；：”’»"'')]', right(rtrim(x, e' \t\n\x0b\f\r'), 1)) AND NOT regexp_matches(x, '[.!?…。！？]["'')\]]*\s+\S+(?:\s+\S+)?\s*$'))
       OR regexp_matches(x, '(?:[|»›•·>][^|»›•·>]*){3}')
       OR (length(x) <= 40 AND lower(trim(x, e' \t\n\x0b\f\r.!:»>')) IN ('home', 'menu', 'login', 'log in', 'sign in', 'sign up', 'next', 'previous', 'back to top', 'skip to content', 'read more', 'share', 'share this', 'search', 'sitemap', 'site map'))
       OR (length(x) <= 250 AND regexp_matches(lower(x), 'all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|use cookies|uses cookies|enable javascript|lorem ipsum|click here|subscribe to our'))) AS bad

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bilinea.llm.common import store
+from bilinea.llm.common import keep_rows, small_batches, store
 
 BITS = 64
 #: Bits that two linked fingerprints may differ in.
@@ -60,6 +60,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, carry: list[Column] = ()) -> DataFrame:
     """doc_id, fingerprint (as a signed long) and what is asked to carry. Null and empty texts, and those without words,
     have fingerprint zero."""
+    small_batches(docs.sparkSession)
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
     schema = T.StructType([given.schema["doc_id"], T.StructField("fingerprint", T.LongType()), *given.schema.fields[2:]])
 
@@ -254,10 +255,13 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """One document of each component, with all its columns: that with the smallest id, a null one only where there is
-    no other; of rows that repeat the id, any one."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    prints = store(fingerprints(docs, id_col, text_col, shingle, [F.monotonically_increasing_id().alias("row_tag"), row]), "simhash-rows")
-    small = prints.select("doc_id", "fingerprint", "row_tag")
-    nodes = rooted(small)
-    best = small.join(nodes, "fingerprint").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_tag")).alias("best"))
-    return prints.join(store(best.select("best.row_tag"), "simhash-kept"), "row_tag").select("row.*")
+    no other; of rows that repeat the id, one with the smallest fingerprint."""
+    prints = store(fingerprints(docs, id_col, text_col, shingle), "simhash")
+    best = F.min(F.struct(F.isnull("doc_id"), "doc_id", "fingerprint")).alias("best")
+    wanted = prints.join(rooted(prints), "fingerprint").groupBy("root").agg(best).select("best.doc_id", F.col("best.fingerprint").alias("key"))
+
+    def keyed(some: DataFrame) -> DataFrame:
+        text = some.select("_id", F.col(f"row.{text_col}").alias("_text"), "row")
+        return fingerprints(text, "_id", "_text", shingle, [F.col("row")]).select(F.col("doc_id").alias("_id"), "row", F.col("fingerprint").alias("_key"))
+
+    return keep_rows(docs, id_col, prints, store(wanted, "simhash-wanted"), keyed)

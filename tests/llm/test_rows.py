@@ -10,7 +10,7 @@ import pytest
 from bilinea.llm import exact_dedup, mixing, quality, sharding, warc
 from pyspark.sql import functions as F
 
-SCHEMA = "doc_id long, text string, source string, digest string, rank int, size int, row string"
+SCHEMA = "doc_id long, text string, source string, _id string, rank int, _at int, row string"
 EMPTY = "doc_id long, text string, source string"
 
 
@@ -97,6 +97,8 @@ CLEAN = "This is a plain sentence with quite a few words in it.\nAnd here is one
         (CLEAN, True, CLEAN),
         (CLEAN + "\nHome | About | Contact | Help\n\nAll rights reserved.", True, CLEAN + "\n"),
         (CLEAN + "\nno end mark here", True, CLEAN),
+        (CLEAN + " Two words", True, CLEAN + " Two words"),
+        (CLEAN + "\nOne end. and four words more or five", True, CLEAN),
         ("word | " * 40, False, None),
         ("Too short.", False, None),
         (None, False, None),
