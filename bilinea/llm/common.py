@@ -41,8 +41,8 @@ def order_hash(*cols: Column) -> Column:
 
 
 def bucket_digits(rows: int) -> int:
-    """Hex digits of order_hash to part rows of one key by, so that a bucket holds about ROWS_PER_BUCKET."""
-    return max(1, math.ceil(math.log(max(1, rows / ROWS_PER_BUCKET), 16)))
+    """Hex digits of order_hash to part rows of one key by: 256 buckets at least, of about ROWS_PER_BUCKET at most."""
+    return max(2, math.ceil(math.log(max(1, rows / ROWS_PER_BUCKET), 16)))
 
 
 def ranked(df: DataFrame, key: str, hashed: str, ties: list[str], rows: int, sizes: str | None = None, counted: DataFrame | None = None) -> DataFrame:
