@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bilinea.functions.storage import new_path
+from bilinea.functions.storage import new_path, store
 from bilinea.functions.text import is_blank, normalize_head, ordered_join, page_number, record_id, split_record_id, strip, without_spaces
 from bilinea.operators import diff, glossary, pages, paragraphs, profile, replies, reports, split, summary
 from bilinea.sources import readers, writers
@@ -319,8 +319,8 @@ def f4_f5_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = turns(spark, sf_dir)
     whole = chunks(rows)
     records = rows.select("conv_id", "seq", F.when((F.col("seq") % 2 == 1) & (F.length(without_spaces(F.col("text"))) > 0), altered(F.regexp_replace("text", r"[ \n\t\r]+", ""))).otherwise(F.col("text")).alias("content"))
-    before = diff.recheck(records, whole, CONV)
-    fixed = diff.auto_correct(records, before, CONV)
+    before = store(diff.recheck(records, whole, CONV), "before")
+    fixed = store(diff.auto_correct(records, before, CONV), "fixed")
     after = diff.recheck(diff.corrected_records(records, fixed, CONV), whole, CONV)
     counts = fixed.select("conv_id", "n_fixable", "n_applied").join(after.select("conv_id", "hunks_left", "aligned_norm"), CONV)
     return counts.select("conv_id", "n_fixable", "n_applied", "hunks_left", F.md5("aligned_norm").alias("text_md5"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bilinea.functions.storage import store
 from bilinea.operators import diff, pages, paragraphs, replies, reports, summary
 
 KEYS = ["corpus", "chapter"]
@@ -50,18 +51,19 @@ def align(chapters: DataFrame, chunks: DataFrame, sentences: DataFrame, stream:
     """chapters: corpus, chapter, pos, para_start, para_end; chunks: corpus, chapter, text; sentences: the source table;
     stream: corpus, chapter, line_no, line of the recorded replies; meta: of the corpora; now: a text for all reports.
 
-    Every chapter goes its own way: one that fails has a status and no records.
+    Every chapter goes its own way: one that fails has a status and no records. What several results need, the slots,
+    both comparisons and the corrections, is stored in the shared folder, so that no text is compared twice.
     """
     books = meta.select("corpus", "book_id")
     own = replies.chapter_sentences(chapters.join(books, "corpus"), sentences)
     status = summary.chapter_status(chapters, chunks, own, stream)
     sound = status.where("status = 'ok'").select(*KEYS)
     events = replies.stream_events(stream)
-    slots = replies.fill_slots(own.join(sound, KEYS, "left_semi"), replies.stream_lines(events))
-    before = diff.recheck(slots, chunks)
-    fixed = diff.auto_correct(slots, before)
+    slots = store(replies.fill_slots(own.join(sound, KEYS, "left_semi"), replies.stream_lines(events)), "slots")
+    before = store(diff.recheck(slots, chunks), "before")
+    fixed = store(diff.auto_correct(slots, before), "fixed")
     records = diff.corrected_records(slots, fixed)
-    after = diff.recheck(records, chunks)
+    after = store(diff.recheck(records, chunks), "after")
     usage = replies.stream_usage(events)
     metrics = summary.chapter_metrics(records, chunks, usage, before, after)
     log = lambda df, name: df.select(*KEYS, "hunks", diff.diff_log(F.col("hunks"), F.col("orig_norm"), F.col("aligned_norm")).alias(name))
