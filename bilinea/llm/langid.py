@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bilinea.llm.common import slices
+from bilinea.llm.common import slices, small_batches
 
 #: Bytes in a window, and windows stepped through together.
 LENGTH, TOGETHER = 64, 2048
@@ -26,6 +26,7 @@ LENGTH, TOGETHER = 64, 2048
 UNITS = 8
 #: At most so many training documents of each language, and so many windows of each.
 DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 400, 4
+SPARE = 4
 #: At most so many languages, the most frequent ones.
 MOST_LANGUAGES = 200
 EPOCHS, BATCH, RATE = 6, 64, 0.02
@@ -194,12 +195,17 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list[t
     """Training windows: of each language DOCS_PER_LANGUAGE documents by hash, of each WINDOWS_PER_DOC windows spread
     over its bytes. Only these windows come to the driver."""
     lang, text = F.col(lang_col), F.col(text_col)
+    spark = docs.sparkSession
     labelled = docs.where(lang.isNotNull() & text.isNotNull()).select(lang.alias("lang"), text.cast("binary").alias("data"), F.xxhash64(F.col(id_col), F.lit(11)).alias("h"))
-    few = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+    few = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    # a language's smallest hashes lie below a bound that leaves several times as many documents as are wanted
+    bounds = [(r["lang"], min(1.0, SPARE * DOCS_PER_LANGUAGE / r["count"])) for r in few]
+    bound = spark.createDataFrame(bounds, "of string, bound double")
     size = F.octet_length("data")
     spots = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda k: (F.greatest(F.lit(0), size - LENGTH) * k / F.lit(max(1, WINDOWS_PER_DOC - 1))).cast("int"))
     windows = F.array_distinct(F.transform(spots, lambda s: F.substring("data", s + 1, F.lit(LENGTH))))
-    slim = labelled.where(F.col("lang").isin(few)).select("lang", "h", windows.alias("windows"))
+    near = labelled.join(F.broadcast(bound), F.col("lang") == F.col("of")).where(F.col("h") / 2.0**64 + 0.5 <= F.col("bound"))
+    slim = near.select("lang", "h", windows.alias("windows"))
     ranks = Window.partitionBy("lang").orderBy("h", "windows")
     chosen = slim.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= DOCS_PER_LANGUAGE).select("lang", "windows").collect()
     return [(bytes(w), r["lang"]) for r in sorted(chosen, key=lambda r: (r["lang"], r["windows"])) for w in r["windows"] if w]
@@ -216,6 +222,7 @@ def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     score is the share of the chosen language, and languages that tie are taken in code-point order. A text that is null
     or has no letter is `und` with score 0; so is every text if no language was learned.
     """
+    small_batches(docs.sparkSession)
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters"), *carry)
     names = ["doc_id", "lang_pred", "score", *[f.name for f in given.schema.fields[3:]]]
     id_type = given.schema["doc_id"].dataType.simpleString()
