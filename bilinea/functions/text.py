@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 SPACES = (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: The same as text, and as the inside of a character class.
 SPACE_CHARS = "".join(map(chr, SPACES))
-SPACE_CLASS = "".join(f"\\x{{{c:x}}}" for c in SPACES)
+#: Low ones stand alone, since Java looks these up in a table, and others as ranges, which it tries one by one.
+SPACE_CLASS = "".join(f"\\x{{{c:x}}}" for c in SPACES if c < 0x100) + r"\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 def without_spaces(text: Column) -> Column:
     """text without any white space."""
-    return F.regexp_replace(text, f"[{SPACE_CLASS}]+", "")
+    return F.translate(text, SPACE_CHARS, "")
 
 
 def strip(text: Column) -> Column:
@@ -35,8 +36,8 @@ def is_blank(text: Column) -> Column:
 
 
 def normalize_head(text: Column) -> Column:
-    """text in lower case with letters, numbers and underscores alone; combining marks go."""
-    return F.lower(F.regexp_replace(without_spaces(text), r"[^\p{L}\p{N}_]", ""))
+    """text in lower case with letters, numbers and underscores alone; white space and combining marks go."""
+    return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}_]+", ""))
 
 
 def zero_padded(number: Column, digits: Column) -> Column:
