@@ -142,7 +142,7 @@ WITH x AS (
 )
 SELECT doc_id, note_id, md5(t) AS text_md5 FROM x""",
         "j5_pending_pages": f"WITH {LINES} SELECT 'orders' AS corpus, o_orderkey || '.html' AS file FROM orders WHERE o_orderkey NOT IN (SELECT o FROM l WHERE n = 3)",
-        "j6_missing_sources": "SELECT c_nationkey AS corpus, c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+        "j6_missing_sources": "SELECT c_nationkey AS corpus, c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 <> 1)",
         "f1_match_pages": LOCATED + STEPS,
         "a6_cursor_start": f"""
 WITH {LINES}, f AS (SELECT o AS book, min(n) AS first FROM l GROUP BY 1), d AS (SELECT o_orderkey AS book, max(o_custkey % 10) AS last FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)

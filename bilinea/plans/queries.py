@@ -182,7 +182,8 @@ def j5_pending_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def j6_missing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("corpus"), F.col("c_custkey").alias("file"))
-    return pages.missing_sources(wanted, table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("file")), ["file"])
+    there = table(spark, sf_dir, "orders").where("o_custkey % 4 <> 1").select(F.col("o_custkey").alias("file"))
+    return pages.missing_sources(wanted, there, ["file"])
 
 
 # Paragraphs
