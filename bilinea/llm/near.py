@@ -1,0 +1,149 @@
+"""Near-duplicates by the Jaccard similarity of shingle sets: every pair at or above the threshold is found, and no other.
+
+Two sets of similarity s share at least s of the larger one, so however all shingles are ordered, the first shingles of
+the two have some in common: a set's first n - ceil(s * n) + l hold l of them at least. This is used twice. In order of
+hash, a document stays only if enough of its first shingles occur in other documents too; few do. Among those that stay
+the shingles are put in order of frequency, and two documents are compared if they share one of their first ones.
+"""
+
+from __future__ import annotations
+
+import math
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from bilinea.llm.common import keep_rows, small_batches, store
+from bilinea.llm.simhash import components
+
+#: Words of a shingle, and the similarity from which two documents are near copies.
+SHINGLE, SIMILAR = 5, 0.8
+#: Rounds in which a group's documents are compared with one of them, before all that are still apart are compared.
+STARS = 3
+#: Keeps products like 0.8 * 5 from falling on the wrong side of a whole number.
+TINY = 1e-9
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """The sorted, distinct XXH64 hashes of a text's runs of `size` words; a shorter text is one run."""
+    found = (text or "").encode().lower().split()  # bytes: only A-Z change, and only ASCII white space parts
+    if not found:
+        return np.zeros(0, np.int64)
+    line, digest = b" ".join(found), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    n = max(1, len(found) - size + 1)
+    spans = zip(starts[:n].tolist(), ends[min(size, len(found)) - 1 :].tolist())
+    return np.unique(np.fromiter((digest(line[a:b], 42) for a, b in spans), np.uint64, n).view(np.int64))
+
+
+def shared(n, similar: float):
+    """What a set of n shares at least with any that is as similar."""
+    return F.ceil(n * similar - TINY).cast("int") if isinstance(n, Column) else math.ceil(n * similar - TINY)
+
+
+def spare(n: int) -> int:
+    """How many first shingles must occur elsewhere: with more, fewer documents go on, but more shingles are stored."""
+    return -(-n // 20)
+
+
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, carry: list[Column] = (), similar: float | None = None) -> DataFrame:
+    """doc_id, node (a hash of the set: equal sets are one node), n (its size), hashes, and what is asked to carry; with
+    similar, only the first hashes, enough for candidates()."""
+    small_batches(docs.sparkSession)
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+    schema = T.StructType([given.schema["doc_id"], T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), *given.schema.fields[2:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), shingle) for t in batch.column(1)]
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], dtype=np.uint64).view(np.int64)
+            sizes = np.array([len(s) for s in sets], dtype=np.int64)
+            if similar is not None:
+                sets = [s[: len(s) - shared(len(s), similar) + spare(len(s))] for s in sets]
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
+            yield pa.record_batch([batch.column(0), pa.array(nodes), pa.array(sizes), hashes, *batch.columns[2:]], names=schema.names)
+
+    return given.mapInArrow(run, schema)
+
+
+def candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str, shingle: int, similar: float) -> DataFrame:
+    """node, n, hashes of the documents that can have a near copy, each node once: enough of their first shingles occur
+    elsewhere. firsts: the stored first shingles. Other documents may be among them where ids are null or repeated."""
+    each = firsts.select("node", F.explode("hashes").alias("h"))
+    often = each.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("k > 1")
+    hits = often.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+    least = F.ceil(shared(F.col("n"), similar) / 20)
+    mine = f"_id_{uuid.uuid4().hex}"  # a name that no column of docs has
+    alive = store(firsts.select("doc_id", "node", "n").join(hits, "node").where(F.col("k") >= least).select(F.col("doc_id").alias(mine)).distinct(), "near-alive")
+    given = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    some = given.join(alive, F.col("_id") == F.col(mine), "left_semi").unionByName(given.where("_id is null"))
+    return shingle_sets(some, "_id", "_text", shingle).select("node", "n", "hashes").dropDuplicates(["node"])
+
+
+def keys_of(alive: DataFrame, similar: float) -> DataFrame:
+    """h, node, n: the rarest shingles of each document that another document has as well. Of two near copies one at
+    least is the same."""
+    each = alive.select("node", F.explode("hashes").alias("h"))
+    df = store(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-df")
+    common = each.join(df, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("common"))
+    rows = common.join(alive.select("node", "n"), "node")
+    # shingles of one document alone come first; they join nothing
+    wanted = F.size("common") - shared(F.col("n"), similar) + 1
+    return rows.where(wanted > 0).select("node", "n", F.explode(F.slice("common", F.lit(1), wanted.cast("int"))).alias("c")).select("c.h", "node", "n")
+
+
+def confirmed(pairs: DataFrame, alive: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) whose similarity is high enough."""
+    both = pairs.join(alive.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(alive.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
+    common = F.size(F.array_intersect("ha", "hb"))
+    return both.where(common >= similar * (F.size("ha") + F.size("hb") - common) - TINY).select("a", "b")
+
+
+def roots_of(alive: DataFrame, similar: float) -> DataFrame:
+    """node, root of the documents that have near copies: the smallest node that chains of them reach.
+
+    Comparing all pairs of a large group of copies would grow with its square. So the documents that share a key are
+    first compared with one of them, and only those that are not yet in one component go on. alive: stored candidates.
+    """
+    keys = store(keys_of(alive, similar), "near-keys")
+    links = store(keys.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), "near-links")
+    for turn in range(STARS + 1):
+        roots = store(components(links), "near-roots")
+        rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        split = rooted.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("one")).where("low <> high")
+        keys = store(rooted.drop("root").join(split.select("h"), "h", "left_semi"), "near-keys")
+        if keys.isEmpty():
+            return roots
+        rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if turn < STARS:
+            other = split.select("h", F.col("one.node").alias("b"), F.col("one.n").alias("bn"), F.col("one.root").alias("b_root"))
+        else:
+            other = rooted.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("b_root"))
+        met = rooted.join(other, "h").where("root <> b_root").where(F.least("n", "bn") >= similar * F.greatest("n", "bn") - TINY)
+        pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        links = store(links.unionByName(confirmed(pairs, alive, similar)), "near-links")
+    return components(links)
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similar: float = SIMILAR) -> DataFrame:
+    """One document of each group that chains of near copies join, with all its columns: that with the smallest id, a
+    null one only where there is no other; of rows that repeat the id, one with the smallest node."""
+    firsts = store(shingle_sets(docs, id_col, text_col, shingle, similar=similar), "near-firsts")
+    alive = store(candidates(docs, firsts, id_col, text_col, shingle, similar), "near-sets")
+    prints, roots = firsts.select("doc_id", "node"), store(roots_of(alive, similar), "near-roots")
+    best = F.min(F.struct(F.isnull("doc_id"), "doc_id", "node")).alias("best")
+    wanted = prints.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(best).select("best.doc_id", F.col("best.node").alias("key"))
+
+    def keyed(some: DataFrame) -> DataFrame:
+        text = some.select("_id", F.col(f"row.{text_col}").alias("_text"), "row")
+        return shingle_sets(text, "_id", "_text", shingle, [F.col("row")]).select(F.col("doc_id").alias("_id"), "row", F.col("node").alias("_key"))
+
+    return keep_rows(docs, id_col, prints, store(wanted, "near-wanted"), keyed)
