@@ -1,8 +1,8 @@
 """Personal data: patterns find protected entities, and corpus co-occurrence finds the terms that give them away.
 
 A term discloses an entity as far as knowing the term tells which entity is meant. With e the documents that hold the
-entity, t those that hold the term, et those that hold the term near the entity and n all documents, the pointwise
-mutual information log(n * et / (e * t)) is compared with all there is to know, the entity's information content
+entity, t those that hold the term, et those that hold both and n all documents, the pointwise mutual information
+log(n * et / (e * t)), shrunk where t is small, is compared with all there is to know, the entity's information content
 log(n / e). Their quotient is 1 if the term occurs only with the entity and falls to 0 or less for words at random.
 Terms that reach the upper threshold are removed, those that reach the lower one are replaced by a class name.
 """
@@ -34,15 +34,17 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Stripped from both ends of a word before it is a term.
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&…«»„“”‘’"
 
-#: Terms are the words next to an entity: so many on either side that lie wholly within so many characters.
-WORDS_AROUND, CHARS_AROUND = 5, 200
-#: Documents in which a term must stand near the entity before it can count as disclosing.
-MIN_SUPPORT = 3
+#: Digits from which a word without a letter is a term.
+DIGITS = 4
+#: Documents that every term is taken to stand in besides, without more of the entity than anywhere.
+PRIOR = 3
+#: Bits of the map by which texts are searched for disclosing terms.
+SKETCH = 1 << 23
 #: Share of the entity's information at which a term is removed, and at which it is generalised.
 REMOVE, GENERALISE = 0.9, 0.6
 
 SPAN = "array<struct<kind: string, start: long, end: long>>"
-NEAR = "array<struct<entity: long, term: string, start: long, end: long>>"
+NEAR = "array<struct<term: string, start: long, end: long>>"
 
 
 # Patterns. They are written so that each character is looked at a bounded number of times, however long a run is.
@@ -97,61 +99,106 @@ def entities(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def neighbours(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
-    """The words around a span, stripped, with their places."""
-    low, high = max(0, start - CHARS_AROUND), min(len(text), end + CHARS_AROUND)
-    left = [m.span() for m in WORD.finditer(text, low, start)]
-    if left and left[0][0] == low and low > 0 and WORD.match(text[low - 1]):
-        left = left[1:]
-    if left and left[-1][1] == start:
-        left = left[:-1]  # the entity's own word
-    right = [m.span() for m in WORD.finditer(text, end, high)]
-    if right and right[-1][1] == high and high < len(text) and WORD.match(text[high]):
-        right = right[:-1]
-    if right and right[0][0] == end:
-        right = right[1:]
-    out = []
-    for a, b in left[-WORDS_AROUND:] + right[:WORDS_AROUND]:
-        core = text[a:b].strip(EDGES)
-        if any(c.isalpha() for c in core):
-            a = text.index(core, a)
-            out.append((core, a, a + len(core)))
-    return out
-
-
 def terms_of(words: pa.Array) -> pa.Array:
     return pc.utf8_lower(words)
 
 
-def detect(docs: DataFrame, id_col: str, text_col: str, carry: list[Column] = ()) -> DataFrame:
-    """row_tag, doc_id, base (the entities' spans), near (the terms around each, by hashed entity), and what is carried."""
+def is_term(core: str) -> bool:
+    """Words with a letter, and numbers long enough to stand for an account or a person."""
+    return any(c.isalpha() for c in core) or sum(c.isdigit() for c in core) >= DIGITS
+
+
+def words_of(text: str, base: list[tuple[str, int, int]]) -> tuple[list[str], list[tuple[int, int]]]:
+    """The terms of the whole text outside of its entities, and their places."""
+    cores, spans, k = [], [], 0
+    inside = sorted((a, b) for _, a, b in base)
+    for m in WORD.finditer(text):
+        core = m[0].strip(EDGES)
+        if is_term(core):
+            x = text.index(core, m.start())
+            y = x + len(core)
+            while k < len(inside) and inside[k][1] <= x:
+                k += 1
+            if not any(p < y and x < q for p, q in inside[k : k + len(KINDS) + 1]):
+                cores.append(core)
+                spans.append((x, y))
+    return terms_of(pa.array(cores, pa.string())).to_pylist(), spans
+
+
+def holders(docs: DataFrame, text_col: str) -> DataFrame:
+    """entities (hashed), terms: the distinct ones of each document that holds an entity."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            found = []
+            for text in (t.as_py() or "" for t in whole.column(0)):
+                if base := entities(text):
+                    own = {xxhash.xxh64_intdigest(f"{k}:{text[a:b].lower()}") - (1 << 63) for k, a, b in base}
+                    found.append((sorted(own), sorted(set(words_of(text, base)[0]))))
+            yield pa.record_batch([pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.string()))], names=["entities", "terms"])
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "entities array<long>, terms array<string>")
+
+
+def place(term: str) -> int:
+    return xxhash.xxh64_intdigest(term) % SKETCH
+
+
+def sketch(terms: DataFrame) -> bytes:
+    """A bitmap, of one size whatever the corpus, in which the place of each term is set. Other terms can share it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([pa.array([place(t) for t in batch.column(0).to_pylist()], pa.int32())], names=["place"])
+
+    bits = np.zeros(SKETCH, dtype=bool)
+    for r in terms.select("term").mapInArrow(run, "place int").distinct().toLocalIterator():
+        bits[r["place"]] = True
+    return np.packbits(bits).tobytes()
+
+
+def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, carry: list[Column] = ()) -> DataFrame:
+    """row_tag, doc_id, base (the entities' spans), near (every word of the text that the bitmap may hold, outside of
+    the entities), and what is carried."""
     small_batches(docs.sparkSession)
     given = docs.select(F.monotonically_increasing_id().alias("row_tag"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
     extra = given.schema.fields[3:]
-    schema = T.StructType([*given.schema.fields[:2], T.StructField("base", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("near", T.ArrayType(T.StructType([T.StructField("entity", T.LongType()), T.StructField("term", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), *extra])
+    types = given.limit(0).select(F.lit(None).cast(SPAN).alias("base"), F.lit(None).cast(NEAR).alias("near")).schema
+    schema = T.StructType([*given.schema.fields[:2], *types.fields, *extra])
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-
-    def one(text: str | None) -> tuple[list[dict], list[dict]]:
-        base = entities(text or "")
-        near = []
-        for kind, a, b in base:
-            own = xxhash.xxh64_intdigest(f"{kind}:{text[a:b].lower()}") - (1 << 63)
-            for core, x, y in neighbours(text, a, b):
-                if not any(x < end and start < y for _, start, end in base):
-                    near.append({"entity": own, "term": terms_of(pa.array([core]))[0].as_py(), "start": x, "end": y})
-        return [{"kind": k, "start": a, "end": b} for k, a, b in base], near
+    near_type = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for whole in batches:
             for at, n in slices(whole.column(2)):
                 batch = whole.slice(at, n)
-                found = [one(t.as_py()) for t in batch.column(2)]
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array([b for b, _ in found], span), pa.array([x for _, x in found], near_type), *batch.columns[3:]], names=schema.names)
+                parts, coded = coded_terms(batch.column(2))
+                terms = coded.dictionary.to_pylist()
+                hit = np.fromiter((bits[place(t)] for t in terms), bool, len(terms))
+                of_doc = np.repeat(np.arange(n), np.diff(np.asarray(parts.offsets)))
+                holds = np.zeros(n, bool)
+                if len(terms):
+                    holds[of_doc[hit[np.asarray(coded.indices)]]] = True
+                wanted = {t for t, h in zip(terms, hit) if h}
+                bases, near = [], []
+                for text, any_term in zip((t.as_py() or "" for t in batch.column(2)), holds):
+                    base = entities(text)
+                    bases.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
+                    found = zip(*words_of(text, base)) if any_term else ()
+                    near.append([{"term": t, "start": x, "end": y} for t, (x, y) in found if t in wanted])
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(bases, span), pa.array(near, near_type), *batch.columns[3:]], names=schema.names)
 
     return given.mapInArrow(run, schema)
 
 
+def coded_terms(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    return parts, terms_of(pc.utf8_trim(parts.flatten(), characters=EDGES)).dictionary_encode()
+
+
 def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """term, t: the documents of the whole corpus that hold the term anywhere."""
 
@@ -169,30 +216,35 @@ def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term string, t long").groupBy("term").agg(F.sum("t").alias("t"))
 
 
-def disclosing(found: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
-    """entity, term, share: the pairs at or above the lower threshold. found: the stored result of detect; counts: of
-    document_counts."""
-    pairs = found.select("row_tag", F.explode("near").alias("near")).select("row_tag", "near.entity", "near.term").distinct()
-    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("et")).where(F.col("et") >= MIN_SUPPORT)
-    holders = pairs.select("row_tag", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("e"))
-    rated = joint.join(holders, "entity").join(counts, "term")
-    known = F.log(F.lit(float(n_docs)) * F.col("et") / (F.col("e") * F.col("t")))
-    share = known / F.log(F.lit(float(n_docs)) / F.col("e"))
-    return rated.where(F.col("e") < n_docs).select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
+def disclosing(held: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
+    """term, share: the terms at or above the lower threshold, with their largest share. held: the stored result of
+    holders; counts: of document_counts.
+
+    The chance that a document with the term holds the entity is estimated as if PRIOR more documents had the term and
+    the entity were in them at random. So no pair is left out, and those seen once or twice count for less.
+    """
+    pairs = held.select(F.explode("entities").alias("entity"), "terms").select("entity", F.explode("terms").alias("term"))
+    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("et"))
+    having = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("e"))
+    rated = joint.join(having, "entity").join(counts, "term").where(F.col("e") < n_docs)
+    at_random = F.col("e") / F.lit(float(n_docs))
+    chance = (F.col("et") + PRIOR * at_random) / (F.col("t") + PRIOR)
+    share = F.log(chance / at_random) / -F.log(at_random)
+    return rated.select("term", share.alias("share")).where(F.col("share") >= GENERALISE).groupBy("term").agg(F.max("share").alias("share"))
 
 
 def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] = ()) -> DataFrame:
     """One row per document: doc_id, base (entities), terms (start, end, removed), and what is asked to carry.
 
-    Null and empty texts have no spans. Repeated rows count as documents of their own. Statistics are those of the whole
-    table; in an empty one there are none, and no rows.
+    A disclosing term is marked wherever it stands, in any document. Null and empty texts have no spans. Repeated rows
+    count as documents of their own. Statistics are those of the whole table; in an empty one there are none, and no
+    rows.
     """
-    found = store(detect(docs, id_col, text_col, carry), "pii-found")
-    shares = store(disclosing(found, document_counts(docs, text_col), found.count()), "pii-shares")
-    at = found.select("row_tag", F.explode("near").alias("near")).select("row_tag", "near.*").join(shares, ["entity", "term"])
-    # a word near several entities is one span, removed if any of them asks for it
-    spans = at.groupBy("row_tag", "start", "end").agg((F.max("share") >= REMOVE).alias("removed"))
-    spans = spans.groupBy("row_tag").agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("terms"))
+    held = store(holders(docs, text_col), "pii-holders")
+    shares = store(disclosing(held, document_counts(docs, text_col), docs.count()), "pii-shares")
+    found = store(detect(docs, id_col, text_col, sketch(shares), carry), "pii-found")
+    at = found.select("row_tag", F.explode("near").alias("near")).select("row_tag", "near.*").join(shares, "term")
+    spans = at.groupBy("row_tag").agg(F.sort_array(F.collect_list(F.struct("start", "end", (F.col("share") >= REMOVE).alias("removed")))).alias("terms"))
     return found.drop("near").join(spans, "row_tag", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start: long, end: long, removed: boolean>>"))).drop("row_tag")
 
 

@@ -70,3 +70,13 @@ def test_query_digests(spark, tmp_path):
         base = ",".join(f"{k}:{a}:{b}" for k, a, b in slow(text or ""))
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         assert r["spans"].startswith(base) and r["n_email"] == base.count("email")
+
+
+def test_rare_entities_and_terms_far_from_them(spark):
+    far = "about the case wrote to nobody " * 60
+    docs = [(i, f"about the case wrote to nobody {i}") for i in range(400)]
+    docs += [(1000, f"Zuckerthal, {far} 77310042 a.rare@example.com"), (1001, f"a.rare@example.com {far} Zuckerthal 77310042, the Zuckerthal"), (1002, f"Zuckerthal {far}")]
+    got = {r["doc_id"]: r["terms"] for r in pii.label(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    shown = {d: [text[t["start"] : t["end"]] for t in got[d]] for d, text in docs}
+    assert shown[1000] == ["Zuckerthal", "77310042"] and shown[1001] == ["Zuckerthal", "77310042", "Zuckerthal"] and shown[1002] == ["Zuckerthal"]
+    assert not any(shown[i] for i in range(400))
