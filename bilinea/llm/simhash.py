@@ -1,19 +1,22 @@
 """SimHash near-deduplication by a binary-trie self-join.
 
-A fingerprint is a path of 64 bits in a binary trie. The self-join walks pairs of nodes together, from a pair to the
-pairs of their children, adds up the bits in which the two paths differ, and drops a pair once more than the error
-budget differ. Three tries hold the fingerprints rotated by 0, 21 and 42 bits: of two fingerprints that differ in at
-most two bits, one of three runs of 21 bits is the same, so in that trie the walk stays on the diagonal for the first
-21 levels. These levels are a shuffle by (trie, prefix). A node with more fingerprints than one task should hold is
-walked on by Spark, six levels at a time; smaller ones are walked to the leaves within a task.
+A fingerprint is a path of 64 bits in a binary trie. The self-join walks pairs of nodes together, from the pair of the
+root with itself to the pairs of children, adds up the bits in which the two paths differ, and prunes a pair once more
+differ than the error budget allows (bilinea/llm/trie.py). The pairs that are still open form a table: Spark walks them
+down level by level until their leaves are few enough for a task, and tasks walk on to where single leaves meet.
+
+A budget of two bits is walked in one trie. A budget wide enough for near copies that share four fifths of their
+shingles is walked in three tries, each of which allows a third of it in its first levels; the pairs found are then
+confirmed by the similarity of the shingle sets.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -21,126 +24,80 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bilinea.llm.common import keep_rows, small_batches, store
-
-BITS = 64
-#: Bits that two linked fingerprints may differ in.
-BUDGET = 2
-#: Rotations, one more than the budget, and the levels on which the walk stays on the diagonal.
-TRIES, DIAGONAL = 3, 21
-#: Levels that Spark walks at once, and the fingerprints of a node pair above which it does.
-LEVELS, MOST_IN_TASK = 6, 5_000
-#: Node pairs of at most this many leaf pairs are compared leaf by leaf.
-LEAF_PAIRS = 64
+from bilinea.llm.trie import BITS, Budget, Nodes, closest, walk
+
+#: Differing bits of linked fingerprints over shingles of three words.
+STRICT = Budget(2)
+#: Fingerprints over the distinct shingles of near copies differ in up to 14 bits: see the README for the recall.
+WIDE = Budget(14, tries=3)
+#: Words of a shingle and the similarity of shingle sets from which two documents are near copies.
+NEAR_SHINGLE, SIMILAR = 5, 0.8
+#: Levels that Spark walks in one plan, and the leaves of a node pair above which it does.
+LEVELS, MOST_IN_TASK = 8, 8_192
+#: Node pairs for each task, about, and links that a task gathers before it cuts them to the closest.
+PAIRS_A_TASK, LINKS = 64, 1 << 20
+#: Rounds in which candidates are cut to a forest before all that are still apart are compared.
+FORESTS = 2
+#: Keeps products like 0.8 * 5 from falling on the wrong side of a whole number.
+TINY = 1e-9
 
 
 # Fingerprints
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Bit i is set if it is set in over half of the XXH64 hashes of the text's shingles, repeats included."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each of the text's shingles, repeats included; fewer words are one shingle, no words none."""
     found = (text or "").encode().lower().split()  # bytes: only A-Z change, and only ASCII white space parts
     if not found:
-        return 0
-    if len(found) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(found), 42)
-    line = b" ".join(found)
+        return np.zeros(0, np.uint64)
+    line, digest = b" ".join(found), xxhash.xxh64_intdigest
     ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    n = len(found) - shingle + 1
-    set_bits = np.zeros(BITS, dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
+    n = max(1, len(found) - shingle + 1)
+    out = np.zeros(n, np.uint64)
     for at in range(0, n, 50_000):
         until = min(n, at + 50_000)
-        spans = zip(starts[at:until].tolist(), ends[at + shingle - 1 : until + shingle - 1].tolist())
-        hashes = np.array([digest(line[a:b], 42) for a, b in spans], dtype=">u8")
-        set_bits += np.unpackbits(hashes.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * set_bits > n).view(">u8")[0])
+        spans = zip(starts[at:until].tolist(), ends[min(shingle, len(found)) - 1 :][at:until].tolist())
+        out[at:until] = np.fromiter((digest(line[a:b], 42) for a, b in spans), np.uint64, until - at)
+    return out
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Bit i is set if it is set in over half of the hashes."""
+    set_bits = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), 50_000):
+        part = hashes[at : at + 50_000].astype(">u8")
+        set_bits += np.unpackbits(part.view(np.uint8)).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > len(hashes)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, carry: list[Column] = ()) -> DataFrame:
-    """doc_id, fingerprint (as a signed long) and what is asked to carry. Null and empty texts, and those without words,
-    have fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distinct: bool = False, with_set: bool = False, carry: list[Column] = ()) -> DataFrame:
+    """doc_id, fingerprint (as a signed long), n (the number of shingles), the shingles themselves if asked for, and what
+    is to be carried. distinct: each shingle counts once. Null and empty texts, and those without words, have none and
+    fingerprint zero."""
     small_batches(docs.sparkSession)
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
-    schema = T.StructType([given.schema["doc_id"], T.StructField("fingerprint", T.LongType()), *given.schema.fields[2:]])
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+    hashes = [T.StructField("shingles", T.ArrayType(T.LongType()))] if with_set else []
+    schema = T.StructType([given.schema["doc_id"], T.StructField("fingerprint", T.LongType()), T.StructField("n", T.LongType()), *hashes, *given.schema.fields[2:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            signed = pa.array(np.array(found, dtype=np.uint64).astype(np.int64))
-            yield pa.record_batch([batch.column(0), signed, *batch.columns[2:]], names=schema.names)
+            prints, sizes, sets = [], [], []
+            for text in batch.column(1):
+                found = shingle_hashes(text.as_py(), shingle)
+                found = np.unique(found) if distinct else found
+                prints.append(fingerprint(found))
+                sizes.append(len(found))
+                sets.append(found.view(np.int64) if with_set else None)
+            columns = [pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64())]
+            if with_set:
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))))
+            yield pa.record_batch([batch.column(0), *columns, *batch.columns[2:]], names=schema.names)
 
     return given.mapInArrow(run, schema)
 
 
-# The walk within a task
-
-
-def walk(a: list[int], b: list[int] | None, differ: int = 0, level: int = 0) -> Iterator[tuple[int, int]]:
-    """Pairs of a node's leaves that differ in at most BUDGET bits. a, b: the sorted leaves below the two nodes, b None
-    for a node paired with itself; differ: the bits in which their paths differ so far; level: the paths' length."""
-    stack = [(a, b, differ, level)]
-    while stack:
-        a, b, differ, level = stack.pop()
-        if b is None:
-            if len(a) * len(a) <= 2 * LEAF_PAIRS or level == BITS:
-                for i, x in enumerate(a):
-                    for y in a[i + 1 :]:
-                        if (x ^ y).bit_count() <= BUDGET:
-                            yield x, y
-                continue
-            low, high = split(a, level)
-            stack += [(side, None, differ, level + 1) for side in (low, high) if len(side) > 1]
-            if low and high and differ < BUDGET:
-                stack.append((low, high, differ + 1, level + 1))
-        elif len(a) * len(b) <= LEAF_PAIRS or level == BITS:
-            for x in a:
-                for y in b:
-                    if (x ^ y).bit_count() <= BUDGET:
-                        yield x, y
-        else:
-            (a0, a1), (b0, b1) = split(a, level), split(b, level)
-            stack += [(x, y, differ, level + 1) for x, y in ((a0, b0), (a1, b1)) if x and y]
-            if differ < BUDGET:
-                stack += [(x, y, differ + 1, level + 1) for x, y in ((a0, b1), (a1, b0)) if x and y]
-
-
-def split(leaves: list[int], level: int) -> tuple[list[int], list[int]]:
-    """The leaves below the node's 0 child and below its 1 child. Sorted leaves that share `level` bits part at a place."""
-    bit = 1 << (BITS - 1 - level)
-    low, high = 0, len(leaves)
-    while low < high:
-        middle = (low + high) // 2
-        if leaves[middle] & bit:
-            high = middle
-        else:
-            low = middle + 1
-    return leaves[:low], leaves[low:]
-
-
-def spanning(pairs: Iterator[tuple[int, int]]) -> dict[int, int]:
-    """Each linked leaf's root in a forest that joins what the pairs join: as many links as leaves, not as pairs."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for x, y in pairs:
-        x, y = find(x), find(y)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-    return {x: find(x) for x in list(root)}
-
-
-def links_of(left: np.ndarray, right: np.ndarray | None, differ: int, level: int) -> list[tuple[int, int]]:
-    a = sorted(left.view(np.uint64).tolist())
-    b = sorted(right.view(np.uint64).tolist()) if right is not None and len(right) else None
-    return [(x, r) for x, r in spanning(walk(a, b, differ, level)).items() if x != r]
-
-
 # The walk by Spark
 
 
@@ -148,76 +105,155 @@ def turned(fp, by: int):
     return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, BITS - by)) if by else fp
 
 
-def self_join(distinct: DataFrame, most_in_task: int = MOST_IN_TASK) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints (column fp) that join all that differ in at most BUDGET bits: not
-    every such pair, but one path between the two at least."""
-    turns = F.explode(F.array(*[F.struct(F.lit(r).alias("trie"), turned(F.col("fp"), r * DIAGONAL).alias("leaf")) for r in range(TRIES)]))
-    work = distinct.select(turns.alias("t")).select("t.trie", "t.leaf")
-    node = F.shiftrightunsigned("leaf", BITS - DIAGONAL)
-    # a: the left node's path, b: the right one's, the same on the diagonal; side: 0 left, 1 right
-    work = work.select("trie", node.alias("a"), node.alias("b"), F.lit(0).alias("differ"), F.lit(0).alias("side"), "leaf")
-    level, found = DIAGONAL, None
-    while True:
-        work = store(work, f"trie-{level}")
-        pair = ["trie", "a", "b", "differ"]
-        sizes = work.groupBy(*pair).agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"))
-        sizes = sizes.where("(a = b and n0 > 1) or (n0 > 0 and n1 > 0)").select(*pair, (F.col("n0") + F.col("n1")).alias("n"))
-        sizes = store(sizes, f"trie-sizes-{level}")
-        here = work.join(sizes, pair)
-        links = local(here.where(F.col("n") <= most_in_task) if level < BITS else here, level)
-        found = links if found is None else found.unionByName(links)
-        large = sizes.where(F.col("n") > most_in_task)
-        if level >= BITS or large.isEmpty():
-            return found
-        work = descend(work.join(large.drop("n"), pair), level, min(LEVELS, BITS - level))
-        level += min(LEVELS, BITS - level)
-
-
-def descend(work: DataFrame, level: int, steps: int) -> DataFrame:
-    """Each leaf once for every pair of nodes, `steps` levels below its pair, that it takes part in."""
-    bits = (1 << steps) - 1
-    masks = [(m, m.bit_count()) for m in range(bits + 1) if m.bit_count() <= BUDGET]
-    mask = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(n).alias("n")) for m, n in masks])).alias("mask")
-    child = F.shiftrightunsigned("leaf", BITS - level - steps).bitwiseAND(F.lit(bits).cast("long"))
-    out = work.select("*", child.alias("own"), mask).where(F.col("differ") + F.col("mask.n") <= BUDGET)
-    other = F.col("own").bitwiseXOR(F.col("mask.m"))
-    diagonal = F.col("a") == F.col("b")
-    left = F.when(diagonal, F.least("own", other)).when(F.col("side") == 0, F.col("own")).otherwise(other)
-    right = F.when(diagonal, F.greatest("own", other)).when(F.col("side") == 0, other).otherwise(F.col("own"))
-    side = F.when(diagonal, (F.col("own") != left).cast("int")).otherwise(F.col("side"))
-    below = lambda path, step: F.shiftleft(path, steps).bitwiseOR(step)
-    return out.select("trie", below(F.col("a"), left).alias("a"), below(F.col("b"), right).alias("b"), (F.col("differ") + F.col("mask.n")).alias("differ"), side.alias("side"), "leaf")
-
-
-def local(work: DataFrame, level: int) -> DataFrame:
-    """Walks each node pair within a task; the groups are at most MOST_IN_TASK leaves, but for pairs of full depth,
-    where all leaves of a node are one fingerprint."""
-    pairs = work.groupBy("trie", "a", "b", "differ").agg(
-        F.collect_list(F.when(F.col("side") == 0, F.col("leaf"))).alias("left"), F.collect_list(F.when(F.col("side") == 1, F.col("leaf"))).alias("right")
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [(trie, x, y) for trie, differ, left, right in zip(batch["trie"], batch["differ"], batch["left"], batch["right"]) for x, y in links_of(np.asarray(left), np.asarray(right), differ, level)]
-            trie, x, y = (np.array(c, dtype=np.uint64) for c in zip(*out)) if out else (np.array([], dtype=np.uint64),) * 3
-            yield pd.DataFrame({"trie": trie.astype(np.int32), "x": x.astype(np.int64), "y": y.astype(np.int64)})
+def path(level, leaf: str = "leaf") -> Column:
+    """The first bits of a leaf, as many as level says; a shift by 64 would be one by none."""
+    return F.when(F.expr(level) == 0, F.lit(0).cast("long")).otherwise(F.expr(f"shiftrightunsigned({leaf}, cast({BITS} - {level} as int))"))
+
+
+def down(pairs: DataFrame, nodes: DataFrame, level: int, budget: Budget, most_in_task: int) -> DataFrame:
+    """The pairs of nodes at `level` that have too many leaves for a task give way to the pairs of their children;
+    all others stay as they are."""
+    step = lambda x, y: F.struct(F.lit(x).cast("long").alias("x"), F.lit(y).cast("long").alias("y"))
+    large = (F.col("level") == level) & (F.col("n_a") + F.col("n_b") > most_in_task)
+    moves = F.when(large & (F.col("a") == F.col("b")), F.array(step(0, 0), step(1, 1), step(0, 1)))
+    moves = moves.when(large, F.array(step(0, 0), step(1, 1), step(0, 1), step(1, 0))).otherwise(F.array(step(None, None)))
+    out = pairs.select("trie", "level", "a", "b", "differ", F.explode(moves).alias("to"))
+    child = lambda side, bit: F.coalesce(F.shiftleft(side, 1).bitwiseOR(F.col(bit)), F.col(side)).alias(side)
+    moved = F.col("to.x").isNotNull().cast("int")
+    unlike = F.coalesce((F.col("to.x") != F.col("to.y")).cast("int"), F.lit(0))
+    out = out.select("trie", (F.col("level") + moved).alias("level"), child("a", "to.x"), child("b", "to.y"), (F.col("differ") + unlike).alias("differ"), (unlike == 1).alias("unlike"))
+    out = out.where(~F.col("unlike") | (F.col("differ") <= budget.at(level + 1)))
+    for side in ("a", "b"):
+        out = out.join(nodes.select("trie", "level", F.col("path").alias(side), F.col("n").alias(f"n_{side}")), ["trie", "level", side])
+    return out.select("trie", "level", "a", "b", "differ", "n_a", "n_b")
+
+
+def frontier(leaves: DataFrame, budget: Budget, most_in_task: int) -> DataFrame:
+    """The pairs of nodes (trie, level, a, b, differ, n_a, n_b; a and b are paths) at which Spark hands over to tasks:
+    walked down from the root, none pruned, none with more leaves than a task should hold."""
+    roots = leaves.groupBy("trie").agg(F.count(F.lit(1)).alias("n_a"))
+    zero = F.lit(0).cast("long")
+    pairs = store(roots.select("trie", F.lit(0).alias("level"), zero.alias("a"), zero.alias("b"), F.lit(0).alias("differ"), "n_a", F.col("n_a").alias("n_b")), "trie-root")
+    done, large = None, F.col("n_a") + F.col("n_b") > most_in_task
+    for level in range(0, BITS, LEVELS):
+        if level:
+            ends = pairs.select("trie", F.explode(F.array("a", "b")).alias("top")).distinct()
+            leaves_here = leaves.withColumn("top", path(str(level))).join(ends, ["trie", "top"], "left_semi")
+        else:
+            leaves_here = leaves
+        deepest = leaves_here.groupBy("trie", path(str(level + LEVELS)).alias("deep")).agg(F.count(F.lit(1)).alias("n"))
+        each = deepest.select("trie", "n", "deep", F.explode(F.sequence(F.lit(level), F.lit(level + LEVELS))).alias("level"))
+        nodes = each.groupBy("trie", "level", F.expr(f"shiftrightunsigned(deep, {level + LEVELS} - level)").alias("path")).agg(F.sum("n").alias("n"))
+        nodes = store(nodes, "trie-nodes")
+        for l in range(level, level + LEVELS):
+            pairs = down(pairs, nodes, l, budget, most_in_task)
+        pairs = store(pairs, "trie-pairs")
+        small = pairs.where(~large) if level + LEVELS < BITS else pairs
+        done = small if done is None else done.unionByName(small)
+        pairs = pairs.where(large)
+        if pairs.isEmpty():
+            break
+    return done
+
+
+def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MOST_IN_TASK, similar: float | None = None, forest: str | None = "closest") -> DataFrame:
+    """Links (a, b, bits) between the distinct fingerprints (fp) whose bits differ within the budget.
+
+    prints may also have group (a long: fingerprints of one group need no link) and, with similar, n: linked ones must
+    have numbers of shingles that allow that similarity. forest: of the links of a node pair only as many as join the
+    same groups, those that differ least ("closest") or any ("random"); None for all.
+    """
+    extra = [c for c in ("group", "n") if c in prints.columns]
+    turns = F.explode(F.array(*[F.struct(F.lit(r).alias("trie"), turned(F.col("fp"), r * budget.turn).alias("leaf")) for r in range(budget.tries)]))
+    leaves = store(prints.select(turns.alias("t"), *extra).select("t.trie", "t.leaf", *extra), "trie-leaves")
+    pairs = store(frontier(leaves.select("trie", "leaf"), budget, most_in_task), "trie-frontier")
+    node = ["trie", "level", "path"]
+    ends = pairs.select("trie", "level", F.explode(F.array("a", "b")).alias("path")).distinct()
+    levels = [r["level"] for r in ends.select("level").distinct().collect()]  # 65 at most
+    if not levels:
+        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(0).alias("bits")).limit(0)
+    placed = leaves.withColumn("level", F.explode(F.array(*[F.lit(x) for x in sorted(levels)]))).withColumn("path", path("level"))
+    held = F.sort_array(F.collect_list(F.struct("leaf", *extra))).alias("held")
+    # a node's leaves are those of one task at most
+    blocks = store(placed.join(ends, node, "left_semi").groupBy(*node).agg(held), "trie-blocks")
+    n_pairs = pairs.count()
+    tasks = min(n_pairs, max(4 * prints.sparkSession.sparkContext.defaultParallelism, n_pairs // PAIRS_A_TASK))
+    work = pairs.select("trie", "level", "a", "b", "differ").join(blocks.select("trie", "level", F.col("path").alias("b"), F.col("held").alias("right")), ["trie", "level", "b"])
+    work = work.repartition(tasks, "trie", "level", "a").join(blocks.select("trie", "level", F.col("path").alias("a"), F.col("held").alias("left")), ["trie", "level", "a"])
+    work = work.select("trie", "level", "a", "differ", "left", F.when(F.col("a") != F.col("b"), F.col("right")).alias("right"))
+
+    def columns(held: pa.Scalar) -> list[np.ndarray]:
+        """Leaves in order of their unsigned value, and what stands beside them."""
+        found = [np.asarray(held.values.field(k)) for k in range(1 + len(extra))]
+        found[0] = found[0].view(np.uint64)
+        order = np.argsort(found[0])
+        return [c[order] for c in found]
+
+    def links(left: list[np.ndarray], right: list[np.ndarray] | None, level: int, differ: int, nodes: Nodes) -> Iterator[tuple[np.ndarray, ...]]:
+        other, shift = right or left, len(left[0]) if right else 0
+        both = [np.concatenate([p, q]) for p, q in zip(left, right)] if right else left
+        group = np.unique(both[1 + extra.index("group")], return_inverse=True)[1] if "group" in extra else np.arange(len(both[0]))
+        size = both[1 + extra.index("n")] if similar else None
+        rng, held, total = np.random.default_rng(len(both[0])), [], 0
+
+        def least(i, j, bits):
+            kept = closest(i, j, group, bits if forest == "closest" else rng.random(len(i)))
+            return i[kept], j[kept], bits[kept]
+
+        for i, j, bits in walk(nodes, Nodes(other[0], level) if right else None, differ, budget):
+            j = j + shift
+            ok = group[i] != group[j]
+            if similar:
+                ok &= np.minimum(size[i], size[j]) >= similar * np.maximum(size[i], size[j]) - TINY
+            held.append((i[ok], j[ok], bits[ok]))
+            total += int(ok.sum())
+            if total > LINKS:
+                found = tuple(np.concatenate(c) for c in zip(*held))
+                held, total = ([least(*found)], 0) if forest else ([], 0)
+                if not forest:
+                    yield both[0][found[0]], both[0][found[1]], found[2]
+        if held:
+            found = tuple(np.concatenate(c) for c in zip(*held))
+            if len(found[0]):
+                i, j, bits = least(*found) if forest else found
+                yield both[0][i], both[0][j], bits
 
-    back = lambda c: F.coalesce(*[F.when(F.col("trie") == r, turned(F.col(c), (BITS - r * DIAGONAL) % BITS)) for r in range(TRIES)])
-    return pairs.select("trie", "differ", "left", "right").mapInPandas(run, "trie int, x long, y long").select(back("x").alias("a"), back("y").alias("b"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: OrderedDict[tuple, tuple] = OrderedDict()  # pairs of one left node follow each other, more or less
+        for batch in batches:
+            for trie, level, a, differ, left, right in zip(*batch.columns):
+                key = (trie.as_py(), level.as_py(), a.as_py())
+                if key not in cache:
+                    mine = columns(left)
+                    cache[key] = mine, Nodes(mine[0], key[1])
+                    if len(cache) > 8:
+                        cache.popitem(last=False)
+                mine, nodes = cache[key]
+                for x, y, bits in links(mine, columns(right) if right.is_valid else None, key[1], differ.as_py(), nodes):
+                    yield pa.record_batch([pa.array(np.full(len(x), key[0], np.int32)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(bits.astype(np.int32))], names=["trie", "x", "y", "bits"])
+
+    back = lambda c: F.coalesce(*[F.when(F.col("trie") == r, turned(F.col(c), (BITS - r * budget.turn) % BITS)) for r in range(budget.tries)])
+    met = work.mapInArrow(run, "trie int, x long, y long, bits int").select(back("x").alias("x"), back("y").alias("y"), "bits")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "bits")
 
 
 # Components
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node that links (a, b) reach, for every node that has a link.
 
     Alternates large-star and small-star steps: each node's neighbours are hung on its smallest one, until every
-    component is a star. Every step writes its edges to the shared folder; nothing but two sums comes to the driver.
+    component is a star, which takes about as many rounds as the logarithm of the longest path. Every step writes its
+    edges to the shared folder; nothing but two sums comes to the driver.
     """
     edges = store(links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
     before = None
-    for _ in range(most_rounds):
+    while True:
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
+        if now == before or not now[0]:
+            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+        before = now
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = store(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")), "stars")
         large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v").distinct()
@@ -225,21 +261,18 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = store(edges.groupBy("v").agg(F.min("u").alias("m")), "stars")
         small = edges.join(least, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = store(small.unionByName(least.select("v", F.col("m").alias("u"))).where("u <> v").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
-        before = now
-    raise RuntimeError(f"the components still change after {most_rounds} rounds")
 
 
-def rooted(prints: DataFrame, most_in_task: int = MOST_IN_TASK) -> DataFrame:
+def distinct_prints(prints: DataFrame) -> DataFrame:
+    return store(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first"), F.min("n").alias("n")), "simhash-distinct")
+
+
+def rooted(distinct: DataFrame, roots: DataFrame) -> DataFrame:
     """fingerprint, root, first of each distinct fingerprint: its component's smallest fingerprint, its smallest id."""
-    distinct = store(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(self_join(distinct, most_in_task)).withColumnRenamed("node", "fp")
-    return store(distinct.join(roots, "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "fp").alias("root"), "first"), "simhash-rooted")
+    return store(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("root", "fp").alias("root"), "first"), "simhash-rooted")
 
 
-def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most_in_task: int = MOST_IN_TASK) -> DataFrame:
+def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, budget: Budget = STRICT, most_in_task: int = MOST_IN_TASK) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id.
 
     component_id is the smallest doc_id that chains of links reach, the document's own included. Null ids are in no
@@ -247,21 +280,69 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     the join. Other columns are not read; an empty table gives no rows.
     """
     prints = store(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = rooted(prints, most_in_task)
+    distinct = distinct_prints(prints)
+    nodes = rooted(distinct, components(self_join(distinct.select("fp"), budget, most_in_task)))
     least = store(nodes.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
     named = store(nodes.join(least, "root").select("fingerprint", "component_id"), "simhash-named")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One document of each component, with all its columns: that with the smallest id, a null one only where there is
-    no other; of rows that repeat the id, one with the smallest fingerprint."""
-    prints = store(fingerprints(docs, id_col, text_col, shingle), "simhash")
+# Near copies: candidates by fingerprint, confirmed by their shingles
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) of fingerprints whose shingle sets are similar enough."""
+    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("s_b")), "b")
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(common >= similar * (F.size("s_a") + F.size("s_b") - common) - TINY).select("a", "b")
+
+
+def similar_roots(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, shingle: int, similar: float, budget: Budget, most_in_task: int) -> DataFrame:
+    """node, root of the fingerprints that have near copies: the smallest one that chains of them reach.
+
+    All pairs within the budget are walked. Writing each would grow with the square of a group of copies, so the first
+    rounds keep a forest of them, the closest ones and then others; the last round keeps every pair that is still
+    apart. A pair is compared once. Only documents with a candidate are read again for their shingles.
+    """
+    active, links, tested, sets = distinct.select("fp", "n"), None, None, None
+    for turn in range(FORESTS + 1):
+        pairs = self_join(active, budget, most_in_task, similar, ("closest", "random")[turn] if turn < FORESTS else None).select("a", "b").distinct()
+        pairs = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if turn == 0:
+            met = store(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "near-met")
+            mine = f"_id_{uuid.uuid4().hex}"  # a name that no column of docs has
+            ids = store(distinct.join(met, "fp", "left_semi").select(F.col("first").alias(mine)), "near-ids")
+            given = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+            some = given.join(ids.where(F.col(mine).isNotNull()), F.col("_id") == F.col(mine), "left_semi").unionByName(given.where("_id is null"))
+            found = fingerprints(some, "_id", "_text", shingle, distinct=True, with_set=True).select(F.col("fingerprint").alias("fp"), "shingles")
+            sets = store(found.join(met, "fp", "left_semi").groupBy("fp").agg(F.min("shingles").alias("shingles")), "near-sets")
+        elif pairs.isEmpty():
+            break
+        new = confirmed(pairs, sets, similar)
+        links = store(new if links is None else links.unionByName(new), "near-links")
+        roots = store(components(links), "near-roots")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        active = distinct.join(met, "fp", "left_semi").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", F.coalesce("root", "fp").alias("group"))
+    return roots
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE, similar: float = SIMILAR, budget: Budget = WIDE, most_in_task: int = MOST_IN_TASK) -> DataFrame:
+    """One document of each group that chains of near copies join, with all its columns: that with the smallest id, a
+    null one only where there is no other; of rows that repeat the id, one with the smallest fingerprint.
+
+    Near copies: fingerprints over the distinct shingles differ within the budget, and the shingle sets have a Jaccard
+    similarity of `similar` or more. Equal fingerprints are taken as near copies without that: sets of a similarity
+    just below 0.8 have equal ones about once in 100,000 pairs. Texts without words are all alike. An empty table gives
+    no rows.
+    """
+    prints = store(fingerprints(docs, id_col, text_col, shingle, distinct=True), "simhash")
+    distinct = distinct_prints(prints)
+    nodes = rooted(distinct, similar_roots(docs, distinct, id_col, text_col, shingle, similar, budget, most_in_task))
     best = F.min(F.struct(F.isnull("doc_id"), "doc_id", "fingerprint")).alias("best")
-    wanted = prints.join(rooted(prints), "fingerprint").groupBy("root").agg(best).select("best.doc_id", F.col("best.fingerprint").alias("key"))
+    wanted = prints.join(nodes, "fingerprint").groupBy("root").agg(best).select("best.doc_id", F.col("best.fingerprint").alias("key"))
 
     def keyed(some: DataFrame) -> DataFrame:
         text = some.select("_id", F.col(f"row.{text_col}").alias("_text"), "row")
-        return fingerprints(text, "_id", "_text", shingle, [F.col("row")]).select(F.col("doc_id").alias("_id"), "row", F.col("fingerprint").alias("_key"))
+        return fingerprints(text, "_id", "_text", shingle, distinct=True, carry=[F.col("row")]).select(F.col("doc_id").alias("_id"), "row", F.col("fingerprint").alias("_key"))
 
     return keep_rows(docs, id_col, prints, store(wanted, "simhash-wanted"), keyed)

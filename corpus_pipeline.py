@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bilinea.llm import exact_dedup, mixing, near, packing, quality
+from bilinea.llm import exact_dedup, mixing, packing, quality, simhash
 from bilinea.llm.common import store
 from bilinea.llm.queries import tokenizer_file
 
@@ -30,9 +30,10 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that chains of near copies join: the one with the smallest id. Near copies have a
-    similarity of 0.8 or more on shingles of five words; the closer rule of op7 is that query's own."""
-    return near.deduplicate(docs)
+    """One document of each group that chains of near copies join: the one with the smallest id. Candidates are found by
+    the trie walk with a budget of 14 bits, and near copies have a similarity of 0.8 or more on shingles of five words;
+    the two bits of op7 are that query's own."""
+    return simhash.deduplicate(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from bilinea.llm import mixing
 
 from tests.llm.test_packing import expected, slow_best_fit
 from tests.llm.test_rows import norm, slow_repeats
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from tests.llm.test_near import slow_groups
 
 
 def documents(n=220, seed=8):
@@ -58,8 +58,8 @@ def test_stages(spark, tmp_path):
         first.setdefault(norm(text), d)
     assert {r["doc_id"] for r in exact} == set(first.values()) and len(exact) == len(first)
 
-    roots = slow_components({r["doc_id"]: slow_fingerprint(r["text"]) for r in exact})
-    assert Counter(r["doc_id"] for r in near) == Counter(set(roots.values()))
+    roots, _, _ = slow_groups([(r["doc_id"], r["text"]) for r in exact])
+    assert Counter(r["doc_id"] for r in near) == Counter(roots)
 
     times, sizes, taken, most = Counter(r["doc_id"] for r in mixed), Counter(), Counter(), Counter()
     for r in near:

@@ -1,8 +1,10 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pytest
 import xxhash
-from bilinea.llm import simhash
+from bilinea.llm import simhash, trie
 
 
 def slow_fingerprint(text):
@@ -46,16 +48,51 @@ def texts(n=150, seed=3):
 
 def test_fingerprints_match_the_definition():
     for text in texts():
-        assert simhash.fingerprint(text, 3) == slow_fingerprint(text), text
+        assert simhash.fingerprint(simhash.shingle_hashes(text, 3)) == slow_fingerprint(text), text
 
 
-def test_walk_finds_every_pair_within_budget():
+def flipped(r, x, most):
+    for bit in r.sample(range(64), r.randrange(most + 1)):
+        x ^= 1 << bit
+    return x
+
+
+@pytest.mark.parametrize("bits, tries", [(2, 1), (5, 1), (7, 3), (14, 3)])
+def test_walk_finds_every_pair_within_budget(bits, tries):
     r = random.Random(5)
-    leaves = [r.getrandbits(64) for _ in range(300)]
-    leaves += [x ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) * r.randrange(2) for x in leaves]
-    leaves = sorted(set(leaves))
-    expected = {(x, y) for i, x in enumerate(leaves) for y in leaves[i + 1 :] if (x ^ y).bit_count() <= 2}
-    assert {(min(p), max(p)) for p in simhash.walk(leaves, None)} == expected
+    leaves = [r.getrandbits(64) for _ in range(200)]
+    leaves = sorted({*leaves, *(flipped(r, x, bits + 2) for x in leaves)})
+    expected = {(x, y) for i, x in enumerate(leaves) for y in leaves[i + 1 :] if (x ^ y).bit_count() <= bits}
+    budget, found = trie.Budget(bits, tries), set()
+    for t in range(tries):
+        by = t * budget.turn
+        back = {(x << by | x >> 64 - by) % 2**64: x for x in leaves}
+        turned = np.array(sorted(back), dtype=np.uint64)
+        for i, j, _ in trie.walk(trie.Nodes(turned, 0), None, 0, budget):
+            found |= {tuple(sorted((back[x], back[y]))) for x, y in zip(turned[i].tolist(), turned[j].tolist())}
+        half = int(np.searchsorted(turned, 1 << 63))  # the same pairs from the two children of the root
+        low, high = trie.Nodes(turned[:half], 1), trie.Nodes(turned[half:], 1)
+        across = {tuple(sorted((back[x], back[y]))) for i, j, _ in trie.walk(low, high, 1, budget) for x, y in zip(low.leaves[i].tolist(), high.leaves[j].tolist())}
+        assert across <= expected and (tries > 1 or across == {p for p in expected if (p[0] ^ p[1]) >> 63})
+    assert found == expected
+
+
+def test_walk_descends_and_prunes_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prints = {r["fingerprint"] for r in simhash.fingerprints(docs).select("fingerprint").distinct().collect()}
+    counts = {"descended": 0, "pruned": 0, "met": 0}
+    list(trie.walk(trie.Nodes(np.sort(np.array(list(prints), dtype=np.int64).view(np.uint64)), 0), None, 0, simhash.STRICT, counts))
+    assert counts["descended"] > 10 * len(prints) and counts["pruned"] > len(prints) and counts["met"] < len(prints) ** 2 / 4
+
+
+def test_spark_walks_from_the_root(spark):
+    rng = np.random.default_rng(1)
+    rows = [(0, int(x)) for x in rng.integers(-(2**63), 2**63, 3000)] + [(0, i) for i in range(500)]
+    leaves = spark.createDataFrame(rows, "trie int, leaf long").distinct()
+    pairs = simhash.frontier(leaves, simhash.STRICT, 60).collect()
+    assert all(r["n_a"] + r["n_b"] <= 60 and r["differ"] <= 2 for r in pairs) and max(r["level"] for r in pairs) > 56
+    own = sum(r["n_a"] for r in pairs if r["a"] == r["b"])  # the nodes paired with themselves part all leaves
+    assert own == leaves.count() and any(r["differ"] == 2 for r in pairs)
 
 
 def check(spark, rows, most_in_task):
