@@ -45,7 +45,7 @@ def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_window_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm.score(docs, *lm.learn(docs))
+    return lm.score(docs, lm.learn(docs))
 
 
 def op6_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

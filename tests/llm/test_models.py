@@ -1,8 +1,12 @@
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from bilinea.llm import langid, lm
+from pyspark.sql import functions as F
 
 DOCS = "/root/testdata/sf0.01/documents.parquet"
 
@@ -46,32 +50,106 @@ def test_window_network_gradients_and_normalisation():
 
 
 def test_contexts_end_at_the_text():
-    token, context, row = lm.tokens(pa.array(["a b c", None, "", " a\tB "]), pa.array(["a", "b", "c"]))
+    _, token, context, row = lm.tokens(pa.array(["a b c", None, "", " a\tb "]), pa.array(["a", "b", "c"]))
     assert token.tolist() == [0, 1, 2, 0, 1] and row.tolist() == [0, 0, 0, 3, 3]
     p = lm.PAD
     assert context.T.tolist() == [[p, p, 1, 2], [p, 0, 2, p], [0, 1, p, p], [p, p, 1, p], [p, 0, p, p]]
 
 
-def test_scores_beat_word_frequencies(spark):
-    docs = spark.read.parquet(DOCS)
-    frequent, flat = lm.learn(docs)
-    got = lm.score(docs, frequent, flat).toPandas()
-    assert got["n_tokens"].sum() == sum(len(r["text"].split()) for r in docs.select("text").collect())
-    texts = pa.array([r["text"] for r in docs.select("text").collect()], pa.string())
-    token, context, row = lm.tokens(texts, pa.array(frequent))
-    again = np.bincount(row, lm.Network(flat).log_prob(context, token), minlength=len(texts))
-    assert np.allclose(sorted(got["log_prob"]), sorted(again), rtol=1e-3)
-    counts = np.bincount(token, minlength=lm.SIZE)
-    unigram = np.log(np.maximum(counts, 1) / len(token))[token].mean()
-    assert got["log_prob"].sum() / got["n_tokens"].sum() > unigram
+def slow_shape(word):
+    first, last, size = word[0], word[-1], len(word.encode())
+    end = 0 if last.isalnum() or ord(last) > 127 else 1 if last == "," else 2 if last == "." else 3
+    return 16 * first.isupper() + 4 * end + (size > 3) + (size > 6) + (size > 9)
+
+
+def slow_network(weights, context, target):
+    """The log-probability of one token, unit by unit."""
+    w = lm.Network.parts(np.asarray(weights, dtype=float))
+    hidden = [math.tanh(w["hidden_bias"][u] + sum(w["table"][i][c][u] for i, c in enumerate(context))) for u in range(lm.HIDDEN)]
+    kind, inside = divmod(target, lm.CLASSES)
+
+    def log_softmax(matrix, bias, chosen):
+        scores = [bias[k] + sum(hidden[u] * matrix[u][k] for u in range(lm.HIDDEN)) for k in range(lm.CLASSES)]
+        return scores[chosen] - math.log(sum(math.exp(x) for x in scores))
+
+    return log_softmax(w["class_w"], w["class_b"], kind) + log_softmax(w["token_w"][kind], w["token_b"][kind], inside)
+
+
+def slow_scores(texts, model):
+    """Each text's score, word by word, with all counts taken anew."""
+    words = [(t or "").split() for t in texts]
+    at = lambda ws, i: ws[i] if 0 <= i < len(ws) else None
+    contexts = Counter((at(ws, i - 1), at(ws, i + 1)) for ws in words for i in range(len(ws)))
+    windows = Counter((at(ws, i - 1), at(ws, i + 1), w) for ws in words for i, w in enumerate(ws))
+    number = {w: i for i, w in enumerate(model.frequent)}
+    rare = Counter(w for ws in words for w in ws if w not in number)
+    pairs, firsts, shapes = Counter(), Counter(), Counter()
+    signs = lambda w: [256, *w.encode(), 256]
+    for w, n in rare.items():
+        shapes[slow_shape(w)] += n
+        for x, y in zip(signs(w), signs(w)[1:]):
+            pairs[x, y] += 1
+            firsts[x] += 1
+    token = lambda w: lm.PAD if w is None else number.get(w, lm.FREQUENT + slow_shape(w))
+    out = []
+    for ws in words:
+        total = 0.0
+        for i, w in enumerate(ws):
+            logp = slow_network(model.weights, [token(at(ws, i + d)) for d in lm.CONTEXT], token(w))
+            if w not in number:
+                spelled = sum(math.log((pairs[x, y] + 0.1) / (firsts[x] + 0.1 * 257)) for x, y in zip(signs(w), signs(w)[1:]))
+                logp += min(0, spelled - math.log((shapes[slow_shape(w)] + 0.1) / (rare.total() + 0.1 * 32)))
+            context = at(ws, i - 1), at(ws, i + 1)
+            n, others = windows[*context, w] - 1, contexts[context] - 1
+            total += math.log((n + 2 * math.exp(logp)) / (others + 2)) if others else logp
+        out.append(total if ws else None)
+    return out
+
+
+def test_scores_match_a_slow_scorer(spark):
+    r = random.Random(4)
+    rare = ["Wörter,", "Zebra", "x9", "naïve.", "(odd)", "abcdefghijklm", "one-off!"]
+    usual = [f"w{i}" for i in range(1000)]
+    texts = [" ".join(r.choice(rare) if r.random() < 0.2 else usual[int(1000 * r.random() ** 3)] for _ in range(r.randrange(1, 40))) for _ in range(150)]
+    texts += [" ".join(usual), texts[3], texts[3], None, "", " \n"]
+    docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in enumerate(texts)], "doc_id long, text string, window string, n long")
+    model = lm.learn(docs)
+    got = {r["doc_id"]: (r["n_tokens"], r["log_prob"]) for r in lm.score(docs, model).collect()}
+    for i, (text, expected) in enumerate(zip(texts, slow_scores(texts, model))):
+        n, score = got[i]
+        assert n == len((text or "").split()) and (score is None) == (expected is None)
+        assert expected is None or math.isclose(score, expected, rel_tol=1e-3, abs_tol=1e-2), (text, score, expected)
+
+
+def test_text_beats_its_shuffle_and_random_letters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    model = lm.learn(docs.where("doc_id % 5 <> 0"))
+    r, rows = random.Random(1), []
+    for d, text in docs.where("doc_id % 5 = 0 and lang = 'en'").select("doc_id", "text").collect():
+        words = (text or "").split()
+        if len(words) >= 10:
+            gibberish = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in w) for w in words]
+            rows += [(3 * d, text), (3 * d + 1, " ".join(r.sample(words, len(words)))), (3 * d + 2, " ".join(gibberish))]
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), model, seen=False).collect()}
+    held_out = [d for d in got if d % 3 == 0]
+    assert len(held_out) > 500
+    assert sum(got[d] > got[d + 1] for d in held_out) >= 0.95 * len(held_out)
+    assert sum(got[d] > got[d + 2] for d in held_out) >= 0.99 * len(held_out)
+
+
+def test_scores_do_not_depend_on_how_the_input_is_cut(spark):
+    docs = spark.read.parquet(DOCS).select("doc_id", "text")
+    whole, cut = docs.coalesce(1), docs.repartition(7, F.col("doc_id") % 7)
+    one, other = ({r["doc_id"]: r["log_prob"] for r in lm.score(d, lm.learn(d)).collect()} for d in (whole, cut))
+    assert one.keys() == other.keys() and all(math.isclose(one[d], other[d], rel_tol=1e-4) for d in one if one[d] is not None)
 
 
 def test_scores_of_empty_texts_and_tables(spark):
     docs = spark.createDataFrame([(1, None, 0), (1, "", 0), (None, "a b a", 0)], "doc_id long, text string, n_tokens int")
-    got = sorted(((r["n_tokens"], r["mean_log_prob"] is None) for r in lm.score(docs, *lm.learn(docs)).collect()))
-    assert got == [(0, True), (0, True), (3, False)]
+    got = sorted((r["n_tokens"], r["log_prob"] is None, r["mean_log_prob"] is None) for r in lm.score(docs, lm.learn(docs)).collect())
+    assert got == [(0, True, True), (0, True, True), (3, False, False)]
     none = spark.createDataFrame([], "doc_id long, text string")
-    assert lm.score(none, *lm.learn(none)).count() == 0
+    assert lm.score(none, lm.learn(none)).count() == 0
 
 
 def test_held_out_languages(spark):
