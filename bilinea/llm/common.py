@@ -80,10 +80,10 @@ def keep_rows(docs: DataFrame, id_col: str, all_rows: DataFrame, wanted: DataFra
     ids = all_rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias(mine))
     unclear = store(ids, "unclear-ids")
     if unclear.isEmpty():
-        return docs.join(wanted.select(F.col("doc_id").alias(mine)).hint("shuffle_hash"), F.col(id_col) == F.col(mine), "left_semi")
+        return docs.join(wanted.select(F.col("doc_id").alias(mine)).hint("merge"), F.col(id_col) == F.col(mine), "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     plain = wanted.join(unclear, F.col("doc_id").eqNullSafe(F.col(mine)), "left_anti").select(F.col("doc_id").alias(mine))
-    clear = docs.join(plain.hint("shuffle_hash"), F.col(id_col) == F.col(mine), "left_semi")
+    clear = docs.join(plain.hint("merge"), F.col(id_col) == F.col(mine), "left_semi")
     rest = keyed(docs.join(unclear, F.col(id_col).eqNullSafe(F.col(mine)), "left_semi").select(F.col(id_col).alias("_id"), row))
     odd = wanted.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"))
     found = rest.join(odd, F.col("_id").eqNullSafe(F.col("w_id")) & (F.col("_key") == F.col("w_key")), "left_semi").dropDuplicates(["_id", "_key"])

@@ -77,7 +77,7 @@ def op9_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.scratch_index(spark)
-    labels = exact_dedup.label(table(spark, sf_dir, "documents"), index)
+    labels = exact_dedup.label(table(spark, sf_dir, "documents"), index, batches=2)
     spark.sql(f"DROP TABLE {index}")  # the labels are read from stored decisions
     return labels
 

@@ -76,7 +76,7 @@ def test_exact_dedup(spark):
     assert len(kept) == len(groups) and all(r["doc_id"] == r["keep_id"] for r in kept)
     # a later batch finds the copies of this one, and adds only what is new
     later = spark.createDataFrame([(900, "a b", None), (901, "new", None), (902, "new ", None), (903, "new", None)], EMPTY)
-    assert {r["doc_id"]: (r["keep_id"], r["kept"]) for r in exact_dedup.label(later, table).collect()} == {900: (min(groups["a b"]), False), 901: (901, True), 902: (902, True), 903: (901, False)}
+    assert {r["doc_id"]: (r["keep_id"], r["kept"]) for r in exact_dedup.label(later, table, name='later').collect()} == {900: (min(groups["a b"]), False), 901: (901, True), 902: (902, True), 903: (901, False)}
     assert spark.table(table).count() == len(groups) + 2
     fresh = exact_dedup.scratch_index(spark)
     stay = exact_dedup.deduplicate(docs, fresh)
@@ -88,6 +88,43 @@ def test_exact_dedup(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_batches_give_what_one_batch_gives(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"])
+    one, three = (exact_dedup.label(docs, exact_dedup.scratch_index(spark), batches=n).collect() for n in (1, 3))
+    assert Counter(map(key, one)) == Counter(map(key, three))
+    assert sum(r["kept"] for r in one) == sum(r["kept"] for r in three) == len({r["text_sha256"] for r in one})
+    none = docs.limit(0)
+    assert exact_dedup.label(none, exact_dedup.scratch_index(spark), batches=3).count() == 0
+
+
+def test_a_batch_that_is_run_again_keeps_the_same(spark):
+    table = exact_dedup.scratch_index(spark)
+    docs = lambda *pairs: spark.createDataFrame(pairs, "doc_id long, text string")
+    first, second = docs((1, "a"), (2, "a"), (3, "b")), docs((4, "a"), (5, "c"), (6, "c"))
+    for _ in range(2):
+        assert sorted(r["doc_id"] for r in exact_dedup.deduplicate(first, table, "one").collect()) == [1, 3]
+        assert spark.table(table).count() == 2
+    for _ in range(2):
+        assert [r["doc_id"] for r in exact_dedup.deduplicate(second, table, "two").collect()] == [5]
+        assert spark.table(table).count() == 3
+    assert sorted(r["doc_id"] for r in exact_dedup.deduplicate(first, table, "one").collect()) == [1, 3]
+    small = f"{table}_small"
+    exact_dedup.compact(spark, table, small)
+    assert exact_dedup.deduplicate(second, small, "three").count() == 0
+    assert sorted(map(tuple, spark.table(small).collect())) == sorted(map(tuple, spark.table(table).collect()))
+
+
+def test_the_index_is_neither_shuffled_nor_sorted(spark):
+    table = exact_dedup.scratch_index(spark)
+    exact_dedup.deduplicate(spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string"), table, "one")
+    new = exact_dedup.tagged(spark.createDataFrame([(99, "text 7")], "doc_id long, text string"), "doc_id", "text")
+    joined = new.hint("merge").join(exact_dedup.known(spark, table).hint("merge"), "digest", "left_anti")
+    plan = joined._jdf.queryExecution().sparkPlan().toString() + joined._jdf.queryExecution().executedPlan().toString()
+    under = plan[plan.rindex("SortMergeJoin") :]
+    assert under.count("Sort [") == under.count("Exchange hashpartitioning") == 1, under
+
+
 CLEAN = "This is a plain sentence with quite a few words in it.\nAnd here is one more that ends as it should, with care."
 
 
