@@ -15,8 +15,6 @@ from bilinea.functions.text import SPACE_CHARS, without_spaces
 from bilinea.operators.replies import aligned_text
 
 HUNKS = f"array<struct<{', '.join(f'{n}: {t}' for n, t in (x.split() for x in HUNK.split(', ')))}>>"
-#: Longer texts are not compared but get a status: the comparison takes more than proportional time.
-MOST_CHARS = 200_000
 #: Characters of context on either side of a hunk, and the length from which a replacement is left to people; fixed values.
 CONTEXT, COMPLEX = 20, 4
 
@@ -32,21 +30,32 @@ def hunks_of(original: str, aligned: str) -> list[dict]:
 
 
 def compared(original: pd.Series, aligned: pd.Series) -> pd.Series:
-    return pd.Series([[] if a is None else hunks_of(a, b) for a, b in zip(original, aligned)])
+    return pd.Series([None if a is None else hunks_of(a, b) for a, b in zip(original, aligned)])
 
 
-def diff_hunks(texts: DataFrame, original: str = "original", aligned: str = "aligned", most_chars: int = MOST_CHARS) -> DataFrame:
+def diff_hunks(texts: DataFrame, original: str = "original", aligned: str = "aligned", most_chars: int | None = None) -> DataFrame:
     """texts with orig_norm and aligned_norm (without white space; a null text is empty), hunks in their offsets, and
-    diff_status: equal, differs, or too_long with no hunks. Only texts that differ go to the helper."""
+    diff_status: equal (hunks empty), differs, or too_long (hunks null).
+
+    Only texts that differ go to the helper. All texts are compared, however long, unless most_chars is given: the time
+    grows with the square of a text's length, and one pair is one task's work. Longer pairs then are too_long: nothing is
+    known of them, and figures and reports made from them say so.
+    """
     norm = lambda c: without_spaces(F.coalesce(F.col(c), F.lit("")))
     out = texts.withColumns({"orig_norm": norm(original), "aligned_norm": norm(aligned)})
-    long = F.greatest(F.length("orig_norm"), F.length("aligned_norm")) > most_chars
+    long = F.lit(False) if most_chars is None else F.greatest(F.length("orig_norm"), F.length("aligned_norm")) > most_chars
     status = F.when(F.col("orig_norm") == F.col("aligned_norm"), "equal").when(long, "too_long").otherwise("differs")
     # small tables can still be much work: no fewer tasks than shuffle partitions
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = out.withColumn("diff_status", status).repartition(tasks, F.xxhash64("orig_norm", "aligned_norm"))
     needed = lambda c: F.when(F.col("diff_status") == "differs", F.col(c))
-    return out.withColumn("hunks", F.pandas_udf(compared, HUNKS)(needed("orig_norm"), needed("aligned_norm")))
+    found = F.pandas_udf(compared, HUNKS)(needed("orig_norm"), needed("aligned_norm"))
+    return out.withColumn("hunks", F.coalesce(found, F.when(F.col("diff_status") == "equal", F.array().cast(HUNKS))))
+
+
+def n_hunks(hunks: Column) -> Column:
+    """How many there are; null where the texts were not compared."""
+    return F.when(hunks.isNotNull(), F.size(hunks))
 
 
 def shown_char(ch: Column) -> Column:
@@ -58,7 +67,7 @@ def shown_char(ch: Column) -> Column:
 
 def diff_log(hunks: Column, orig_norm: Column, aligned_norm: Column) -> Column:
     """The report's lines on all hunks: a header, what was removed and added, both contexts, the first character that
-    differs. The wording is fixed by the report format."""
+    differs. The wording is fixed by the report format. Null where the texts were not compared."""
 
     def context(text: Column, start: Column, end: Column, chunk: Column, name: str) -> Column:
         low = F.greatest(F.lit(0), start - CONTEXT)
@@ -125,8 +134,8 @@ def auto_correct(records: DataFrame, diffs: DataFrame, keys: list[str] = ("corpu
     """keys, seqs, contents, fixed_log, skipped_log, n_fixable, n_applied: a row per chapter.
 
     records: keys, seq, content. diffs: keys, hunks. Null contents stay null. fixed_log opens with the number of hunks
-    that are fixable, which is not the number applied; skipped_log lists the others. A chapter's records meet in one
-    row, as its prompt and reply did.
+    that are fixable, which is not the number applied; skipped_log lists the others. A chapter whose texts were not
+    compared is left as it is. A chapter's records meet in one row, as its prompt and reply did.
     """
     rows = records.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "content"))).alias("r"))
     rows = rows.join(diffs.select(*keys, "hunks"), list(keys), "left").withColumn("hunks", F.coalesce("hunks", F.array().cast(HUNKS)))
@@ -153,7 +162,8 @@ def corrected_records(records: DataFrame, corrections: DataFrame, keys: list[str
     return records.drop("content").join(new, [*keys, "seq"]).select(*records.columns)
 
 
-def recheck(records: DataFrame, chunks: DataFrame, keys: list[str] = ("corpus", "chapter")) -> DataFrame:
-    """keys, hunks_left and what diff_hunks adds, for the records as they are now."""
+def recheck(records: DataFrame, chunks: DataFrame, keys: list[str] = ("corpus", "chapter"), most_chars: int | None = None) -> DataFrame:
+    """keys, hunks_left (null where the texts were not compared) and what diff_hunks adds, for the records as they are
+    now."""
     texts = chunks.select(*keys, F.col("text").alias("original")).join(aligned_text(records, keys).withColumnRenamed("text", "aligned"), list(keys))
-    return diff_hunks(texts).withColumn("hunks_left", F.size("hunks"))
+    return diff_hunks(texts, most_chars=most_chars).withColumn("hunks_left", n_hunks(F.col("hunks")))

@@ -154,9 +154,13 @@ def extract_local_notes(pages: DataFrame, keys: list[str] = ("corpus", "file"))
 
 def resolve_glossary(segments: DataFrame, glossary: DataFrame) -> DataFrame:
     """segments with `shown` and `hit`: a note whose id has a word is [[word#text]], any other shows its text. glossary
-    (id, pali_word) has one row per id and may be broadcast by its size."""
-    words = glossary.where(~is_blank(F.col("pali_word"))).select(F.col("id").cast("long").alias("_id"), strip(F.col("pali_word")).alias("_word"))
-    joined = segments.join(words, (F.col("kind") == "note") & (F.col("ref_id") == F.col("_id")), "left")
+    (id, pali_word) has one row per id and may be broadcast by its size. If it is not, only notes go by their id: all
+    other segments, most of the text, are spread by a hash that no word has."""
+    words = glossary.where(~is_blank(F.col("pali_word"))).select(F.lit(True).alias("_note"), F.col("id").cast("long").alias("_id"), strip(F.col("pali_word")).alias("_word"))
+    note = F.coalesce((F.col("kind") == "note") & F.col("ref_id").isNotNull(), F.lit(False))
+    rest = [c for c in segments.columns if c != "text"]
+    keyed = segments.withColumns({"_note": note, "_id": F.when(note, F.col("ref_id").cast("long")).otherwise(F.xxhash64(*rest, F.length("text")))})
+    joined = keyed.join(words, ["_note", "_id"], "left")
     hit = F.col("_word").isNotNull()
     shown = F.when(hit, F.concat(F.lit("[["), "_word", F.lit("#"), "text", F.lit("]]"))).otherwise(F.col("text"))
     return joined.select(*segments.columns, shown.alias("shown"), hit.alias("hit"))
@@ -164,9 +168,11 @@ def resolve_glossary(segments: DataFrame, glossary: DataFrame) -> DataFrame:
 
 def resolve_local_notes(segments: DataFrame, notes: DataFrame, keys: list[str] = ("corpus", "file")) -> DataFrame:
     """segments of resolve_glossary, with the page's own notes put in: a local anchor whose number the page has, even an
-    empty note, is {{note|trigger=…|text=…}}."""
-    own = notes.select(*keys, F.col("note_id").alias("ref_id"), F.lit("local").alias("kind"), F.col("text").alias("_note"))
-    joined = segments.join(own, [*keys, "ref_id", "kind"], "left")
+    empty note, is {{note|trigger=…|text=…}}. notes have one row per page and number. Segments are joined by page, which
+    is how assemble_text groups them, so the text moves once for both."""
+    own = notes.groupBy(*keys).agg(F.collect_set(F.struct("note_id", "text")).alias("_notes"))
+    note = F.get(F.filter("_notes", lambda n: n["note_id"] == F.col("ref_id")), F.lit(0))["text"]
+    joined = segments.join(own, list(keys), "left").withColumn("_note", F.when(F.col("kind") == "local", note))
     hit = F.col("_note").isNotNull()
     marked = F.concat(F.lit("{{note|trigger="), "text", F.lit("|text="), "_note", F.lit("}}"))
     rest = [c for c in segments.columns if c not in ("shown", "hit")]

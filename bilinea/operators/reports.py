@@ -19,13 +19,15 @@ def row(name: str, value: Column) -> Column:
 
 def alignment_report(chapters: DataFrame, keys: list[str] = ("corpus", "chapter")) -> DataFrame:
     """keys, report. chapters: keys, file, generated_at, model, sentences, nulls, prompt_tokens, completion_tokens,
-    total_tokens, extra (a map), hunks, log, fixed_log, skipped_log and log_left (arrays)."""
+    total_tokens, extra (a map), hunks, log, fixed_log, skipped_log and log_left (arrays). A null log or log_left says that
+    the texts were not compared."""
     shown = lambda c: F.col(c).cast("string")
     ticked = lambda c: F.concat(F.lit("`"), F.col(c), F.lit("`"))
     none = F.array().cast("array<string>")
     fenced = lambda head, log: F.concat(F.array(head, F.lit(""), F.lit("```diff")), log, F.array(F.lit("```")))
     extra = F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(F.lit("| "), e["key"], F.lit(" | "), F.coalesce(e["value"], F.lit("None")), F.lit(" |")))
     left = F.size(F.filter("log_left", lambda x: x.startswith("@@")))
+    open_end = F.array(F.lit("⚠️ 未比对：文本超过长度上限，差异未知。"))  # ours: the format has no such case
     report = joined(
         F.array(F.concat(F.lit("# 对齐报告："), "file"), F.lit("")),
         "## 基本信息",
@@ -49,7 +51,7 @@ def alignment_report(chapters: DataFrame, keys: list[str] = ("corpus", "chapter"
         "",
         "## 原始差异",
         "",
-        F.when(F.size("log") == 0, F.array(F.lit("✅ 无差异：对齐后拼接文本与原文完全一致（忽略空白）。"))).otherwise(fenced(F.format_string("发现 %d 处差异（已忽略空白）：", F.size("hunks")), F.col("log"))),
+        F.when(F.col("log").isNull(), open_end).when(F.size("log") == 0, F.array(F.lit("✅ 无差异：对齐后拼接文本与原文完全一致（忽略空白）。"))).otherwise(fenced(F.format_string("发现 %d 处差异（已忽略空白）：", F.size("hunks")), F.col("log"))),
         "",
         "## 自动修正",
         "",
@@ -58,7 +60,7 @@ def alignment_report(chapters: DataFrame, keys: list[str] = ("corpus", "chapter"
         F.when(F.size("skipped_log") > 1, F.concat(F.col("skipped_log"), F.array(F.lit("")))).otherwise(none),
         "## 修正后剩余差异",
         "",
-        F.when(F.size("log_left") == 0, F.array(F.lit("✅ 无剩余差异。"))).otherwise(fenced(F.format_string("剩余 %d 处差异（需人工检查）：", left), F.col("log_left"))),
+        F.when(F.col("log_left").isNull(), open_end).when(F.size("log_left") == 0, F.array(F.lit("✅ 无剩余差异。"))).otherwise(fenced(F.format_string("剩余 %d 处差异（需人工检查）：", left), F.col("log_left"))),
         "",
     )
     return chapters.select(*keys, report.alias("report"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bilinea.functions.text import is_blank, split_record_id
+from bilinea.operators.diff import n_hunks
 
 
 def filter_by_ordinal(para_map: DataFrame, start: int | None = None, end: int | None = None, pos: str = "pos") -> DataFrame:
@@ -18,14 +19,16 @@ def chapter_metrics(records: DataFrame, chunks: DataFrame, usage: DataFrame, bef
     """keys, sentences, nulls, chars, prompt_tokens, completion_tokens, hunks, hunks_left.
 
     nulls counts null contents only, chars the characters of the chunk as it is. before and after: keys, hunks. Chapters
-    without a usage have 0 tokens.
+    without a usage have 0 tokens. hunks and hunks_left are null where the texts were not compared, and 0 where before or
+    after has no row.
     """
     slots = records.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("sentences"), F.count_if(F.col("content").isNull()).cast("int").alias("nulls"))
-    count = lambda df, name: df.select(*keys, F.size("hunks").alias(name))
+    count = lambda df, name: df.select(*keys, F.coalesce(n_hunks(F.col("hunks")), F.lit(-1)).alias(name))
     out = slots.join(chunks.select(*keys, F.length("text").alias("chars")), list(keys))
     out = out.join(usage.select(*keys, "prompt_tokens", "completion_tokens"), list(keys), "left")
     out = out.join(count(before, "hunks"), list(keys), "left").join(count(after, "hunks_left"), list(keys), "left")
-    return out.na.fill(0, ["prompt_tokens", "completion_tokens", "hunks", "hunks_left"])
+    out = out.na.fill(0, ["prompt_tokens", "completion_tokens", "hunks", "hunks_left"])
+    return out.withColumns({c: F.nullif(F.col(c), F.lit(-1)) for c in ("hunks", "hunks_left")})
 
 
 def merge_summary(para_map: DataFrame, new: DataFrame, old: DataFrame, corpus: str = "corpus", name: str = "file") -> DataFrame:

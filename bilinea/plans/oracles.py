@@ -12,6 +12,7 @@ STRIP = f"trim(%s, '{SPACE_CHARS}')"
 
 LINES = "l AS (SELECT l_orderkey AS o, l_linenumber AS n, CAST(min(l_quantity) AS INT) AS q, min(l_returnflag) AS flag, min(l_partkey) AS part FROM lineitem GROUP BY 1, 2)"
 TURNS = "t AS (SELECT conv_id, CAST(turn + 1 AS INT) AS seq, turn, coalesce(text, '') AS text, role FROM conversations)"
+# The three note patterns of operators/glossary.py, with white space spelled as DuckDB needs it.
 GAP, LETTER = f"[{SPACE_CLASS}]*", "[a-zA-ZāīūṃṅñṭḍḷṇśṣḥĀĪŪṂṄÑṬḌḶṆŚṢḤ]"
 SOUTHERN = "南傳作「([^」]+)」" + GAP + r"\(([^，,）)]+)[，,](?:.*?另譯為「([^」]+)」)?"
 ALSO = "「([^」]+)」" + GAP + r"\((" + LETTER + "[^，,)]*)[，,]" + GAP + r"另譯為「([^」]+)」\)"
@@ -78,7 +79,10 @@ walk AS (
   FROM walk w JOIN g ON g.book = w.book AND g.rn = w.rn + 1 LEFT JOIN s ON s.book = g.book AND s.rn = g.rn AND s.cursor = w.para_end + 1
   WHERE w.status = 'ok'
 )
-SELECT CAST(book AS INT) AS book, page_pos, page_pos || '.html' AS html, CASE WHEN status = 'ok' THEN CAST(cursor AS INT) END AS para_start, CASE WHEN status = 'ok' THEN CAST(para_end AS INT) END AS para_end, status FROM walk
+"""
+
+RANGES = """
+SELECT CAST(book AS INT) AS %s, CASE WHEN status = 'ok' THEN CAST(cursor AS INT) END AS para_start, CASE WHEN status = 'ok' THEN CAST(para_end AS INT) END AS para_end, status, %s AS html FROM walk
 """
 
 REPORT = (
@@ -143,7 +147,16 @@ WITH x AS (
 SELECT doc_id, note_id, md5(t) AS text_md5 FROM x""",
         "j5_pending_pages": f"WITH {LINES} SELECT 'orders' AS corpus, o_orderkey || '.html' AS file FROM orders WHERE o_orderkey NOT IN (SELECT o FROM l WHERE n = 3)",
         "j6_missing_sources": "SELECT c_nationkey AS corpus, c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 <> 1)",
-        "f1_match_pages": LOCATED + STEPS,
+        "f1_match_pages": LOCATED + STEPS + RANGES % ("book", "page_pos, page_pos || '.html'"),
+        "w_locate": LOCATED + STEPS + RANGES % ("corpus", "lpad(page_pos::VARCHAR, 4, '0') || '.html'"),
+        "w_annotate": f"""
+WITH {LINES}, g AS (SELECT DISTINCT o, CAST(floor((n - 1) / 2.0) AS BIGINT) AS p FROM l)
+SELECT 'c' || o AS corpus, lpad(p::VARCHAR, 4, '0') || '.txt' AS file, 'T' || o || '.' || CASE WHEN p < 2 THEN '[[' || r_name || '#w]]' ELSE 'w' END || ' end' AS text, CASE WHEN p < 2 THEN 1 ELSE 0 END AS notes, 0 AS locals
+FROM g LEFT JOIN region ON r_regionkey = p""",
+        "w_align": f"""
+WITH {TURNS}, x AS (SELECT conv_id, count(*) AS n, sum(length(text) + 2) + count(*) - 1 AS chars, count(*) FILTER (seq = 1) AS firsts FROM t WHERE seq < 10 GROUP BY 1)
+SELECT conv_id::VARCHAR AS chapter, CASE WHEN conv_id % 3 = 0 THEN 'no_reply' ELSE 'ok' END AS status, CASE WHEN conv_id % 3 > 0 THEN CAST(n AS INT) END AS sentences, CASE WHEN conv_id % 3 > 0 THEN 0 END AS nulls,
+  CASE WHEN conv_id % 3 > 0 THEN CAST(chars AS INT) END AS chars, CASE conv_id % 3 WHEN 1 THEN CAST(firsts AS INT) WHEN 2 THEN 0 END AS hunks, CASE WHEN conv_id % 3 > 0 THEN 0 END AS hunks_left FROM x""",
         "a6_cursor_start": f"""
 WITH {LINES}, f AS (SELECT o AS book, min(n) AS first FROM l GROUP BY 1), d AS (SELECT o_orderkey AS book, max(o_custkey % 10) AS last FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
 SELECT CAST(coalesce(f.book, d.book) AS INT) AS book, CAST(coalesce(last + 1, first) AS INT) AS cursor FROM f FULL JOIN d ON f.book = d.book""",
@@ -172,7 +185,28 @@ SELECT conv_id, seq, '@@ 原文[' || k || ':' || k + 1 || '] 对齐[' || k || ':
         "f4_f5_correct": f"""
 WITH {TURNS}, x AS (SELECT conv_id, seq, text, length({BARE % "text"}) > 0 AND seq % 2 = 1 AS changed FROM t)
 SELECT conv_id, CAST(count(*) FILTER (changed) AS INT) AS n_fixable, CAST(count(*) FILTER (changed) AS INT) AS n_applied, 0 AS hunks_left, md5({BARE % "string_agg(text, '' ORDER BY seq)"}) AS text_md5 FROM x GROUP BY 1""",
-        "f6_proportional_split": "SELECT doc_id, md5(replace(replace(coalesce(text, ''), ',', '，'), '.', '。')) AS text_md5, len(string_split(coalesce(text, ''), chr(10))) AS slots FROM documents",
+        "f6_proportional_split": """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, replace(replace(coalesce(text, ''), ',', '，'), '.', '。') AS m FROM documents),
+s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS seq FROM d),
+n AS (SELECT doc_id, count(*) AS slots, sum(length(line)) AS total FROM s GROUP BY 1),
+t AS (SELECT s.doc_id, seq, CASE WHEN total > 0 THEN length(m) * length(line) / total::DOUBLE ELSE 0 END AS target FROM s JOIN n USING (doc_id) JOIN d USING (doc_id)),
+q AS (SELECT doc_id, regexp_extract_all(m, '[^。！？；，、]*[。！？；，、]|[^。！？；，、]+') AS ps FROM d),
+p AS (SELECT doc_id, unnest(ps) AS piece, unnest(range(len(ps))) AS i FROM q),
+g AS (
+  SELECT doc_id, i, CAST(0 AS BIGINT) AS seq, length(piece) AS size FROM p WHERE i = 0
+  UNION ALL
+  SELECT doc_id, i, CASE WHEN near THEN seq ELSE seq + 1 END, CASE WHEN near THEN size + l ELSE l END FROM (
+    SELECT g.doc_id, p.i, g.seq, g.size, length(p.piece) AS l, abs(g.size + length(p.piece) - coalesce(t.target, 0)) <= abs(g.size - coalesce(t.target, 0)) AS near
+    FROM g JOIN p ON p.doc_id = g.doc_id AND p.i = g.i + 1 LEFT JOIN t ON t.doc_id = g.doc_id AND t.seq = g.seq
+  )
+),
+c AS (SELECT g.doc_id, g.seq, string_agg(piece, '' ORDER BY g.i) AS content FROM g JOIN p ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY 1, 2),
+k AS (SELECT doc_id, count(*) AS found FROM c GROUP BY 1),
+r AS (
+  SELECT s.doc_id, s.seq, CASE WHEN coalesce(found, 0) = slots THEN c.content WHEN s.seq = 0 THEN m END AS content
+  FROM s JOIN n ON n.doc_id = s.doc_id JOIN d ON d.doc_id = s.doc_id LEFT JOIN k ON k.doc_id = s.doc_id LEFT JOIN c ON c.doc_id = s.doc_id AND c.seq = s.seq
+)
+SELECT doc_id, CAST(seq AS INT) AS seq, length(content) AS n_chars, md5(content) AS content_md5 FROM r""",
         "a5_chapter_metrics": f"""
 WITH {LINES}
 SELECT o AS chapter, CAST(count(*) AS INT) AS sentences, CAST(count(*) FILTER (q % 4 = 0) AS INT) AS nulls, length(o_orderpriority) AS chars, CASE WHEN o % 3 = 0 THEN o_custkey ELSE 0 END AS prompt_tokens, CASE WHEN o % 3 = 0 THEN 5 ELSE 0 END AS completion_tokens,
@@ -188,6 +222,14 @@ WITH {LINES}
 SELECT o_orderkey AS chapter, CASE WHEN o_custkey % 11 = 0 THEN 'missing_file' WHEN o_custkey % 7 = 0 THEN 'blank_text' WHEN o_orderkey NOT IN (SELECT o FROM l) THEN 'no_sentences' WHEN o_custkey % 5 = 0 THEN 'no_reply' ELSE 'ok' END AS status FROM orders""",
         "r1_alignment_report": REPORT,
         "k2_para_map_round_trip": "SELECT o_orderpriority AS corpus, o_orderkey || '.html' AS html, CAST(o_custkey AS INT) AS para_start, CAST(o_custkey + 3 AS INT) AS para_end FROM orders",
+        "k1_write_chunks": "SELECT doc_id || '.txt' AS file, lang AS corpus, md5(CASE WHEN lang IN ('de', 'fr') THEN 'new ' || text ELSE text END) AS text_md5 FROM documents WHERE lang NOT IN ('de', 'fr') OR text IS NOT NULL",
+        "k2_s2_para_map": "SELECT o_orderpriority AS corpus, o_orderkey || '.html' AS html, CAST(o_custkey AS INT) AS para_start, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE CAST(o_custkey + 3 AS INT) END AS para_end, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS pos FROM orders",
+        "s1_read_pages": "SELECT 'c ' || page_id % 3 AS corpus, CASE WHEN page_id % 4 = 0 THEN 'x' ELSE '' END || page_id || '.html' AS file, CASE WHEN page_id % 4 = 0 THEN -1 ELSE page_id END AS page_no, md5(coalesce(html, '') || chr(10)) AS html_md5 FROM pages",
+        "s6_read_chunks": f"WITH x AS (SELECT 'c' || page_id % 5 AS corpus, page_id || '.txt' AS file, CASE WHEN page_id % 9 = 0 THEN ' ' || chr(9) ELSE coalesce(url, '') END || chr(10) AS text FROM pages) SELECT *, CASE WHEN {STRIP % 'text'} = '' THEN 'blank_text' ELSE 'ok' END AS status FROM x",
+        "s4_read_source_tables": f"WITH {LINES} SELECT CAST(o AS INT) AS book, 1 AS paragraph, o * 8 + n AS id, n AS word_begin, q AS word_end, flag AS text, max(flag) OVER (PARTITION BY o) AS whole FROM l",
+        "s7_k5_corpus_meta": """
+WITH x AS (SELECT n_name AS corpus, n_nationkey + 100 AS book_id, n_nationkey % 4 AS n_digits FROM nation)
+SELECT corpus, book_id, CASE WHEN book_id % 3 > 0 THEN 1 END AS chapter_start, CASE WHEN book_id % 3 > 0 THEN 99 END AS chapter_end, n_digits, CASE WHEN book_id % 3 > 0 THEN 0 END AS para_start, CASE WHEN book_id % 3 > 0 THEN 0 END AS para_end FROM x""",
         "k4_s3_glossary_round_trip": f"WITH {NOTES} SELECT id, pali_word FROM g WHERE pali_word IS NOT NULL",
         "k5_summary_round_trip": """
 SELECT o_orderkey::VARCHAR AS no, o_orderkey || '.txt' AS file, CASE WHEN o_custkey % 3 > 0 THEN o_custkey::VARCHAR END AS sentences, (o_custkey + 1)::VARCHAR AS chars, o_orderstatus AS model, NULL::VARCHAR AS prompt_tokens, NULL::VARCHAR AS completion_tokens, NULL::VARCHAR AS hunks, NULL::VARCHAR AS hunks_left, 'now, then' AS generated_at FROM orders""",

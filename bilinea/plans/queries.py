@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from bilinea.functions.storage import new_path, store
 from bilinea.functions.text import is_blank, normalize_head, ordered_join, page_number, record_id, split_record_id, strip, without_spaces
 from bilinea.operators import diff, glossary, pages, paragraphs, profile, replies, reports, split, summary
+from bilinea.plans import workloads
 from bilinea.sources import readers, writers
 
 KEY = ["doc_id"]
@@ -192,6 +193,7 @@ def j6_missing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def located(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Orders as books: lines are the paragraphs, and pages hold two line numbers each with up to 40 odd characters."""
     rows = lines(spark, sf_dir).select(F.col("o").cast("int").alias("book"), F.col("n").alias("paragraph"), cat("P-", F.col("o"), " ", F.repeat(F.lit("ab "), F.col("q")), F.col("flag")).alias("text"))
+    rows = store(rows, "paragraphs")
     page = rows.groupBy("book", F.floor((F.col("paragraph") - 1) / 2).alias("page_pos")).agg(ordered_join(F.col("paragraph"), F.col("text"), "\n").alias("text"))
     odd = F.repeat(F.lit("x"), (F.col("book") * 7 + F.col("page_pos") * 13) % 41)
     page = page.select("book", "page_pos", F.lit("orders").alias("corpus"), cat(F.col("page_pos"), ".html").alias("html"), F.concat("text", odd.cast("string")).alias("text"))
@@ -328,11 +330,11 @@ def f4_f5_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f6_proportional_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents cut for their own lines: the slots joined, and how many there are."""
+    """Documents cut for their own lines: each slot's text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     marked = docs.select("doc_id", F.replace(F.replace("text", F.lit(","), F.lit("，")), F.lit("."), F.lit("。")).alias("text"))
     slots = split.proportional_split(marked, docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "text")), KEY)
-    return slots.groupBy("doc_id").agg(F.md5(ordered_join(F.col("seq"), F.col("content"))).alias("text_md5"), F.count(F.lit(1)).alias("slots"))
+    return slots.select("doc_id", "seq", F.length("content").alias("n_chars"), F.md5("content").alias("content_md5"))
 
 
 # Summary and reports
@@ -419,11 +421,105 @@ def k5_summary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*[F.col(f"`{h}`").alias(n) for h, n in back.items()])
 
 
+def s1_read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as files, a folder for each corpus, and read back."""
+    path, key = new_path(spark, "pages"), F.col("page_id")
+    writers.export_chunks(table(spark, sf_dir, "pages").select(cat("c ", key % 3).alias("corpus"), cat(F.when(key % 4 == 0, "x").otherwise(""), key, ".html").alias("file"), F.coalesce("html", F.lit("")).alias("html")), path, "html")
+    return readers.read_pages(spark, path).select("corpus", "file", "page_no", F.md5("html").alias("html_md5"))
+
+
+def s6_read_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts exported as files and read back with their status; every ninth is blank."""
+    path, key = new_path(spark, "texts"), F.col("page_id")
+    text = F.when(key % 9 == 0, " \t").otherwise(F.coalesce("url", F.lit("")))
+    writers.export_chunks(table(spark, sf_dir, "pages").select(cat("c", key % 5).alias("corpus"), cat(key, ".txt").alias("file"), text.alias("text")), path)
+    return readers.read_chunks(spark, path)
+
+
+def k1_write_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written by corpus; a second run replaces two of the corpora."""
+    path = new_path(spark, "chunks")
+    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("corpus"), cat(F.col("doc_id"), ".txt").alias("file"), "text")
+    writers.write_chunks(docs, path)
+    writers.write_chunks(docs.where("corpus in ('de', 'fr') and text is not null").select("corpus", "file", cat("new ", F.col("text")).alias("text")), path)
+    return spark.read.schema("file string, text string, corpus string").parquet(path).select("corpus", "file", F.md5("text").alias("text_md5"))
+
+
+def k2_s2_para_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map rows appended in two runs and read back: the second run's rows count, and stand where the first one's stood."""
+    path = new_path(spark, "map")
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(F.col("o_orderpriority").alias("corpus"), cat(F.col("o_orderkey"), ".html").alias("html"), F.col("o_orderkey").alias("pos"), F.col("o_custkey").cast("int").alias("para_start"), (F.col("o_custkey") + 3).cast("int").alias("para_end"))
+    writers.write_para_map(rows, path)
+    writers.write_para_map(rows.where("pos % 3 = 0").withColumn("para_end", F.lit(-1)), path)
+    return readers.read_para_map(spark, path, files="*.json")
+
+
+def s4_read_source_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both source tables written as Parquet, with a column more, and read back: sentences with their paragraph's text."""
+    path, rows = new_path(spark, "source"), store(lines(spark, sf_dir), "lines")
+    book = F.col("o").cast("int").alias("book")
+    rows.groupBy(book, F.lit(1).alias("paragraph")).agg(F.max("flag").alias("text"), F.count(F.lit(1)).alias("more")).write.parquet(f"{path}/pali_texts")
+    rows.select((F.col("o") * 8 + F.col("n")).alias("id"), book, F.lit(1).alias("paragraph"), F.col("n").alias("word_begin"), F.col("q").alias("word_end"), F.col("flag").alias("text")).write.parquet(f"{path}/pali_sentences")
+    texts, sentences = readers.read_source_tables(spark, path)
+    return sentences.join(texts.withColumnRenamed("text", "whole"), ["book", "paragraph"])
+
+
+def s7_k5_corpus_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A meta object for two corpora of three, written and read back; the third is known from the configuration alone."""
+    path, key = new_path(spark, "meta"), F.col("n_nationkey")
+    config = table(spark, sf_dir, "nation").select(F.col("n_name").alias("corpus"), F.lit("u").alias("url_template"), (key + 100).alias("book_id"), (key % 4).alias("n_digits"))
+    writers.write_meta(summary.initial_meta(config.where("book_id % 3 <> 0"), 1, 99), path)
+    return readers.read_corpus_meta(spark, path, config=config, files="*.json")
+
+
+# Workloads
+
+
+def bilingual_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as corpora: each line is a source paragraph, and a page holds two of them and a translation with an anchor."""
+    page, rows = located(spark, sf_dir)
+    name = cat(F.lpad(F.col("page_pos").cast("string"), 4, "0"), ".html")
+    html = cat('<div id="center">T', F.col("book"), '.<a onmouseover="note(this,', F.col("page_pos"), ')">w</a> end</div><div id="east">', F.col("text"), "</div>")
+    return page.select(cat("c", F.col("book")).alias("corpus"), name.alias("file"), html.alias("html"), "book"), rows
+
+
+def w_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    some, _ = bilingual_pages(spark, sf_dir)
+    words = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("pali_word")).where("id < 2")
+    return workloads.annotate(some, words)
+
+
+def w_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    some, rows = bilingual_pages(spark, sf_dir)
+    meta = some.select("corpus", F.col("book").alias("book_id")).distinct()
+    none = spark.createDataFrame([], "corpus string, html string, para_start int, para_end int")
+    return workloads.locate(some, meta, rows, none).withColumn("corpus", F.substring("corpus", F.lit(2), F.lit(20)).cast("int"))
+
+
+def w_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as chapters. A third has no reply; in another third the reply has a mark for the middle character of
+    the first turn, which is put right."""
+    rows = store(turns(spark, sf_dir).where("seq < 10").withColumn("text", F.concat(F.lit("t "), "text")), "turns")
+    corpus, chapter = F.lit("c").alias("corpus"), F.col("conv_id").cast("string").alias("chapter")
+    chapters = rows.select(corpus, chapter, F.col("conv_id").alias("pos"), F.col("conv_id").cast("int").alias("para_start"), F.col("conv_id").cast("int").alias("para_end")).distinct()
+    sentences = rows.select(F.col("conv_id").alias("id"), F.lit(1).alias("book"), F.col("conv_id").cast("int").alias("paragraph"), F.col("seq").alias("word_begin"), F.col("seq").alias("word_end"), F.col("role").alias("text"))
+    said = F.when((F.col("conv_id") % 3 == 1) & (F.col("seq") == 1), altered(without_spaces(F.col("text")))).otherwise(F.col("text"))
+    reply = cat(F.to_json(F.struct("seq", said.alias("chinese"))), "\n")
+    event = cat("data: ", F.to_json(F.struct(F.array(F.struct(F.struct(reply.alias("content")).alias("delta"))).alias("choices"))))
+    stream = rows.where("conv_id % 3 <> 0").select(corpus, chapter, F.col("seq").alias("line_no"), event.alias("line"))
+    meta = spark.createDataFrame([("c", 1, 0, 0)], "corpus string, book_id int, para_start int, para_end int")
+    text = chunks(rows).select(corpus, chapter, "text")
+    done = workloads.align(chapters, text, sentences, stream, meta, "m", F.lit("now"))
+    figures = done.metrics.select("chapter", "sentences", "nulls", "chars", "hunks", "hunks_left")
+    return done.status.select("chapter", "status").join(figures, "chapter", "left")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     a1_trailing_char_profile, a1_profile_totals, a3_aligned_text, a4_build_prompts, a5_chapter_metrics, a6_cursor_start, a7_backfill_meta, a8_glossary_totals,
     chapter_states, f1_match_pages, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
-    k2_para_map_round_trip, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
-    p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s2_last_wins, s5_read_aligned,
+    k1_write_chunks, k2_para_map_round_trip, k2_s2_para_map, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
+    p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_read_pages, s2_last_wins, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
 )
 
 

@@ -38,7 +38,7 @@ def locate(some: DataFrame, meta: DataFrame, source: DataFrame, para_map: DataFr
 
 @dataclass
 class Alignment:
-    """status: why a chapter could not be aligned, or ok; records: with corrected contents; metrics; reports; meta."""
+    """status: why a chapter could not be aligned, not_compared, or ok; records: with corrected contents; metrics; reports; meta."""
 
     status: DataFrame
     records: DataFrame
@@ -47,11 +47,12 @@ class Alignment:
     meta: DataFrame
 
 
-def align(chapters: DataFrame, chunks: DataFrame, sentences: DataFrame, stream: DataFrame, meta: DataFrame, model: str, now: Column) -> Alignment:
+def align(chapters: DataFrame, chunks: DataFrame, sentences: DataFrame, stream: DataFrame, meta: DataFrame, model: str, now: Column, most_chars: int | None = None) -> Alignment:
     """chapters: corpus, chapter, pos, para_start, para_end; chunks: corpus, chapter, text; sentences: the source table;
     stream: corpus, chapter, line_no, line of the recorded replies; meta: of the corpora; now: a text for all reports.
 
-    Every chapter goes its own way: one that fails has a status and no records. What several results need, the slots,
+    Every chapter goes its own way: one that fails has a status and no records. With most_chars, chapters of longer texts
+    have records and the status not_compared. What several results need, the slots,
     both comparisons and the corrections, is stored in the shared folder, so that no text is compared twice.
     """
     books = meta.select("corpus", "book_id")
@@ -60,10 +61,12 @@ def align(chapters: DataFrame, chunks: DataFrame, sentences: DataFrame, stream:
     sound = status.where("status = 'ok'").select(*KEYS)
     events = replies.stream_events(stream)
     slots = store(replies.fill_slots(own.join(sound, KEYS, "left_semi"), replies.stream_lines(events)), "slots")
-    before = store(diff.recheck(slots, chunks), "before")
+    before = store(diff.recheck(slots, chunks, most_chars=most_chars), "before")
     fixed = store(diff.auto_correct(slots, before), "fixed")
     records = diff.corrected_records(slots, fixed)
-    after = store(diff.recheck(records, chunks), "after")
+    after = store(diff.recheck(records, chunks, most_chars=most_chars), "after")
+    status = status.join(after.where("diff_status = 'too_long'").select(*KEYS, F.lit("not_compared").alias("_open")), KEYS, "left")
+    status = status.select(*KEYS, F.coalesce("_open", "status").alias("status"))
     usage = replies.stream_usage(events)
     metrics = summary.chapter_metrics(records, chunks, usage, before, after)
     log = lambda df, name: df.select(*KEYS, "hunks", diff.diff_log(F.col("hunks"), F.col("orig_norm"), F.col("aligned_norm")).alias(name))

@@ -13,39 +13,55 @@ from bilinea.functions.text import is_blank, page_number, strip
 MORE_LINE_ENDS = r"\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}"
 
 
-def file_part(pattern: str) -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-
-
 def decoded(name: Column) -> Column:
     """A name out of a file path, whose odd characters Spark gives as %XX."""
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def whole_files(spark: SparkSession, glob: str) -> DataFrame:
-    """corpus (the folder), file (its name), value (its text)."""
-    files = spark.read.text(glob, wholetext=True)
-    return files.select(decoded(file_part(r"([^/]*)/[^/]*$")).alias("corpus"), decoded(file_part(r"([^/]*)$")).alias("file"), "value")
+def path_part(path: Column, pattern: str) -> Column:
+    return decoded(F.regexp_extract(path, pattern, 1))
+
+
+def whole_files(spark: SparkSession, glob: str, ending: str) -> DataFrame:
+    """corpus (the folder), file (its name), value (its text): for files that are one value each, named corpus/file, or
+    corpus=.../file=.../part-... as export_chunks writes them."""
+    path, part = F.col("_metadata.file_path"), "(?:/part-[^/]*)?$"
+    corpus, file = path_part(path, rf"([^/]*)/[^/]*{ending}{part}"), path_part(path, rf"([^/]*{ending}){part}")
+    plain = lambda c, name: F.regexp_replace(c, f"^{name}=", "").alias(name)
+    return spark.read.text(glob, wholetext=True).select(plain(corpus, "corpus"), plain(file, "file"), "value")
+
+
+def numbered_lines(spark: SparkSession, glob: str, every_line_end: bool = False) -> DataFrame:
+    """path, changed, line_no (from 0 in each file), line: files are read in blocks, by many tasks; blank lines are left
+    out but counted. every_line_end also cuts at the rarer Unicode line ends.
+
+    A line's number is its place within its block and the lines of the file's earlier blocks, a sum over one row for
+    each block. changed: when the file was last written.
+    """
+    meta = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_block_start").alias("block")]
+    line = F.explode(F.split("value", f"[{MORE_LINE_ENDS}]")) if every_line_end else F.col("value")
+    rows = spark.read.text(glob).select(*meta, line.alias("line")).withColumn("at", F.monotonically_increasing_id())
+    blocks = rows.groupBy("path", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    out = rows.where(~is_blank(F.col("line"))).join(blocks, ["path", "block"])
+    return out.select("path", "changed", (F.col("before") + F.col("at") - F.col("first")).alias("line_no"), "line")
 
 
 def read_pages(spark: SparkSession, root: str, corpus: str = "*") -> DataFrame:
     """corpus, file, page_no, html: every page below root/corpus. page_no is -1 for names without a number. Many small
     files are best read once and written as Parquet."""
-    pages = whole_files(spark, f"{root}/{corpus}/*.html")
+    pages = whole_files(spark, f"{root}/{corpus}/*.html", r"\.html")
     return pages.select("corpus", "file", page_number(F.col("file")).alias("page_no"), F.col("value").alias("html"))
 
 
-def lines_of(files: DataFrame, pattern: str = "\r\n|[\r\n]") -> DataFrame:
-    """files with `line_no` from 0 and `line` in place of value; blank lines are left out but counted."""
-    rest = [c for c in files.columns if c != "value"]
-    return files.select(*rest, F.posexplode(F.split("value", pattern)).alias("line_no", "line")).where(~is_blank(F.col("line")))
-
-
-def read_para_map(spark: SparkSession, root: str, corpus: str = "*", key: str = "html") -> DataFrame:
+def read_para_map(spark: SparkSession, root: str, corpus: str = "*", key: str = "html", files: str = "para_map.jsonl") -> DataFrame:
     """corpus, key, para_start, para_end, pos: the map of each corpus. Of lines with the same key the last one counts and
-    stands where the first one stood; pos is that place, from 0 without gaps."""
-    lines = lines_of(whole_files(spark, f"{root}/{corpus}/para_map.jsonl"))
-    rows = lines.select("corpus", "line_no", F.from_json(strip(F.col("line")), f"`{key}` string, para_start int, para_end int").alias("r"))
+    stands where the first one stood; pos is that place, from 0 without gaps. Where files matches several of a corpus,
+    as after appending, they follow each other by the time they were written, then by name."""
+    lines = numbered_lines(spark, f"{root}/{corpus}/{files}")
+    at = F.struct("changed", "path", "line_no").alias("line_no")
+    rows = lines.select(F.regexp_replace(path_part(F.col("path"), "([^/]*)/[^/]*$"), "^corpus=", "").alias("corpus"), at, F.from_json(strip(F.col("line")), f"`{key}` string, para_start int, para_end int").alias("r"))
     return last_wins(rows.select("corpus", F.col(f"r.{key}").alias(key), "r.para_start", "r.para_end", "line_no"), key)
 
 
@@ -82,8 +98,9 @@ def read_source_tables(spark: SparkSession, location: str, jdbc: dict[str, str]
 def read_aligned(spark: SparkSession, root: str, corpus: str = "*", files: str = "*.jsonl", every_line_end: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, bad lines): corpus, file, line and the record's fields; corpus, file, line and the text of lines that are
     no JSON object. Blank lines are passed over. every_line_end also cuts at the rarer Unicode line ends."""
-    pattern = f"\r\n|[\r\n{MORE_LINE_ENDS}]" if every_line_end else "\r\n|[\r\n]"
-    return split_records(lines_of(whole_files(spark, f"{root}/{corpus}/{files}"), pattern))
+    lines = numbered_lines(spark, f"{root}/{corpus}/{files}", every_line_end)
+    folder, name = path_part(F.col("path"), "([^/]*)/[^/]*$"), path_part(F.col("path"), "([^/]*)$")
+    return split_records(lines.select(folder.alias("corpus"), name.alias("file"), "line_no", "line"))
 
 
 def split_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,13 +113,13 @@ def split_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_chunks(spark: SparkSession, root: str, corpus: str = "*") -> DataFrame:
     """corpus, file, text, status: a chapter's text in each file; blank_text where there is nothing to align."""
-    files = whole_files(spark, f"{root}/{corpus}/*.txt")
+    files = whole_files(spark, f"{root}/{corpus}/*.txt", r"\.txt")
     return files.select("corpus", "file", F.col("value").alias("text"), F.when(is_blank(F.col("value")), "blank_text").otherwise("ok").alias("status"))
 
 
-def read_corpus_meta(spark: SparkSession, root: str, corpus: str = "*", config: DataFrame | None = None) -> DataFrame:
+def read_corpus_meta(spark: SparkSession, root: str, corpus: str = "*", config: DataFrame | None = None, files: str = "meta.json") -> DataFrame:
     """The meta object of each corpus; corpora that only config has get its book and digits."""
-    meta = spark.read.schema(schemas.CORPUS_META).json(f"{root}/{corpus}/meta.json", multiLine=True)
+    meta = spark.read.schema(schemas.CORPUS_META).json(f"{root}/{corpus}/{files}", multiLine=True)
     if config is None:
         return meta
     rest = config.join(meta.select("corpus"), "corpus", "left_anti").select("corpus", "book_id", "n_digits")

@@ -27,22 +27,24 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("corpus").parquet(path)
 
 
-def export_chunks(chunks: DataFrame, path: str) -> None:
+def export_chunks(chunks: DataFrame, path: str, text: str = "text") -> None:
     """The texts as text files, a folder for each corpus and chapter: for people, and for splitting by hand."""
-    chunks.select("corpus", "file", "text").write.mode("overwrite").partitionBy("corpus", "file").text(path)
+    chunks.select("corpus", "file", text).write.mode("overwrite").partitionBy("corpus", "file").text(path)
 
 
 def write_para_map(para_map: DataFrame, path: str, key: str = "html") -> None:
-    """Appends map rows as JSON lines, in page order."""
+    """Appends map rows as JSON lines, in page order: each file of a run holds a range of it, in the order of their
+    names, so no task writes more than its share however long a corpus's map is."""
     order = [c for c in ("page_pos", "pos", key) if c in para_map.columns][:1]
-    rows = para_map.coalesce(1).sortWithinPartitions("corpus", *order)  # a row per page: numbers only
+    rows = para_map.repartitionByRange("corpus", *order).sortWithinPartitions("corpus", *order)
     rows.select("corpus", key, "para_start", "para_end").write.mode("append").option("ignoreNullFields", "false").partitionBy("corpus").json(path)
 
 
 def write_aligned(records: DataFrame, path: str) -> None:
     """corpus, chapter, seq and the record's fields as JSON lines in order, a folder for each chapter; chapters that are
-    written replace their former selves, others stay."""
-    rows = records.repartition("corpus", "chapter").sortWithinPartitions("corpus", "chapter", "seq")
+    written replace their former selves, others stay. A chapter of many records is several files, in the order of their
+    names: tasks hold ranges of records, not whole chapters."""
+    rows = records.repartitionByRange("corpus", "chapter", "seq").sortWithinPartitions("corpus", "chapter", "seq")
     out = rows.select("corpus", "chapter", "id", "original", "content").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     out.option("ignoreNullFields", "false").partitionBy("corpus", "chapter").json(path)
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from bilinea.operators import diff, reports, split
+from bilinea.operators import diff, reports, split, summary
 from pyspark.sql import functions as F
 
 LOG = """@@ 原文[22:23] 对齐[22:23] tag=replace
@@ -46,8 +46,35 @@ def test_hunks(spark):
     for row in diff.diff_hunks(df).collect():
         assert rebuilt(row["aligned_norm"], row["hunks"]) == row["orig_norm"]
         assert (row["diff_status"] == "equal") == (row["orig_norm"] == row["aligned_norm"]) == (not row["hunks"])
-    long = diff.diff_hunks(df, most_chars=5).where("i = 4").first()
-    assert long["diff_status"] == "too_long" and long["hunks"] == []
+
+
+def test_texts_that_are_not_compared_say_so(spark):
+    """Not compared is not the same as no difference: null hunks and counts, a status, and lines of their own."""
+    text = "甲" * 30
+    records = spark.createDataFrame([("c", "1", 1, text + "乙"), ("c", "2", 1, "same"), ("c", "3", 1, "a")], "corpus string, chapter string, seq int, content string")
+    chunks = spark.createDataFrame([("c", "1", text + "丙"), ("c", "2", "same"), ("c", "3", "b")], "corpus string, chapter string, text string")
+    some = diff.recheck(records, chunks, most_chars=20)
+    got = {r["chapter"]: (r["diff_status"], r["hunks"] is None, r["hunks_left"]) for r in some.collect()}
+    assert got == {"1": ("too_long", True, None), "2": ("equal", False, 0), "3": ("differs", False, 1)}
+    assert {r["hunks_left"] for r in diff.recheck(records, chunks).collect()} == {0, 1}
+    fixed = diff.auto_correct(records, some)
+    assert {r["chapter"]: r["contents"] for r in fixed.collect()}["1"] == [text + "乙"]
+    usage = spark.createDataFrame([], "corpus string, chapter string, prompt_tokens int, completion_tokens int")
+    metrics = summary.chapter_metrics(records, chunks, usage, some, some)
+    assert {r["chapter"]: (r["hunks"], r["hunks_left"], r["prompt_tokens"]) for r in metrics.collect()} == {"1": (None, None, 0), "2": (0, 0, 0), "3": (1, 1, 0)}
+    log = some.select("corpus", "chapter", "hunks", diff.diff_log(F.col("hunks"), F.col("orig_norm"), F.col("aligned_norm")).alias("log"))
+    told = metrics.drop("hunks").join(log, ["corpus", "chapter"]).join(fixed.select("corpus", "chapter", "fixed_log", "skipped_log"), ["corpus", "chapter"])
+    told = told.withColumns({"log_left": F.col("log"), "file": F.col("chapter"), "generated_at": F.lit("now"), "model": F.lit("m"), "total_tokens": F.lit(0), "extra": F.lit(None).cast("map<string,string>")})
+    report = {r["chapter"]: r["report"] for r in reports.alignment_report(told).collect()}
+    assert report["1"].count("未比对") == 2 and "✅" not in report["1"]
+    assert report["2"].count("✅") == 2 and "未比对" not in report["2"] + report["3"]
+
+
+def test_a_text_of_250000_characters_is_compared(spark):
+    text = "".join(map(chr, random.Random(1).choices(range(0x4E00, 0x9000), k=250_000)))
+    df = spark.createDataFrame([(text, text[:100_000] + "x" + text[100_001:])], "original string, aligned string")
+    hunks = diff.diff_hunks(df).first()["hunks"]
+    assert [(h["tag"], h["orig_start"], h["orig_end"]) for h in hunks] == [("replace", 100_000, 100_001)]
 
 
 def hunk(start, wrong, right, tag="replace"):

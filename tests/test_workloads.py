@@ -37,3 +37,6 @@ def test_align(spark):
     report = got.reports.collect()
     assert len(report) == 1 and "| Total tokens | 7 |" in report[0]["report"] and "自动修正 1 处差异：\n  record[0] 位置 [2]: `。` → `，`" in report[0]["report"]
     assert tuple(got.meta.first()) == ("c", 7, 1, 2)
+    cut = workloads.align(chapters, chunks, sentences, spark.createDataFrame(stream, "corpus string, chapter string, line_no int, line string"), meta, "m", F.lit("now"), most_chars=2)
+    assert ("1.txt", "not_compared") in {(r["chapter"], r["status"]) for r in cut.status.collect()}
+    assert cut.metrics.first()["hunks_left"] is None and "未比对" in cut.reports.first()["report"]
