@@ -4,13 +4,16 @@ A term discloses an entity as far as knowing the term tells which entity is mean
 entity, t those that hold the term, et those that hold both and n all documents, the pointwise mutual information
 log(n * et / (e * t)), shrunk where t is small, is compared with all there is to know, the entity's information content
 log(n / e). Their quotient is 1 if the term occurs only with the entity and falls to 0 or less for words at random.
-Terms that reach the upper threshold are removed, those that reach the lower one are replaced by a class name.
+Terms that reach the upper threshold are removed, those that reach the lower one are generalised: a number to the range
+of its leading digit, a word to the class that its letters show. Statistics know terms by 64-bit hashes; two of them
+are mistaken for one about once in a corpus of four billion terms.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,7 @@ SKETCH = 1 << 23
 REMOVE, GENERALISE = 0.9, 0.6
 
 SPAN = "array<struct<kind: string, start: long, end: long>>"
-NEAR = "array<struct<term: string, start: long, end: long>>"
+NEAR = "array<struct<term: long, start: long, end: long>>"
 
 
 # Patterns. They are written so that each character is looked at a bounded number of times, however long a run is.
@@ -125,8 +128,13 @@ def words_of(text: str, base: list[tuple[str, int, int]]) -> tuple[list[str], li
     return terms_of(pa.array(cores, pa.string())).to_pylist(), spans
 
 
+def term_hash(term: str) -> int:
+    """Signed, as Spark holds it."""
+    return xxhash.xxh64_intdigest(term) - (1 << 63)
+
+
 def holders(docs: DataFrame, text_col: str) -> DataFrame:
-    """entities (hashed), terms: the distinct ones of each document that holds an entity."""
+    """entities, terms (hashes): the distinct ones of each document that holds an entity."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,30 +142,67 @@ def holders(docs: DataFrame, text_col: str) -> DataFrame:
             found = []
             for text in (t.as_py() or "" for t in whole.column(0)):
                 if base := entities(text):
-                    own = {xxhash.xxh64_intdigest(f"{k}:{text[a:b].lower()}") - (1 << 63) for k, a, b in base}
-                    found.append((sorted(own), sorted(set(words_of(text, base)[0]))))
-            yield pa.record_batch([pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.string()))], names=["entities", "terms"])
-
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "entities array<long>, terms array<string>")
+                    own = {term_hash(f"{k}:{text[a:b].lower()}") for k, a, b in base}
+                    found.append((sorted(own), sorted(map(term_hash, set(words_of(text, base)[0])))))
+            yield pa.record_batch([pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.int64()))], names=["entities", "terms"])
 
-
-def place(term: str) -> int:
-    return xxhash.xxh64_intdigest(term) % SKETCH
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "entities array<long>, terms array<long>")
 
 
 def sketch(terms: DataFrame) -> bytes:
     """A bitmap, of one size whatever the corpus, in which the place of each term is set. Other terms can share it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.record_batch([pa.array([place(t) for t in batch.column(0).to_pylist()], pa.int32())], names=["place"])
-
     bits = np.zeros(SKETCH, dtype=bool)
-    for r in terms.select("term").mapInArrow(run, "place int").distinct().toLocalIterator():
+    for r in terms.select(F.pmod("term", F.lit(SKETCH)).cast("int").alias("place")).distinct().toLocalIterator():
         bits[r["place"]] = True
     return np.packbits(bits).tobytes()
 
 
+@dataclass
+class Words:
+    """The words of some texts: the row of each, its term's hash (words that can be no term have one as well), and where
+    it starts in its text, in code points."""
+
+    words: pa.Array
+    row: np.ndarray
+    hashes: np.ndarray
+    start: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array, places: bool = True) -> Words:
+        texts = pc.fill_null(texts, "")
+        parts = pc.ascii_split_whitespace(texts)
+        words, row = parts.flatten(), np.repeat(np.arange(len(texts)), np.diff(np.asarray(parts.offsets)))
+        real = pc.not_equal(words, "")
+        words, row = words.filter(real), row[np.asarray(real)]
+        coded = terms_of(pc.utf8_trim(words, characters=EDGES)).dictionary_encode()
+        hashes = np.array([term_hash(t) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+        hashes = hashes[np.asarray(coded.indices)] if len(words) else hashes
+        return cls(words, row, hashes, starts_of(texts, row) if places else row)
+
+    def spans(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of some words' terms: the words without the marks at their edges."""
+        words = self.words.take(pa.array(some))
+        left = np.asarray(pc.subtract(pc.utf8_length(words), pc.utf8_length(pc.utf8_ltrim(words, characters=EDGES))), dtype=np.int64)
+        start = self.start[some] + left
+        return start, start + np.asarray(pc.utf8_length(pc.utf8_trim(words, characters=EDGES)), dtype=np.int64)
+
+
+def starts_of(texts: pa.Array, row: np.ndarray) -> np.ndarray:
+    """Where each word starts in its text, in code points; row: the text of each word."""
+    if not len(row):
+        return np.zeros(0, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets -= offsets[0]
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[offsets] = True
+    first = ~space
+    first[1:] &= space[:-1] | edge[1:-1]
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return points[np.flatnonzero(first)] - points[offsets[row]]
+
+
 def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, carry: list[Column] = ()) -> DataFrame:
     """row_tag, doc_id, base (the entities' spans), near (every word of the text that the bitmap may hold, outside of
     the entities), and what is carried."""
@@ -167,7 +212,6 @@ def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, carry: li
     types = given.limit(0).select(F.lit(None).cast(SPAN).alias("base"), F.lit(None).cast(NEAR).alias("near")).schema
     schema = T.StructType([*given.schema.fields[:2], *types.fields, *extra])
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    near_type = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,45 +219,43 @@ def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, carry: li
         for whole in batches:
             for at, n in slices(whole.column(2)):
                 batch = whole.slice(at, n)
-                parts, coded = coded_terms(batch.column(2))
-                terms = coded.dictionary.to_pylist()
-                hit = np.fromiter((bits[place(t)] for t in terms), bool, len(terms))
-                of_doc = np.repeat(np.arange(n), np.diff(np.asarray(parts.offsets)))
-                holds = np.zeros(n, bool)
-                if len(terms):
-                    holds[of_doc[hit[np.asarray(coded.indices)]]] = True
-                wanted = {t for t, h in zip(terms, hit) if h}
-                bases, near = [], []
-                for text, any_term in zip((t.as_py() or "" for t in batch.column(2)), holds):
-                    base = entities(text)
-                    bases.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
-                    found = zip(*words_of(text, base)) if any_term else ()
-                    near.append([{"term": t, "start": x, "end": y} for t, (x, y) in found if t in wanted])
-                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(bases, span), pa.array(near, near_type), *batch.columns[3:]], names=schema.names)
+                bases = [entities(t.as_py() or "") for t in batch.column(2)]
+                words = Words.of(batch.column(2))
+                some = np.flatnonzero(bits[words.hashes % SKETCH])
+                start, end = words.spans(some)
+                free = outside(words.row[some], start, end, bases)
+                row, fields = words.row[some][free], [words.hashes[some], start, end]
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32))
+                near = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(f[free]) for f in fields], ["term", "start", "end"]))
+                base = pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in found] for found in bases], span)
+                yield pa.record_batch([batch.column(0), batch.column(1), base, near, *batch.columns[3:]], names=schema.names)
 
     return given.mapInArrow(run, schema)
 
 
-def coded_terms(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
-    parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    return parts, terms_of(pc.utf8_trim(parts.flatten(), characters=EDGES)).dictionary_encode()
+def outside(row: np.ndarray, start: np.ndarray, end: np.ndarray, bases: list[list[tuple[str, int, int]]]) -> np.ndarray:
+    """Which spans, in order of row, overlap no entity of their row."""
+    free = np.ones(len(row), dtype=bool)
+    for i in (i for i, base in enumerate(bases) if base):
+        a, b = np.searchsorted(row, [i, i + 1])
+        for _, x, y in bases[i]:
+            free[a:b] &= (end[a:b] <= x) | (start[a:b] >= y)
+    return free
 
 
 def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """term, t: the documents of the whole corpus that hold the term anywhere."""
+    """term (hashed), t: the documents of the whole corpus that hold the term anywhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             texts = whole.column(0)
             for at, n in slices(texts):
-                parts = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, n), ""))
-                coded = terms_of(pc.utf8_trim(parts.flatten(), characters=EDGES)).dictionary_encode()
-                of_doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(np.asarray(parts.offsets)))
-                width = max(1, len(coded.dictionary))
-                once = np.unique(of_doc * width + np.asarray(coded.indices)) % width
-                yield pa.record_batch([coded.dictionary, pa.array(np.bincount(once, minlength=len(coded.dictionary)).astype(np.int64))], names=["term", "t"])
+                words = Words.of(texts.slice(at, n), places=False)
+                terms, number = np.unique(words.hashes, return_inverse=True)
+                once = np.unique(words.row * max(1, len(terms)) + number) % max(1, len(terms))
+                yield pa.record_batch([pa.array(terms), pa.array(np.bincount(once, minlength=len(terms)))], names=["term", "t"])
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term string, t long").groupBy("term").agg(F.sum("t").alias("t"))
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term long, t long").groupBy("term").agg(F.sum("t").alias("t"))
 
 
 def disclosing(held: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
@@ -234,7 +276,8 @@ def disclosing(held: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
 
 
 def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] = ()) -> DataFrame:
-    """One row per document: doc_id, base (entities), terms (start, end, removed), and what is asked to carry.
+    """One row per document: doc_id, base (entities), terms (start, end, removed: if not, generalised), and what is asked
+    to carry.
 
     A disclosing term is marked wherever it stands, in any document. Null and empty texts have no spans. Repeated rows
     count as documents of their own. Statistics are those of the whole table; in an empty one there are none, and no
@@ -248,16 +291,28 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     return found.drop("near").join(spans, "row_tag", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start: long, end: long, removed: boolean>>"))).drop("row_tag")
 
 
+def general(term: str) -> str:
+    """What stands for a generalised term: for a number the range of its leading digit, else what its letters show."""
+    if term.isdecimal():
+        low = int(term[0]) * 10 ** (len(term) - 1)
+        return f"[{low}-{low + 10 ** (len(term) - 1) - 1}]"
+    if any(c.isdigit() for c in term):
+        return "[CODE]"
+    if len(term) > 1 and term.isupper():
+        return "[ACRONYM]"
+    return "[NAME]" if term[:1].isupper() else "[WORD]"
+
+
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with column clean_text: entities and generalised terms replaced by their class in brackets, removed terms
-    gone; null stays null."""
+    """docs with column clean_text: entities replaced by their kind in brackets, generalised terms by what general() makes
+    of them, removed terms gone; null stays null."""
     marked = label(docs, id_col, text_col, [F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")])
 
     def clean(text: str | None, base, terms) -> str | None:
         if text is None:
             return None
         last = len(text)
-        cuts = [(s["start"], s["end"], f"[{s['kind'].upper()}]") for s in base] + [(s["start"], s["end"], "" if s["removed"] else "[TERM]") for s in terms]
+        cuts = [(s["start"], s["end"], f"[{s['kind'].upper()}]") for s in base] + [(s["start"], s["end"], "" if s["removed"] else general(text[s["start"] : s["end"]])) for s in terms]
         out = []
         for start, end, new in sorted(cuts, reverse=True):
             if end <= last:  # of overlapping spans the later one stands, and the earlier is cut up to it

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -80,3 +81,54 @@ def test_rare_entities_and_terms_far_from_them(spark):
     shown = {d: [text[t["start"] : t["end"]] for t in got[d]] for d, text in docs}
     assert shown[1000] == ["Zuckerthal", "77310042"] and shown[1001] == ["Zuckerthal", "77310042", "Zuckerthal"] and shown[1002] == ["Zuckerthal"]
     assert not any(shown[i] for i in range(400))
+
+
+def slow_terms(texts):
+    """The spans of disclosing terms in each text, from counts over all pairs of an entity and a term."""
+    edges = ".,;:!?\"'()[]{}<>|*#$%&…«»„“”‘’"
+
+    def words(text):
+        base, out = slow(text), []
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+            core = m[0].strip(edges)
+            start = m.start() + len(m[0]) - len(m[0].lstrip(edges))
+            if (any(c.isalpha() for c in core) or sum(c.isdigit() for c in core) >= 4) and all(start + len(core) <= a or start >= b for _, a, b in base):
+                out.append((core.lower(), start, start + len(core)))
+        return out
+
+    held = [{(k, t[a:b].lower()) for k, a, b in slow(t)} for t in texts]
+    inside = [{w for w, _, _ in words(t)} for t in texts]
+    anywhere = [{w.strip(edges).lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t)} for t in texts]
+    n, shares = len(texts), {}
+    for entity in set().union(*held):
+        e = sum(entity in h for h in held)
+        for term in set().union(*(i for i, h in zip(inside, held) if entity in h)):
+            et = sum(entity in h and term in i for h, i in zip(held, inside))
+            t = sum(term in a for a in anywhere)
+            share = math.log((et + 3 * e / n) / (t + 3) / (e / n)) / -math.log(e / n) if e < n else 0
+            shares[term] = max(share, shares.get(term, -9))
+    assert all(abs(x - limit) > 1e-9 for x in shares.values() for limit in (0.6, 0.9))
+    return [[(a, b, shares[w] >= 0.9) for w, a, b in words(t) if shares.get(w, 0) >= 0.6] for t in texts]
+
+
+def test_marked_terms_match_brute_force(spark):
+    r = random.Random(9)
+    words = ["Ärger,", "(Ñandú)", "plain", "4711", "x-1", "«Zitat»", "…", "É", "12", "end.", "\u3000wide"] + [f"rare{i}" for i in range(90)]
+    people = [f"p{i}@mail.org" for i in range(12)] + ["10.0.0.7", "+49 30 123456"]
+    texts = []
+    for _ in range(160):
+        own = [words[int(len(words) * r.random() ** 2)] for _ in range(r.randrange(0, 14))]
+        for k in r.sample(range(len(people)), r.choice([0, 0, 1, 2])):
+            own += [people[k], *[f"Sign{k}", f"{9000 + k // 2},", f"(mark{k // 3})"][: r.randrange(4)]]
+        r.shuffle(own)
+        texts.append("".join(w + r.choice([" ", "\n", "  ", "\t"]) for w in own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: [tuple(t) for t in r["terms"]] for r in pii.label(docs).collect()}
+    expected = slow_terms(texts)
+    assert sum(map(len, expected)) > 50 and any(x[2] for e in expected for x in e) and not all(x[2] for e in expected for x in e)
+    assert got == dict(enumerate(expected))
+
+
+def test_generalised_terms():
+    shown = {"4711": "[4000-4999]", "x-1": "[CODE]", "NATO": "[ACRONYM]", "Zuckerthal": "[NAME]", "ward": "[WORD]"}
+    assert {t: pii.general(t) for t in shown} == shown
