@@ -1,6 +1,6 @@
 """Sharding by a consistent-hash ring with virtual nodes and bounded loads.
 
-The ring has 65,536 points. Each shard owns the arcs that end at its virtual nodes. A document hashes to a point; it
+The ring has 2 ** 60 points. Each shard owns the arcs that end at its virtual nodes. A document hashes to a point; it
 belongs to the shard of that arc, or, where that shard is full, to the next one clockwise that has room. All documents
 of an arc see the shards in the same order, so the overflow is planned over the counts per arc, a table of as many
 rows as there are virtual nodes; documents then take the planned places by their rank within the arc.
@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 
 from bilinea.llm.common import order_hash, ranked, store
 
-POINTS = 1 << 16
+#: Bits of a point on the ring, and of the cell by which points look up their arc: each cell meets few arcs.
+POINT, CELL = 60, 16
 PLAN = "arc int, rank_from long, rank_to long, shard int, slot_from long"
 
 
 def ring(n_shards: int, vnodes: int) -> list[tuple[int, int]]:
-    """(last point, shard) of each arc, clockwise. Virtual nodes that fall on one point leave it to the smaller shard."""
+    """(last point, shard) of each arc, clockwise. Two virtual nodes fall on one point, which is left to the smaller shard
+    then, about once in a million rings of a thousand shards; a shard has its other nodes all the same."""
     at: dict[int, int] = {}
     for shard in range(n_shards):
         for v in range(vnodes):
-            point = int.from_bytes(hashlib.md5(f"shard {shard} node {v}".encode()).digest()[:2], "big")
+            point = int.from_bytes(hashlib.md5(f"shard {shard} node {v}".encode()).digest()[:8], "big") >> (64 - POINT)
             at.setdefault(point, shard)
     return sorted(at.items())
 
@@ -63,19 +65,23 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     slack 0 makes the shards' document counts differ by one at most; a slack of 0.25 lets a shard hold a quarter more
     than the mean, and fewer documents move when a shard is added. size is the text's UTF-8 bytes plus 8; a null text
     has none and the checksum of the empty text. Null ids hash as empty, repeated rows take neighbouring slots. The
-    largest driver-side and broadcast tables have n_shards * vnodes rows and a row per arc and shard between them.
+    largest driver-side and broadcast tables have n_shards * vnodes rows, a row more for each of 65,536 cells, and a row
+    per arc and shard between them.
     """
     spark = docs.sparkSession
     nodes = ring(n_shards, vnodes)
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     keyed = keyed.withColumn("hashed", order_hash(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.concat_ws(":", "size", "text_crc32"))))
-    keyed = keyed.withColumn("point", F.conv(F.substring("hashed", 1, 4), 16, 10).cast("int"))
+    point = F.conv(F.substring("hashed", 1, POINT // 4), 16, 10).cast("long")
+    keyed = keyed.withColumn("point", point).withColumn("cell", F.shiftright("point", POINT - CELL).cast("int"))
     arcs = [(a, (nodes[a - 1][0] if a else -1) + 1, last) for a, (last, _) in enumerate(nodes)]
-    arcs += [(0, nodes[-1][0] + 1, POINTS - 1)] if nodes[-1][0] < POINTS - 1 else []
-    points = spark.createDataFrame(arcs, "arc int, lo int, hi int").select("arc", F.explode(F.sequence("lo", "hi")).alias("point"))
-    # POINTS rows of two integers, whatever the input
-    keyed = store(keyed.join(F.broadcast(points), "point").withColumn("hashed", F.substring("hashed", 5, 28)).drop("point"), "shard-keys")
+    arcs += [(0, nodes[-1][0] + 1, (1 << POINT) - 1)]
+    cell = lambda c: F.shiftright(c, POINT - CELL).cast("int")
+    cells = spark.createDataFrame(arcs, "arc int, lo long, hi long").where("lo <= hi").select("*", F.explode(F.sequence(cell("lo"), cell("hi"))).alias("cell"))
+    # a row per cell and one per arc, whatever the input
+    found = keyed.join(F.broadcast(cells), "cell").where(F.col("point").between(F.col("lo"), F.col("hi")))
+    keyed = store(found.withColumn("hashed", F.substring("hashed", 5, 28)).drop("point", "cell", "lo", "hi"), "shard-keys")
     counts = {r["arc"]: r["n"] for r in keyed.groupBy("arc").agg(F.count(F.lit(1)).alias("n")).collect()}
     places = plan(counts, [s for _, s in nodes], capacities(sum(counts.values()), n_shards, slack))
     places = spark.createDataFrame(places, PLAN).withColumnRenamed("arc", "p_arc")
