@@ -24,11 +24,11 @@ from bilinea.llm.common import slices, small_batches
 LENGTH, TOGETHER = 64, 2048
 #: Units in each direction.
 UNITS = 8
-#: At most so many training documents of each language, and so many windows of each.
+#: The bounded sample that is learned from: so many documents of each language, and so many windows of LENGTH bytes of each.
 DOCS_PER_LANGUAGE, WINDOWS_PER_DOC = 400, 4
 SPARE = 4
-#: At most so many languages, the most frequent ones.
-MOST_LANGUAGES = 200
+#: More languages than this are refused: the sample, the network's last layer and its output grow with them.
+MOST_LANGUAGES = 1000
 EPOCHS, BATCH, RATE = 6, 64, 0.02
 #: The label of texts without a letter.
 NONE = "und"
@@ -191,28 +191,32 @@ def predict(model: Model, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
     return sums / np.maximum(size, 1)[:, None]
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list[tuple[bytes, str]]:
-    """Training windows: of each language DOCS_PER_LANGUAGE documents by hash, of each WINDOWS_PER_DOC windows spread
-    over its bytes. Only these windows come to the driver."""
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, per_doc: int, most_languages: int) -> list[tuple[bytes, str]]:
+    """Training windows: of each language per_language documents by hash, of each per_doc windows spread over its bytes.
+    Only these windows come to the driver. Every language is learned; more than most_languages are an error."""
     lang, text = F.col(lang_col), F.col(text_col)
     spark = docs.sparkSession
     labelled = docs.where(lang.isNotNull() & text.isNotNull()).select(lang.alias("lang"), text.cast("binary").alias("data"), F.xxhash64(F.col(id_col), F.lit(11)).alias("h"))
-    few = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    few = labelled.groupBy("lang").count().limit(most_languages + 1).collect()
+    if len(few) > most_languages:
+        raise ValueError(f"more than {most_languages} languages: allow more, or group them before training")
     # a language's smallest hashes lie below a bound that leaves several times as many documents as are wanted
-    bounds = [(r["lang"], min(1.0, SPARE * DOCS_PER_LANGUAGE / r["count"])) for r in few]
+    bounds = [(r["lang"], min(1.0, SPARE * per_language / r["count"])) for r in few]
     bound = spark.createDataFrame(bounds, "of string, bound double")
     size = F.octet_length("data")
-    spots = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)), lambda k: (F.greatest(F.lit(0), size - LENGTH) * k / F.lit(max(1, WINDOWS_PER_DOC - 1))).cast("int"))
+    spots = F.transform(F.sequence(F.lit(0), F.lit(per_doc - 1)), lambda k: (F.greatest(F.lit(0), size - LENGTH) * k / F.lit(max(1, per_doc - 1))).cast("int"))
     windows = F.array_distinct(F.transform(spots, lambda s: F.substring("data", s + 1, F.lit(LENGTH))))
     near = labelled.join(F.broadcast(bound), F.col("lang") == F.col("of")).where(F.col("h") / 2.0**64 + 0.5 <= F.col("bound"))
     slim = near.select("lang", "h", windows.alias("windows"))
     ranks = Window.partitionBy("lang").orderBy("h", "windows")
-    chosen = slim.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= DOCS_PER_LANGUAGE).select("lang", "windows").collect()
+    chosen = slim.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= per_language).select("lang", "windows").collect()
     return [(bytes(w), r["lang"]) for r in sorted(chosen, key=lambda r: (r["lang"], r["windows"])) for w in r["windows"] if w]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    return fit(sample(docs, id_col, text_col, lang_col))
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE, per_doc: int = WINDOWS_PER_DOC, most_languages: int = MOST_LANGUAGES) -> Model:
+    """A network for every label that is not null, learned from a bounded sample: at most per_language documents of each
+    label, chosen by a hash of their id, and of each at most per_doc windows of LENGTH bytes."""
+    return fit(sample(docs, id_col, text_col, lang_col, per_language, per_doc, most_languages))
 
 
 def label(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: list = ()) -> DataFrame:
