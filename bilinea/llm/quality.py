@@ -37,7 +37,7 @@ WINDOW = 8
 def bad_line(line: Column) -> Column:
     """Whether a line with a word in it fails the punctuation, the navigation or the boilerplate rule."""
     last = F.right(F.rtrim(line, F.lit(VISIBLE_END)), F.lit(1))
-    menu = (F.length(line) <= 40) & F.lower(F.btrim(line, F.lit(VISIBLE_END + ".!:»>"))).isin(*MENU_WORDS)
+    menu = F.lower(F.btrim(line, F.lit(VISIBLE_END + ".!:»>"))).isin(*MENU_WORDS)
     legal = with_value(F.lower(line), lambda low: reduce(or_, [low.contains(p) for p in BOILERPLATE]))
     unended = ~F.lit(ENDINGS).contains(last) & ~line.rlike(FRAGMENT)
     return unended | line.rlike(SEPARATORS) | menu | ((F.length(line) <= BOILERPLATE_LINE) & legal)
@@ -80,15 +80,18 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col("_text"), F.lit(""))
     out = docs.withColumn("_text", F.col(text_col))
     out = out.withColumn("_words", words(text)).withColumn("_lines", F.split(text, "\n"))
-    out = out.withColumn("_spoken", F.filter("_lines", lambda x: x.rlike(NOT_SPACE)))
-    out = out.withColumn("_bad", F.filter("_spoken", bad_line))
+    # each line is judged once: whether it has a word, and whether it fails
+    judged = lambda x: F.struct(x.alias("line"), x.rlike(NOT_SPACE).alias("spoken"), (x.rlike(NOT_SPACE) & bad_line(x)).alias("bad"))
+    out = out.withColumn("_judged", F.transform("_lines", judged))
+    lines = lambda keep: F.transform(F.filter("_judged", keep), lambda x: x["line"])
+    out = out.withColumn("_spoken", lines(lambda x: x["spoken"])).withColumn("_bad", lines(lambda x: x["bad"]))
     out = out.withColumn("_grams", with_value(F.transform("_words", lambda w: F.xxhash64(w)), window_hashes))
     n_words = F.size("_words").cast("long")
     out = out.withColumn("_repeats", repeated_words(F.col("_grams")))
     failed = (n_words < 20) | (100 * F.col("_repeats") > 30 * n_words)
     lost = F.when(F.size("_bad") > 0, F.size(words(F.array_join("_bad", "\n")))).otherwise(0).cast("long")
     out = out.withColumn("_lost", lost)
-    clean = F.when(F.size("_bad") > 0, F.array_join(F.filter("_lines", lambda x: ~(x.rlike(NOT_SPACE) & bad_line(x))), "\n")).otherwise(F.col("_text"))
+    clean = F.when(F.size("_bad") > 0, F.array_join(lines(lambda x: ~x["bad"]), "\n")).otherwise(F.col("_text"))
     quality = F.struct(
         n_words.alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
@@ -100,7 +103,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (~failed & (F.col("_lost") <= MAX_LOST * n_words)).alias("kept"),
         clean.alias("clean_text"),
     )
-    return out.withColumn("quality", quality).drop("_text", "_words", "_lines", "_spoken", "_bad", "_grams", "_repeats", "_lost")
+    return out.withColumn("quality", quality).drop("_text", "_words", "_lines", "_judged", "_spoken", "_bad", "_grams", "_repeats", "_lost")
 
 
 def filtered(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
