@@ -27,8 +27,8 @@ INDEX = "file string, offset long, length long, record_id string, record_type st
 DATE = "2000-01-01T00:00:00Z"
 #: Ranges with at most so many bytes between them are one read, of at most so many bytes unless one record is longer.
 GAP, MOST_AT_ONCE = 64 << 10, 8 << 20
-#: An index block: records that start within so many bytes of a file are read by one task.
-BLOCK = 32 << 20
+#: An index block: records that start within so many bytes of a file are read by one task, and a task reads about so many.
+BLOCK = 8 << 20
 
 
 def base32(hexdigest: str) -> str:
@@ -155,7 +155,10 @@ def read(selected: DataFrame, with_text: bool = True) -> DataFrame:
     payload_bytes and html, both null for revisits. A payload that does not have its record's digest is an error."""
     keys = ["folder", "file", F.floor(F.col("offset") / BLOCK).alias("block")]
     wanted = selected.select("folder", "file", "offset", "length", "page_id", "refers_to", keys[2])
-    wanted = wanted.repartition("folder", "file", "block").sortWithinPartitions("folder", "file", "offset").drop("block")
+    # index rows are small, so Spark would merge their partitions: the number goes by the bytes that are to be read
+    blocks, total = selected.agg(F.count_distinct("folder", "file", keys[2]), F.sum("length")).first()
+    tasks = max(1, min(blocks, max(selected.sparkSession.sparkContext.defaultParallelism, -(-(total or 0) // BLOCK))))
+    wanted = wanted.repartition(tasks, "folder", "file", "block").sortWithinPartitions("folder", "file", "offset").drop("block")
     id_type = selected.schema["page_id"].dataType.simpleString()
     schema = f"page_id {id_type}, url string, record_type string, record_id string, payload_digest string, refers_to_id string, refers_to {id_type}, payload_bytes long, html string"
     schema_of = selected.sparkSession.createDataFrame([], schema).schema
