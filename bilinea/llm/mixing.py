@@ -79,7 +79,9 @@ def plan(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", tex
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = F.regexp_count(text, F.lit(NOT_SPACE + "+")).cast("long")
-    slim = [F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.crc32(text).alias("check"), order_hash(F.col(id_col)).alias("hashed")]
+    slim = [F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.crc32(text).alias("check")]
+    # documents without an id are told apart by their text, or they would all be in one bucket of ranked
+    slim.append(order_hash(F.coalesce(F.col(id_col).cast("string"), F.concat_ws(":", F.lit(""), size, F.crc32(text)))).alias("hashed"))
     rows = store(docs.select(*slim), "mix-rows")
     found = rows.groupBy("source").agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
