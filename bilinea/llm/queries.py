@@ -72,7 +72,8 @@ def op8_byte_gru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     in_order = mixing.by_position(store(planned, "mix-plan"))
-    return in_order.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("positions", F.lit(0)), 6).alias("position"))
+    at = lambda k: F.round(F.get("positions", F.lit(k)), 9)
+    return in_order.select("doc_id", "size", "source_size", "target", "taken", at(0).alias("position"), at(1).alias("position_2"))
 
 
 def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_first_quality": OP3_SQL,
+        "op4_indexed_warc": OP4_SQL,
         "op9_curriculum_mixing": OP9_SQL,
         "op10_digest_index_dedup": OP10_SQL,
     }
@@ -114,7 +116,7 @@ f AS (
   SELECT doc_id, text, ws, ls,
     list_filter(ls, lambda x: (NOT contains('.!?:;,…。！？；：”’»"'')]', right(rtrim(x, e' \t\n\x0b\f\r'), 1)) AND NOT regexp_matches(x, '[.!?…。！？]["'')\]]*\s+\S+(?:\s+\S+)?\s*$'))
       OR regexp_matches(x, '(?:[|»›•·>][^|»›•·>]*){3}')
-      OR (length(x) <= 40 AND lower(trim(x, e' \t\n\x0b\f\r.!:»>')) IN ('home', 'menu', 'login', 'log in', 'sign in', 'sign up', 'next', 'previous', 'back to top', 'skip to content', 'read more', 'share', 'share this', 'search', 'sitemap', 'site map'))
+      OR (lower(trim(x, e' \t\n\x0b\f\r.!:»>')) IN ('home', 'menu', 'login', 'log in', 'sign in', 'sign up', 'next', 'previous', 'back to top', 'skip to content', 'read more', 'share', 'share this', 'search', 'sitemap', 'site map'))
       OR (length(x) <= 250 AND regexp_matches(lower(x), 'all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|use cookies|uses cookies|enable javascript|lorem ipsum|click here|subscribe to our'))) AS bad
   FROM w
 ),
@@ -141,6 +143,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
+# Base32 by hand: character i stands for bits 5i to 5i + 4, which lie in two neighbouring hex digits.
+OP4_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT *, list_transform(range(40), lambda i: instr('0123456789abcdef', substr(x, i + 1, 1)) - 1) AS digits, max(page_id) OVER (PARTITION BY html) AS best FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((digits[5 * i // 4 + 1] * 16 + digits[5 * i // 4 + 2]) // (1 << (3 - 5 * i % 4)) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id < best THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < best THEN best END AS refers_to
+FROM d
+"""
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
@@ -164,15 +176,18 @@ b AS (
     CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 ),
-k AS (
-  SELECT *, CASE WHEN size > 0 AND before + size / 2 <= target THEN 1 ELSE 0 END + CASE WHEN size > 0 AND before + source_size + size / 2 <= target THEN 1 ELSE 0 END AS times,
-    CASE WHEN kind = 2 AND before >= 0.375 * target THEN 0.5 ELSE 0 END AS since,
-    before - CASE WHEN kind = 2 AND before >= 0.375 * target THEN 0.375 * target ELSE 0 END AS rest,
-    target * CASE WHEN kind = 0 THEN 1.5 WHEN kind = 2 AND before < 0.375 * target THEN 0.5 ELSE 1 END AS rate,
+c AS (SELECT *, unnest([0, 1]) AS copy FROM b),
+k AS (SELECT doc_id, size, source_size, target, kind, before + copy * source_size AS start FROM c),
+e AS (
+  SELECT *, size > 0 AND start + size / 2 <= target AS takes,
+    CASE WHEN kind = 2 AND start >= 0.375 * target THEN 0.5 ELSE 0 END AS since,
+    start - CASE WHEN kind = 2 AND start >= 0.375 * target THEN 0.375 * target ELSE 0 END AS rest,
+    target * CASE WHEN kind = 0 THEN 1.5 WHEN kind = 2 AND start < 0.375 * target THEN 0.5 ELSE 1 END AS rate,
     target * CASE kind WHEN 0 THEN -1 WHEN 1 THEN 0 ELSE 1 END AS change
-  FROM b
-)
-SELECT doc_id, size, source_size, target, size * times AS taken,
-  CASE WHEN times > 0 THEN round(since + CASE WHEN rest > 0 THEN 2 * rest / (rate + sqrt(greatest(0, rate * rate + 2 * change * rest))) ELSE 0 END, 6) END AS position
-FROM k
+  FROM k
+),
+u AS (SELECT *, CASE WHEN takes THEN round(since + CASE WHEN rest > 0 THEN 2 * rest / (rate + sqrt(greatest(0, rate * rate + 2 * change * rest))) ELSE 0 END, 9) END AS due FROM e)
+SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target, any_value(size) * count(*) FILTER (takes) AS taken, min(due) AS position,
+  CASE WHEN count(*) FILTER (takes) = 2 THEN max(due) END AS position_2
+FROM u GROUP BY doc_id
 """

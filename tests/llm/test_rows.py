@@ -59,6 +59,18 @@ def norm(text):
     return re.sub(r"[ \t\n\x0b\f\r]+", " ", text or "")
 
 
+def test_few_keys_move_between_full_shards(spark):
+    """The registered law leaves no room at all, and still few documents change their shard."""
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    before, after = ({r["doc_id"]: r["shard"] for r in sharding.shard(docs, n).collect()} for n in (24, 25))
+    assert sum(before[d] != after[d] for d in before) < 0.12 * len(before)
+
+
+def test_every_shard_of_a_large_ring_owns_an_arc():
+    nodes = sharding.ring(8000, 64)
+    assert len(nodes) == 8000 * 64 and len({shard for _, shard in nodes}) == 8000 and nodes[-1][0] < 1 << sharding.POINT
+
+
 def test_exact_dedup(spark):
     docs = spark.createDataFrame(rows(), SCHEMA)
     table = exact_dedup.scratch_index(spark)
@@ -237,6 +249,14 @@ def test_archives(spark):
     assert warc.read(warc.write(df.limit(0))).count() == 0
 
 
+def test_archives_are_read_by_many_tasks(spark):
+    html = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(300)), lambda k: F.md5(F.concat_ws(":", "page_id", k.cast("string")))), " ")
+    df = spark.range(0, 3000, 1, 6).select(F.col("id").alias("page_id"), F.lit("u").alias("url")).select("*", html.alias("html"))
+    index = warc.write(df)
+    records = warc.read(index, with_text=False)
+    assert records.rdd.getNumPartitions() >= 4 and records.count() == 3000
+
+
 def test_ranges_are_joined():
     assert list(warc.ranges([], [])) == []
     far = warc.GAP + 1
