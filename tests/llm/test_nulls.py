@@ -9,7 +9,7 @@ FILE = public_tokenizers.path("word_bpe_49k.json")
 TEXT = " ".join(f"word{i}" for i in range(30)) + "."
 DOCS = [(1, TEXT, "en", "s", 9), (1, TEXT, "en", "s", 9), (None, TEXT, None, None, None), (None, None, None, None, None), (2, "", "fr", "s", 0), (3, "x" * 200_000, "fr", None, 9)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASH = ("digest", "row_tag", "keep_id", "row", "size", "shard", "rank", "before", "hashed", "positions", "fingerprint", "piece", "length", "base", "near", "token", "url", "html", "quality", "lang_pred", "key", "best", "_id", "_key", "_text", "_bucket")
+CLASH = ("digest", "row_tag", "keep_id", "row", "size", "shard", "rank", "before", "hashed", "positions", "fingerprint", "piece", "length", "base", "near", "token", "url", "html", "quality", "lang_pred", "key", "best", "_id", "_key", "_text", "_bucket", "more", "n", "shingles", "fp", "context", "window", "point", "cell", "batch", "held", "block")
 
 
 def deduplicated(docs):
@@ -27,7 +27,7 @@ CASES = {
     "mixing": (mixing.mixed, None),
     "mixing plan": (mixing.plan, 6),
     "language": (lambda d: langid.label(d, langid.train(d)), 6),
-    "scores": (lambda d: lm.score(d, *lm.learn(d)), 6),
+    "scores": (lambda d: lm.score(d, lm.learn(d)), 6),
     "personal data": (pii.label, 6),
     "sanitised": (pii.sanitised, 6),
     "archives": (lambda d: warc.read(warc.write(d.select(F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html")))), 6),
@@ -44,3 +44,13 @@ def test_odd_rows(spark, name):
     if name in ("quality", "exact", "simhash", "mixing"):
         assert got.columns == docs.columns and all(r[c] == "clash" for r in rows for c in CLASH)
     assert run(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_a_text_of_two_megabytes(spark, name):
+    run, _ = CASES[name]
+    text = ". ".join(f"Word{i % 90_000} and {i}" for i in range(110_000)) + "."
+    assert len(text) > 2_000_000
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, TEXT, "en", "s", 9)], SCHEMA)
+    rows = run(docs).collect()
+    assert name in ("packing", "mixing") or len(rows) == 2
