@@ -91,8 +91,10 @@ def keep_rows(docs: DataFrame, id_col: str, all_rows: DataFrame, wanted: DataFra
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 1,000 rows in this session: texts can be long, and a batch is held whole on both sides."""
+    """Arrow batches of at most 1,000 rows, and of about 16 MB unless one row is larger, in this session: texts can be
+    long, and a batch is held whole on both sides."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def slices(texts: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]:

@@ -61,7 +61,8 @@ def new_model(languages: list[str], units: int = UNITS, seed: int = 7) -> Model:
 def states(model: Model, windows: np.ndarray, direction: int, keep: list | None = None) -> np.ndarray:
     """States after each byte, (length, windows, units); windows: (length, windows), 256 where there is no byte.
 
-    keep collects what the way back needs. Each gate has arrays of its own, so that all of them are contiguous.
+    keep collects what the way back needs. Each gate has arrays of its own, so that all of them are contiguous. Where there
+    is no byte the state stays zero, so what a window is stepped through with does not matter.
     """
     length, n = windows.shape
     units = model.u[0].shape[0]
@@ -70,6 +71,8 @@ def states(model: Model, windows: np.ndarray, direction: int, keep: list | None
     ur, uz, uc = (np.ascontiguousarray(model.u[direction][:, k]) for k in gates)
     out = np.empty((length, n, units), model.w.dtype)
     h = np.zeros((n, units), model.w.dtype)
+    real = windows < 256
+    real = None if real.all() else real[:, :, None]
     for t in range(length) if direction == 0 else range(length - 1, -1, -1):
         r, z, c = (x.take(windows[t], axis=0) for x in tables)
         for gate, u in ((r, ur), (z, uz)):
@@ -85,6 +88,8 @@ def states(model: Model, windows: np.ndarray, direction: int, keep: list | None
         new = np.subtract(h, c, out=out[t])
         new *= z
         new += c
+        if real is not None:
+            new *= real[t]
         h = new
     return out
 
@@ -101,7 +106,7 @@ def backward(model: Model, windows: np.ndarray, direction: int, keep: list, d_st
     u, d_table, d_u = model.u[direction], np.zeros_like(model.table[direction]), np.zeros_like(model.u[direction])
     d_h = np.zeros_like(keep[0][1])
     for t, h, r, z, c, rh in reversed(keep):
-        d_h = d_h + d_states[t]
+        d_h = (d_h + d_states[t]) * (windows[t] < 256)[:, None]
         d_z = d_h * (h - c)
         d_c = d_h * (1 - z) * (1 - c * c)
         d_rh = d_c @ u[:, 2 * units :].T

@@ -6,8 +6,9 @@ differ than the error budget allows (bilinea/llm/trie.py). The pairs that are st
 down level by level until their leaves are few enough for a task, and tasks walk on to where single leaves meet.
 
 A budget of two bits is walked in one trie. A budget wide enough for near copies that share four fifths of their
-shingles is walked in three tries, each of which allows a third of it in its first levels; the pairs found are then
-confirmed by the similarity of the shingle sets.
+shingles is walked in three tries, each of which allows a third of it in its first levels. Such a budget also lets
+documents through that are less alike. So the links of the walk only tell who may belong together; within such a group
+the shingle sets decide, block by block, between all whose fingerprints are within the budget.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bilinea.llm.common import keep_rows, small_batches, store
-from bilinea.llm.trie import BITS, Budget, Nodes, closest, walk
+from bilinea.llm.trie import BITS, TINY, Budget, Forest, Nodes, Sets, walk
 
 #: Differing bits of linked fingerprints over shingles of three words.
 STRICT = Budget(2)
@@ -32,14 +33,15 @@ STRICT = Budget(2)
 WIDE = Budget(14, tries=3)
 #: Words of a shingle and the similarity of shingle sets from which two documents are near copies.
 NEAR_SHINGLE, SIMILAR = 5, 0.8
+#: Bits that two fingerprints together may differ in, of 128: sets of a similarity of 0.8 differ in 19.5 of them on
+#: average, with a deviation of 4.1, unlike ones in half.
+BOTH = 28
 #: Levels that Spark walks in one plan, and the leaves of a node pair above which it does.
 LEVELS, MOST_IN_TASK = 8, 8_192
-#: Node pairs for each task, about, and links that a task gathers before it cuts them to the closest.
-PAIRS_A_TASK, LINKS = 64, 1 << 20
-#: Rounds in which candidates are cut to a forest before all that are still apart are compared.
-FORESTS = 2
-#: Keeps products like 0.8 * 5 from falling on the wrong side of a whole number.
-TINY = 1e-9
+#: Documents of a group, about, whose sets are compared with those of as many others at once.
+BLOCK = 1_024
+#: Node pairs for each task, about, and links that a task looks at before it sets aside those between what is joined.
+PAIRS_A_TASK, PIECE = 64, 1 << 15
 
 
 # Fingerprints
@@ -71,25 +73,37 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * set_bits > len(hashes)).view(">u8")[0])
 
 
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles."""
+    hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    hashes = (hashes ^ (hashes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return hashes ^ (hashes >> np.uint64(31))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distinct: bool = False, with_set: bool = False, carry: list[Column] = ()) -> DataFrame:
-    """doc_id, fingerprint (as a signed long), n (the number of shingles), the shingles themselves if asked for, and what
-    is to be carried. distinct: each shingle counts once. Null and empty texts, and those without words, have none and
-    fingerprint zero."""
+    """doc_id, fingerprint (as a signed long), n (the number of shingles), and what is to be carried.
+
+    distinct: each shingle counts once, and `more` is a second fingerprint by other hashes. with_set: the shingles too.
+    Null and empty texts, and those without words, have no shingles and fingerprint zero.
+    """
     small_batches(docs.sparkSession)
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
     hashes = [T.StructField("shingles", T.ArrayType(T.LongType()))] if with_set else []
-    schema = T.StructType([given.schema["doc_id"], T.StructField("fingerprint", T.LongType()), T.StructField("n", T.LongType()), *hashes, *given.schema.fields[2:]])
+    more = [T.StructField("more", T.LongType())] if distinct else []
+    schema = T.StructType([given.schema["doc_id"], T.StructField("fingerprint", T.LongType()), T.StructField("n", T.LongType()), *more, *hashes, *given.schema.fields[2:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, sizes, sets = [], [], []
+            prints, second, sizes, sets = [], [], [], []
             for text in batch.column(1):
                 found = shingle_hashes(text.as_py(), shingle)
                 found = np.unique(found) if distinct else found
                 prints.append(fingerprint(found))
+                second.append(fingerprint(mixed(found)) if distinct else 0)
                 sizes.append(len(found))
                 sets.append(found.view(np.int64) if with_set else None)
-            columns = [pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64())]
+            signed = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
+            columns = [signed(prints), pa.array(sizes, pa.int64()), *([signed(second)] if distinct else [])]
             if with_set:
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))))
@@ -134,8 +148,11 @@ def frontier(leaves: DataFrame, budget: Budget, most_in_task: int) -> DataFrame:
     roots = leaves.groupBy("trie").agg(F.count(F.lit(1)).alias("n_a"))
     zero = F.lit(0).cast("long")
     pairs = store(roots.select("trie", F.lit(0).alias("level"), zero.alias("a"), zero.alias("b"), F.lit(0).alias("differ"), "n_a", F.col("n_a").alias("n_b")), "trie-root")
-    done, large = None, F.col("n_a") + F.col("n_b") > most_in_task
+    large = F.col("n_a") + F.col("n_b") > most_in_task
+    done, pairs = pairs.where(~large), pairs.where(large)
     for level in range(0, BITS, LEVELS):
+        if pairs.isEmpty():
+            break
         if level:
             ends = pairs.select("trie", F.explode(F.array("a", "b")).alias("top")).distinct()
             leaves_here = leaves.withColumn("top", path(str(level))).join(ends, ["trie", "top"], "left_semi")
@@ -148,22 +165,18 @@ def frontier(leaves: DataFrame, budget: Budget, most_in_task: int) -> DataFrame:
         for l in range(level, level + LEVELS):
             pairs = down(pairs, nodes, l, budget, most_in_task)
         pairs = store(pairs, "trie-pairs")
-        small = pairs.where(~large) if level + LEVELS < BITS else pairs
-        done = small if done is None else done.unionByName(small)
+        done = done.unionByName(pairs.where(~large) if level + LEVELS < BITS else pairs)
         pairs = pairs.where(large)
-        if pairs.isEmpty():
-            break
     return done
 
 
-def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MOST_IN_TASK, similar: float | None = None, forest: str | None = "closest") -> DataFrame:
-    """Links (a, b, bits) between the distinct fingerprints (fp) whose bits differ within the budget.
+def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MOST_IN_TASK, similar: float | None = None) -> DataFrame:
+    """Links (a, b) between the distinct fingerprints (fp) that join all whose bits differ within the budget: of the links
+    of a node pair, only those that join what earlier ones leave apart.
 
-    prints may also have group (a long: fingerprints of one group need no link) and, with similar, n: linked ones must
-    have numbers of shingles that allow that similarity. forest: of the links of a node pair only as many as join the
-    same groups, those that differ least ("closest") or any ("random"); None for all.
+    With similar, prints also have n and more: linked ones are alike enough to be candidates().
     """
-    extra = [c for c in ("group", "n") if c in prints.columns]
+    extra = ["n", "more"] if similar else []
     turns = F.explode(F.array(*[F.struct(F.lit(r).alias("trie"), turned(F.col("fp"), r * budget.turn).alias("leaf")) for r in range(budget.tries)]))
     leaves = store(prints.select(turns.alias("t"), *extra).select("t.trie", "t.leaf", *extra), "trie-leaves")
     pairs = store(frontier(leaves.select("trie", "leaf"), budget, most_in_task), "trie-frontier")
@@ -171,7 +184,7 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
     ends = pairs.select("trie", "level", F.explode(F.array("a", "b")).alias("path")).distinct()
     levels = [r["level"] for r in ends.select("level").distinct().collect()]  # 65 at most
     if not levels:
-        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(0).alias("bits")).limit(0)
+        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     placed = leaves.withColumn("level", F.explode(F.array(*[F.lit(x) for x in sorted(levels)]))).withColumn("path", path("level"))
     held = F.sort_array(F.collect_list(F.struct("leaf", *extra))).alias("held")
     # a node's leaves are those of one task at most
@@ -185,38 +198,24 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
     def columns(held: pa.Scalar) -> list[np.ndarray]:
         """Leaves in order of their unsigned value, and what stands beside them."""
         found = [np.asarray(held.values.field(k)) for k in range(1 + len(extra))]
-        found[0] = found[0].view(np.uint64)
-        order = np.argsort(found[0])
-        return [c[order] for c in found]
-
-    def links(left: list[np.ndarray], right: list[np.ndarray] | None, level: int, differ: int, nodes: Nodes) -> Iterator[tuple[np.ndarray, ...]]:
-        other, shift = right or left, len(left[0]) if right else 0
-        both = [np.concatenate([p, q]) for p, q in zip(left, right)] if right else left
-        group = np.unique(both[1 + extra.index("group")], return_inverse=True)[1] if "group" in extra else np.arange(len(both[0]))
-        size = both[1 + extra.index("n")] if similar else None
-        rng, held, total = np.random.default_rng(len(both[0])), [], 0
-
-        def least(i, j, bits):
-            kept = closest(i, j, group, bits if forest == "closest" else rng.random(len(i)))
-            return i[kept], j[kept], bits[kept]
-
-        for i, j, bits in walk(nodes, Nodes(other[0], level) if right else None, differ, budget):
-            j = j + shift
-            ok = group[i] != group[j]
-            if similar:
-                ok &= np.minimum(size[i], size[j]) >= similar * np.maximum(size[i], size[j]) - TINY
-            held.append((i[ok], j[ok], bits[ok]))
-            total += int(ok.sum())
-            if total > LINKS:
-                found = tuple(np.concatenate(c) for c in zip(*held))
-                held, total = ([least(*found)], 0) if forest else ([], 0)
-                if not forest:
-                    yield both[0][found[0]], both[0][found[1]], found[2]
-        if held:
-            found = tuple(np.concatenate(c) for c in zip(*held))
-            if len(found[0]):
-                i, j, bits = least(*found) if forest else found
-                yield both[0][i], both[0][j], bits
+        order = np.argsort(found[0].view(np.uint64))
+        return [found[0].view(np.uint64)[order], *(c[order] for c in found[1:])]
+
+    def links(left: list[np.ndarray], right: list[np.ndarray] | None, level: int, differ: int, nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
+        shift = len(left[0]) if right else 0
+        leaf, *beside = [np.concatenate([p, q]) for p, q in zip(left, right)] if right else left
+        forest, found = Forest(len(leaf)), [(np.zeros(0, np.int64),) * 2]
+        for all_i, all_j, _ in walk(nodes, Nodes(right[0], level) if right else None, differ, budget):
+            for at in range(0, len(all_i), PIECE):
+                i, j = all_i[at : at + PIECE], all_j[at : at + PIECE] + shift
+                ok = forest.apart(i, j)
+                if similar:
+                    ok &= candidates(i, j, leaf, *beside, similar, budget)
+                i, j = i[ok], j[ok]
+                kept = forest.join(i, j)
+                found.append((i[kept], j[kept]))
+        i, j = (np.concatenate(c) for c in zip(*found))
+        return leaf[i], leaf[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: OrderedDict[tuple, tuple] = OrderedDict()  # pairs of one left node follow each other, more or less
@@ -229,12 +228,12 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
                     if len(cache) > 8:
                         cache.popitem(last=False)
                 mine, nodes = cache[key]
-                for x, y, bits in links(mine, columns(right) if right.is_valid else None, key[1], differ.as_py(), nodes):
-                    yield pa.record_batch([pa.array(np.full(len(x), key[0], np.int32)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(bits.astype(np.int32))], names=["trie", "x", "y", "bits"])
+                x, y = links(mine, columns(right) if right.is_valid else None, key[1], differ.as_py(), nodes)
+                yield pa.record_batch([pa.array(np.full(len(x), key[0], np.int32)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["trie", "x", "y"])
 
     back = lambda c: F.coalesce(*[F.when(F.col("trie") == r, turned(F.col(c), (BITS - r * budget.turn) % BITS)) for r in range(budget.tries)])
-    met = work.mapInArrow(run, "trie int, x long, y long, bits int").select(back("x").alias("x"), back("y").alias("y"), "bits")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "bits")
+    met = work.mapInArrow(run, "trie int, x long, y long").select(back("x").alias("x"), back("y").alias("y"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 # Components
@@ -255,16 +254,17 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
         before = now
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = store(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")), "stars")
+        least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
         large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v").distinct()
         edges = store(large, "edges")
-        least = store(edges.groupBy("v").agg(F.min("u").alias("m")), "stars")
+        least = edges.groupBy("v").agg(F.min("u").alias("m"))
         small = edges.join(least, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
         edges = store(small.unionByName(least.select("v", F.col("m").alias("u"))).where("u <> v").distinct(), "edges")
 
 
 def distinct_prints(prints: DataFrame) -> DataFrame:
-    return store(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first"), F.min("n").alias("n")), "simhash-distinct")
+    rest = [F.min(F.struct(*[c for c in ("n", "more") if c in prints.columns])).alias("r")]
+    return store(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first"), *rest).select("fp", "first", "r.*"), "simhash-distinct")
 
 
 def rooted(distinct: DataFrame, roots: DataFrame) -> DataFrame:
@@ -287,57 +287,83 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-# Near copies: candidates by fingerprint, confirmed by their shingles
+# Near copies
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) of fingerprints whose shingle sets are similar enough."""
-    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("s_b")), "b")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(common >= similar * (F.size("s_a") + F.size("s_b") - common) - TINY).select("a", "b")
+def candidates(i: np.ndarray, j: np.ndarray, leaf: np.ndarray, n: np.ndarray, more: np.ndarray, similar: float, budget: Budget) -> np.ndarray:
+    """Which pairs of places may be near copies: their fingerprints differ within the budget, both fingerprints in BOTH
+    bits at most, and their numbers of shingles allow the similarity."""
+    bits = np.bitwise_count(leaf.view(np.uint64)[i] ^ leaf.view(np.uint64)[j])
+    both = bits + np.bitwise_count(more.view(np.uint64)[i] ^ more.view(np.uint64)[j])
+    return (bits <= budget.bits) & (both <= BOTH) & (np.minimum(n[i], n[j]) >= similar * np.maximum(n[i], n[j]) - TINY)
 
 
-def similar_roots(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, shingle: int, similar: float, budget: Budget, most_in_task: int) -> DataFrame:
-    """node, root of the fingerprints that have near copies: the smallest one that chains of them reach.
+def similar_links(sets: DataFrame, groups: DataFrame, similar: float, budget: Budget, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that join all near copies of each group. sets: fp, n, more, shingles; groups: node, root.
 
-    All pairs within the budget are walked. Writing each would grow with the square of a group of copies, so the first
-    rounds keep a forest of them, the closest ones and then others; the last round keeps every pair that is still
-    apart. A pair is compared once. Only documents with a candidate are read again for their shingles.
+    A group is cut into blocks by a hash, and each pair of its blocks is a task's work. Pairs of documents are looked at
+    there and written nowhere; what is joined already is not compared again.
     """
-    active, links, tested, sets = distinct.select("fp", "n"), None, None, None
-    for turn in range(FORESTS + 1):
-        pairs = self_join(active, budget, most_in_task, similar, ("closest", "random")[turn] if turn < FORESTS else None).select("a", "b").distinct()
-        pairs = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if turn == 0:
-            met = store(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "near-met")
-            mine = f"_id_{uuid.uuid4().hex}"  # a name that no column of docs has
-            ids = store(distinct.join(met, "fp", "left_semi").select(F.col("first").alias(mine)), "near-ids")
-            given = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            some = given.join(ids.where(F.col(mine).isNotNull()), F.col("_id") == F.col(mine), "left_semi").unionByName(given.where("_id is null"))
-            found = fingerprints(some, "_id", "_text", shingle, distinct=True, with_set=True).select(F.col("fingerprint").alias("fp"), "shingles")
-            sets = store(found.join(met, "fp", "left_semi").groupBy("fp").agg(F.min("shingles").alias("shingles")), "near-sets")
-        elif pairs.isEmpty():
-            break
-        new = confirmed(pairs, sets, similar)
-        links = store(new if links is None else links.unionByName(new), "near-links")
-        roots = store(components(links), "near-roots")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        active = distinct.join(met, "fp", "left_semi").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", F.coalesce("root", "fp").alias("group"))
-    return roots
+    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    placed = sets.join(groups.withColumnRenamed("node", "fp"), "fp").join(sizes, "root")
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(3)), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = placed.select("root", "own", "fp", "n", "more", "shingles", other)
+    pair = [F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+    held = F.collect_list(F.struct(F.col("own").alias("block"), "fp", "n", "more", "shingles")).alias("held")
+    work = dealt.groupBy("root", *pair).agg(held).select("i", "j", "held")
+
+    def links(i: int, j: int, held: pa.StructArray) -> Iterator[pa.RecordBatch]:
+        mine, leaf, n, more = (np.asarray(held.field(k)) for k in range(4))
+        order = np.argsort(leaf)  # as in any run
+        mine, leaf, n, more = mine[order], leaf[order], n[order], more[order]
+        sets = Sets([np.asarray(held.field(4)[int(k)].values) for k in order])
+        forest, left, right = Forest(len(leaf)), np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        for at in range(0, len(left), 64):
+            x, y = (c.ravel() for c in np.meshgrid(left[at : at + 64], right, indexing="ij"))
+            ok = (x < y if i == j else x >= 0) & forest.apart(x, y)
+            x, y = x[ok], y[ok]
+            ok = candidates(x, y, leaf, n, more, similar, budget)
+            x, y = x[ok], y[ok]
+            ok = sets.similar(x, y, similar)
+            x, y = x[ok], y[ok]
+            kept = forest.join(x, y)
+            yield pa.record_batch([pa.array(leaf[x[kept]]), pa.array(leaf[y[kept]])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, held in zip(*batch.columns):
+                yield from links(i.as_py(), j.as_py(), held.values)
+
+    return work.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def similar_roots(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, shingle: int, similar: float, budget: Budget, most_in_task: int, block: int) -> DataFrame:
+    """node, root of the fingerprints that have near copies: the smallest one that chains of them reach. Only documents
+    that the walk finds a candidate for are read again, for their shingles."""
+    groups = store(components(self_join(distinct.select("fp", "n", "more"), budget, most_in_task, similar)), "near-groups")
+    mine = f"_id_{uuid.uuid4().hex}"  # a name that no column of docs has
+    met = groups.select(F.col("node").alias("fp"))
+    ids = store(distinct.join(met, "fp", "left_semi").select(F.col("first").alias(mine)), "near-ids")
+    given = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    some = given.join(ids.where(F.col(mine).isNotNull()), F.col("_id") == F.col(mine), "left_semi").unionByName(given.where("_id is null"))
+    found = fingerprints(some, "_id", "_text", shingle, distinct=True, with_set=True).withColumnRenamed("fingerprint", "fp")
+    sets = found.join(met, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("n", "more", "shingles")).alias("r")).select("fp", "r.*")
+    return components(similar_links(store(sets, "near-sets"), groups, similar, budget, block))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE, similar: float = SIMILAR, budget: Budget = WIDE, most_in_task: int = MOST_IN_TASK) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE, similar: float = SIMILAR, budget: Budget = WIDE, most_in_task: int = MOST_IN_TASK, block: int = BLOCK) -> DataFrame:
     """One document of each group that chains of near copies join, with all its columns: that with the smallest id, a
     null one only where there is no other; of rows that repeat the id, one with the smallest fingerprint.
 
-    Near copies: fingerprints over the distinct shingles differ within the budget, and the shingle sets have a Jaccard
-    similarity of `similar` or more. Equal fingerprints are taken as near copies without that: sets of a similarity
+    Near copies: fingerprints over the distinct shingles differ within the budget, both fingerprints in BOTH bits at
+    most, and the shingle sets have a Jaccard similarity of `similar` or more. Equal fingerprints are taken as near copies without that: sets of a similarity
     just below 0.8 have equal ones about once in 100,000 pairs. Texts without words are all alike. An empty table gives
     no rows.
     """
     prints = store(fingerprints(docs, id_col, text_col, shingle, distinct=True), "simhash")
     distinct = distinct_prints(prints)
-    nodes = rooted(distinct, similar_roots(docs, distinct, id_col, text_col, shingle, similar, budget, most_in_task))
+    nodes = rooted(distinct, similar_roots(docs, distinct, id_col, text_col, shingle, similar, budget, most_in_task, block))
     best = F.min(F.struct(F.isnull("doc_id"), "doc_id", "fingerprint")).alias("best")
     wanted = prints.join(nodes, "fingerprint").groupBy("root").agg(best).select("best.doc_id", F.col("best.fingerprint").alias("key"))
 

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 
 BITS = 64
+#: Keeps products like 0.8 * 5 from falling on the wrong side of a whole number.
+TINY = 1e-9
 #: Node pairs in one step: more are walked in halves, so memory does not grow with their number.
 AT_ONCE = 1 << 19
 
@@ -105,26 +107,51 @@ def walk(left: Nodes, right: Nodes | None, differ: int, budget: Budget, counts:
         stack.append((level + 1, *(np.concatenate(c) for c in zip(*out))))
 
 
-def closest(i: np.ndarray, j: np.ndarray, group: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Which of the links (i, j) join the same groups as all of them do, none more than needed, lower order first."""
-    turn = np.argsort(order, kind="stable")
-    root = list(range(int(group.max()) + 1))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    kept = []
-    for at in range(0, len(turn), 1 << 16):
-        some = turn[at : at + (1 << 16)]
-        if at:  # most later links join nothing new
-            now = np.array([find(x) for x in range(len(root))])
-            some = some[now[group[i[some]]] != now[group[j[some]]]]
-        for k, x, y in zip(some.tolist(), group[i[some]].tolist(), group[j[some]].tolist()):
+class Forest:
+    """Joins places step by step, by links that join what was apart: one less than there are places at most."""
+
+    def __init__(self, n: int) -> None:
+        self.root = np.arange(n)
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        while not np.array_equal(up := self.root[self.root], self.root):
+            self.root = up
+        return self.root[i] != self.root[j]
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the links (i, j) join something, given those before."""
+        root, kept = self.root.tolist(), []
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
             x, y = find(x), find(y)
             if x != y:
                 root[max(x, y)] = min(x, y)
                 kept.append(k)
-    return np.array(kept, dtype=np.int64)
+        self.root = np.array(root)
+        return np.array(kept, dtype=np.int64)
+
+
+class Sets:
+    """The shingle sets of a node pair's leaves: the numbers of leaf k's shingles are numbers[at[k]:at[k + 1]]."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        self.vocabulary, self.numbers = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_inverse=True)
+
+    def similar(self, i: np.ndarray, j: np.ndarray, share: float) -> np.ndarray:
+        """Which pairs have a Jaccard similarity of share or more."""
+        out, size = np.zeros(len(i), dtype=bool), np.diff(self.at)
+        for k in np.unique(i):
+            some = np.flatnonzero(i == k)
+            others = j[some]
+            held = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)
+            held[self.numbers[self.at[k] : self.at[k + 1]]] = 1
+            common = np.array([held[self.numbers[self.at[y] : self.at[y + 1]]].sum() for y in others.tolist()])
+            out[some] = common >= share * (size[k] + size[others] - common) - TINY
+        return out

@@ -174,6 +174,51 @@ def test_held_out_languages(spark):
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held_out) >= 0.95 * len(held_out)
 
 
+def slow_states(model, data, direction):
+    """The state after each byte, unit by unit; reset and update weights hold half the usual values."""
+    table, u = model.table[direction].astype(float), model.u[direction].astype(float)
+    units = len(u)
+    h, out = [0.0] * units, {}
+    gate = lambda x, k, j: x[k * units + j] + sum(h[i] * u[i][k * units + j] for i in range(units))
+    for t in range(len(data)) if direction == 0 else range(len(data) - 1, -1, -1):
+        x = table[data[t]]
+        reset = [1 / (1 + math.exp(-2 * gate(x, 0, j))) for j in range(units)]
+        update = [1 / (1 + math.exp(-2 * gate(x, 1, j))) for j in range(units)]
+        fresh = [math.tanh(x[2 * units + j] + sum(reset[i] * h[i] * u[i][2 * units + j] for i in range(units))) for j in range(units)]
+        h = [update[j] * h[j] + (1 - update[j]) * fresh[j] for j in range(units)]
+        out[t] = h
+    return [out[t] for t in range(len(data))]
+
+
+def slow_language(model, text):
+    """The language and its share, byte by byte."""
+    data, sums = text.encode(), [0.0] * len(model.languages)
+    for at in range(0, len(data), langid.LENGTH):
+        window = data[at : at + langid.LENGTH]
+        for forth, back in zip(slow_states(model, window, 0), slow_states(model, window, 1)):
+            scores = [float(model.b[k]) + sum(x * float(model.w[i][k]) for i, x in enumerate([*forth, *back])) for k in range(len(sums))]
+            total = math.log(sum(math.exp(x) for x in scores))
+            sums = [a + x - total for a, x in zip(sums, scores)]
+    shares = [math.exp(x / len(data)) for x in sums]
+    best = max(range(len(shares)), key=shares.__getitem__)
+    return model.languages[best], shares[best] / sum(shares)
+
+
+def test_predictions_match_a_slow_forward_pass(spark):
+    docs = spark.read.parquet(DOCS)
+    model = langid.train(docs.select("doc_id", "text", "lang"), per_language=40)
+    some = docs.where("doc_id < 12").select("doc_id", F.substring("text", 1, 300).alias("text"))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.label(some, model).collect()}
+    for r in some.collect():
+        lang, share = slow_language(model, r["text"])
+        assert got[r["doc_id"]][0] == lang and math.isclose(got[r["doc_id"]][1], share, rel_tol=1e-3)
+    try:
+        langid.train(docs.select("doc_id", "text", F.col("doc_id").cast("string").alias("lang")), most_languages=50)
+    except ValueError:
+        return
+    raise AssertionError("too many languages were learned")
+
+
 def test_languages_of_odd_texts(spark):
     docs = spark.createDataFrame([(1, "abc def", "x"), (2, "αβγ δε", "y"), (3, None, "x"), (4, "12 34", None), (5, "", "y"), (5, "", "y"), (None, "abc " * 40000, "x")], "doc_id long, text string, lang string")
     model = langid.train(docs)

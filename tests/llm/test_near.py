@@ -13,10 +13,11 @@ def grams(text, size=5):
 
 
 def slow_print(text):
-    return simhash.fingerprint(np.unique(simhash.shingle_hashes(text, 5)))
+    found = np.unique(simhash.shingle_hashes(text, 5))
+    return simhash.fingerprint(found), simhash.fingerprint(simhash.mixed(found))
 
 
-def slow_groups(rows, similar=0.8, bits=14):
+def slow_groups(rows, similar=0.8, bits=14, both=28):
     """The smallest ids of the components of the graph of all pairs that are similar and whose fingerprints are close;
     also how many different texts are similar, and how many of them close."""
     sets, prints, root, pairs, met = {d: grams(t) for d, t in rows}, {d: slow_print(t) for d, t in rows}, {d: d for d, _ in rows}, 0, 0
@@ -32,7 +33,8 @@ def slow_groups(rows, similar=0.8, bits=14):
             a, b = sets[x], sets[y]
             if a == b or len(a & b) >= similar * len(a | b) - 1e-9:
                 pairs += a != b
-                if (prints[x] ^ prints[y]).bit_count() <= bits:
+                first, second = ((p ^ q).bit_count() for p, q in zip(prints[x], prints[y]))
+                if first <= bits and first + second <= both:
                     met += a != b
                     x0, y0 = find(x), find(y)
                     root[max(x0, y0)] = min(x0, y0)
@@ -75,7 +77,7 @@ def test_a_group_larger_than_a_task(spark):
         rows.append((i, " ".join(own)))
     kept, _, _ = slow_groups(rows)
     docs = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in rows], "doc_id long, text string, fp long, group long, n long")
-    got = simhash.deduplicate(docs, most_in_task=16)
+    got = simhash.deduplicate(docs, most_in_task=16, block=40)
     assert got.columns == docs.columns and {r["doc_id"] for r in got.collect()} == kept
     empty = spark.createDataFrame([(None, None), (3, ""), (None, " \n")], "doc_id long, text string")
     assert [r["doc_id"] for r in simhash.deduplicate(empty).collect()] == [3]
