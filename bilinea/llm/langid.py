@@ -184,7 +184,7 @@ def predict(model: Model, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
         longest = int((until[lot] - begin[lot]).max())
         place = begin[lot] + np.arange(longest)[:, None]
         real = place < until[lot]
-        windows = np.where(real, data[np.minimum(place, len(data) - 1)], 256).astype(np.intp)
+        windows = np.where(real, data[np.minimum(place, len(data) - 1)].astype(np.intp), 256)
         logits = model.w[:units].T @ states(model, windows, 0).reshape(-1, units).T
         logits += model.w[units:].T @ states(model, windows, 1).reshape(-1, units).T
         logits += model.b[:, None]
