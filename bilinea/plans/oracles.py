@@ -175,7 +175,7 @@ SELECT conv_id, line_no, md5({STRIP % "line"}) AS line_md5 FROM y WHERE {STRIP %
 WITH {TURNS}, a AS (SELECT conv_id, string_agg(seq || '. ' || coalesce(role, ''), chr(10) ORDER BY seq) AS l, string_agg(text, chr(10) ORDER BY seq) AS c FROM t GROUP BY 1)
 SELECT conv_id, md5('【巴利文句子列表】' || chr(10) || l || chr(10) || chr(10) || '【汉文译文】' || chr(10) || {STRIP % "c"}) AS prompt_md5 FROM a WHERE {STRIP % "c"} <> ''""",
         "a3_aligned_text": f"WITH {TURNS} SELECT conv_id, md5(coalesce(string_agg(text, '' ORDER BY seq) FILTER (seq % 3 <> 0), '')) AS text_md5 FROM t GROUP BY 1",
-        "f2_diff_hunks": f"WITH {TURNS} SELECT conv_id, seq, md5({BARE % 'text'}) AS rebuilt_md5, length({BARE % 'text'}) > 0 OR seq % 2 = 0 AS differs FROM t",
+        "f2_diff_hunks": f"WITH {TURNS} SELECT conv_id, seq, md5({BARE % 'text'}) AS rebuilt_md5, CASE WHEN length({BARE % 'text'}) > 0 THEN 1 ELSE 0 END AS n_removed, CASE WHEN seq % 2 = 0 THEN 1 ELSE 0 END AS n_added FROM t",
         "f3_diff_log": f"""
 WITH {TURNS}, x AS (SELECT conv_id, seq, {BARE % "text"} AS s FROM t), y AS (SELECT *, length(s) // 2 AS k FROM x WHERE s <> ''),
 z AS (SELECT *, substr(s, k + 1, 1) AS c, substr(s, greatest(0, k - 20) + 1, k - greatest(0, k - 20)) AS b, substr(s, k + 2, 20) AS e FROM y)

@@ -298,7 +298,8 @@ def altered(text: Column) -> Column:
 
 
 def f2_diff_hunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns against copies that lost a character and gained a mark: the originals, rebuilt from copies and hunks."""
+    """Turns against copies that lost a character and gained a mark: the originals, rebuilt from copies and hunks, and how
+    many characters the hunks hold, which are that character and that mark alone."""
     rows = turns(spark, sf_dir)
     text = without_spaces(F.col("text"))
     third = F.floor(F.length(text) / 3).cast("int")
@@ -307,7 +308,8 @@ def f2_diff_hunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
     fold = F.aggregate("hunks", start, lambda a, h: F.struct(h["aligned_end"].alias("at"), F.concat(a["text"], F.substring(F.col("aligned_norm"), a["at"] + 1, h["aligned_start"] - a["at"]), h["orig_chunk"]).alias("text")))
     rebuilt = F.concat(fold["text"], F.substring(F.col("aligned_norm"), fold["at"] + 1, F.length("aligned_norm")))
-    return found.select("conv_id", "seq", F.md5(rebuilt).alias("rebuilt_md5"), (F.size("hunks") > 0).alias("differs"))
+    total = lambda side: F.aggregate("hunks", F.lit(0), lambda n, h: n + F.length(h[side]))
+    return found.select("conv_id", "seq", F.md5(rebuilt).alias("rebuilt_md5"), total("orig_chunk").alias("n_removed"), total("aligned_chunk").alias("n_added"))
 
 
 def f3_diff_log(spark: SparkSession, sf_dir: str) -> DataFrame:
