@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import store
-from bilinea.llm import exact_dedup, langid, lm, mixing, packing, pii, quality, runs, sharding, simhash, warc
+from bilinea.llm import exact_dedup, langid, lm, minhash, mixing, packing, pii, quality, runs, sharding, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,12 +83,16 @@ def op10_digest_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels
 
 
+def op11_inverted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.label(table(spark, sf_dir, "documents"))
+
+
 def op13_block_convolution_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.label(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op5_window_pseudo_likelihood, op6_disclosure_pii, op7_trie_simhash, op8_byte_gru_langid, op9_curriculum_mixing, op10_digest_index_dedup, op13_block_convolution_runs)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op5_window_pseudo_likelihood, op6_disclosure_pii, op7_trie_simhash, op8_byte_gru_langid, op9_curriculum_mixing, op10_digest_index_dedup, op11_inverted_minhash, op13_block_convolution_runs)
     return {f.__name__: f for f in found}
 
 
