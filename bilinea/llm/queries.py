@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import store
-from bilinea.llm import exact_dedup, langid, lm, minhash, mixing, packing, pii, quality, runs, sharding, simhash, warc
+from bilinea.llm import collocations, exact_dedup, langid, lm, minhash, mixing, packing, pii, quality, runs, sharding, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,12 +87,16 @@ def op11_inverted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.label(table(spark, sf_dir, "documents"))
 
 
+def op12_quotient_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_block_convolution_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.label(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op5_window_pseudo_likelihood, op6_disclosure_pii, op7_trie_simhash, op8_byte_gru_langid, op9_curriculum_mixing, op10_digest_index_dedup, op11_inverted_minhash, op13_block_convolution_runs)
+    found = (op1_bounded_ring_sharding, op2_histogram_packing, op3_line_first_quality, op4_indexed_warc, op5_window_pseudo_likelihood, op6_disclosure_pii, op7_trie_simhash, op8_byte_gru_langid, op9_curriculum_mixing, op10_digest_index_dedup, op11_inverted_minhash, op12_quotient_collocations, op13_block_convolution_runs)
     return {f.__name__: f for f in found}
 
 
@@ -102,6 +106,8 @@ def oracle_sql() -> dict[str, str]:
         "op4_indexed_warc": OP4_SQL,
         "op9_curriculum_mixing": OP9_SQL,
         "op10_digest_index_dedup": OP10_SQL,
+        "op11_inverted_minhash": OP11_SQL,
+        "op12_quotient_collocations": OP12_SQL,
     }
 
 
@@ -199,3 +205,44 @@ SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, a
   CASE WHEN count(*) FILTER (takes) = 2 THEN max(due) END AS position_2
 FROM u GROUP BY doc_id
 """
+
+OP11_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+3], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 2))) AS i FROM w WHERE len(ws) > 0)),
+s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_ FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b WHERE 100 * both_ >= 80 * (p.n + q.n - both_)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS least_ FROM documents UNION SELECT e.b, r.least_ FROM r JOIN e ON r.doc_id = e.a WHERE r.least_ < e.b)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(least_) AS component_id, d.doc_id = min(least_) AS kept
+FROM documents d JOIN r USING (doc_id) LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+"""
+
+OP12_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM t),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i+k-1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)
+),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, array_to_string(ws[1:c], ' ') AS first_, array_to_string(ws[c+1:], ' ') AS rest FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+s AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.c, x.a AS l, y.a AS r, CAST(2000000::HUGEINT * c.a // (x.a::HUGEINT + y.a) AS BIGINT) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = first_ JOIN f y ON y.lang = c.lang AND y.phrase = rest
+),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+i AS (
+  SELECT lang, a, array_to_string(ws[j:j+m-1], ' ') AS phrase
+  FROM (SELECT lang, a, ws, m, unnest(range(1, k - m + 2)) AS j FROM (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2))
+),
+m AS (SELECT lang, phrase, max(a) AS most FROM i GROUP BY lang, phrase),
+o AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, l, r, score
+  FROM b LEFT JOIN m ON m.lang = b.lang AND m.phrase = b.phrase WHERE coalesce(100 * most < 80 * b.a, true)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
