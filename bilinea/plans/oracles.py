@@ -40,21 +40,22 @@ f AS (
 g AS (SELECT CAST(id AS INT) AS id, lower(nullif({STRIP % "w"}, '')) AS pali_word, nullif({STRIP % "a"}, '') AS meaning, nullif({STRIP % "b"}, '') AS meaning2, note, source FROM f)
 """
 
-LOCATED = (
-    "WITH RECURSIVE "
-    + LINES
-    + rf""",
-p0 AS (SELECT o AS book, n AS paragraph, 'P-' || o || ' ' || repeat('ab ', q) || flag AS text FROM l),
+#: Books: paragraphs p and pages g out of paragraphs p0 and pages g0.
+BOOKS = rf""",
 p1 AS (SELECT book, paragraph, {BARE % "text"} AS bare, text FROM p0),
 p AS (
   SELECT book, paragraph, length(bare) AS len, substr(lower(regexp_replace(bare, '[^\p{{L}}\p{{N}}_]', '', 'g')), 1, 30) AS head,
     sum(length(bare)) OVER w AS cum, paragraph - row_number() OVER w AS run
   FROM p1 WINDOW w AS (PARTITION BY book ORDER BY paragraph)
 ),
-g0 AS (SELECT book, CAST(floor((paragraph - 1) / 2.0) AS BIGINT) AS page_pos, string_agg(text, chr(10) ORDER BY paragraph) AS text FROM p0 GROUP BY 1, 2),
 g1 AS (SELECT book, page_pos, {BARE % "text || repeat('x', (book * 7 + page_pos * 13) % 41)"} AS bare FROM g0),
-g AS (SELECT book, page_pos, row_number() OVER (PARTITION BY book ORDER BY page_pos) AS rn, length(bare) AS len, substr(lower(regexp_replace(bare, '[^\p{{L}}\p{{N}}_]', '', 'g')), 1, 30) AS head FROM g1)
+g AS (SELECT book, page_pos, row_number() OVER (PARTITION BY book ORDER BY page_pos) AS rn, length(bare) AS len, substr(lower(regexp_replace(bare, '[^\p{{L}}\p{{N}}_]', '', 'g')), 1, 30) AS head FROM g1 WHERE bare <> '')
 """
+PAGES = "g0 AS (SELECT book, CAST(floor((paragraph - 1) / %d.0) AS BIGINT) AS page_pos, string_agg(text, chr(10) ORDER BY paragraph) AS text FROM p0 GROUP BY 1, 2)"
+LOCATED = "WITH RECURSIVE " + LINES + ", p0 AS (SELECT o AS book, n AS paragraph, 'P-' || o || ' ' || repeat('ab ', q) || flag AS text FROM l), " + PAGES % 2 + BOOKS
+SOURCES = (
+    "WITH RECURSIVE p0 AS (SELECT book, row_number() OVER (PARTITION BY book ORDER BY doc_id) AS paragraph, text"
+    " FROM (SELECT coalesce(TRY_CAST(substr(source, 4, 9) AS INT), -1) AS book, doc_id, coalesce(text, '') AS text FROM documents)), " + PAGES % 3 + BOOKS
 )
 
 STEPS = r""",
@@ -148,6 +149,7 @@ SELECT doc_id, note_id, md5(t) AS text_md5 FROM x""",
         "j5_pending_pages": f"WITH {LINES} SELECT 'orders' AS corpus, o_orderkey || '.html' AS file FROM orders WHERE o_orderkey NOT IN (SELECT o FROM l WHERE n = 3)",
         "j6_missing_sources": "SELECT c_nationkey AS corpus, c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 <> 1)",
         "f1_match_pages": LOCATED + STEPS + RANGES % ("book", "page_pos, page_pos || '.html'"),
+        "f1_source_books": SOURCES + STEPS + RANGES % ("book", "page_pos, page_pos || '.html'"),
         "w_locate": LOCATED + STEPS + RANGES % ("corpus", "lpad(page_pos::VARCHAR, 4, '0') || '.html'"),
         "w_annotate": f"""
 WITH {LINES}, g AS (SELECT DISTINCT o, CAST(floor((n - 1) / 2.0) AS BIGINT) AS p FROM l)

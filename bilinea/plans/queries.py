@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bilinea.functions.ranks import ranked_within
 from bilinea.functions.storage import new_path, store
 from bilinea.functions.text import is_blank, normalize_head, ordered_join, page_number, record_id, split_record_id, strip, without_spaces
 from bilinea.operators import diff, glossary, pages, paragraphs, profile, replies, reports, split, summary
@@ -206,6 +207,24 @@ def f1_match_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.match_pages_to_paragraphs(page, rows, paragraphs.cursor_start(none, rows)).drop("corpus")
 
 
+def source_books(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Sources as books: documents in order of their ids are the paragraphs, and a page holds three of them and up to 40
+    odd characters. A source of a third of all documents is a book of a third of all paragraphs."""
+    docs = table(spark, sf_dir, "documents").select(F.coalesce(F.substring("source", 4, 9).try_cast("int"), F.lit(-1)).alias("book"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # ids alone are put in order; texts are joined to them
+    places = ranked_within(docs.select("book", "doc_id"), ["book"], ["doc_id"], "place")
+    rows = store(docs.join(places, ["book", "doc_id"]).select("book", (F.col("place") + 1).cast("int").alias("paragraph"), "text"), "book-paragraphs")
+    page = rows.groupBy("book", F.floor((F.col("paragraph") - 1) / 3).alias("page_pos")).agg(ordered_join(F.col("paragraph"), F.col("text"), "\n").alias("text"))
+    odd = F.repeat(F.lit("x"), (F.col("book") * 7 + F.col("page_pos") * 13) % 41)
+    return page.select("book", "page_pos", F.lit("sources").alias("corpus"), cat(F.col("page_pos"), ".html").alias("html"), F.concat("text", odd.cast("string")).alias("text")), rows
+
+
+def f1_source_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page, rows = source_books(spark, sf_dir)
+    none = spark.createDataFrame([], "book int, para_end int")
+    return paragraphs.match_pages_to_paragraphs(page, rows, paragraphs.cursor_start(none, rows)).drop("corpus")
+
+
 def a6_cursor_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rows = located(spark, sf_dir)
     done = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("int").alias("book"), (F.col("o_custkey") % 10).cast("int").alias("para_end"))
@@ -519,7 +538,7 @@ def w_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     a1_trailing_char_profile, a1_profile_totals, a3_aligned_text, a4_build_prompts, a5_chapter_metrics, a6_cursor_start, a7_backfill_meta, a8_glossary_totals,
-    chapter_states, f1_match_pages, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
+    chapter_states, f1_match_pages, f1_source_books, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
     k1_write_chunks, k2_para_map_round_trip, k2_s2_para_map, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
     p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_read_pages, s2_last_wins, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
 )

@@ -28,6 +28,18 @@ def by_steps(pages, source, cursor):
         cursor = taken[-1] + 1
 
 
+def walked(r, pages, source, cursor, bits):
+    """The walk over pages and paragraphs from the cursor on, given in so many bits, cut anywhere."""
+    numbers = [n for n in sorted(source) if cursor is not None and n >= cursor]
+    walk = paragraphs.Walk(cursor)
+    cut = lambda rows: [0, *sorted(r.randrange(len(rows) + 1) for _ in range(bits - 1)), len(rows)]
+    p, q = cut(pages), cut(numbers)
+    for k in range(bits):
+        some = numbers[q[k] : q[k + 1]]
+        walk.add(pages[p[k] : p[k + 1]], some, [source[n][0] for n in some], [source[n][1] for n in some])
+        yield from walk.steps(k == bits - 1)
+
+
 def test_walk_matches_single_steps():
     r = random.Random(4)
     for _ in range(5000):
@@ -35,8 +47,8 @@ def test_walk_matches_single_steps():
         source = {n: (r.randrange(0, 9), r.choice(["", "a", "ab", "abc", "x"]) if r.random() < 0.1 else "a") for n in numbers}
         pages = [(i, r.randrange(1, 25), r.choice(["a", "ab", ""])) for i in range(r.randrange(1, 6))]
         cursor = r.choice([*numbers, 1, None])
-        got = list(paragraphs.walk(pages, np.array(numbers, dtype=np.int64), np.array([source[n][0] for n in numbers], dtype=np.int64), [source[n][1] for n in numbers], cursor))
-        assert got == list(by_steps(pages, source, cursor)), (pages, source, cursor)
+        expected = list(by_steps(pages, source, cursor))
+        assert list(walked(r, pages, source, cursor, 1)) == expected and list(walked(r, pages, source, cursor, 4)) == expected, (pages, source, cursor)
 
 
 def test_books_with_resume_and_blank_pages(spark):
@@ -52,3 +64,49 @@ def test_books_with_resume_and_blank_pages(spark):
     assert got == {(1, "1.html"): (1, 2, "ok"), (1, "3.html"): (3, 3, "ok"), (1, "4.html"): (None, None, "head_mismatch"), (2, "1.html"): (6, 6, "ok"), (3, "1.html"): (None, None, "exhausted")}
     none = spark.createDataFrame([], "book int, page_pos long, corpus string, html string, text string")
     assert paragraphs.match_pages_to_paragraphs(none, source, cursors).count() == 0
+
+
+def test_a_long_book_is_held_in_bits(spark):
+    """Two million paragraphs, in the order of the stream: what the walk holds stays small, and all pages are found."""
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(60, 400, 2_000_000)
+    ends = np.cumsum(rng.integers(1, 90, 60_000))
+    ends = ends[ends < len(lengths)]
+    before = np.concatenate([[0], np.cumsum(lengths)])
+    sizes = np.diff(before[np.concatenate([[0], ends])]) + rng.integers(-20, 20, len(ends))  # the odd characters of a page
+    walk, held, found, at = paragraphs.Walk(1), 0, [], 0
+    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    for a in range(0, len(lengths), 10_000):
+        b = min(len(lengths), a + 10_000)
+        until = int(np.searchsorted(starts, before[b]))
+        walk.add([(k, int(sizes[k]), "") for k in range(at, until)], range(a + 1, b + 1), lengths[a:b], [""] * (b - a))
+        at = until
+        found += list(walk.steps(b == len(lengths)))
+        held = max(held, len(walk.numbers) + len(walk.pages))
+    assert len(found) == len(ends) and all(s == "ok" for *_, s in found) and held < 20_000
+    assert found[0][1] == 1 and all(p[2] + 1 == q[1] for p, q in zip(found, found[1:]))
+
+
+def test_the_stream_runs_through_arrow_batches(spark):
+    """A book of 30,000 paragraphs in batches of 1,000 rows, beside small ones; the same as one after the other."""
+    r = random.Random(8)
+    source = {b: [(n, r.randrange(0, 60)) for n in range(5, 5 + size)] for b, size in ((1, 30_000), (2, 7), (3, 400))}
+    page = {}
+    for b, rows in source.items():
+        i, k = 0, 0
+        while i < len(rows):
+            n = r.randrange(1, 40)
+            size = max(1, sum(x for _, x in rows[i : i + n]) + r.randrange(-3, 4))
+            page[b, k] = size
+            i, k = i + n, k + 1
+    text = lambda n: "" if n == 0 else "a" * n
+    some = spark.createDataFrame([(b, k, "c", f"{k}.html", text(n)) for (b, k), n in page.items()], "book int, page_pos long, corpus string, html string, text string")
+    rows = spark.createDataFrame([(b, n, text(x)) for b, own in source.items() for n, x in own], "book int, paragraph int, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    none = spark.createDataFrame([], "book int, para_end int")
+    got = sorted((x["book"], x["page_pos"], x["para_start"], x["para_end"], x["status"]) for x in paragraphs.match_pages_to_paragraphs(some, rows, paragraphs.cursor_start(none, rows)).collect())
+    expected = []
+    for b, own in source.items():
+        heads = {n: (x, "a" * min(30, x)) for n, x in own}
+        expected += [(b, *step) for step in by_steps([(k, n, "a" * min(30, n)) for (c, k), n in sorted(page.items()) if c == b], heads, 5)]
+    assert got == sorted(expected, key=lambda x: x[:2]) and len(got) > 700
