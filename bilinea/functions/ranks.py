@@ -44,3 +44,16 @@ def ranked_within(df: DataFrame, keys: list[str], order: list[str], name: str, p
         condition &= more
     joined = all_.alias("l").join(first.alias("r"), condition)
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("_place") - F.col("_first")).alias(name))
+
+
+def running(df: DataFrame, order: list[str], value: str, name: str, parts: int | None = None) -> DataFrame:
+    """df, stored, with the sum of value over all rows before each, in the given order. Ranges of the order are summed up
+    by themselves, and each is shifted by the sum of those before it."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = store(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "running")
+    placed = placed.withColumn("_part", F.shiftright("_at", ROW_BITS))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = placed.groupBy("_part").agg(F.sum(value).alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum(value).over(within), F.lit(0))
+    return placed.withColumn(name, own).join(F.broadcast(shifts), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_at", "_part", "_before")

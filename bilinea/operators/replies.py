@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bilinea.functions.ranks import running
+from bilinea.functions.storage import store
 from bilinea.functions.text import is_blank, ordered_join, record_id, strip
 
 #: The headings of the two parts of a prompt.
@@ -12,18 +14,41 @@ SOURCE_HEADING, TEXT_HEADING = "【巴利文句子列表】", "【汉文译文
 #: A stream line's prefix, and what ends the stream.
 PREFIX, DONE = "data:", "[DONE]"
 
+#: Paragraphs of a bin in which ranges and sentences meet.
+BIN = 256
+
 EVENT = "struct<usage: map<string, string>, choices: array<struct<delta: struct<content: string>>>>"
 
 
-def chapter_sentences(chapters: DataFrame, sentences: DataFrame, keys: list[str] = ("corpus", "chapter")) -> DataFrame:
+def chapter_sentences(chapters: DataFrame, sentences: DataFrame, keys: list[str] = ("corpus", "chapter"), width: int = BIN) -> DataFrame:
     """keys, seq and the sentence's columns: the sentences of each chapter's closed range of paragraphs, numbered from 1
-    by paragraph and first word.
+    by paragraph and first word. chapters: keys, none twice, book_id, para_start, para_end; ranges may overlap.
 
-    The range becomes one row per paragraph, so the join is an equi-join; ranges that overlap keep their duplicates.
+    A range join by bins of paragraphs: a range is cut at the borders of bins, so it is a row for each bin and not for
+    each paragraph, and pieces meet sentences by book and bin. Sentences are moved once, by book and bin: a sentence's
+    place in its book is its place in its bin and the sentences of all bins before; a chapter's first place is found from
+    counts by paragraph and by bin. No task holds a chapter or a book.
     """
-    wanted = chapters.where(F.col("para_start") <= F.col("para_end")).select(*keys, F.col("book_id").alias("book"), F.explode(F.sequence("para_start", "para_end")).alias("paragraph"))
-    place = Window.partitionBy(*keys).orderBy("paragraph", "word_begin", "id")
-    return wanted.join(sentences, ["book", "paragraph"]).withColumn("seq", F.row_number().over(place))
+    keys = list(keys)
+    bin_of = lambda c: F.floor(F.col(c) / width).alias("bin")
+    counts = sentences.groupBy("book", "paragraph").agg(F.count(F.lit(1)).alias("n")).select("book", bin_of("paragraph"), "paragraph", "n")
+    bins = store(running(counts.groupBy("book", "bin").agg(F.sum("n").alias("n")), ["book", "bin"], "n", "before"), "sentence-bins").select("book", "bin", "before")
+    earlier = Window.partitionBy("book", "bin").orderBy("paragraph").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(bins, ["book", "bin"]).select("book", "bin", "paragraph", (F.col("first") + F.col("before")).alias("first"))
+
+    span = F.sequence(F.floor(F.col("para_start") / width), F.floor(F.col("para_end") / width))
+    pieces = chapters.where(F.col("para_start") <= F.col("para_end")).select(*keys, F.col("book_id").alias("book"), "para_start", "para_end", F.explode(span).alias("bin"))
+    whole = (F.col("bin") * width >= F.col("para_start")) & ((F.col("bin") + 1) * width - 1 <= F.col("para_end"))
+    inside = F.col("paragraph").between(F.col("para_start"), F.col("para_end"))
+    firsts = pieces.where(~whole).join(starts, ["book", "bin"]).where(inside).select(*keys, "first")
+    firsts = firsts.unionByName(pieces.where(whole).join(bins, ["book", "bin"]).select(*keys, F.col("before").alias("first")))
+    firsts = store(firsts.groupBy(*keys).agg(F.min("first").alias("_first")), "chapter-firsts")
+
+    place = F.row_number().over(Window.partitionBy("book", "bin").orderBy("paragraph", "word_begin", "id"))
+    placed = sentences.withColumn("bin", bin_of("paragraph")).withColumn("_place", place).join(bins, ["book", "bin"])
+    out = pieces.join(firsts, keys).join(placed, ["book", "bin"]).where(inside)
+    seq = (F.col("before") + F.col("_place") - F.col("_first")).cast("int").alias("seq")
+    return out.select(*keys, *sentences.columns, seq)
 
 
 def build_prompts(sentences: DataFrame, chunks: DataFrame, keys: list[str] = ("corpus", "chapter")) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bilinea.functions.ranks import ranked_within
 from bilinea.functions.text import is_blank, split_record_id
 from bilinea.operators.diff import n_hunks
 
@@ -37,7 +38,7 @@ def merge_summary(para_map: DataFrame, new: DataFrame, old: DataFrame, corpus: s
     figures = [c for c in new.columns if c not in (corpus, name, "no")]
     rest = old.join(new.select(corpus, name), [corpus, name], "left_anti").select(corpus, name, *figures)
     known = new.select(corpus, name, *figures).unionByName(rest)
-    rows = para_map.select(corpus, F.col("text").alias(name), "pos").withColumn("no", F.row_number().over(Window.partitionBy(corpus).orderBy("pos")))
+    rows = ranked_within(para_map.select(corpus, F.col("text").alias(name), "pos"), [corpus], ["pos", name], "no").withColumn("no", F.col("no") + 1)
     return rows.join(known, [corpus, name], "left").select(corpus, "no", name, *figures)
 
 

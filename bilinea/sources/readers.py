@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bilinea.functions import schemas
+from bilinea.functions.ranks import ranked_within
 from bilinea.functions.text import is_blank, page_number, strip
 
 #: What cuts lines besides \n, \r and \r\n if lines are to be cut everywhere that Unicode has them end; fixed values.
@@ -66,11 +67,12 @@ def read_para_map(spark: SparkSession, root: str, corpus: str = "*", key: str =
 
 
 def last_wins(rows: DataFrame, key: str) -> DataFrame:
-    """One row for each corpus and key: the values of the last line, the place of the first."""
+    """One row for each corpus and key: the values of the last line, the place of the first. Places are counted by ranges
+    of all lines, so that a corpus may be of any size."""
     values = [c for c in rows.columns if c not in ("corpus", key, "line_no")]
     out = rows.groupBy("corpus", key).agg(F.max_by(F.struct(*values), "line_no").alias("v"), F.min("line_no").alias("first"))
-    place = F.row_number().over(Window.partitionBy("corpus").orderBy("first")) - 1
-    return out.select("corpus", key, *[f"v.{c}" for c in values], place.alias("pos"))
+    placed = ranked_within(out, ["corpus"], ["first", key], "pos")
+    return placed.select("corpus", key, *[f"v.{c}" for c in values], "pos")
 
 
 def read_glossary(spark: SparkSession, path: str) -> DataFrame:

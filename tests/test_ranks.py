@@ -29,3 +29,12 @@ def test_a_hot_key_is_spread(spark):
     placed = ranks.ranked(df, ["key", "x"], "place", 8)
     assert placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2000
     assert "Window [row_number" not in placed._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_running_sums(spark, parts):
+    r = random.Random(parts)
+    rows = [(i * 37 % 500, r.randrange(-3, 9)) for i in range(500)]
+    got = ranks.running(spark.createDataFrame(rows, "x long, n long"), ["x"], "n", "before", parts).collect()
+    so_far = {x: sum(n for y, n in rows if y < x) for x, _ in rows}
+    assert {x["x"]: x["before"] for x in got} == so_far
