@@ -150,6 +150,7 @@ SELECT doc_id, note_id, md5(t) AS text_md5 FROM x""",
         "j6_missing_sources": "SELECT c_nationkey AS corpus, c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 <> 1)",
         "f1_match_pages": LOCATED + STEPS + RANGES % ("book", "page_pos, page_pos || '.html'"),
         "f1_source_books": SOURCES + STEPS + RANGES % ("book", "page_pos, page_pos || '.html'"),
+        "j5_a6_f1_resumed_stream": SOURCES + STEPS + RANGES % ("book", "page_pos, page_pos || '.html'"),
         "w_locate": LOCATED + STEPS + RANGES % ("corpus", "lpad(page_pos::VARCHAR, 4, '0') || '.html'"),
         "w_annotate": f"""
 WITH {LINES}, g AS (SELECT DISTINCT o, CAST(floor((n - 1) / 2.0) AS BIGINT) AS p FROM l)

@@ -14,6 +14,7 @@ from bilinea.functions.text import is_blank, normalize_head, ordered_join, page_
 from bilinea.operators import diff, glossary, pages, paragraphs, profile, replies, reports, split, summary
 from bilinea.plans import workloads
 from bilinea.sources import readers, writers
+from bilinea.streaming import locate
 
 KEY = ["doc_id"]
 CONV = ["conv_id"]
@@ -225,6 +226,21 @@ def f1_source_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.match_pages_to_paragraphs(page, rows, paragraphs.cursor_start(none, rows)).drop("corpus")
 
 
+def j5_a6_f1_resumed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same books, whose pages arrive in four runs: the cursor of each book is kept as a stream's state."""
+    page, rows = source_books(spark, sf_dir)
+    page, path = store(page, "book-pages"), new_path(spark, "page-stream")
+    sizes = page.groupBy("book").agg(F.ceil(F.count(F.lit(1)) / 4).alias("n"))
+    parts = store(page.join(sizes, "book").withColumn("part", F.floor(F.col("page_pos") / F.col("n"))).drop("n"), "page-parts")
+    none = spark.createDataFrame([], "book int, para_end int")
+    for k in range(4):  # each run goes on where the last one ended
+        parts.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{path}/pages")
+        arriving = spark.readStream.schema(page.schema).parquet(f"{path}/pages")
+        located = locate.locate_stream(arriving, rows, paragraphs.cursor_start(none, rows))
+        locate.started(spark, located, f"{path}/map", f"{path}/checkpoint").awaitTermination()
+    return spark.read.schema(paragraphs.RESULT).parquet(f"{path}/map").drop("corpus")
+
+
 def a6_cursor_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rows = located(spark, sf_dir)
     done = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("int").alias("book"), (F.col("o_custkey") % 10).cast("int").alias("para_end"))
@@ -538,7 +554,7 @@ def w_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     a1_trailing_char_profile, a1_profile_totals, a3_aligned_text, a4_build_prompts, a5_chapter_metrics, a6_cursor_start, a7_backfill_meta, a8_glossary_totals,
-    chapter_states, f1_match_pages, f1_source_books, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
+    chapter_states, f1_match_pages, f1_source_books, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_a6_f1_resumed_stream, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
     k1_write_chunks, k2_para_map_round_trip, k2_s2_para_map, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
     p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_read_pages, s2_last_wins, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
 )
