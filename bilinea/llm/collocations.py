@@ -29,7 +29,7 @@ LEAST, LONGEST, WITHIN = 30, 4, 80
 #: Candidates of a language in the result, and what stands for a null language.
 TOP, UNKNOWN = 2_000, "und"
 #: Words of a shard, and phrases of a slice, about; slices are two to this power at least.
-SHARD, SLICE, SLICE_BITS = 1 << 20, 1 << 22, 4
+SHARD, SLICE, SLICE_BITS = 1 << 20, 1 << 20, 4
 #: Parts of a language that are ranked by themselves first.
 SALTS = 64
 #: Parts pieces; none of them is ever within a word.
