@@ -1,12 +1,15 @@
 """Personal data: patterns find protected entities, and corpus co-occurrence finds the terms that give them away.
 
 A term discloses an entity as far as knowing the term tells which entity is meant. With e the documents that hold the
-entity, t those that hold the term, et those that hold both and n all documents, the pointwise mutual information
-log(n * et / (e * t)), shrunk where t is small, is compared with all there is to know, the entity's information content
-log(n / e). Their quotient is 1 if the term occurs only with the entity and falls to 0 or less for words at random.
-Terms that reach the upper threshold are removed, those that reach the lower one are generalised: a number to the range
-of its leading digit, a word to the class that its letters show. Statistics know terms by 64-bit hashes; two of them
-are mistaken for one about once in a corpus of four billion terms.
+entity, t those that hold the term, et those that hold both and n all documents, the chance of the entity given the term
+is estimated as (et + e / n) / (t + 1): as if one more document had the term, and the entity in it at random. The
+information that is still missing to know the entity is minus its binary logarithm. A term that leaves a bit or less is
+generalised, one that leaves 0.415 bits or less (a chance of three in four) is removed: a number becomes the range of its
+leading digit, a word the class that its letters show. The estimate counts evidence, not corpus size: a term that one
+document has, beside an entity, is generalised; one that three documents have, each with the entity, is removed; a term
+that most of the time stands elsewhere is left alone, however large the corpus and however rare the entity. A term must
+also stand in a tenth of the entity's documents, or it tells of a document more than of the entity. Statistics know
+terms by 64-bit hashes; two of them are mistaken for one about once in a corpus of four billion terms.
 """
 
 from __future__ import annotations
@@ -37,14 +40,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Stripped from both ends of a word before it is a term.
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&…«»„“”‘’"
 
-#: Digits from which a word without a letter is a term.
-DIGITS = 4
-#: Documents that every term is taken to stand in besides, without more of the entity than anywhere.
-PRIOR = 3
-#: Bits of the map by which texts are searched for disclosing terms.
-SKETCH = 1 << 23
-#: Share of the entity's information at which a term is removed, and at which it is generalised.
-REMOVE, GENERALISE = 0.9, 0.6
+#: Chance of the entity given the term from which a term is removed, and from which it is generalised.
+REMOVE, GENERALISE = 0.75, 0.5
+#: Part of the entity's documents that hold a disclosing term, at least.
+COVER = 0.1
+#: Bits for each term in the map by which texts without an entity are searched for disclosing terms; its least and its
+#: largest size (256 MB). Beyond, more words are joined with the terms, and the result is the same.
+BITS_A_TERM, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 31
 
 SPAN = "array<struct<kind: string, start: long, end: long>>"
 NEAR = "array<struct<term: long, start: long, end: long>>"
@@ -107,8 +109,8 @@ def terms_of(words: pa.Array) -> pa.Array:
 
 
 def is_term(core: str) -> bool:
-    """Words with a letter, and numbers long enough to stand for an account or a person."""
-    return any(c.isalpha() for c in core) or sum(c.isdigit() for c in core) >= DIGITS
+    """Words with a letter or a digit."""
+    return any(c.isalnum() for c in core)
 
 
 def words_of(text: str, base: list[tuple[str, int, int]]) -> tuple[list[str], list[tuple[int, int]]]:
@@ -134,27 +136,35 @@ def term_hash(term: str) -> int:
 
 
 def holders(docs: DataFrame, text_col: str) -> DataFrame:
-    """entities, terms (hashes): the distinct ones of each document that holds an entity."""
+    """row_tag, entities, terms (hashes): the distinct ones of each document that holds an entity."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             found = []
-            for text in (t.as_py() or "" for t in whole.column(0)):
+            for tag, text in zip(whole.column(0).to_pylist(), (t.as_py() or "" for t in whole.column(1))):
                 if base := entities(text):
                     own = {term_hash(f"{k}:{text[a:b].lower()}") for k, a, b in base}
-                    found.append((sorted(own), sorted(map(term_hash, set(words_of(text, base)[0])))))
-            yield pa.record_batch([pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.int64()))], names=["entities", "terms"])
+                    found.append((tag, sorted(own), sorted(map(term_hash, set(words_of(text, base)[0])))))
+            lists = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in (1, 2)]
+            yield pa.record_batch([pa.array([x[0] for x in found], pa.int64()), *lists], names=["row_tag", "entities", "terms"])
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "entities array<long>, terms array<long>")
+    given = docs.select(F.monotonically_increasing_id().alias("row_tag"), F.col(text_col).cast("string").alias("text"))
+    return given.mapInArrow(run, "row_tag long, entities array<long>, terms array<long>")
 
 
-def sketch(terms: DataFrame) -> bytes:
-    """A bitmap, of one size whatever the corpus, in which the place of each term is set. Other terms can share it."""
-    bits = np.zeros(SKETCH, dtype=bool)
-    for r in terms.select(F.pmod("term", F.lit(SKETCH)).cast("int").alias("place")).distinct().toLocalIterator():
-        bits[r["place"]] = True
-    return np.packbits(bits).tobytes()
+def sketch(terms: DataFrame) -> np.ndarray:
+    """A bitmap in which the place of each term is set; other terms can share it. Its size follows the number of terms, up
+    to MOST_BITS; it comes to the driver in pieces of 65,536 bits."""
+    size = LEAST_BITS
+    while size < min(MOST_BITS, BITS_A_TERM * terms.count()):
+        size *= 2
+    bits = np.zeros(size, dtype=bool)
+    place = F.pmod("term", F.lit(size))
+    pieces = terms.groupBy(F.shiftright(place, 16).alias("piece")).agg(F.collect_set(place.bitwiseAND(F.lit(0xFFFF)).cast("int")).alias("places"))
+    for r in pieces.toLocalIterator():
+        bits[(r["piece"] << 16) + np.array(r["places"])] = True
+    return np.packbits(bits)
 
 
 @dataclass
@@ -203,9 +213,9 @@ def starts_of(texts: pa.Array, row: np.ndarray) -> np.ndarray:
     return points[np.flatnonzero(first)] - points[offsets[row]]
 
 
-def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, carry: list[Column] = ()) -> DataFrame:
-    """row_tag, doc_id, base (the entities' spans), near (every word of the text that the bitmap may hold, outside of
-    the entities), and what is carried."""
+def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: np.ndarray, carry: list[Column] = ()) -> DataFrame:
+    """row_tag, doc_id, base (the entities' spans), near (words that may be disclosing terms, outside of the entities: all
+    of a text with an entity, and those of other texts that the bitmap may hold), and what is carried."""
     small_batches(docs.sparkSession)
     given = docs.select(F.monotonically_increasing_id().alias("row_tag"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
     extra = given.schema.fields[3:]
@@ -215,13 +225,15 @@ def detect(docs: DataFrame, id_col: str, text_col: str, bitmap: bytes, carry: li
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        size, bits = 8 * len(shared.value), shared.value  # packed as it is: a task holds no more
         for whole in batches:
             for at, n in slices(whole.column(2)):
                 batch = whole.slice(at, n)
                 bases = [entities(t.as_py() or "") for t in batch.column(2)]
                 words = Words.of(batch.column(2))
-                some = np.flatnonzero(bits[words.hashes % SKETCH])
+                place = words.hashes % size
+                inside = np.array([bool(found) for found in bases], dtype=bool)[words.row]
+                some = np.flatnonzero(inside | (bits[place >> 3] >> (7 - (place & 7)) & 1).astype(bool))
                 start, end = words.spans(some)
                 free = outside(words.row[some], start, end, bases)
                 row, fields = words.row[some][free], [words.hashes[some], start, end]
@@ -259,20 +271,28 @@ def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def disclosing(held: DataFrame, counts: DataFrame, n_docs: int) -> DataFrame:
-    """term, share: the terms at or above the lower threshold, with their largest share. held: the stored result of
-    holders; counts: of document_counts.
+    """term, chance (the largest, of an entity given the term), elsewhere (whether a document without any entity has the
+    term): the terms at or above the lower threshold. held: the stored result of holders; counts: of document_counts.
 
-    The chance that a document with the term holds the entity is estimated as if PRIOR more documents had the term and
-    the entity were in them at random. So no pair is left out, and those seen once or twice count for less.
+    No pair is left out that can reach the threshold. It takes t + 1 <= 2 * (et + 1), and et is e at most, so of each
+    document only the terms that are rare enough for its entities are paired with them. Entities that no other document
+    has are alike, with one and the same e and et, and are one entity here. What is left is joined by document.
     """
-    pairs = held.select(F.explode("entities").alias("entity"), "terms").select("entity", F.explode("terms").alias("term"))
-    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("et"))
-    having = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("e"))
-    rated = joint.join(having, "entity").join(counts, "term").where(F.col("e") < n_docs)
-    at_random = F.col("e") / F.lit(float(n_docs))
-    chance = (F.col("et") + PRIOR * at_random) / (F.col("t") + PRIOR)
-    share = F.log(chance / at_random) / -F.log(at_random)
-    return rated.select("term", share.alias("share")).where(F.col("share") >= GENERALISE).groupBy("term").agg(F.max("share").alias("share"))
+    own = held.select("row_tag", F.explode("entities").alias("entity"))
+    having = own.groupBy("entity").agg(F.count(F.lit(1)).alias("e")).where(F.col("e") < n_docs)
+    own = own.join(having, "entity")
+    single = F.when(F.col("e") > 1, F.col("entity"))  # null for those of one document
+    own = store(own.groupBy("row_tag", single.alias("entity")).agg(F.first("e").alias("e")), "pii-entities")
+    most = own.groupBy("row_tag").agg(F.max("e").alias("most"))
+    terms = held.select("row_tag", F.explode("terms").alias("term")).join(counts, "term")
+    rare = store(terms.join(most, "row_tag").where(F.col("t") <= 2 * F.col("most") + 1).select("row_tag", "term", "t"), "pii-rare")
+    holding = rare.groupBy("term").agg(F.count(F.lit(1)).alias("h"), F.first("t").alias("t"))
+    # of entities with one document each, a term's pairs are alike, and et is 1 in all of them
+    joint = rare.join(own, "row_tag").groupBy("entity", "term").agg(F.first("e").alias("e"), F.first("t").alias("t"), F.count(F.lit(1)).alias("_n"))
+    joint = joint.withColumn("et", F.when(F.col("entity").isNull(), F.lit(1)).otherwise(F.col("_n")))
+    chance = (F.col("et") + F.col("e") / F.lit(float(n_docs))) / (F.col("t") + 1)
+    told = joint.where(F.col("et") >= COVER * F.col("e")).select("term", chance.alias("chance")).where(F.col("chance") >= GENERALISE)
+    return told.groupBy("term").agg(F.max("chance").alias("chance")).join(holding, "term").select("term", "chance", (F.col("t") > F.col("h")).alias("elsewhere"))
 
 
 def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] = ()) -> DataFrame:
@@ -284,10 +304,10 @@ def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     rows.
     """
     held = store(holders(docs, text_col), "pii-holders")
-    shares = store(disclosing(held, document_counts(docs, text_col), docs.count()), "pii-shares")
-    found = store(detect(docs, id_col, text_col, sketch(shares), carry), "pii-found")
+    shares = store(disclosing(held, document_counts(docs, text_col), docs.count()), "pii-disclosing")
+    found = store(detect(docs, id_col, text_col, sketch(shares.where("elsewhere")), carry), "pii-found")
     at = found.select("row_tag", F.explode("near").alias("near")).select("row_tag", "near.*").join(shares, "term")
-    spans = at.groupBy("row_tag").agg(F.sort_array(F.collect_list(F.struct("start", "end", (F.col("share") >= REMOVE).alias("removed")))).alias("terms"))
+    spans = at.groupBy("row_tag").agg(F.sort_array(F.collect_list(F.struct("start", "end", (F.col("chance") >= REMOVE).alias("removed")))).alias("terms"))
     return found.drop("near").join(spans, "row_tag", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start: long, end: long, removed: boolean>>"))).drop("row_tag")
 
 
