@@ -46,14 +46,25 @@ def ranked_within(df: DataFrame, keys: list[str], order: list[str], name: str, p
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("_place") - F.col("_first")).alias(name))
 
 
-def running(df: DataFrame, order: list[str], value: str, name: str, parts: int | None = None) -> DataFrame:
-    """df, stored, with the sum of value over all rows before each, in the given order. Ranges of the order are summed up
-    by themselves, and each is shifted by the sum of those before it."""
+def running(df: DataFrame, order: list[str], sums: dict[str, str], parts: int | None = None) -> DataFrame:
+    """df, stored, with sums over all rows before each, in the given order: sums has the new column's name for each column
+    that is summed. Ranges of the order are summed up by themselves, and each is shifted by the sums of those before."""
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = store(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "running")
     placed = placed.withColumn("_part", F.shiftright("_at", ROW_BITS))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = placed.groupBy("_part").agg(F.sum(value).alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    totals = placed.groupBy("_part").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    shifts = totals.select("_part", *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums])
     within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    own = F.coalesce(F.sum(value).over(within), F.lit(0))
-    return placed.withColumn(name, own).join(F.broadcast(shifts), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_at", "_part", "_before")
+    own = placed.withColumns({name: F.coalesce(F.sum(c).over(within), F.lit(0)) for c, name in sums.items()})
+    out = own.join(F.broadcast(shifts), "_part").withColumns({name: F.col(name) + F.col(f"_before_{c}") for c, name in sums.items()})
+    return out.select(*df.columns, *sums.values())
+
+
+def running_within(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], parts: int | None = None) -> DataFrame:
+    """df with sums over the rows of the same keys before each. A key may hold any number of rows: sums run over all rows,
+    and what stands before a key's first row is taken off. Values must not be negative, nor keys null."""
+    all_ = running(df, [*keys, *order], sums, parts)
+    firsts = all_.groupBy(*keys).agg(*[F.min(name).alias(f"_first_{name}") for name in sums.values()])
+    out = all_.join(firsts, keys).withColumns({name: F.col(name) - F.col(f"_first_{name}") for name in sums.values()})
+    return out.select(*df.columns, *sums.values())

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import difflib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bilinea.functions.ranks import running_within
 from bilinea.functions.schemas import HUNK
+from bilinea.functions.storage import store
 from bilinea.functions.text import SPACE_CHARS, without_spaces
 from bilinea.operators.replies import aligned_text
 
 HUNKS = f"array<struct<{', '.join(f'{n}: {t}' for n, t in (x.split() for x in HUNK.split(', ')))}>>"
 #: Characters of context on either side of a hunk, and the length from which a replacement is left to people; fixed values.
 CONTEXT, COMPLEX = 20, 4
+#: Characters of a bin in which records and hunks meet.
+WIDTH = 4_096
 
 
 def hunks_of(original: str, aligned: str) -> list[dict]:
@@ -97,69 +101,98 @@ def is_fixable(h: Column) -> Column:
     return (h["tag"] == "replace") & (F.length(h["orig_chunk"]) < COMPLEX) & (F.length(h["aligned_chunk"]) < COMPLEX)
 
 
-def corrected(contents: list[str | None], hunks: list[dict]) -> tuple[list[str | None], list[str], int]:
-    """The contents with each hunk's original characters in place of the aligned ones, a log line per hunk, and how many
-    were applied.
+def patched(index: int, content: str, start: int, hunks: list[dict]) -> tuple[str, list[str], int]:
+    """A record's content with each hunk's original characters in place of the aligned ones, a log line for each, and how
+    many were applied.
 
-    A hunk belongs to the record in whose range of white-space-free characters, as they were at first, it starts. Its
-    characters are looked up in the record as it is by then: after a correction that changed the length, later ones of
-    the record can miss; they are skipped if a character is not what it should be.
+    index: the record's place in its chapter; start: the chapter's white-space-free characters before it; hunks: those that
+    start within it, in order. A hunk's characters are looked up in the record as it is by then: after a correction that
+    changed the length, later ones can miss; they are skipped if a character is not what it should be.
     """
-    contents, log, applied = list(contents), [], 0
-    bare = [sum(ch not in SPACE_CHARS for ch in c or "") for c in contents]
-    ends = np.cumsum(bare)
-    for h in sorted(hunks, key=lambda h: h["aligned_start"]):
-        i = int(np.searchsorted(ends, h["aligned_start"], side="right"))
-        if i == len(contents):
-            break
-        now, wrong, right = contents[i], h["aligned_chunk"], h["orig_chunk"]
-        visible = [k for k, ch in enumerate(now) if ch not in SPACE_CHARS]
-        offset = h["aligned_start"] - int(ends[i]) + bare[i]
+    log, applied = [], 0
+    for h in hunks:
+        wrong, right = h["aligned_chunk"], h["orig_chunk"]
+        visible = [k for k, ch in enumerate(content) if ch not in SPACE_CHARS]
+        offset = h["aligned_start"] - start
         places = visible[offset : offset + len(wrong)]
         if len(places) < len(wrong):
-            log.append(f"  record[{i}]: 归一化偏移越界，跳过")
+            log.append(f"  record[{index}]: 归一化偏移越界，跳过")
             continue
-        missed = next(((k, ch) for k, ch in zip(places, wrong) if now[k] != ch), None)
+        missed = next(((k, ch) for k, ch in zip(places, wrong) if content[k] != ch), None)
         if missed:
-            log.append(f"  record[{i}]: 位置 {missed[0]} 预期 `{missed[1]}` 实际 `{now[missed[0]]}`，整处跳过")
+            log.append(f"  record[{index}]: 位置 {missed[0]} 预期 `{missed[1]}` 实际 `{content[missed[0]]}`，整处跳过")
             continue
         gone = set(places)
-        contents[i] = now[: places[0]] + right + "".join(ch for k, ch in enumerate(now[places[0] :], places[0]) if k not in gone)
-        log.append(f"  record[{i}] 位置 {places}: `{wrong}` → `{right}`")
+        content = content[: places[0]] + right + "".join(ch for k, ch in enumerate(content[places[0] :], places[0]) if k not in gone)
+        log.append(f"  record[{index}] 位置 {places}: `{wrong}` → `{right}`")
         applied += 1
-    return contents, log, applied
+    return content, log, applied
 
 
-def auto_correct(records: DataFrame, diffs: DataFrame, keys: list[str] = ("corpus", "chapter")) -> DataFrame:
-    """keys, seqs, contents, fixed_log, skipped_log, n_fixable, n_applied: a row per chapter.
+def owned_hunks(records: DataFrame, hunks: DataFrame, keys: list[str], width: int = WIDTH) -> DataFrame:
+    """keys, seq, index, start, hunk: the record in whose range of white-space-free characters each hunk starts. records:
+    keys, seq, content; hunks: keys, hunk.
 
-    records: keys, seq, content. diffs: keys, hunks. Null contents stay null. fixed_log opens with the number of hunks
-    that are fixable, which is not the number applied; skipped_log lists the others. A chapter whose texts were not
-    compared is left as it is. A chapter's records meet in one row, as its prompt and reply did.
+    Where records start is a running sum over their lengths, counted by ranges of records. Records and hunks meet by
+    chapter and bin of characters, so neither is gathered by chapter.
     """
-    rows = records.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "content"))).alias("r"))
-    rows = rows.join(diffs.select(*keys, "hunks"), list(keys), "left").withColumn("hunks", F.coalesce("hunks", F.array().cast(HUNKS)))
-    skipped = F.filter("hunks", lambda h: ~is_fixable(h))
-    told = F.transform(skipped, lambda h: F.format_string("  tag=%s 对齐[%d:%d] 原文片段=`%s` 对齐片段=`%s`", h["tag"], h["aligned_start"], h["aligned_end"], h["orig_chunk"], h["aligned_chunk"]))
-    skipped_log = F.concat(F.array(F.format_string("跳过 %d 处复杂差异（需人工检查）：", F.size(skipped))), told)
-    given = rows.select(*keys, F.transform("r", lambda x: x["seq"]).alias("seqs"), F.transform("r", lambda x: x["content"]).alias("contents"), F.filter("hunks", is_fixable).alias("fixable"), skipped_log.alias("skipped_log"))
-    fields = ", ".join(f"`{k}` {given.schema[k].dataType.simpleString()}" for k in keys)
+    size = F.length(without_spaces(F.coalesce("content", F.lit("")))).cast("long")
+    sized = records.select(*keys, "seq", size.alias("size"), F.lit(1).cast("long").alias("one"))
+    placed = running_within(sized, list(keys), ["seq"], {"size": "start", "one": "index"}).where("size > 0")
+    span = F.sequence(F.floor(F.col("start") / width), F.floor((F.col("start") + F.col("size") - 1) / width))
+    pieces = placed.select(*keys, "seq", "index", "start", "size", F.explode(span).alias("bin"))
+    at = F.col("hunk.aligned_start")
+    met = hunks.withColumn("bin", F.floor(at / width)).join(pieces, [*keys, "bin"])
+    return met.where((at >= F.col("start")) & (at < F.col("start") + F.col("size"))).select(*keys, "seq", "index", "start", "hunk")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = [corrected(c, h) for c, h in zip(batch["contents"], batch["fixable"])]
-            counts = [len(h) for h in batch["fixable"]]
-            logs = [[f"自动修正 {n} 处差异：", *log] for n, (_, log, _) in zip(counts, done)]
-            yield batch[[*keys, "seqs", "skipped_log"]].assign(contents=[d[0] for d in done], fixed_log=logs, n_fixable=counts, n_applied=[d[2] for d in done])
 
-    seq = given.schema["seqs"].dataType.simpleString()
-    return given.mapInPandas(run, f"{fields}, seqs {seq}, skipped_log array<string>, contents array<string>, fixed_log array<string>, n_fixable int, n_applied int")
+@dataclass
+class Corrections:
+    """chapters: keys, fixed_log, skipped_log, n_fixable, n_applied; records: keys, seq, content of those changed or tried."""
 
+    chapters: DataFrame
+    records: DataFrame
 
-def corrected_records(records: DataFrame, corrections: DataFrame, keys: list[str] = ("corpus", "chapter")) -> DataFrame:
-    """records with the corrected contents."""
-    new = corrections.select(*keys, F.inline(F.arrays_zip(F.col("seqs").alias("seq"), F.col("contents").alias("content"))))
-    return records.drop("content").join(new, [*keys, "seq"]).select(*records.columns)
+
+def auto_correct(records: DataFrame, diffs: DataFrame, keys: list[str] = ("corpus", "chapter"), width: int = WIDTH) -> Corrections:
+    """Small replacements put right.
+
+    records: keys, seq, content. diffs: keys, hunks. fixed_log opens with the number of hunks that are fixable, which is not
+    the number applied, and has a line for each that belongs to a record; skipped_log lists the others. A chapter whose
+    texts were not compared is left as it is. Only records that a fixable hunk starts in go to the helper, each by itself;
+    what is gathered by chapter are the lines of its log.
+    """
+    keys = list(keys)
+    known = diffs.select(*keys, F.coalesce("hunks", F.array().cast(HUNKS)).alias("hunks"))
+    fixable = known.select(*keys, F.explode(F.filter("hunks", is_fixable)).alias("hunk"))
+    owned = owned_hunks(records, fixable, keys, width).groupBy(*keys, "seq", "index", "start").agg(F.array_sort(F.collect_list(F.struct(F.col("hunk.aligned_start").alias("at"), "hunk"))).alias("own"))
+    given = owned.join(records.select(*keys, "seq", "content"), [*keys, "seq"]).select(*keys, "seq", "index", "content", "start", F.transform("own", lambda x: x["hunk"]).alias("hunks"))
+    fields = ", ".join(f"`{k}` {given.schema[k].dataType.simpleString()}" for k in [*keys, "seq"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = [patched(i, c, s, list(h)) for i, c, s, h in zip(batch["index"], batch["content"], batch["start"], batch["hunks"])]
+            at = [[h["aligned_start"] for h in own] for own in batch["hunks"]]
+            yield batch[[*keys, "seq"]].assign(content=[d[0] for d in done], at=at, log=[d[1] for d in done], applied=[d[2] for d in done])
+
+    changed = store(given.mapInPandas(run, f"{fields}, content string, at array<int>, log array<string>, applied int"), "corrected")
+    lines = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("at", "log")))).alias("lines")
+    told = changed.groupBy(*keys).agg(lines, F.sum("applied").cast("int").alias("n_applied"))
+    skipped = F.filter("hunks", lambda h: ~is_fixable(h))
+    shown = F.transform(skipped, lambda h: F.format_string("  tag=%s 对齐[%d:%d] 原文片段=`%s` 对齐片段=`%s`", h["tag"], h["aligned_start"], h["aligned_end"], h["orig_chunk"], h["aligned_chunk"]))
+    chapters = records.select(*keys).distinct().join(known, keys, "left").withColumn("hunks", F.coalesce("hunks", F.array().cast(HUNKS)))
+    n = F.size(F.filter("hunks", is_fixable))
+    chapters = chapters.select(*keys, n.alias("n_fixable"), F.concat(F.array(F.format_string("跳过 %d 处复杂差异（需人工检查）：", F.size(skipped))), shown).alias("skipped_log")).join(told, keys, "left")
+    log = F.concat(F.array(F.format_string("自动修正 %d 处差异：", F.col("n_fixable"))), F.coalesce(F.transform("lines", lambda x: x["log"]), F.array().cast("array<string>")))
+    chapters = chapters.select(*keys, log.alias("fixed_log"), "skipped_log", "n_fixable", F.coalesce("n_applied", F.lit(0)).alias("n_applied"))
+    return Corrections(chapters, changed.select(*keys, "seq", "content"))
+
+
+def corrected_records(records: DataFrame, corrections: Corrections, keys: list[str] = ("corpus", "chapter")) -> DataFrame:
+    """records with the corrected contents; those that no hunk starts in stay as they are, null ones too."""
+    new = corrections.records.select(*keys, "seq", F.struct(F.col("content").alias("text")).alias("_new"))
+    content = F.when(F.col("_new").isNotNull(), F.col("_new.text")).otherwise(F.col("content")).alias("content")
+    return records.join(new, [*keys, "seq"], "left").select(*[content if c == "content" else F.col(c) for c in records.columns])
 
 
 def recheck(records: DataFrame, chunks: DataFrame, keys: list[str] = ("corpus", "chapter"), most_chars: int | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ def chapter_sentences(chapters: DataFrame, sentences: DataFrame, keys: list[str]
     keys = list(keys)
     bin_of = lambda c: F.floor(F.col(c) / width).alias("bin")
     counts = sentences.groupBy("book", "paragraph").agg(F.count(F.lit(1)).alias("n")).select("book", bin_of("paragraph"), "paragraph", "n")
-    bins = store(running(counts.groupBy("book", "bin").agg(F.sum("n").alias("n")), ["book", "bin"], "n", "before"), "sentence-bins").select("book", "bin", "before")
+    bins = store(running(counts.groupBy("book", "bin").agg(F.sum("n").alias("n")), ["book", "bin"], {"n": "before"}), "sentence-bins").select("book", "bin", "before")
     earlier = Window.partitionBy("book", "bin").orderBy("paragraph").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(bins, ["book", "bin"]).select("book", "bin", "paragraph", (F.col("first") + F.col("before")).alias("first"))
 

@@ -157,7 +157,7 @@ WITH {LINES}, g AS (SELECT DISTINCT o, CAST(floor((n - 1) / 2.0) AS BIGINT) AS p
 SELECT 'c' || o AS corpus, lpad(p::VARCHAR, 4, '0') || '.txt' AS file, 'T' || o || '.' || CASE WHEN p < 2 THEN '[[' || r_name || '#w]]' ELSE 'w' END || ' end' AS text, CASE WHEN p < 2 THEN 1 ELSE 0 END AS notes, 0 AS locals
 FROM g LEFT JOIN region ON r_regionkey = p""",
         "w_align": f"""
-WITH {TURNS}, x AS (SELECT conv_id, count(*) AS n, sum(length(text) + 2) + count(*) - 1 AS chars, count(*) FILTER (seq = 1) AS firsts FROM t WHERE seq < 10 GROUP BY 1)
+WITH {TURNS}, x AS (SELECT conv_id, count(*) AS n, sum(length(text) + 2) + count(*) - 1 AS chars, count(*) FILTER (seq = 1) AS firsts FROM t GROUP BY 1)
 SELECT conv_id::VARCHAR AS chapter, CASE WHEN conv_id % 3 = 0 THEN 'no_reply' ELSE 'ok' END AS status, CASE WHEN conv_id % 3 > 0 THEN CAST(n AS INT) END AS sentences, CASE WHEN conv_id % 3 > 0 THEN 0 END AS nulls,
   CASE WHEN conv_id % 3 > 0 THEN CAST(chars AS INT) END AS chars, CASE conv_id % 3 WHEN 1 THEN CAST(firsts AS INT) WHEN 2 THEN 0 END AS hunks, CASE WHEN conv_id % 3 > 0 THEN 0 END AS hunks_left FROM x""",
         "a6_cursor_start": f"""

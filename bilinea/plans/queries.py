@@ -360,9 +360,9 @@ def f4_f5_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = chunks(rows)
     records = rows.select("conv_id", "seq", F.when((F.col("seq") % 2 == 1) & (F.length(without_spaces(F.col("text"))) > 0), altered(F.regexp_replace("text", r"[ \n\t\r]+", ""))).otherwise(F.col("text")).alias("content"))
     before = store(diff.recheck(records, whole, CONV), "before")
-    fixed = store(diff.auto_correct(records, before, CONV), "fixed")
+    fixed = diff.auto_correct(records, before, CONV)
     after = diff.recheck(diff.corrected_records(records, fixed, CONV), whole, CONV)
-    counts = fixed.select("conv_id", "n_fixable", "n_applied").join(after.select("conv_id", "hunks_left", "aligned_norm"), CONV)
+    counts = fixed.chapters.select("conv_id", "n_fixable", "n_applied").join(after.select("conv_id", "hunks_left", "aligned_norm"), CONV)
     return counts.select("conv_id", "n_fixable", "n_applied", "hunks_left", F.md5("aligned_norm").alias("text_md5"))
 
 
@@ -537,7 +537,7 @@ def w_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as chapters. A third has no reply; in another third the reply has a mark for the middle character of
     the first turn, which is put right."""
-    rows = store(turns(spark, sf_dir).where("seq < 10").withColumn("text", F.concat(F.lit("t "), "text")), "turns")
+    rows = store(turns(spark, sf_dir).withColumn("text", F.concat(F.lit("t "), "text")), "turns")
     corpus, chapter = F.lit("c").alias("corpus"), F.col("conv_id").cast("string").alias("chapter")
     chapters = rows.select(corpus, chapter, F.col("conv_id").alias("pos"), F.col("conv_id").cast("int").alias("para_start"), F.col("conv_id").cast("int").alias("para_end")).distinct()
     sentences = rows.select(F.col("conv_id").alias("id"), F.lit(1).alias("book"), F.col("conv_id").cast("int").alias("paragraph"), F.col("seq").alias("word_begin"), F.col("seq").alias("word_end"), F.col("role").alias("text"))

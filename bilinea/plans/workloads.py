@@ -62,7 +62,7 @@ def align(chapters: DataFrame, chunks: DataFrame, sentences: DataFrame, stream:
     events = replies.stream_events(stream)
     slots = store(replies.fill_slots(own.join(sound, KEYS, "left_semi"), replies.stream_lines(events)), "slots")
     before = store(diff.recheck(slots, chunks, most_chars=most_chars), "before")
-    fixed = store(diff.auto_correct(slots, before), "fixed")
+    fixed = diff.auto_correct(slots, before)
     records = diff.corrected_records(slots, fixed)
     after = store(diff.recheck(records, chunks, most_chars=most_chars), "after")
     status = status.join(after.where("diff_status = 'too_long'").select(*KEYS, F.lit("not_compared").alias("_open")), KEYS, "left")
@@ -70,7 +70,7 @@ def align(chapters: DataFrame, chunks: DataFrame, sentences: DataFrame, stream:
     usage = replies.stream_usage(events)
     metrics = summary.chapter_metrics(records, chunks, usage, before, after)
     log = lambda df, name: df.select(*KEYS, "hunks", diff.diff_log(F.col("hunks"), F.col("orig_norm"), F.col("aligned_norm")).alias(name))
-    told = metrics.drop("hunks", "hunks_left").join(log(before, "log"), KEYS).join(log(after, "log_left").drop("hunks"), KEYS).join(fixed.select(*KEYS, "fixed_log", "skipped_log"), KEYS)
+    told = metrics.drop("hunks", "hunks_left").join(log(before, "log"), KEYS).join(log(after, "log_left").drop("hunks"), KEYS).join(fixed.chapters.select(*KEYS, "fixed_log", "skipped_log"), KEYS)
     told = told.join(usage.select(*KEYS, "total_tokens", "extra"), KEYS, "left").na.fill(0, ["total_tokens"])
     told = told.withColumns({"file": F.col("chapter"), "generated_at": now, "model": F.lit(model)})
     done = records.join(chapters.select(*KEYS, "pos"), KEYS).select("corpus", "pos", "seq", "id")

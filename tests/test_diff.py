@@ -58,12 +58,12 @@ def test_texts_that_are_not_compared_say_so(spark):
     assert got == {"1": ("too_long", True, None), "2": ("equal", False, 0), "3": ("differs", False, 1)}
     assert {r["hunks_left"] for r in diff.recheck(records, chunks).collect()} == {0, 1}
     fixed = diff.auto_correct(records, some)
-    assert {r["chapter"]: r["contents"] for r in fixed.collect()}["1"] == [text + "乙"]
+    assert {r["chapter"]: r["content"] for r in diff.corrected_records(records, fixed).collect()} == {"1": text + "乙", "2": "same", "3": "b"}
     usage = spark.createDataFrame([], "corpus string, chapter string, prompt_tokens int, completion_tokens int")
     metrics = summary.chapter_metrics(records, chunks, usage, some, some)
     assert {r["chapter"]: (r["hunks"], r["hunks_left"], r["prompt_tokens"]) for r in metrics.collect()} == {"1": (None, None, 0), "2": (0, 0, 0), "3": (1, 1, 0)}
     log = some.select("corpus", "chapter", "hunks", diff.diff_log(F.col("hunks"), F.col("orig_norm"), F.col("aligned_norm")).alias("log"))
-    told = metrics.drop("hunks").join(log, ["corpus", "chapter"]).join(fixed.select("corpus", "chapter", "fixed_log", "skipped_log"), ["corpus", "chapter"])
+    told = metrics.drop("hunks").join(log, ["corpus", "chapter"]).join(fixed.chapters.select("corpus", "chapter", "fixed_log", "skipped_log"), ["corpus", "chapter"])
     told = told.withColumns({"log_left": F.col("log"), "file": F.col("chapter"), "generated_at": F.lit("now"), "model": F.lit("m"), "total_tokens": F.lit(0), "extra": F.lit(None).cast("map<string,string>")})
     report = {r["chapter"]: r["report"] for r in reports.alignment_report(told).collect()}
     assert report["1"].count("未比对") == 2 and "✅" not in report["1"]
@@ -92,8 +92,25 @@ def hunk(start, wrong, right, tag="replace"):
         (["ab", " 　", "cd"], [hunk(9, "x", "y")], ["ab", " 　", "cd"], []),
     ],
 )
-def test_corrections(contents, hunks, expected, log):
-    assert diff.corrected(contents, hunks) == (expected, log, sum("→" in x for x in log))
+@pytest.mark.parametrize("width", [1, 2, 4096])
+def test_corrections(spark, contents, hunks, expected, log, width):
+    records = spark.createDataFrame([("c", 1, i * 3, c) for i, c in enumerate(contents)], "corpus string, chapter int, seq int, content string")
+    diffs = spark.createDataFrame([("c", 1, hunks)], f"corpus string, chapter int, hunks {diff.HUNKS}")
+    fixed = diff.auto_correct(records, diffs, width=width)
+    (row,) = fixed.chapters.collect()
+    assert row["fixed_log"] == [f"自动修正 {len(hunks)} 处差异：", *log] and row["n_applied"] == sum("→" in x for x in log) and row["n_fixable"] == len(hunks)
+    assert [r["content"] for r in diff.corrected_records(records, fixed).orderBy("seq").collect()] == expected
+
+
+def test_only_touched_records_are_patched(spark):
+    """A chapter of 20,000 records with 40 hunks: rows in Python are the records that a hunk starts in."""
+    records = spark.range(20_000).selectExpr("'c' AS corpus", "1 AS chapter", "id AS seq", "concat('r ', lpad(id, 6, '0')) AS content")
+    hunks = [hunk(7 * i * 500 + 6, str(i * 500 % 10), "X") for i in range(40)]
+    diffs = spark.createDataFrame([("c", 1, hunks)], f"corpus string, chapter int, hunks {diff.HUNKS}")
+    fixed = diff.auto_correct(records, diffs)
+    assert fixed.records.count() == 40 and fixed.chapters.first()["n_applied"] == 40
+    after = diff.corrected_records(records, fixed)
+    assert after.count() == 20_000 and {r["seq"] for r in after.where("content LIKE '%X'").collect()} == {i * 500 for i in range(40)}
 
 
 def test_correction_of_chapters(spark):
@@ -101,7 +118,7 @@ def test_correction_of_chapters(spark):
     chunks = spark.createDataFrame([("c", 1, "甲乙，\n丙XX庚"), ("c", 2, "same")], "corpus string, chapter int, text string")
     before = diff.recheck(records, chunks)
     fixed = diff.auto_correct(records, before)
-    rows = {r["chapter"]: r for r in fixed.collect()}
+    rows = {r["chapter"]: r for r in fixed.chapters.collect()}
     assert rows[1]["fixed_log"][0] == "自动修正 2 处差异：" and rows[1]["n_applied"] == 2 and rows[2]["n_fixable"] == 0
     assert rows[2]["skipped_log"] == ["跳过 0 处复杂差异（需人工检查）："]
     after = diff.corrected_records(records, fixed)

@@ -34,7 +34,9 @@ def test_a_hot_key_is_spread(spark):
 @pytest.mark.parametrize("parts", [1, 6])
 def test_running_sums(spark, parts):
     r = random.Random(parts)
-    rows = [(i * 37 % 500, r.randrange(-3, 9)) for i in range(500)]
-    got = ranks.running(spark.createDataFrame(rows, "x long, n long"), ["x"], "n", "before", parts).collect()
-    so_far = {x: sum(n for y, n in rows if y < x) for x, _ in rows}
-    assert {x["x"]: x["before"] for x in got} == so_far
+    rows = [(i * 37 % 500, r.choice("abc"), r.randrange(0, 9), 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "x long, key string, n long, one long")
+    got = {row["x"]: (row["before"], row["place"]) for row in ranks.running(df, ["x"], {"n": "before", "one": "place"}, parts).collect()}
+    assert got == {x: (sum(t[2] for t in rows if t[0] < x), x) for x, *_ in rows}
+    got = {row["x"]: row["before"] for row in ranks.running_within(df, ["key"], ["x"], {"n": "before"}, parts).collect()}
+    assert got == {x: sum(t[2] for t in rows if t[0] < x and t[1] == k) for x, k, _, _ in rows}
