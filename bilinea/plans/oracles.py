@@ -230,6 +230,7 @@ SELECT o_orderkey AS chapter, CASE WHEN o_custkey % 11 = 0 THEN 'missing_file' W
         "s1_read_pages": "SELECT 'c ' || page_id % 3 AS corpus, CASE WHEN page_id % 4 = 0 THEN 'x' ELSE '' END || page_id || '.html' AS file, CASE WHEN page_id % 4 = 0 THEN -1 ELSE page_id END AS page_no, md5(coalesce(html, '') || chr(10)) AS html_md5 FROM pages",
         "s6_read_chunks": f"WITH x AS (SELECT 'c' || page_id % 5 AS corpus, page_id || '.txt' AS file, CASE WHEN page_id % 9 = 0 THEN ' ' || chr(9) ELSE coalesce(url, '') END || chr(10) AS text FROM pages) SELECT *, CASE WHEN {STRIP % 'text'} = '' THEN 'blank_text' ELSE 'ok' END AS status FROM x",
         "s4_read_source_tables": f"WITH {LINES} SELECT CAST(o AS INT) AS book, 1 AS paragraph, o * 8 + n AS id, n AS word_begin, q AS word_end, flag AS text, max(flag) OVER (PARTITION BY o) AS whole FROM l",
+        "s4_jdbc_source_tables": f"WITH {LINES}, x AS (SELECT *, CAST(CASE WHEN o % 10 = 0 THEN o + 10000000 ELSE o END AS INT) AS paragraph FROM l) SELECT 1 AS book, paragraph, o * 8 + n AS id, n AS word_begin, q AS word_end, flag AS text, max(flag) OVER (PARTITION BY o) AS whole FROM x",
         "s7_k5_corpus_meta": """
 WITH x AS (SELECT n_name AS corpus, n_nationkey + 100 AS book_id, n_nationkey % 4 AS n_digits FROM nation)
 SELECT corpus, book_id, CASE WHEN book_id % 3 > 0 THEN 1 END AS chapter_start, CASE WHEN book_id % 3 > 0 THEN 99 END AS chapter_end, n_digits, CASE WHEN book_id % 3 > 0 THEN 0 END AS para_start, CASE WHEN book_id % 3 > 0 THEN 0 END AS para_end FROM x""",

@@ -3,6 +3,7 @@ input from them with Spark expressions; oracles.py says the same in SQL."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -502,6 +503,18 @@ def s4_read_source_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.join(texts.withColumnRenamed("text", "whole"), ["book", "paragraph"])
 
 
+def s4_jdbc_source_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both source tables written to a database and read back in parts: sentences with their paragraph's text. Orders are
+    paragraphs of one book, with a large gap, so that equal ranges of numbers would not be equal shares."""
+    url, options = f"jdbc:derby:memory:bilinea_{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    key = F.when(F.col("o") % 10 == 0, F.col("o") + 10_000_000).otherwise(F.col("o")).cast("int")
+    rows = store(lines(spark, sf_dir).select(F.lit(1).alias("book"), key.alias("paragraph"), "o", "n", "q", "flag"), "lines")
+    rows.groupBy("book", "paragraph").agg(F.max("flag").alias("text")).write.jdbc(url, "pali_texts", properties=options)
+    rows.select((F.col("o") * 8 + F.col("n")).alias("id"), "book", "paragraph", F.col("n").alias("word_begin"), F.col("q").alias("word_end"), F.col("flag").alias("text")).write.jdbc(url, "pali_sentences", properties=options)
+    texts, sentences = readers.read_source_tables(spark, url, options)
+    return sentences.join(texts.withColumnRenamed("text", "whole"), ["book", "paragraph"])
+
+
 def s7_k5_corpus_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A meta object for two corpora of three, written and read back; the third is known from the configuration alone."""
     path, key = new_path(spark, "meta"), F.col("n_nationkey")
@@ -556,7 +569,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     a1_trailing_char_profile, a1_profile_totals, a3_aligned_text, a4_build_prompts, a5_chapter_metrics, a6_cursor_start, a7_backfill_meta, a8_glossary_totals,
     chapter_states, f1_match_pages, f1_source_books, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_a6_f1_resumed_stream, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
     k1_write_chunks, k2_para_map_round_trip, k2_s2_para_map, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
-    p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_read_pages, s2_last_wins, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
+    p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_read_pages, s2_last_wins, s4_jdbc_source_tables, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
 )
 
 

@@ -13,6 +13,9 @@ from bilinea.functions.text import is_blank, page_number, strip
 #: What cuts lines besides \n, \r and \r\n if lines are to be cut everywhere that Unicode has them end; fixed values.
 MORE_LINE_ENDS = r"\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}"
 
+#: Stretches of a database table that are counted to part it.
+BINS = 1_024
+
 
 def decoded(name: Column) -> Column:
     """A name out of a file path, whose odd characters Spark gives as %XX."""
@@ -83,16 +86,54 @@ def read_glossary(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & ~is_blank(F.col("pali_word"))).groupBy("id").agg(F.max_by("pali_word", "at").alias("pali_word"))
 
 
-def read_source_tables(spark: SparkSession, location: str, jdbc: dict[str, str] | None = None, paragraphs: tuple[int, int] = (1, 100_000), parts: int = 16) -> tuple[DataFrame, DataFrame]:
+def jdbc_ranges(spark: SparkSession, url: str, table: str, options: dict[str, str], column: str, parts: int) -> list[str]:
+    """Conditions that part a table's rows into about equal shares by ranges of a whole number. The database counts: what
+    comes to the driver are its ends, and counts of at most BINS stretches between them; a stretch with half a share or
+    more is counted again in as many, so that gaps between numbers make no difference."""
+    ask = lambda query: spark.read.jdbc(url, f"({query}) q", properties=options)
+    # as the database spells and quotes it
+    spelled = next(c for c in spark.read.jdbc(url, table, properties=options).columns if c.lower() == column.lower())
+    column = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(spelled)
+
+    def counted(low: int, high: int) -> list[tuple[int, int, int]]:
+        """(first, last, rows) of the stretches from low to high that have rows, in order."""
+        width = -(-(high - low + 1) // BINS)
+        inner = f"SELECT FLOOR(({column} - ({low})) / {width}) AS bin FROM {table} WHERE {column} BETWEEN {low} AND {high}"
+        rows = ask(f"SELECT bin, COUNT(*) AS n FROM ({inner}) b GROUP BY bin").collect()
+        return sorted((low + int(r[0]) * width, min(high, low + int(r[0]) * width + width - 1), int(r[1])) for r in rows)
+
+    low, high, n = ask(f"SELECT MIN({column}) AS low_end, MAX({column}) AS high_end, COUNT(*) AS n FROM {table}").first()
+    if low is None:
+        return ["1 = 1"]
+    stretches, share = counted(int(low), int(high)), n / parts
+    while heavy := [s for s in stretches if s[2] > share / 2 and s[1] > s[0]]:
+        stretches = sorted([s for s in stretches if s not in heavy] + [t for a, b, _ in heavy for t in counted(a, b)])
+    cuts, so_far = [], 0
+    for first, _, here in stretches:
+        # a stretch across a share's end goes to the side that most of it is on
+        if so_far and len(cuts) < parts - 1 and so_far + here / 2 >= share * (len(cuts) + 1):
+            cuts.append(first)
+        so_far += here
+    edges = [None, *cuts, None]
+    out = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        bounds = [f"{column} >= {a}"] * (a is not None) + [f"{column} < {b}"] * (b is not None)
+        out.append(" AND ".join(bounds) or "1 = 1")
+    out[0] = f"({out[0]}) OR {column} IS NULL"  # rows without a number are nobody else's
+    return out
+
+
+def read_source_tables(spark: SparkSession, location: str, jdbc: dict[str, str] | None = None, parts: int = 16) -> tuple[DataFrame, DataFrame]:
     """The tables pali_texts and pali_sentences, from Parquet below location, or with jdbc (its options) from the database
-    at that URL, read in parts by paragraph number."""
+    at that URL. A database is read in parts by ranges of paragraph numbers with about as many rows each."""
 
     def one(name: str, schema: str) -> DataFrame:
         columns = [f.name for f in T.StructType.fromDDL(schema).fields]
         if jdbc is None:
             return spark.read.schema(schema).parquet(f"{location}/{name}")
-        low, high = paragraphs
-        return spark.read.jdbc(location, name, column="paragraph", lowerBound=low, upperBound=high, numPartitions=parts, properties=jdbc).select(*columns)
+        found = spark.read.jdbc(location, name, predicates=jdbc_ranges(spark, location, name, jdbc, "paragraph", parts), properties=jdbc)
+        types = {f.name: f.dataType for f in T.StructType.fromDDL(schema).fields}
+        return found.select(*[F.col(c).cast(types[c]).alias(c) for c in columns])
 
     return one("pali_texts", schemas.PARAGRAPH), one("pali_sentences", schemas.SENTENCE)
 
