@@ -228,6 +228,11 @@ SELECT o_orderkey AS chapter, CASE WHEN o_custkey % 11 = 0 THEN 'missing_file' W
         "k1_write_chunks": "SELECT doc_id || '.txt' AS file, lang AS corpus, md5(CASE WHEN lang IN ('de', 'fr') THEN 'new ' || text ELSE text END) AS text_md5 FROM documents WHERE lang NOT IN ('de', 'fr') OR text IS NOT NULL",
         "k2_s2_para_map": "SELECT o_orderpriority AS corpus, o_orderkey || '.html' AS html, CAST(o_custkey AS INT) AS para_start, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE CAST(o_custkey + 3 AS INT) END AS para_end, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS pos FROM orders",
         "s1_read_pages": "SELECT 'c ' || page_id % 3 AS corpus, CASE WHEN page_id % 4 = 0 THEN 'x' ELSE '' END || page_id || '.html' AS file, CASE WHEN page_id % 4 = 0 THEN -1 ELSE page_id END AS page_no, md5(coalesce(html, '') || chr(10)) AS html_md5 FROM pages",
+        "k2_committed_runs": "SELECT o_orderpriority AS corpus, o_orderkey || '.html' AS html, CAST(o_custkey AS INT) AS para_start, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE CAST(o_custkey + 3 AS INT) END AS para_end, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS pos FROM orders",
+        "s1_compacted_pages": """
+WITH x AS (SELECT page_id, page_id % 4 = 0 OR page_id % 5 = 0 AS later, coalesce(html, '') AS html FROM pages)
+SELECT 'c ' || page_id % 3 AS corpus, page_id || '.html' AS file, page_id AS page_no, md5(CASE WHEN later THEN 'new ' ELSE '' END || html || chr(10)) AS html_md5,
+  (SELECT count(*) FILTER (page_id % 4 > 0) FROM x) AS first_run, (SELECT count(*) FILTER (later) FROM x) AS second_run, 0 AS third_run FROM x""",
         "s6_read_chunks": f"WITH x AS (SELECT 'c' || page_id % 5 AS corpus, page_id || '.txt' AS file, CASE WHEN page_id % 9 = 0 THEN ' ' || chr(9) ELSE coalesce(url, '') END || chr(10) AS text FROM pages) SELECT *, CASE WHEN {STRIP % 'text'} = '' THEN 'blank_text' ELSE 'ok' END AS status FROM x",
         "s4_read_source_tables": f"WITH {LINES} SELECT CAST(o AS INT) AS book, 1 AS paragraph, o * 8 + n AS id, n AS word_begin, q AS word_end, flag AS text, max(flag) OVER (PARTITION BY o) AS whole FROM l",
         "s4_jdbc_source_tables": f"WITH {LINES}, x AS (SELECT *, CAST(CASE WHEN o % 10 = 0 THEN o + 10000000 ELSE o END AS INT) AS paragraph FROM l) SELECT 1 AS book, paragraph, o * 8 + n AS id, n AS word_begin, q AS word_end, flag AS text, max(flag) OVER (PARTITION BY o) AS whole FROM x",

@@ -14,7 +14,7 @@ from bilinea.functions.storage import new_path, store
 from bilinea.functions.text import is_blank, normalize_head, ordered_join, page_number, record_id, split_record_id, strip, without_spaces
 from bilinea.operators import diff, glossary, pages, paragraphs, profile, replies, reports, split, summary
 from bilinea.plans import workloads
-from bilinea.sources import readers, writers
+from bilinea.sources import compaction, readers, writers
 from bilinea.streaming import locate
 
 KEY = ["doc_id"]
@@ -466,6 +466,20 @@ def s1_read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_pages(spark, path).select("corpus", "file", "page_no", F.md5("html").alias("html_md5"))
 
 
+def s1_compacted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as files and compacted; then every fifth is written anew and some more are added, and the second run
+    reads these alone."""
+    path, key = new_path(spark, "pages"), F.col("page_id")
+    some = table(spark, sf_dir, "pages").select("page_id", cat("c ", key % 3).alias("corpus"), cat(key, ".html").alias("file"), F.coalesce("html", F.lit("")).alias("html"))
+    writers.export_chunks(some.where(key % 4 > 0), f"{path}/files", "html")
+    first = compaction.compact_pages(spark, f"{path}/files", f"{path}/table")
+    writers.export_chunks(some.where((key % 4 == 0) | (key % 5 == 0)).withColumn("html", cat("new ", F.col("html"))), f"{path}/files", "html", keep=True)
+    second = compaction.compact_pages(spark, f"{path}/files", f"{path}/table")
+    third = compaction.compact_pages(spark, f"{path}/files", f"{path}/table")
+    found = compaction.read_compacted(spark, f"{path}/table")
+    return found.select("corpus", "file", "page_no", F.md5("html").alias("html_md5"), F.lit(first).alias("first_run"), F.lit(second).alias("second_run"), F.lit(third).alias("third_run"))
+
+
 def s6_read_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts exported as files and read back with their status; every ninth is blank."""
     path, key = new_path(spark, "texts"), F.col("page_id")
@@ -493,6 +507,20 @@ def k2_s2_para_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_para_map(spark, path, files="*.json")
 
 
+def k2_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map rows of two runs. The second one fails once, half written, and comes again, and both are asked for once more:
+    only what was committed counts, and once."""
+    path = new_path(spark, "map")
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(F.col("o_orderpriority").alias("corpus"), cat(F.col("o_orderkey"), ".html").alias("html"), F.col("o_orderkey").alias("pos"), F.col("o_custkey").cast("int").alias("para_start"), (F.col("o_custkey") + 3).cast("int").alias("para_end"))
+    second = rows.where("pos % 3 = 0").withColumn("para_end", F.lit(-1))
+    writers.write_run(rows, path, "first")
+    writers.write_para_map_rows(second.where("pos % 2 = 0").withColumn("para_end", F.lit(-9)), f"{path}/run=second", "html", "overwrite")  # no commit
+    for name, own in (("second", second), ("first", rows), ("second", second)):
+        writers.write_run(own, path, name)
+    return readers.read_runs(spark, path)
+
+
 def s4_read_source_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both source tables written as Parquet, with a column more, and read back: sentences with their paragraph's text."""
     path, rows = new_path(spark, "source"), store(lines(spark, sf_dir), "lines")
@@ -568,8 +596,8 @@ def w_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     a1_trailing_char_profile, a1_profile_totals, a3_aligned_text, a4_build_prompts, a5_chapter_metrics, a6_cursor_start, a7_backfill_meta, a8_glossary_totals,
     chapter_states, f1_match_pages, f1_source_books, f2_diff_hunks, f3_diff_log, f4_f5_correct, f6_proportional_split, j3_chapter_sentences, j5_a6_f1_resumed_stream, j5_pending_pages, j6_missing_sources, j7_verify_heads, j8_merge_summary,
-    k1_write_chunks, k2_para_map_round_trip, k2_s2_para_map, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
-    p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_read_pages, s2_last_wins, s4_jdbc_source_tables, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
+    k1_write_chunks, k2_committed_runs, k2_para_map_round_trip, k2_s2_para_map, k3_aligned_round_trip, k4_s3_glossary_round_trip, k5_summary_round_trip, p1_url_manifest, p2_page_number_filter, p3_ordinal_filter, p4_extract_section, p5_j1_j2_a2_annotate, p6_local_notes, p7_p8_normalize, p9_p10_glossary, p11_glossary_failures,
+    p12_retarget, p13_reply_stream, p13_reply_usage, p14_j4_fill_slots, p15_record_ids, r1_alignment_report, r2_glossary_report, s1_compacted_pages, s1_read_pages, s2_last_wins, s4_jdbc_source_tables, s4_read_source_tables, s5_read_aligned, s6_read_chunks, s7_k5_corpus_meta, w_align, w_annotate, w_locate,
 )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,8 @@ from bilinea.functions.text import is_blank, page_number, strip
 #: What cuts lines besides \n, \r and \r\n if lines are to be cut everywhere that Unicode has them end; fixed values.
 MORE_LINE_ENDS = r"\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}"
 
+#: The folder of a map's committed runs: readers of data pass over names that begin like this.
+COMMITTED = "_committed"
 #: Stretches of a database table that are counted to part it.
 BINS = 1_024
 
@@ -26,16 +29,20 @@ def path_part(path: Column, pattern: str) -> Column:
     return decoded(F.regexp_extract(path, pattern, 1))
 
 
-def whole_files(spark: SparkSession, glob: str, ending: str) -> DataFrame:
-    """corpus (the folder), file (its name), value (its text): for files that are one value each, named corpus/file, or
-    corpus=.../file=.../part-... as export_chunks writes them."""
+def named_by_path(ending: str) -> list[Column]:
+    """corpus (the folder) and file (its name) of a file's path corpus/file, or corpus=.../file=.../part-... as
+    export_chunks writes them."""
     path, part = F.col("_metadata.file_path"), "(?:/part-[^/]*)?$"
     corpus, file = path_part(path, rf"([^/]*)/[^/]*{ending}{part}"), path_part(path, rf"([^/]*{ending}){part}")
-    plain = lambda c, name: F.regexp_replace(c, f"^{name}=", "").alias(name)
-    return spark.read.text(glob, wholetext=True).select(plain(corpus, "corpus"), plain(file, "file"), "value")
+    return [F.regexp_replace(c, f"^{name}=", "").alias(name) for c, name in ((corpus, "corpus"), (file, "file"))]
+
+
+def whole_files(spark: SparkSession, glob: str, ending: str) -> DataFrame:
+    """corpus, file, value (its text): for files that are one value each."""
+    return spark.read.text(glob, wholetext=True).select(*named_by_path(ending), "value")
 
 
-def numbered_lines(spark: SparkSession, glob: str, every_line_end: bool = False) -> DataFrame:
+def numbered_lines(spark: SparkSession, glob: str | list[str], every_line_end: bool = False) -> DataFrame:
     """path, changed, line_no (from 0 in each file), line: files are read in blocks, by many tasks; blank lines are left
     out but counted. every_line_end also cuts at the rarer Unicode line ends.
 
@@ -69,6 +76,30 @@ def read_para_map(spark: SparkSession, root: str, corpus: str = "*", key: str =
     return last_wins(rows.select("corpus", F.col(f"r.{key}").alias(key), "r.para_start", "r.para_end", "line_no"), key)
 
 
+def committed_runs(spark: SparkSession, path: str) -> list[str]:
+    """The names of a map's committed runs, in order: a name for each time that pages were located."""
+    try:
+        found = spark.read.schema("run string, place long").json(f"{path}/{COMMITTED}/*")
+        return [r["run"] for r in found.orderBy("place").collect()]
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return []
+
+
+def read_runs(spark: SparkSession, path: str, key: str = "html") -> DataFrame:
+    """corpus, key, para_start, para_end, pos: the map that write_run wrote, of committed runs alone, in their order."""
+    runs = committed_runs(spark, path)
+    if not runs:
+        return spark.createDataFrame([], f"corpus string, `{key}` string, para_start int, para_end int, pos long")
+    lines = numbered_lines(spark, [f"{path}/run={run}/*/*.json" for run in runs])
+    name = path_part(F.col("path"), "/run=([^/]*)/[^/]*/[^/]*$")
+    at = F.struct(F.array_position(F.array(*map(F.lit, runs)), name).alias("run"), "path", "line_no").alias("line_no")
+    corpus = F.regexp_replace(path_part(F.col("path"), "([^/]*)/[^/]*$"), "^corpus=", "").alias("corpus")
+    rows = lines.select(corpus, at, F.from_json(strip(F.col("line")), f"`{key}` string, para_start int, para_end int").alias("r"))
+    return last_wins(rows.select("corpus", F.col(f"r.{key}").alias(key), "r.para_start", "r.para_end", "line_no"), key)
+
+
 def last_wins(rows: DataFrame, key: str) -> DataFrame:
     """One row for each corpus and key: the values of the last line, the place of the first. Places are counted by ranges
     of all lines, so that a corpus may be of any size."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bilinea.operators.glossary import in_order
+from bilinea.sources.readers import COMMITTED, committed_runs
 
 #: The summary's headings, in order, over our column names.
 SUMMARY_HEADINGS = {
@@ -27,17 +28,36 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("corpus").parquet(path)
 
 
-def export_chunks(chunks: DataFrame, path: str, text: str = "text") -> None:
-    """The texts as text files, a folder for each corpus and chapter: for people, and for splitting by hand."""
-    chunks.select("corpus", "file", text).write.mode("overwrite").partitionBy("corpus", "file").text(path)
+def export_chunks(chunks: DataFrame, path: str, text: str = "text", keep: bool = False) -> None:
+    """The texts as text files, a folder for each corpus and chapter: for people, and for splitting by hand. keep: chapters
+    that are not written stay."""
+    out = chunks.select("corpus", "file", text).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep else "static")
+    out.partitionBy("corpus", "file").text(path)
 
 
 def write_para_map(para_map: DataFrame, path: str, key: str = "html") -> None:
     """Appends map rows as JSON lines, in page order: each file of a run holds a range of it, in the order of their
     names, so no task writes more than its share however long a corpus's map is."""
+    write_para_map_rows(para_map, path, key, "append")
+
+
+def write_para_map_rows(para_map: DataFrame, path: str, key: str, mode: str) -> None:
     order = [c for c in ("page_pos", "pos", key) if c in para_map.columns][:1]
     rows = para_map.repartitionByRange("corpus", *order).sortWithinPartitions("corpus", *order)
-    rows.select("corpus", key, "para_start", "para_end").write.mode("append").option("ignoreNullFields", "false").partitionBy("corpus").json(path)
+    rows.select("corpus", key, "para_start", "para_end").write.mode(mode).option("ignoreNullFields", "false").partitionBy("corpus").json(path)
+
+
+def write_run(para_map: DataFrame, path: str, run: str, key: str = "html") -> bool:
+    """Appends map rows as the run of that name; whether it did. The rows go to a folder of the run, and a line in a folder
+    of committed runs makes them count. A run that failed on the way left nothing that counts, and is written over when
+    it comes again; one that is committed already changes nothing. Of committed runs a later one follows an earlier one."""
+    spark = para_map.sparkSession
+    done = committed_runs(spark, path)
+    if run in done:
+        return False
+    write_para_map_rows(para_map, f"{path}/run={run}", key, "overwrite")
+    spark.createDataFrame([(run, len(done))], "run string, place long").coalesce(1).write.mode("overwrite").json(f"{path}/{COMMITTED}/{run}")
+    return True
 
 
 def write_aligned(records: DataFrame, path: str) -> None:
