@@ -6,9 +6,11 @@ score is the sum of the log-probabilities of all its words, each given its neigh
 What is gathered from the corpus grows with it: Spark counts all words, and windows, a word between its two neighbours.
 The most frequent words are the network's tokens; other words share a token with those of their shape, and pay for their
 spelling besides, so no word is free. The network's probability is the prior of a window's own counts: a word that stands
-elsewhere between the same neighbours is likely there, as the occurrence that is scored is left out. Windows are counted
-in all documents for one in MEMORY pairs of neighbours, the same ones everywhere; between others the network decides
-alone, as it does for all that the counts do not know.
+elsewhere between the same neighbours is likely there, as the occurrence that is scored is left out. Windows of every
+pair of neighbours are counted, in all documents; where the counts know nothing the network decides alone. They are
+counted in sorted, compact filters (bilinea/llm/quotient.py): documents are cut into shards of about a million words, each
+counts its own windows, filters are merged slice by slice, and what comes back to a shard is two small numbers for each
+of its windows, in their order.
 
 The network is learned from all texts. Documents are dealt to replicas by a hash, not by how the input happens to be
 cut; each replica trains on all its words from the same start, and Spark averages the replicas by the words they saw.
@@ -23,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bilinea.llm.common import slices, small_batches, store
+from bilinea.llm.quotient import Filter, firsts, merged, planes, squeeze, unplanes, unsqueeze
 
 #: The network's tokens: CLASSES classes of as many. The most frequent words have a token each; all other words share
 #: those of the last class by their shape.
@@ -39,8 +43,13 @@ PAD = SIZE
 CONTEXT, HIDDEN = (-2, -1, 1, 2), 16
 #: Tokens in a step of training, the step length, and the words of a replica, about.
 BATCH, RATE, REPLICA = 8192, 0.15, 1_000_000
-#: What the network's probability counts for beside a window's counts, and of how many contexts one is counted, by hash.
-PRIOR, MEMORY = 2.0, 8
+#: What the network's probability counts for beside a window's counts.
+PRIOR = 2.0
+#: Bits by which windows know their pair of neighbours; 32 more tell the word between them. Two of the 10^13 pairs of 100 TB
+#: are mistaken for one about once in 450.
+CONTEXT_BITS = 52
+#: Words of a shard, and windows of a slice, about; slices are two to this power at least.
+SHARD, SLICE, SLICE_BITS = 1 << 20, 1 << 20, 4
 #: The sign before a word's first byte and after its last, among the bytes.
 EDGE = 256
 SIGNS = EDGE + 1
@@ -185,24 +194,29 @@ def spelled(found: pa.Array) -> np.ndarray:
 @dataclass
 class Model:
     """frequent: words with a token of their own. weights: the network's. pairs: log-probability of each pair of bytes,
-    given the first, in the other words. shares: log of the part that each shape has of their occurrences. windows: of
-    each context that occurs twice or more, how often it does, and each word in it."""
+    given the first, in the other words. shares: log of the part that each shape has of their occurrences. windows: the
+    filters of the corpus by slice, counted when they are read, and into how many bits of slices they are cut."""
 
     frequent: list[str]
     weights: np.ndarray
     pairs: np.ndarray
     shares: np.ndarray
     windows: DataFrame | None = None
+    slice_bits: int = SLICE_BITS
 
 
 def tokens(texts: pa.Array, frequent: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray, np.ndarray]:
     """The words, coded; the token of each, its context (4, n), and its row."""
     found, row = split(texts)
     coded = found.dictionary_encode()
+    token = token_of(coded, frequent)
+    return coded, token, contexts(token, row), row
+
+
+def token_of(coded: pa.DictionaryArray, frequent: pa.Array) -> np.ndarray:
     ids = np.asarray(pc.fill_null(pc.index_in(coded.dictionary, value_set=frequent), -1))
     ids = np.where(ids < 0, FREQUENT + shapes(coded.dictionary), ids)
-    token = ids[np.asarray(coded.indices)].astype(np.intp) if len(found) else np.zeros(0, np.intp)
-    return coded, token, contexts(token, row), row
+    return ids[np.asarray(coded.indices)].astype(np.intp) if len(coded) else np.zeros(0, np.intp)
 
 
 def contexts(token: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -217,15 +231,13 @@ def beside(values: np.ndarray, row: np.ndarray, d: int, beyond) -> np.ndarray:
     return out
 
 
-def window_keys(coded: pa.DictionaryArray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which words stand in a context that is counted, and of these: a 64-bit number for the pair of words on both sides,
-    and one for the pair with the word itself."""
-    own = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64)
-    own = own[np.asarray(coded.indices)] if len(own) else own
+def window_filter(own: np.ndarray, row: np.ndarray) -> tuple[Filter, np.ndarray]:
+    """The filter of all windows of some texts and the place of each word's window in it. own: a hash of each word; row: the
+    text of each."""
     mix = lambda x, y: (x * np.uint64(0x9E3779B97F4A7C15) ^ (x >> np.uint64(29))) + y * np.uint64(0xC2B2AE3D27D4EB4F)
     context = mix(beside(own, row, -1, 0), beside(own, row, 1, 0))
-    some = np.flatnonzero((context >> np.uint64(32)) % np.uint64(MEMORY) == 0)
-    return some, context[some].view(np.int64), mix(context[some], own[some]).view(np.int64)
+    context = (context ^ (context >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)  # its leading bits part the slices
+    return Filter.of(context >> np.uint64(64 - CONTEXT_BITS), mix(context, own) >> np.uint64(32), CONTEXT_BITS, even=True)
 
 
 def unknown(coded: pa.DictionaryArray, token: np.ndarray, model: Model) -> np.ndarray:
@@ -261,21 +273,115 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def window_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """context, window, n, total: how often each word stands in each counted context, and how often the context occurs.
-    Contexts that occur once say nothing of any other occurrence and are left out."""
+class Shard:
+    """Documents as numbers of their words."""
+
+    def __init__(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.ids: list[pa.Array] = []
+        self.sizes: list[np.ndarray] = []
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, ids: pa.Array, texts: pa.Array) -> None:
+        found, row = split(texts)
+        coded = found.dictionary_encode()
+        numbers = np.array([self.codes.setdefault(w, len(self.codes)) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+        self.parts.append(numbers[np.asarray(coded.indices)] if len(found) else numbers)
+        self.sizes.append(np.bincount(row, minlength=len(texts)))
+        self.ids.append(ids)
+        self.size += len(found)
+
+    def row(self, number: int) -> pa.RecordBatch:
+        """Words are numbered anew, the frequent ones first."""
+        codes, words = np.concatenate(self.parts), list(self.codes)
+        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        again = np.empty(len(words), dtype=np.int64)
+        again[order] = np.arange(len(words))
+        listed = pa.array(words, pa.string()).take(pa.array(order))
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        sizes = pa.array(np.concatenate(self.sizes).astype(np.int32))
+        return pa.record_batch([pa.array([number]), one(pa.concat_arrays(self.ids)), one(sizes), pa.array([squeeze(planes(again[codes]))], pa.binary()), one(listed)], names=["shard", "ids", "sizes", "codes", "words"])
+
+
+def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """shard, ids and sizes (of its documents, in words), codes (of all their words, one after the other), words."""
+    small_batches(docs.sparkSession)
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in each_slice(batches, 0):
-            found, row = split(batch.column(0))
-            _, context, window = window_keys(found.dictionary_encode(), row)
-            once, first, n = np.unique(window, return_index=True, return_counts=True)
-            yield pa.record_batch([pa.array(context[first]), pa.array(once), pa.array(n)], names=["context", "window", "n"])
+        shard, number = Shard(), TaskContext.get().partitionId() << 32
+        for part in each_slice(batches, 1):
+            shard.add(part.column(0), part.column(1))
+            if shard.size >= SHARD:
+                yield shard.row(number)
+                shard, number = Shard(), number + 1
+        if shard.ids:
+            yield shard.row(number)
+
+    return given.mapInArrow(run, f"shard long, ids array<{given.schema['doc_id'].dataType.simpleString()}>, sizes array<int>, codes binary, words array<string>")
 
-    each = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "context long, window long, n long")
-    counts = store(each.groupBy("context", "window").agg(F.sum("n").alias("n")), "lm-windows")
-    totals = counts.groupBy("context").agg(F.sum("n").alias("total")).where("total > 1")
-    return counts.join(totals, "context").select("context", "window", "n", "total")
+
+def opened(sizes: pa.ListScalar, codes: bytes, words: pa.ListScalar) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of a shard, coded, and the row of each."""
+    numbers = unplanes(unsqueeze(codes))[0].astype(np.int32)
+    coded = pa.DictionaryArray.from_arrays(pa.array(numbers), words.values)
+    n = np.asarray(sizes.values)
+    return coded, np.repeat(np.arange(len(n)), n)
+
+
+def hashed(coded: pa.DictionaryArray) -> np.ndarray:
+    own = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64)
+    return own[np.asarray(coded.indices)] if len(own) else own
+
+
+def filters(parts: DataFrame, slice_bits: int, counts: bool) -> DataFrame:
+    """shard, slice, counts, filter: the windows of each shard, slice by slice."""
+    schema = pa.schema([("shard", pa.int64()), ("slice", pa.int32()), ("counts", pa.bool_()), ("filter", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, sizes, codes, words in zip(*batch.columns):
+                coded, row = opened(sizes, codes.as_py(), words)
+                found, _ = window_filter(hashed(coded), row)
+                edges = found.slices(slice_bits)
+                there = np.flatnonzero(np.diff(edges)).tolist()
+                cut = [found.packed(slice_bits, int(edges[s]), int(edges[s + 1])) for s in there]
+                yield pa.record_batch([pa.array([shard.as_py()] * len(there), pa.int64()), pa.array(there, pa.int32()), pa.array([counts] * len(there), pa.bool_()), pa.array(cut, pa.binary())], schema=schema)
+
+    return parts.select("shard", "sizes", "codes", "words").mapInArrow(run, "shard long, slice int, counts boolean, filter binary")
+
+
+def counted(cut: DataFrame, slice_bits: int, own: bool) -> DataFrame:
+    """shard, slice, counts: for each window of a shard's slice, in order, how often it is counted and how often its context.
+    own: the shards' windows are those that are counted; otherwise those of the rows that say so, which get no answer."""
+    out = pa.schema([("shard", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+
+    def together(slice_: int, rows: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
+        each = [Filter.unpacked(data, slice_bits, slice_) for _, _, data in rows]
+        for (_, counts, _), f in zip(rows, each):
+            f.counts = f.counts if counts else np.zeros_like(f.counts)
+        total, places = merged(each)
+        first = firsts(total.left, np.zeros_like(total.left))
+        sums = np.repeat(np.add.reduceat(total.counts, first), np.diff(np.append(first, len(total.left)))) if len(first) else total.counts
+        asked = [k for k, (_, counts, _) in enumerate(rows) if own or not counts]
+        answers = [squeeze(planes(total.counts[places[k]]) + planes(sums[places[k]])) for k in asked]
+        return pa.record_batch([pa.array([rows[k][0] for k in asked], pa.int64()), pa.array([slice_] * len(asked), pa.int32()), pa.array(answers, pa.binary())], schema=out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
+        for batch in batches:
+            for shard, slice_, counts, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if slice_ != now and rows:
+                    yield together(now, rows)
+                    rows = []
+                now = slice_
+                rows.append((shard, counts, data))
+        if rows:
+            yield together(now, rows)
+
+    sliced = cut.repartition(1 << slice_bits, "slice").sortWithinPartitions("slice", "counts", "shard")
+    return sliced.mapInArrow(run, "shard long, slice int, counts binary")
 
 
 def spelling(words: DataFrame, frequent: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -339,32 +445,9 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Mo
     flat = Network().flat.astype(np.float64)
     for r in mean.collect():
         flat[r["place"]] = r["value"]
-    return Model(frequent, flat, pairs, shares, store(window_counts(docs, text_col), "lm-contexts"))
-
-
-def network_scores(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
-    """row_tag, doc_id, n_tokens, alone (the sum of log-probabilities of the words in contexts that are not counted), and
-    of each other word: context, window, log_prob by the network."""
-    small_batches(docs.sparkSession)
-    given = docs.select(F.monotonically_increasing_id().alias("row_tag"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = Model(model.frequent, model.weights, model.pairs, model.shares)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, network = pa.array(known.frequent, pa.string()), Network(known.weights)
-        for batch in each_slice(batches, 2):
-            coded, token, context, row = tokens(batch.column(2), frequent)
-            found = [network.log_prob(context[:, a : a + 4 * BATCH], token[a : a + 4 * BATCH]) for a in range(0, len(token), 4 * BATCH)]
-            logp = np.concatenate([np.zeros(0), *found]) + unknown(coded, token, known)
-            some, *keys = window_keys(coded, row)
-            n, alone = np.bincount(row, minlength=batch.num_rows), logp.copy()
-            alone[some] = 0
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row[some], minlength=batch.num_rows))]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(c)) for c in (*keys, logp[some].astype(np.float32))]
-            alone = pa.array(np.bincount(row, alone, minlength=batch.num_rows).astype(float))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), alone, *lists], names=["row_tag", "doc_id", "n_tokens", "alone", "context", "window", "log_prob"])
-
-    id_type = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"row_tag long, doc_id {id_type}, n_tokens long, alone double, context array<long>, window array<long>, log_prob array<float>")
+    slice_bits = max(SLICE_BITS, (int(total) // SLICE).bit_length())
+    # not stored: who scores the documents of the model counts their windows there
+    return Model(frequent, flat, pairs, shares, filters(shards(docs, id_col, text_col), slice_bits, True), slice_bits)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", seen: bool = True) -> DataFrame:
@@ -374,12 +457,32 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Texts that are null or have no word have no tokens and null scores. Repeated rows are scored each; other columns are
     not read; an empty table gives no rows.
     """
-    found = store(network_scores(docs, model, id_col, text_col), "lm-scores")
-    each = found.select("row_tag", F.explode(F.arrays_zip("context", "window", "log_prob")).alias("w")).select("row_tag", "w.*")
-    own = 1 if seen else 0
-    at = each.join(model.windows, ["context", "window"], "left")
-    counted = F.log((F.greatest(F.col("n") - own, F.lit(0)) + PRIOR * F.exp("log_prob")) / (F.greatest(F.col("total") - own, F.lit(0)) + PRIOR))
-    sums = at.groupBy("row_tag").agg(F.sum(F.coalesce(counted, "log_prob")).alias("counted"))
-    out = found.select("row_tag", "doc_id", "n_tokens", "alone").join(sums, "row_tag", "left")
-    total = F.when(F.col("n_tokens") > 0, F.col("alone") + F.coalesce("counted", F.lit(0.0))).alias("log_prob")
-    return out.select("doc_id", "n_tokens", total).withColumn("mean_log_prob", F.col("log_prob") / F.col("n_tokens"))
+    parts, bits = store(shards(docs, id_col, text_col), "lm-shards"), model.slice_bits
+    cut = filters(parts, bits, seen)
+    told = store(counted(cut if seen else cut.unionByName(model.windows), bits, seen), "lm-counts")
+    answers = told.groupBy("shard").agg(F.collect_list(F.struct("slice", "counts")).alias("answers"))  # a shard's slices
+    known, less = Model(model.frequent, model.weights, model.pairs, model.shares), 1 if seen else 0
+    id_type = parts.schema["ids"].dataType.elementType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, network = pa.array(known.frequent, pa.string()), Network(known.weights)
+        for batch in batches:
+            for ids, sizes, codes, words, own in zip(*batch.columns):
+                coded, row = opened(sizes, codes.as_py(), words)
+                found, place = window_filter(hashed(coded), row)
+                edges, n, total = found.slices(bits), np.zeros(len(found.left)), np.zeros(len(found.left))
+                for s, data in zip(own.values.field(0).to_pylist(), own.values.field(1).to_pylist()) if own.is_valid else ():
+                    data = unsqueeze(data)
+                    n[edges[s] : edges[s + 1]], after = unplanes(data)
+                    total[edges[s] : edges[s + 1]] = unplanes(data, after)[0]
+                token = token_of(coded, frequent)
+                context = contexts(token, row)
+                logp = [network.log_prob(context[:, a : a + 4 * BATCH], token[a : a + 4 * BATCH]) for a in range(0, len(token), 4 * BATCH)]
+                logp = np.concatenate([np.zeros(0), *logp]) + unknown(coded, token, known)
+                logp = np.log((np.maximum(n[place] - less, 0) + PRIOR * np.exp(logp)) / (np.maximum(total[place] - less, 0) + PRIOR))
+                sums = np.bincount(row, logp, minlength=len(ids.values)).astype(float)
+                yield pa.record_batch([ids.values, pa.array(np.asarray(sizes.values).astype(np.int64)), pa.array(sums)], names=["doc_id", "n_tokens", "log_prob"])
+
+    found = parts.join(answers, "shard", "left").select("ids", "sizes", "codes", "words", "answers").mapInArrow(run, f"doc_id {id_type}, n_tokens long, log_prob double")
+    some = F.when(F.col("n_tokens") > 0, F.col("log_prob")).alias("log_prob")
+    return found.select("doc_id", "n_tokens", some).withColumn("mean_log_prob", F.col("log_prob") / F.col("n_tokens"))

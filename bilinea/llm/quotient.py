@@ -84,9 +84,10 @@ class Filter:
     bits: int
 
     @classmethod
-    def of(cls, left: np.ndarray, right: np.ndarray, bits: int) -> tuple[Filter, np.ndarray]:
-        """The filter of phrases as they stand, with repetitions, and each one's place in it."""
-        left, right = permute(left, right, bits)
+    def of(cls, left: np.ndarray, right: np.ndarray, bits: int, even: bool = False) -> tuple[Filter, np.ndarray]:
+        """The filter of phrases as they stand, with repetitions, and each one's place in it. even: they are spread evenly
+        as they are, hashes for one, and stay so."""
+        left, right = (left, right) if even else permute(left, right, bits)
         order = order_of(left, right, bits)
         first = firsts(left[order], right[order])
         counts = np.diff(np.append(first, len(order)))

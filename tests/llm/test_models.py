@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pytest
 from bilinea.llm import langid, lm
 from pyspark.sql import functions as F
 
@@ -76,12 +76,6 @@ def slow_network(weights, context, target):
     return log_softmax(w["class_w"], w["class_b"], kind) + log_softmax(w["token_w"][kind], w["token_b"][kind], inside)
 
 
-def slow_counted(left, right):
-    """Whether windows between these neighbours are counted."""
-    x, y = (0 if w is None else xxhash.xxh64_intdigest(w) for w in (left, right))
-    return (((x * 0x9E3779B97F4A7C15 % 2**64 ^ x >> 29) + y * 0xC2B2AE3D27D4EB4F) % 2**64 >> 32) % 8 == 0
-
-
 def slow_scores(texts, model):
     """Each text's score, word by word, with all counts taken anew."""
     words = [(t or "").split() for t in texts]
@@ -107,9 +101,6 @@ def slow_scores(texts, model):
                 spelled = sum(math.log((pairs[x, y] + 0.1) / (firsts[x] + 0.1 * 257)) for x, y in zip(signs(w), signs(w)[1:]))
                 logp += min(0, spelled - math.log((shapes[slow_shape(w)] + 0.1) / (rare.total() + 0.1 * 32)))
             context = at(ws, i - 1), at(ws, i + 1)
-            if not slow_counted(*context):
-                total += logp
-                continue
             n, others = windows[*context, w] - 1, contexts[context] - 1
             total += math.log((n + 2 * math.exp(logp)) / (others + 2)) if others else logp
         out.append(total if ws else None)
@@ -131,6 +122,16 @@ def test_scores_match_a_slow_scorer(spark):
         assert expected is None or math.isclose(score, expected, rel_tol=1e-3, abs_tol=1e-2), (text, score, expected)
 
 
+@pytest.mark.parametrize("shard, slices", [(200, 2), (1, 0)])
+def test_shards_and_slices_of_any_size_give_the_same_scores(spark, monkeypatch, shard, slices):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").where("doc_id < 60")
+    one = {r["doc_id"]: r["log_prob"] for r in lm.score(docs, lm.learn(docs)).collect()}
+    monkeypatch.setattr(lm, "SHARD", shard)
+    monkeypatch.setattr(lm, "SLICE_BITS", slices)
+    other = {r["doc_id"]: r["log_prob"] for r in lm.score(docs, lm.learn(docs)).collect()}
+    assert one.keys() == other.keys() and all(math.isclose(one[d], other[d], rel_tol=1e-4) for d in one if one[d] is not None)
+
+
 def test_text_beats_its_shuffle_and_random_letters(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
     model = lm.learn(docs.where("doc_id % 5 <> 0"))
