@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bilinea.functions.text import ordered_join
+from bilinea.functions.ranks import ranked
 
 
 def joined(*parts: Column | str) -> Column:
@@ -67,13 +67,15 @@ def alignment_report(chapters: DataFrame, keys: list[str] = ("corpus", "chapter"
 
 
 def glossary_report(glossary: DataFrame, failures: DataFrame) -> DataFrame:
-    """One row, report: how many entries there are, and a table of those that lack a field, by source and place. Only
-    failing entries are joined into the text."""
+    """line_no, line: the report's lines, numbered from 0: how many entries there are, and a table of those that lack a
+    field, by source and place. Entries are put in order by ranges, so no task and no row holds the table; write_lines
+    writes it in parts."""
     note = F.replace(F.replace("note", F.lit("|"), F.lit("｜")), F.lit("\n"), F.lit(" "))
     line = F.concat(F.lit("| "), "source", F.lit(" | "), F.col("id").cast("string"), F.lit(" | `"), F.array_join("missing", ", "), F.lit("` | "), note, F.lit(" |"))
-    listed = failures.agg(F.count(F.lit(1)).alias("n"), ordered_join(F.struct("source", "pos"), line, "\n").alias("lines"))
-    totals = glossary.agg(F.count(F.lit(1)).alias("total")).crossJoin(F.broadcast(listed))  # one row each
-    table = F.array(F.lit("## 字段缺失详情"), F.lit(""), F.lit("| 来源文件 | id | 缺失字段 | 注释原文（前120字） |"), F.lit("|----------|----|----------|---------------------|"), F.col("lines"))
-    body = F.when(F.col("n") == 0, F.array(F.lit("✅ 全部条目均成功提取所有字段。"))).otherwise(table)
-    report = joined("# 注释提取报告", "", F.array(F.format_string("- 总条目数：%d", "total"), F.format_string("- 字段缺失条目：%d", "n")), "", body, "")
-    return totals.select(report.alias("report"))
+    totals = glossary.agg(F.count(F.lit(1)).alias("total")).crossJoin(F.broadcast(failures.agg(F.count(F.lit(1)).alias("n"))))  # one row each
+    table = [F.lit(x) for x in ("## 字段缺失详情", "", "| 来源文件 | id | 缺失字段 | 注释原文（前120字） |", "|----------|----|----------|---------------------|")]
+    opening = [F.lit("# 注释提取报告"), F.lit(""), F.format_string("- 总条目数：%d", "total"), F.format_string("- 字段缺失条目：%d", "n"), F.lit("")]
+    body = F.when(F.col("n") == 0, F.array(F.lit("✅ 全部条目均成功提取所有字段。"))).otherwise(F.array(*table))
+    head = totals.select(F.posexplode(F.concat(F.array(*opening), body)).alias("line_no", "line"))
+    rows = ranked(failures.select("source", "pos", "id", line.alias("line")), ["source", "pos", "id"], "place")
+    return head.select(F.col("line_no").cast("long"), "line").unionByName(rows.select((F.col("place") + len(opening) + len(table)).alias("line_no"), "line"))

@@ -140,7 +140,9 @@ def a8_glossary_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def r2_glossary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = glossary.extract_glossary(note_pages(spark, sf_dir)).withColumn("pos", F.col("id"))
-    return reports.glossary_report(found, glossary.glossary_failures(found))
+    path = new_path(spark, "report")
+    writers.write_lines(reports.glossary_report(found, glossary.glossary_failures(found)), path)
+    return readers.read_joined(spark, path, "report")
 
 
 # Pages

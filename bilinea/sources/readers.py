@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from bilinea.functions import schemas
 from bilinea.functions.ranks import ranked_within
-from bilinea.functions.text import is_blank, page_number, strip
+from bilinea.functions.text import is_blank, ordered_join, page_number, strip
 
 #: What cuts lines besides \n, \r and \r\n if lines are to be cut everywhere that Unicode has them end; fixed values.
 MORE_LINE_ENDS = r"\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}"
@@ -59,6 +59,12 @@ def numbered_lines(spark: SparkSession, glob: str | list[str], every_line_end: b
     return out.select("path", "changed", (F.col("before") + F.col("at") - F.col("first")).alias("line_no"), "line")
 
 
+def read_joined(spark: SparkSession, path: str, text: str) -> DataFrame:
+    """One row: the lines of all parts of a text that write_lines wrote, in order. For texts that fit into a row."""
+    place = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return spark.read.text(path).select(place.alias("place"), "value").agg(ordered_join(F.col("place"), F.concat("value", F.lit("\n"))).alias(text))
+
+
 def read_pages(spark: SparkSession, root: str, corpus: str = "*") -> DataFrame:
     """corpus, file, page_no, html: every page below root/corpus. page_no is -1 for names without a number. Many small
     files are best read once and written as Parquet."""

@@ -92,3 +92,8 @@ def write_meta(meta: DataFrame, path: str) -> None:
 def write_reports(reports: DataFrame, path: str) -> None:
     """corpus, chapter, report as text files, a folder for each chapter."""
     reports.select("corpus", "chapter", "report").write.mode("overwrite").partitionBy("corpus", "chapter").text(path)
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """line_no, line as text in parts: each file holds a range of the lines, in the order of their names."""
+    lines.repartitionByRange("line_no").sortWithinPartitions("line_no").select("line").write.mode("overwrite").text(path)

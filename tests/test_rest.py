@@ -62,9 +62,11 @@ def test_glossary(spark, tmp_path):
     failures = glossary.glossary_failures(found)
     assert [(r["id"], r["missing"]) for r in failures.orderBy("pos").collect()] == [(4, ["pali_word", "meaning"]), (3, ["pali_word", "meaning"])]
     assert {tuple(r) for r in glossary.glossary_totals(found).collect()} == {("n1.html", 5, 2), (None, 5, 2)}
-    report = reports.glossary_report(found, failures).first()["report"]
+    writers.write_lines(reports.glossary_report(found, failures).repartition(3), f"{tmp_path}/report")
+    report = readers.read_joined(spark, f"{tmp_path}/report", "report").first()["report"]
     assert report.startswith("# 注释提取报告\n\n- 总条目数：5\n- 字段缺失条目：2\n\n## 字段缺失详情\n\n| 来源文件") and report.endswith("| n1.html | 3 | `pali_word, meaning` | 南傳作「 」( ,) |\n")
-    empty = reports.glossary_report(found.limit(0), failures.limit(0)).first()["report"]
+    writers.write_lines(reports.glossary_report(found.limit(0), failures.limit(0)), f"{tmp_path}/report")
+    empty = readers.read_joined(spark, f"{tmp_path}/report", "report").first()["report"]
     assert empty == "# 注释提取报告\n\n- 总条目数：0\n- 字段缺失条目：0\n\n✅ 全部条目均成功提取所有字段。\n"
     writers.write_glossary(found, f"{tmp_path}/csv", f"{tmp_path}/json")
     words = {r["id"]: r["pali_word"] for r in readers.read_glossary(spark, f"{tmp_path}/csv").collect()}
