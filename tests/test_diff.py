@@ -126,11 +126,86 @@ def test_correction_of_chapters(spark):
     assert {r["hunks_left"] for r in diff.recheck(after, chunks).collect()} == {0}
 
 
+def proportional(text, lengths):
+    """One text for each length, with everything at hand."""
+    if not lengths:
+        return []
+    total, groups = sum(lengths), []
+    target = lambda k: len(text) * lengths[k] / total if k < len(lengths) and total else 0.0
+    for piece in split.PIECE.findall(text):
+        size = len(groups[-1]) if groups else 0
+        near = abs(size + len(piece) - target(len(groups) - 1)) <= abs(size - target(len(groups) - 1))
+        if groups and near:
+            groups[-1] += piece
+        else:
+            groups.append(piece)
+    return groups if len(groups) == len(lengths) else [text, *[None] * (len(lengths) - 1)]
+
+
+def folded(r, text, lengths):
+    """The same by the fold, given bit by bit."""
+    pieces, total = split.PIECE.findall(text), sum(lengths)
+    fold, out, a, b = split.Fold(), {}, 0, 0
+    targets = [len(text) * n / total if total else 0.0 for n in lengths]
+    while True:
+        c, d = min(len(pieces), a + r.randrange(4)), min(len(targets), b + r.randrange(4))
+        fold.add([(i, len(pieces[i])) for i in range(a, c)], targets[b:d])
+        a, b = c, d
+        for piece, group in fold.steps(a == len(pieces) and b == len(targets)):
+            out[group] = out.get(group, "") + pieces[piece]
+        if a == len(pieces) and b == len(targets):
+            break
+    return list(out.values()) if len(out) == len(lengths) else [text, *[None] * (len(lengths) - 1)]
+
+
+def test_the_fold_matches_the_plain_one():
+    r = random.Random(3)
+    assert proportional("甲乙，丙丁。戊己。", [6, 3]) == ["甲乙，丙丁。", "戊己。"] and proportional("甲乙丙丁。", [1, 1]) == ["甲乙丙丁。", None]
+    assert proportional("甲。乙。丙。", [1, 1, 1]) == ["甲。", "乙。", "丙。"] and proportional("", [3]) == [""]
+    for _ in range(3000):
+        text = "".join(r.choice("甲乙丙丁。，") for _ in range(r.randrange(30)))
+        lengths = [r.randrange(6) for _ in range(r.randrange(1, 7))]
+        assert folded(r, text, lengths) == proportional(text, lengths), (text, lengths)
+
+
+def test_chapters_are_split_as_the_plain_fold_does(spark):
+    r = random.Random(5)
+    texts = ["".join(r.choice("甲乙丙丁戊。，、") for _ in range(r.choice([0, 1, 9, 60, 400]))) for _ in range(60)] + [None]
+    slots = [[r.choice([None, "a" * r.randrange(1, 9)]) for _ in range(r.choice([1, 1, 2, 5, 30]))] for _ in texts]
+    chunks = spark.createDataFrame([("c", i, t) for i, t in enumerate(texts)] + [("d", 0, "no sentence")], "corpus string, chapter int, text string")
+    rows = [("c", i, 3 * k, s) for i, own in enumerate(slots) for k, s in enumerate(own)] + [("e", 0, 1, "no text")]
+    got = split.proportional_split(chunks, spark.createDataFrame(rows, "corpus string, chapter int, seq int, text string"))
+    expected = {(i, 3 * k): c for i, (t, own) in enumerate(zip(texts, slots)) for k, c in enumerate(proportional(t or "", [len(s or "") for s in own]))}
+    assert {(x["chapter"], x["seq"]): x["content"] for x in got.collect()} == expected
+    assert sum(c is not None for (_, k), c in expected.items() if k) > 9
+    assert split.proportional_split(chunks.limit(0), spark.createDataFrame(rows, "corpus string, chapter int, seq int, text string")).count() == 0
+
+
+def test_a_long_chapter_is_held_in_bits():
+    """300,000 pieces for 100,000 sentences in the order of the stream: what the fold holds stays small."""
+    r = random.Random(9)
+    sizes = [r.randrange(1, 20) for _ in range(300_000)]
+    lengths = [r.randrange(1, 50) for _ in range(100_000)]
+    total, chars = sum(lengths), sum(sizes)
+    rows, at, so_far = [], 0, 0.0
+    for n in lengths:
+        rows.append((so_far, 0, n * chars / total))
+        so_far += n * chars / total
+    for k, n in enumerate(sizes):
+        rows.append((at, 1, (k, n)))
+        at += n
+    rows.sort(key=lambda x: x[:2])
+    fold, held, seen = split.Fold(), 0, 0
+    for a in range(0, len(rows), 1000):
+        part = rows[a : a + 1000]
+        fold.add([x for _, kind, x in part if kind], [x for _, kind, x in part if not kind])
+        seen += sum(1 for _ in fold.steps(False))
+        held = max(held, len(fold.pieces) + len(fold.targets))
+    seen += sum(1 for _ in fold.steps(True))
+    assert seen == len(sizes) and held < 20_000
+
+
 def test_proportional_split(spark):
-    assert split.proportional("", [3]) == [""] and split.proportional("甲。", []) == []
-    assert split.proportional("甲乙，丙丁。戊己。", [6, 3]) == ["甲乙，丙丁。", "戊己。"]
-    assert split.proportional("甲乙丙丁。", [1, 1]) == ["甲乙丙丁。", None]
-    assert split.proportional("甲。乙。丙。", [1, 1, 1]) == ["甲。", "乙。", "丙。"]
     chunks = spark.createDataFrame([("c", 1, "甲。乙。"), ("c", 2, None)], "corpus string, chapter int, text string")
     sentences = spark.createDataFrame([("c", 1, 1, "a"), ("c", 1, 2, "b"), ("c", 2, 1, None), ("c", 2, 2, "x")], "corpus string, chapter int, seq int, text string")
     got = {(r["chapter"], r["seq"]): r["content"] for r in split.proportional_split(chunks, sentences).collect()}
