@@ -2,14 +2,14 @@
 
 import public_tokenizers
 import pytest
-from bilinea.llm import exact_dedup, langid, lm, mixing, packing, pii, quality, sharding, simhash, warc
+from bilinea.llm import collocations, exact_dedup, langid, lm, minhash, mixing, packing, pii, quality, runs, sharding, simhash, warc
 from pyspark.sql import functions as F
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 TEXT = " ".join(f"word{i}" for i in range(30)) + "."
 DOCS = [(1, TEXT, "en", "s", 9), (1, TEXT, "en", "s", 9), (None, TEXT, None, None, None), (None, None, None, None, None), (2, "", "fr", "s", 0), (3, "x" * 200_000, "fr", None, 9)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASH = ("digest", "row_tag", "keep_id", "row", "size", "shard", "rank", "before", "hashed", "positions", "fingerprint", "piece", "length", "base", "near", "token", "url", "html", "quality", "lang_pred", "key", "best", "_id", "_key", "_text", "_bucket", "more", "n", "shingles", "fp", "context", "window", "point", "cell", "batch", "held", "block")
+CLASH = ("digest", "row_tag", "keep_id", "row", "size", "shard", "rank", "before", "hashed", "positions", "fingerprint", "piece", "length", "base", "near", "token", "url", "html", "quality", "lang_pred", "key", "best", "_id", "_key", "_text", "_bucket", "more", "n", "shingles", "fp", "context", "window", "point", "cell", "batch", "held", "block", "post", "brief", "root", "digest_2", "w1", "f", "slice", "start", "period", "collapsed", "n_runs", "kept", "component_id", "n_shingles", "own", "side")
 
 
 def deduplicated(docs):
@@ -28,6 +28,11 @@ CASES = {
     "mixing plan": (mixing.plan, 6),
     "language": (lambda d: langid.label(d, langid.train(d)), 6),
     "scores": (lambda d: lm.score(d, lm.learn(d)), 6),
+    "minhash": (minhash.deduplicate, 4),
+    "minhash labels": (minhash.label, 6),
+    "collocations": (lambda d: collocations.collocations(d, least=2), None),
+    "runs": (runs.label, 6),
+    "collapsed": (runs.collapse, 6),
     "personal data": (pii.label, 6),
     "sanitised": (pii.sanitised, 6),
     "archives": (lambda d: warc.read(warc.write(d.select(F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html")))), 6),
@@ -41,7 +46,7 @@ def test_odd_rows(spark, name):
     got = run(docs)
     rows = got.collect()
     assert n is None or len(rows) == n
-    if name in ("quality", "exact", "simhash", "mixing"):
+    if name in ("quality", "exact", "simhash", "mixing", "minhash", "collapsed"):
         assert got.columns == docs.columns and all(r[c] == "clash" for r in rows for c in CLASH)
     assert run(docs.limit(0)).count() == 0
 
@@ -53,4 +58,4 @@ def test_a_text_of_two_megabytes(spark, name):
     assert len(text) > 2_000_000
     docs = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, TEXT, "en", "s", 9)], SCHEMA)
     rows = run(docs).collect()
-    assert name in ("packing", "mixing") or len(rows) == 2
+    assert name in ("packing", "mixing", "collocations") or len(rows) == 2
