@@ -18,6 +18,7 @@ cut; each replica trains on all its words from the same start, and Spark average
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bilinea.functions.storage import new_path
 from bilinea.llm.common import slices, small_batches, store
 from bilinea.llm.quotient import Filter, firsts, merged, planes, squeeze, unplanes, unsqueeze
 
@@ -194,14 +196,14 @@ def spelled(found: pa.Array) -> np.ndarray:
 @dataclass
 class Model:
     """frequent: words with a token of their own. weights: the network's. pairs: log-probability of each pair of bytes,
-    given the first, in the other words. shares: log of the part that each shape has of their occurrences. windows: the
-    filters of the corpus by slice, counted when they are read, and into how many bits of slices they are cut."""
+    given the first, in the other words. shares: log of the part that each shape has of their occurrences. parts: the
+    corpus in shards, whose windows are counted when documents are scored, in slices of so many bits."""
 
     frequent: list[str]
     weights: np.ndarray
     pairs: np.ndarray
     shares: np.ndarray
-    windows: DataFrame | None = None
+    parts: DataFrame | None = None
     slice_bits: int = SLICE_BITS
 
 
@@ -261,35 +263,25 @@ def each_slice(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Re
 # Spark
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """word, n: how often each word occurs in the whole corpus. Slices are counted in Python, the rest by Spark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in each_slice(batches, 0):
-            found, _ = split(batch.column(0))
-            counted = found.value_counts()
-            yield pa.record_batch([counted.field("values"), counted.field("counts")], names=["word", "n"])
-
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 class Shard:
     """Documents as numbers of their words."""
 
     def __init__(self) -> None:
         self.codes: dict[str, int] = {}
         self.ids: list[pa.Array] = []
+        self.places: list[pa.Array] = []
         self.sizes: list[np.ndarray] = []
         self.parts: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, ids: pa.Array, texts: pa.Array) -> None:
+    def add(self, ids: pa.Array, texts: pa.Array, places: pa.Array) -> None:
         found, row = split(texts)
         coded = found.dictionary_encode()
         numbers = np.array([self.codes.setdefault(w, len(self.codes)) for w in coded.dictionary.to_pylist()], dtype=np.int64)
         self.parts.append(numbers[np.asarray(coded.indices)] if len(found) else numbers)
         self.sizes.append(np.bincount(row, minlength=len(texts)))
         self.ids.append(ids)
+        self.places.append(places)
         self.size += len(found)
 
     def row(self, number: int) -> pa.RecordBatch:
@@ -298,36 +290,47 @@ class Shard:
         order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
         again = np.empty(len(words), dtype=np.int64)
         again[order] = np.arange(len(words))
-        listed = pa.array(words, pa.string()).take(pa.array(order))
+        text = b"\n".join(words[i].encode() for i in order.tolist())  # no word has a line end
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-        sizes = pa.array(np.concatenate(self.sizes).astype(np.int32))
-        return pa.record_batch([pa.array([number]), one(pa.concat_arrays(self.ids)), one(sizes), pa.array([squeeze(planes(again[codes]))], pa.binary()), one(listed)], names=["shard", "ids", "sizes", "codes", "words"])
+        sizes, whole = pa.array(np.concatenate(self.sizes).astype(np.int32)), [squeeze(planes(again[codes])), squeeze(text)]
+        return pa.record_batch([pa.array([number]), one(pa.concat_arrays(self.ids)), one(pa.concat_arrays(self.places)), one(sizes), *(pa.array([w], pa.binary()) for w in whole)], names=["shard", "ids", "places", "sizes", "codes", "words"])
 
 
 def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """shard, ids and sizes (of its documents, in words), codes (of all their words, one after the other), words."""
+    """shard, ids, places (a hash) and sizes (in words) of its documents, codes (of all their words, one after the other),
+    words."""
     small_batches(docs.sparkSession)
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    given = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("string"), text).alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = Shard(), TaskContext.get().partitionId() << 32
         for part in each_slice(batches, 1):
-            shard.add(part.column(0), part.column(1))
+            shard.add(*part.columns)
             if shard.size >= SHARD:
                 yield shard.row(number)
                 shard, number = Shard(), number + 1
         if shard.ids:
             yield shard.row(number)
 
-    return given.mapInArrow(run, f"shard long, ids array<{given.schema['doc_id'].dataType.simpleString()}>, sizes array<int>, codes binary, words array<string>")
+    return given.mapInArrow(run, f"shard long, ids array<{given.schema['doc_id'].dataType.simpleString()}>, places array<long>, sizes array<int>, codes binary, words binary")
+
 
+def store_by_shard(parts: DataFrame) -> DataFrame:
+    """The shards, stored in buckets, so that what comes back to a shard is joined to it and the shard itself stays."""
+    spark = parts.sparkSession
+    n, path = int(spark.conf.get("spark.sql.shuffle.partitions")), new_path(spark, "lm-shards")
+    name = f"lm_shards_{uuid.uuid4().hex}"
+    parts.write.bucketBy(n, "shard").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
-def opened(sizes: pa.ListScalar, codes: bytes, words: pa.ListScalar) -> tuple[pa.DictionaryArray, np.ndarray]:
+
+def opened(sizes: pa.ListScalar, codes: bytes, words: bytes) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The words of a shard, coded, and the row of each."""
-    numbers = unplanes(unsqueeze(codes))[0].astype(np.int32)
-    coded = pa.DictionaryArray.from_arrays(pa.array(numbers), words.values)
+    numbers, text = unplanes(unsqueeze(codes))[0].astype(np.int32), unsqueeze(words)
+    known = pa.array(text.split(b"\n") if text else [], pa.binary()).cast(pa.string())
     n = np.asarray(sizes.values)
-    return coded, np.repeat(np.arange(len(n)), n)
+    return pa.DictionaryArray.from_arrays(pa.array(numbers), known), np.repeat(np.arange(len(n)), n)
 
 
 def hashed(coded: pa.DictionaryArray) -> np.ndarray:
@@ -335,6 +338,19 @@ def hashed(coded: pa.DictionaryArray) -> np.ndarray:
     return own[np.asarray(coded.indices)] if len(own) else own
 
 
+def word_counts(parts: DataFrame) -> DataFrame:
+    """word, n: how often each word occurs in the whole corpus. Shards are counted in Python, the rest by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sizes, codes, words in zip(*batch.columns):
+                coded, _ = opened(sizes, codes.as_py(), words.as_py())
+                n = np.bincount(np.asarray(coded.indices), minlength=len(coded.dictionary))
+                yield pa.record_batch([coded.dictionary, pa.array(n)], names=["word", "n"])
+
+    return parts.select("sizes", "codes", "words").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def filters(parts: DataFrame, slice_bits: int, counts: bool) -> DataFrame:
     """shard, slice, counts, filter: the windows of each shard, slice by slice."""
     schema = pa.schema([("shard", pa.int64()), ("slice", pa.int32()), ("counts", pa.bool_()), ("filter", pa.binary())])
@@ -342,7 +358,7 @@ def filters(parts: DataFrame, slice_bits: int, counts: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, sizes, codes, words in zip(*batch.columns):
-                coded, row = opened(sizes, codes.as_py(), words)
+                coded, row = opened(sizes, codes.as_py(), words.as_py())
                 found, _ = window_filter(hashed(coded), row)
                 edges = found.slices(slice_bits)
                 there = np.flatnonzero(np.diff(edges)).tolist()
@@ -409,8 +425,8 @@ def spelling(words: DataFrame, frequent: list[str]) -> tuple[np.ndarray, np.ndar
 def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
     """A model of all texts. What reaches the driver is FREQUENT words and a number for each weight, pair of bytes and
     shape, whatever the corpus; all other counts stay tables. An empty corpus gives the network as it starts."""
-    small_batches(docs.sparkSession)
-    words = store(word_counts(docs, text_col), "lm-words")
+    parts = store_by_shard(shards(docs, id_col, text_col))
+    words = store(word_counts(parts), "lm-words")
     # stored first: the words of all partitions meet in a task then, not in the driver
     top = store(words.orderBy(F.desc("n"), "word").limit(FREQUENT), "lm-frequent")
     frequent = [r["word"] for r in top.orderBy(F.desc("n"), "word").collect()]
@@ -419,16 +435,17 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Mo
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(frequent, pa.string())
-        for batch in each_slice(batches, 0):
-            _, token, _, row = tokens(batch.column(0), known)
-            at, small = np.searchsorted(row, np.arange(batch.num_rows + 1)), token.astype(np.uint16)
-            yield pa.record_batch([batch.column(1), pa.array([small[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())], names=["place", "tokens"])
+        for batch in batches:
+            for places, sizes, codes, text in zip(*batch.columns):
+                found, _ = opened(sizes, codes.as_py(), text.as_py())
+                at, small = np.concatenate([[0], np.cumsum(np.asarray(sizes.values))]), token_of(found, known).astype(np.uint16)
+                yield pa.record_batch([places.values, pa.array([squeeze(small[x:y].tobytes()) for x, y in zip(at[:-1], at[1:])], pa.binary())], names=["place", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, seen = Network(), 0
         squares = np.full_like(network.flat, 1e-4)
         for batch in batches:
-            texts = [np.frombuffer(t.as_py(), np.uint16) for t in batch.column(0)]
+            texts = [np.frombuffer(unsqueeze(t.as_py()), np.uint16) for t in batch.column(0)]
             token = np.concatenate([np.zeros(0, np.intp), *texts])
             context = contexts(token, np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
             for at in range(0, len(token), BATCH):
@@ -438,28 +455,27 @@ def learn(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Mo
             weight = pa.array(np.full(len(network.flat), float(seen)))
             yield pa.record_batch([pa.array(np.arange(len(network.flat), dtype=np.int32)), pa.array(network.flat.astype(np.float64) * seen), weight], names=["place", "value", "weight"])
 
-    text, place = F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("place")
-    dealt = docs.select(text, place).mapInArrow(coded, "place long, tokens binary").repartition(max(1, -(-total // REPLICA)), "place").sortWithinPartitions("place").select("tokens")
+    dealt = parts.select("places", "sizes", "codes", "words").mapInArrow(coded, "place long, tokens binary").repartition(max(1, -(-total // REPLICA)), "place").sortWithinPartitions("place").select("tokens")
     replicas = dealt.mapInArrow(run, "place int, value double, weight double")
     mean = replicas.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
     flat = Network().flat.astype(np.float64)
     for r in mean.collect():
         flat[r["place"]] = r["value"]
     slice_bits = max(SLICE_BITS, (int(total) // SLICE).bit_length())
-    # not stored: who scores the documents of the model counts their windows there
-    return Model(frequent, flat, pairs, shares, filters(shards(docs, id_col, text_col), slice_bits, True), slice_bits)
+    return Model(frequent, flat, pairs, shares, parts, slice_bits)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", seen: bool = True) -> DataFrame:
     """One row per document: doc_id, n_tokens, log_prob (the sum over all words), mean_log_prob.
 
-    seen: the model was learned from these documents, so that each occurrence of a window is judged by the others.
+    seen: the model was learned from these documents, which are not read again then, and each occurrence of a window is
+    judged by the others. Otherwise all documents of the model count.
     Texts that are null or have no word have no tokens and null scores. Repeated rows are scored each; other columns are
     not read; an empty table gives no rows.
     """
-    parts, bits = store(shards(docs, id_col, text_col), "lm-shards"), model.slice_bits
+    parts, bits = model.parts if seen else store_by_shard(shards(docs, id_col, text_col)), model.slice_bits
     cut = filters(parts, bits, seen)
-    told = store(counted(cut if seen else cut.unionByName(model.windows), bits, seen), "lm-counts")
+    told = store(counted(cut if seen else cut.unionByName(filters(model.parts, bits, True)), bits, seen), "lm-counts")
     answers = told.groupBy("shard").agg(F.collect_list(F.struct("slice", "counts")).alias("answers"))  # a shard's slices
     known, less = Model(model.frequent, model.weights, model.pairs, model.shares), 1 if seen else 0
     id_type = parts.schema["ids"].dataType.elementType.simpleString()
@@ -468,7 +484,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         frequent, network = pa.array(known.frequent, pa.string()), Network(known.weights)
         for batch in batches:
             for ids, sizes, codes, words, own in zip(*batch.columns):
-                coded, row = opened(sizes, codes.as_py(), words)
+                coded, row = opened(sizes, codes.as_py(), words.as_py())
                 found, place = window_filter(hashed(coded), row)
                 edges, n, total = found.slices(bits), np.zeros(len(found.left)), np.zeros(len(found.left))
                 for s, data in zip(own.values.field(0).to_pylist(), own.values.field(1).to_pylist()) if own.is_valid else ():
