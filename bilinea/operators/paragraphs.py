@@ -152,22 +152,19 @@ def match_pages_to_paragraphs(pages: DataFrame, paragraphs: DataFrame, cursors:
 
         for batch in batches:
             out: list[tuple] = []
-            books = np.asarray(batch.column(0))
+            books, page, lengths = np.asarray(batch.column(0)), np.asarray(batch.column(2).is_valid()), np.asarray(batch.column(4))
+            numbers = np.asarray(batch.column(3).fill_null(0))
+            places, heads, corpora, html = (batch.column(i).to_pylist() for i in (2, 5, 6, 7))
             for at, until in zip(*stretches(books)):
                 if walk is None or books[at] != book:
                     out += told(walk.steps(True)) if walk else []
                     book, walk = int(books[at]), Walk(batch.column(1)[at].as_py())
-                part = batch.slice(at, until - at)
-                length, head = np.asarray(part.column(4)), part.column(5)
-                page = np.asarray(part.column(2).is_valid())
-                where = np.flatnonzero(page)
                 if not walk.stopped:
-                    rows = part.take(pa.array(where))
-                    new = list(range(seen, seen + len(where)))
-                    seen += len(where)
-                    names.update(zip(new, zip(rows.column(2).to_pylist(), rows.column(6).to_pylist(), rows.column(7).to_pylist())))
-                    rest = pa.array(~page)
-                    walk.add(zip(new, length[where].tolist(), head.take(pa.array(where)).to_pylist()), np.asarray(part.column(3).filter(rest)), length[~page], head.filter(rest).to_pylist())
+                    here = page[at:until]
+                    own, rest = (np.flatnonzero(here) + at).tolist(), np.flatnonzero(~here) + at
+                    names.update((seen + k, (places[i], corpora[i], html[i])) for k, i in enumerate(own))
+                    walk.add([(seen + k, int(lengths[i]), heads[i]) for k, i in enumerate(own)], numbers[rest], lengths[rest], [heads[i] for i in rest.tolist()])
+                    seen += len(own)
                     out += told(walk.steps(False))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(target)], schema=target)
         if walk:
