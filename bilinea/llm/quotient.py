@@ -61,10 +61,22 @@ def restore(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray,
 
 
 def order_of(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    """Sorts by both halves; sorted stretches are merged."""
+    """Sorts by both halves. Where they do not fit into 64 bits, by as many as fit, and then the few stretches that these
+    leave open."""
     if 2 * bits <= 64:
         return np.argsort(left << np.uint64(bits) | right, kind="stable")
-    return np.lexsort((right, left))
+    room = 64 - bits
+    cut = max(0, int(right.max(initial=0)).bit_length() - room)
+    key = (left << np.uint64(room) if room else left) | (right >> np.uint64(cut) if room else np.uint64(0))
+    order = np.argsort(key)
+    key, rest = key[order], right[order]
+    same = key[1:] == key[:-1]
+    run = np.concatenate([[0], np.cumsum(~same)]) if len(key) else np.zeros(0, np.int64)
+    unlike = np.zeros(int(run.max(initial=-1)) + 1, dtype=bool)
+    unlike[run[1:][same & (rest[1:] != rest[:-1])]] = True
+    some = np.flatnonzero(unlike[run])
+    order[some] = order[some[np.lexsort((rest[some], run[some]))]]
+    return order
 
 
 def firsts(left: np.ndarray, right: np.ndarray) -> np.ndarray:
