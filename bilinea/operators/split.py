@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from bilinea.functions.ranks import numbered, running_within
 from bilinea.functions.storage import store
+from bilinea.functions.text import ordered_join
 
 #: The marks after which a text may be cut.
 CUT_AFTER = "。！？；，、"
@@ -123,9 +124,11 @@ def proportional_split(chunks: DataFrame, sentences: DataFrame, keys: list[str]
     there are not as many groups of pieces as sentences, the first slot gets the whole text and the others null.
     """
     keys = list(keys)
-    chapters = store(numbered(chunks.select(*keys, F.coalesce("text", F.lit("")).alias("text")), "chapter"), "split-chapters")
-    sized = sentences.select(*keys, "seq", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), F.lit(1).cast("long").alias("one"))
-    placed = running_within(sized, keys, ["seq"], {"n": "before", "one": "index"}).join(chapters.select(*keys, "chapter", F.length("text").alias("chars")), keys)
+    names = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]  # a key may be named like a column below
+    own, back = [f"_key{i}" for i in range(len(keys))], [F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)]
+    chapters = store(numbered(chunks.select(*names, F.coalesce("text", F.lit("")).alias("text")), "chapter"), "split-chapters")
+    sized = sentences.select(*names, "seq", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), F.lit(1).cast("long").alias("one"))
+    placed = running_within(sized, own, ["seq"], {"n": "before", "one": "index"}).join(chapters.select(*own, "chapter", F.length("text").alias("chars")), own)
     placed = store(placed, "split-slots")
     totals = placed.groupBy("chapter").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("slots"))
     share = lambda c: F.when(F.col("total") > 0, (F.col("chars") * F.col(c)).cast("double") / F.col("total")).otherwise(F.lit(0.0))
@@ -136,8 +139,8 @@ def proportional_split(chunks: DataFrame, sentences: DataFrame, keys: list[str]
     found = slots.groupBy("chapter").agg((F.max("slot") + 1).alias("found"))
     fits = totals.join(found, "chapter", "left").select("chapter", (F.coalesce("found", F.lit(0)) == F.col("slots")).alias("fits"))
     joined = pieces.join(slots, ["chapter", "number"]).groupBy("chapter", F.col("slot").alias("index"))
-    texts = joined.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "piece"))), lambda p: p["piece"]), "").alias("own"))
+    texts = joined.agg(ordered_join(F.col("number"), F.col("piece")).alias("own"))
     rows = placed.join(fits, "chapter").join(texts, ["chapter", "index"], "left")
     whole = chapters.join(fits.where(~F.col("fits")), "chapter", "left_semi").select("chapter", F.lit(0).cast("long").alias("index"), F.col("text").alias("whole"))
     rows = rows.join(whole, ["chapter", "index"], "left")
-    return rows.select(*keys, "seq", F.when(F.col("fits"), F.col("own")).otherwise(F.col("whole")).alias("content"))
+    return rows.select(*back, "seq", F.when(F.col("fits"), F.col("own")).otherwise(F.col("whole")).alias("content"))

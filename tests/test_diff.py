@@ -172,10 +172,10 @@ def test_chapters_are_split_as_the_plain_fold_does(spark):
     r = random.Random(5)
     texts = ["".join(r.choice("甲乙丙丁戊。，、") for _ in range(r.choice([0, 1, 9, 60, 400]))) for _ in range(60)] + [None]
     slots = [[r.choice([None, "a" * r.randrange(1, 9)]) for _ in range(r.choice([1, 1, 2, 5, 30]))] for _ in texts]
-    chunks = spark.createDataFrame([("c", i, t) for i, t in enumerate(texts)] + [("d", 0, "no sentence")], "corpus string, chapter int, text string")
-    rows = [("c", i, 3 * k, s) for i, own in enumerate(slots) for k, s in enumerate(own)] + [("e", 0, 1, "no text")]
+    chunks = spark.createDataFrame([("c", 900 - 7 * i, t) for i, t in enumerate(texts)] + [("d", 0, "no sentence")], "corpus string, chapter int, text string")
+    rows = [("c", 900 - 7 * i, 3 * k, s) for i, own in enumerate(slots) for k, s in enumerate(own)] + [("e", 0, 1, "no text")]
     got = split.proportional_split(chunks, spark.createDataFrame(rows, "corpus string, chapter int, seq int, text string"))
-    expected = {(i, 3 * k): c for i, (t, own) in enumerate(zip(texts, slots)) for k, c in enumerate(proportional(t or "", [len(s or "") for s in own]))}
+    expected = {(900 - 7 * i, 3 * k): c for i, (t, own) in enumerate(zip(texts, slots)) for k, c in enumerate(proportional(t or "", [len(s or "") for s in own]))}
     assert {(x["chapter"], x["seq"]): x["content"] for x in got.collect()} == expected
     assert sum(c is not None for (_, k), c in expected.items() if k) > 9
     assert split.proportional_split(chunks.limit(0), spark.createDataFrame(rows, "corpus string, chapter int, seq int, text string")).count() == 0
