@@ -110,3 +110,20 @@ def test_the_stream_runs_through_arrow_batches(spark):
         heads = {n: (x, "a" * min(30, x)) for n, x in own}
         expected += [(b, *step) for step in by_steps([(k, n, "a" * min(30, n)) for (c, k), n in sorted(page.items()) if c == b], heads, 5)]
     assert got == sorted(expected, key=lambda x: x[:2]) and len(got) > 700
+
+
+def test_pages_meet_their_paragraphs_however_either_side_is_dealt(spark):
+    # paragraphs are many more bytes than pages, so adaptive execution would read both in partitions of other sizes
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        source = spark.range(6000).selectExpr("cast(id div 12 as int) as book", "cast(id % 12 + 1 as int) as paragraph", "concat('p', md5(cast(id as string))) as text")
+        page = source.where("paragraph % 4 = 1").selectExpr("book", "cast(paragraph as long) as page_pos", "'c' as corpus", "concat(paragraph, '.html') as html", "concat(text, repeat('x', 99)) as text")
+        found = paragraphs.match_pages_to_paragraphs(page, source, paragraphs.cursor_start(spark.createDataFrame([], "book int, para_end int"), source))
+        rows = sorted((r["book"], r["page_pos"], r["para_start"], r["para_end"], r["status"]) for r in found.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert rows == [(b, p, p, p + 3, "ok") for b in range(500) for p in (1, 5, 9)]
