@@ -77,3 +77,21 @@ def test_runs_of_a_map_count_once_committed(spark, tmp_path):
     assert shown() == after
     assert not writers.write_run(half, path, "tuesday") and not writers.write_run(half, path, "monday") and shown() == after
     assert readers.committed_runs(spark, path) == ["monday", "tuesday"]
+
+
+def test_a_map_written_by_tasks_that_end_in_any_order(spark, tmp_path):
+    path, setting = f"{tmp_path}/map", "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")  # as many files as a large map has
+    rows = spark.range(400).selectExpr("'c' as corpus", "concat(id, '.html') as html", "id as pos", "cast(id as int) as para_start", "cast(id as int) as para_end")
+    ends = 1_000_000
+    for run in (rows, rows.where("pos % 3 = 0").selectExpr("corpus", "html", "pos", "para_start", "-1 as para_end")):
+        before = set(os.listdir(f"{path}/corpus=c")) if os.path.exists(path) else set()
+        writers.write_para_map(run, path)
+        new = sorted(n for n in set(os.listdir(f"{path}/corpus=c")) - before if n.endswith(".json"))
+        for k, name in enumerate(reversed(new)):  # the first part ends last
+            os.utime(f"{path}/corpus=c/{name}", (ends + k, ends + k))
+        ends += 1_000
+    spark.conf.unset(setting)
+    assert len(new) > 1
+    found = sorted((r["pos"], r["html"], r["para_end"]) for r in readers.read_para_map(spark, path, files="*.json").collect())
+    assert found == [(k, f"{k}.html", -1 if k % 3 == 0 else k) for k in range(400)]
