@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bilinea.llm.common import keep_rows, small_batches, store
-from bilinea.llm.trie import BITS, TINY, Budget, Forest, Nodes, Sets, walk
+from bilinea.llm.trie import BITS, TINY, Budget, Forest, Nodes, Sets, parts, walk
 
 #: Differing bits of linked fingerprints over shingles of three words.
 STRICT = Budget(2)
@@ -38,6 +38,11 @@ NEAR_SHINGLE, SIMILAR = 5, 0.8
 BOTH = 28
 #: Levels that Spark walks in one plan, and the leaves of a node pair above which it does.
 LEVELS, MOST_IN_TASK = 8, 8_192
+#: With a wide budget nearly all pairs of nodes stay open, so a leaf is sent once for each node of its trie: a pair that
+#: goes to a task may have so great a share of the leaves, whatever their number, and is walked down to MOST_IN_TASK there.
+SHARE = 8
+#: Parts of the right nodes that a left one meets, so that a left node's pairs are more than one task's work.
+PIECES = 4
 #: Documents of a group, about, whose sets are compared with those of as many others at once.
 BLOCK = 1_024
 #: Node pairs for each task, about, and links that a task looks at before it sets aside those between what is joined.
@@ -179,7 +184,8 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
     extra = ["n", "more"] if similar else []
     turns = F.explode(F.array(*[F.struct(F.lit(r).alias("trie"), turned(F.col("fp"), r * budget.turn).alias("leaf")) for r in range(budget.tries)]))
     leaves = store(prints.select(turns.alias("t"), *extra).select("t.trie", "t.leaf", *extra), "trie-leaves")
-    pairs = store(frontier(leaves.select("trie", "leaf"), budget, most_in_task), "trie-frontier")
+    sent, pieces = (max(most_in_task, prints.count() // SHARE), PIECES) if similar else (most_in_task, 1)
+    pairs = store(frontier(leaves.select("trie", "leaf"), budget, sent), "trie-frontier")
     node = ["trie", "level", "path"]
     ends = pairs.select("trie", "level", F.explode(F.array("a", "b")).alias("path")).distinct()
     levels = [r["level"] for r in ends.select("level").distinct().collect()]  # 65 at most
@@ -190,9 +196,12 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
     # a node's leaves are those of one task at most
     blocks = store(placed.join(ends, node, "left_semi").groupBy(*node).agg(held), "trie-blocks")
     n_pairs = pairs.count()
-    tasks = min(n_pairs, max(4 * prints.sparkSession.sparkContext.defaultParallelism, n_pairs // PAIRS_A_TASK))
-    work = pairs.select("trie", "level", "a", "b", "differ").join(blocks.select("trie", "level", F.col("path").alias("b"), F.col("held").alias("right")), ["trie", "level", "b"])
-    work = work.repartition(tasks, "trie", "level", "a").join(blocks.select("trie", "level", F.col("path").alias("a"), F.col("held").alias("left")), ["trie", "level", "a"])
+    tasks = min(n_pairs, max(4 * prints.sparkSession.sparkContext.defaultParallelism, n_pairs * sent**2 // most_in_task**2 // PAIRS_A_TASK))
+    right = blocks.select("trie", "level", F.col("path").alias("b"), F.col("held").alias("right"))
+    left = blocks.select("trie", "level", F.col("path").alias("a"), F.col("held").alias("left"), F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece"))
+    piece = F.pmod(F.xxhash64("b", F.lit(5)), F.lit(pieces)).cast("int").alias("piece")
+    work = pairs.select("trie", "level", "a", "b", piece, "differ").join(right, ["trie", "level", "b"])
+    work = work.repartition(tasks, "trie", "level", "a", "piece").join(left, ["trie", "level", "a", "piece"])
     work = work.select("trie", "level", "a", "differ", "left", F.when(F.col("a") != F.col("b"), F.col("right")).alias("right"))
 
     def columns(held: pa.Scalar) -> list[np.ndarray]:
@@ -201,11 +210,11 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
         order = np.argsort(found[0].view(np.uint64))
         return [found[0].view(np.uint64)[order], *(c[order] for c in found[1:])]
 
-    def links(left: list[np.ndarray], right: list[np.ndarray] | None, level: int, differ: int, nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
+    def links(left: list[np.ndarray], right: list[np.ndarray] | None, differ: int, nodes: Nodes, other: Nodes | None) -> tuple[np.ndarray, np.ndarray]:
         shift = len(left[0]) if right else 0
         leaf, *beside = [np.concatenate([p, q]) for p, q in zip(left, right)] if right else left
         forest, found = Forest(len(leaf)), [(np.zeros(0, np.int64),) * 2]
-        for all_i, all_j, _ in walk(nodes, Nodes(right[0], level) if right else None, differ, budget):
+        for all_i, all_j, _ in walk(nodes, other, differ, budget):
             for at in range(0, len(all_i), PIECE):
                 i, j = all_i[at : at + PIECE], all_j[at : at + PIECE] + shift
                 ok = forest.apart(i, j)
@@ -218,17 +227,28 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
         return leaf[i], leaf[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: OrderedDict[tuple, tuple] = OrderedDict()  # pairs of one left node follow each other, more or less
+        cache: OrderedDict[tuple, Nodes] = OrderedDict()  # pairs of one node follow each other, more or less
+        held: tuple = (None, None)
+
+        def nodes_of(trie: int, level: int, leaves: np.ndarray) -> Nodes:
+            key = (trie, level, int(leaves[0]) >> (BITS - level))
+            if key not in cache:
+                cache[key] = Nodes(leaves, level)
+                if len(cache) > 8:
+                    cache.popitem(last=False)
+            cache.move_to_end(key)
+            return cache[key]
+
         for batch in batches:
             for trie, level, a, differ, left, right in zip(*batch.columns):
                 key = (trie.as_py(), level.as_py(), a.as_py())
-                if key not in cache:
-                    mine = columns(left)
-                    cache[key] = mine, Nodes(mine[0], key[1])
-                    if len(cache) > 8:
-                        cache.popitem(last=False)
-                mine, nodes = cache[key]
-                x, y = links(mine, columns(right) if right.is_valid else None, key[1], differ.as_py(), nodes)
+                if held[0] != key:
+                    held = key, columns(left)
+                mine, other, found = held[1], columns(right) if right.is_valid else None, [(np.zeros(0, np.uint64),) * 2]
+                for depth, p, q, unlike in parts(mine[0], other[0] if other else None, key[1], differ.as_py(), budget, most_in_task):
+                    x, y = [c[p] for c in mine], None if q is None else [c[q] for c in (other or mine)]
+                    found.append(links(x, y, unlike, nodes_of(key[0], depth, x[0]), nodes_of(key[0], depth, y[0]) if y else None))
+                x, y = (np.concatenate(c) for c in zip(*found))
                 yield pa.record_batch([pa.array(np.full(len(x), key[0], np.int32)), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["trie", "x", "y"])
 
     back = lambda c: F.coalesce(*[F.when(F.col("trie") == r, turned(F.col(c), (BITS - r * budget.turn) % BITS)) for r in range(budget.tries)])

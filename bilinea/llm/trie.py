@@ -107,6 +107,29 @@ def walk(left: Nodes, right: Nodes | None, differ: int, budget: Budget, counts:
         stack.append((level + 1, *(np.concatenate(c) for c in zip(*out))))
 
 
+def parts(left: np.ndarray, right: np.ndarray | None, level: int, differ: int, budget: Budget, most: int) -> Iterator[tuple[int, slice, slice | None, int]]:
+    """(level, left's leaves, right's leaves, differ) of the pairs of nodes that the pair of nodes with these sorted leaves
+    gives way to, until none has more than `most` leaves; pruned as the walk prunes. None: a node paired with itself."""
+    other = left if right is None else right
+
+    def halves(leaves: np.ndarray, low: int, high: int, level: int) -> tuple[tuple[int, int], tuple[int, int]]:
+        bit = 1 << (BITS - 1 - level)
+        middle = low + int(np.searchsorted(leaves[low:high], np.uint64(int(leaves[low]) & ~(2 * bit - 1) | bit)))
+        return (low, middle), (middle, high)
+
+    stack = [(level, (0, len(left)), (0, len(other)), right is None, differ)]
+    while stack:
+        level, a, b, same, differ = stack.pop()
+        if a[1] - a[0] + b[1] - b[0] <= most or level == BITS:
+            yield level, slice(*a), None if same else slice(*b), differ
+            continue
+        down_a, down_b = halves(left, *a, level), halves(other, *b, level)
+        for p, q in ((0, 0), (1, 1), (0, 1), (1, 0))[: 3 if same else 4]:
+            there = down_a[p][0] < down_a[p][1] and down_b[q][0] < down_b[q][1]
+            if there and (p == q or differ + 1 <= budget.at(level + 1)):
+                stack.append((level + 1, down_a[p], down_b[q], same and p == q, differ + (p != q)))
+
+
 class Forest:
     """Joins places step by step, by links that join what was apart: one less than there are places at most."""
 

@@ -100,3 +100,36 @@ def test_recall_of_candidates_by_similarity():
         shares[similarity] = met / 1200
     print(shares)
     assert shares[0.8] >= 0.9 and shares[0.85] >= 0.96 and shares[0.9] >= 0.99
+
+
+def test_leaves_sent_to_tasks_grow_no_faster_than_leaves(spark, monkeypatch):
+    """What node pairs send to tasks for four times the fingerprints, and that tasks walk such pairs to the same groups."""
+    rng, sent, stored = np.random.default_rng(3), [], simhash.store
+
+    def spied(df, label):
+        out = stored(df, label)
+        if label == "trie-frontier":
+            sent.append(out.selectExpr("sum(n_a + n_b)").first()[0])
+        return out
+
+    monkeypatch.setattr(simhash, "store", spied)
+    for n in (500, 2000):
+        base = rng.integers(0, 2**64, n // 2, dtype=np.uint64)
+        flips = rng.integers(0, 64, (n // 2, 14)).astype(np.uint64)
+        near = base.copy()
+        for k in range(14):
+            near ^= np.where(rng.random(n // 2) < 0.6, np.uint64(1) << flips[:, k], np.uint64(0))
+        fp = np.unique(np.concatenate([base, near]))
+        rows = spark.createDataFrame([(int(x), 100, 0) for x in fp.view(np.int64)], "fp long, n long, more long")
+        links = simhash.self_join(rows, simhash.WIDE, 16, 0.8).collect()
+        forest = simhash.Forest(len(fp))
+        i, j = np.triu_indices(len(fp), 1)
+        ok = np.bitwise_count(fp[i] ^ fp[j]) <= 14
+        forest.join(i[ok], j[ok])
+        place = {int(x): k for k, x in enumerate(fp.view(np.int64))}
+        a, b = np.array([place[r["a"]] for r in links]), np.array([place[r["b"]] for r in links])
+        assert ok.sum() > n // 4 and (np.bitwise_count(fp[a] ^ fp[b]) <= 14).all() and not forest.apart(a, b).any()
+        mine = simhash.Forest(len(fp))
+        mine.join(a, b)
+        assert not mine.apart(i[ok], j[ok]).any()
+    assert sent[1] < 6 * sent[0]
