@@ -6,6 +6,7 @@ import difflib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,16 +22,96 @@ HUNKS = f"array<struct<{', '.join(f'{n}: {t}' for n, t in (x.split() for x in HU
 CONTEXT, COMPLEX = 20, 4
 #: Characters of a bin in which records and hunks meet.
 WIDTH = 4_096
+#: Pairs of characters up to which the standard library looks for the longest common stretch.
+SMALL = 2_048
+#: An odd factor of the hash of a stretch, and its inverse modulo 2^64.
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 1 << 64)
+
+
+class Windows:
+    """Hashes of all stretches of a text by their length: equal stretches have equal hashes."""
+
+    def __init__(self, text: str) -> None:
+        self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        powers = lambda factor: np.cumprod(np.array([1] + [factor] * len(text), np.uint64))
+        self.back = powers(INVERSE)
+        terms = (self.codes.astype(np.uint64) + np.uint64(1)) * np.uint64(FACTOR) * powers(FACTOR)[: len(text)]
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+
+    def of(self, low: int, high: int, size: int) -> np.ndarray:
+        """The hash of each stretch of that size between low and high, by its start."""
+        return (self.sums[low + size : high + 1] - self.sums[low : high + 1 - size]) * self.back[low : high + 1 - size]
+
+
+class Collision(Exception):
+    """Two stretches differ under one hash."""
+
+
+def longest_match(a: str, b: str, x: Windows, y: Windows, alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
+    """(i, j, size) of the longest stretch that a[alo:ahi] and b[blo:bhi] share; of several the first one in a, and of its
+    places in b the first: what the standard library's matcher finds without junk, in time of about a text's length."""
+    most = min(ahi - alo, bhi - blo)
+
+    def first(size: int) -> tuple[int, int, int] | None:
+        mine, other = x.of(alo, ahi, size), y.of(blo, bhi, size)
+        shared = np.flatnonzero(np.isin(mine, other))
+        if not len(shared):
+            return None
+        i, j = alo + int(shared[0]), blo + int(np.argmax(other == mine[shared[0]]))
+        if a[i : i + size] != b[j : j + size]:
+            raise Collision
+        return i, j, size
+
+    # mostly the longest one is what both begin or end with, and nothing is longer
+    ahead = x.codes[alo : alo + most] != y.codes[blo : blo + most]
+    ends = x.codes[ahi - most : ahi][::-1] != y.codes[bhi - most : bhi][::-1]
+    low = max(int(np.argmax(d)) if d.any() else most for d in (ahead, ends))
+    best, high, step = None, most, 1
+    while low < high:  # low is there, nothing above high is: steps that double, then halves
+        size = min(low + step, high)
+        found = first(size)
+        if found is None:
+            high = size - 1
+            break
+        best, low, step = found, size, step * 2
+    while low < high:
+        size = (low + high + 1) // 2
+        found = first(size)
+        best, low, high = (found, size, high) if found else (best, low, size - 1)
+    return (best if best and best[2] == low else first(low)) if low else (alo, blo, 0)
+
+
+def matching_blocks(a: str, b: str) -> list[tuple[int, int, int]]:
+    """(i, j, size) of the equal stretches in order: the longest one, and so on before and behind it."""
+    x, y = Windows(a), Windows(b)
+    found, open_ = [], [(0, len(a), 0, len(b))]
+    while open_:
+        alo, ahi, blo, bhi = open_.pop()
+        if (ahi - alo) * (bhi - blo) <= SMALL:
+            i, j, size = difflib.SequenceMatcher(None, a[alo:ahi], b[blo:bhi], autojunk=False).find_longest_match()
+            i, j = i + alo, j + blo
+        else:
+            i, j, size = longest_match(a, b, x, y, alo, ahi, blo, bhi)
+        if size:
+            found.append((i, j, size))
+            open_ += [part for part in ((alo, i, blo, j), (i + size, ahi, j + size, bhi)) if part[0] < part[1] and part[2] < part[3]]
+    return sorted(found)
 
 
 def hunks_of(original: str, aligned: str) -> list[dict]:
     """The unequal stretches of a longest-matching-block comparison in which no character counts as junk."""
-    found = difflib.SequenceMatcher(None, original, aligned, autojunk=False).get_opcodes()
-    return [
-        {"tag": tag, "orig_start": a, "orig_end": b, "aligned_start": c, "aligned_end": d, "orig_chunk": original[a:b], "aligned_chunk": aligned[c:d]}
-        for tag, a, b, c, d in found
-        if tag != "equal"
-    ]
+    try:
+        blocks = matching_blocks(original, aligned)
+    except Collision:
+        blocks = difflib.SequenceMatcher(None, original, aligned, autojunk=False).get_matching_blocks()
+    hunks, a, c = [], 0, 0
+    for b, d, size in [*blocks, (len(original), len(aligned), 0)]:
+        if a < b or c < d:
+            tag = "replace" if a < b and c < d else "delete" if a < b else "insert"
+            hunks.append({"tag": tag, "orig_start": a, "orig_end": b, "aligned_start": c, "aligned_end": d, "orig_chunk": original[a:b], "aligned_chunk": aligned[c:d]})
+        a, c = b + size, d + size
+    return hunks
 
 
 def compared(original: pd.Series, aligned: pd.Series) -> pd.Series:
@@ -42,8 +123,8 @@ def diff_hunks(texts: DataFrame, original: str = "original", aligned: str = "ali
     diff_status: equal (hunks empty), differs, or too_long (hunks null).
 
     Only texts that differ go to the helper. All texts are compared, however long, unless most_chars is given: the time
-    grows with the square of a text's length, and one pair is one task's work. Longer pairs then are too_long: nothing is
-    known of them, and figures and reports made from them say so.
+    grows with a text's length and its number of hunks, and one pair is one task's work. Longer pairs then are too_long:
+    nothing is known of them, and figures and reports made from them say so.
     """
     norm = lambda c: without_spaces(F.coalesce(F.col(c), F.lit("")))
     out = texts.withColumns({"orig_norm": norm(original), "aligned_norm": norm(aligned)})

@@ -1,4 +1,6 @@
+import difflib
 import random
+import time
 
 import pytest
 from bilinea.operators import diff, reports, split, summary
@@ -284,3 +286,35 @@ def test_alignment_report(spark):
     got = {r["chapter"]: r["report"] for r in reports.alignment_report(spark.createDataFrame(rows, schema), ["chapter"]).collect()}
     assert got[1] == REPORT
     assert got[2] == REPORT.split("\n| cached")[0] + CLEAN
+
+
+def plain_hunks(a, b):
+    return [(tag, *places) for tag, *places in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if tag != "equal"]
+
+
+def told_hunks(a, b):
+    return [(h["tag"], h["orig_start"], h["orig_end"], h["aligned_start"], h["aligned_end"]) for h in diff.hunks_of(a, b)]
+
+
+def test_hunks_are_those_of_the_standard_library():
+    r = random.Random(11)
+    for _ in range(400):
+        letters = r.choice(["ab", "abcdef", "abcdefghijklmnopqrst 甲𝄞"])
+        a = "".join(r.choice(letters) for _ in range(r.choice([1, 40, r.randrange(500)])))
+        b = list(a)
+        for _ in range(r.choice([0, 1, 3, 30])):
+            k, size = r.randrange(len(b) + 1), r.choice([0, 1, 15])
+            b[k : k + size] = r.choice(["", "§", r.choice(letters), a[: r.randrange(30)]])
+        assert told_hunks(a, "".join(b)) == plain_hunks(a, "".join(b))
+    # stretches of this sequence and of its opposite have equal hashes
+    bits = ["ab"[bin(k).count("1") % 2] for k in range(2048)]
+    a, b = "".join(bits), "".join("ab"[x == "a"] for x in bits)
+    assert told_hunks(a, b) == plain_hunks(a, b)
+
+
+def test_the_time_of_a_comparison_does_not_grow_with_the_square():
+    r = random.Random(12)
+    text = "".join(r.choice("etaoinshrdlucmf") for _ in range(40_000))
+    start = time.process_time()
+    assert len(diff.hunks_of(text, text[:9_000] + text[9_001:30_000] + "§" + text[30_001:] + "§")) == 3
+    assert time.process_time() - start < 10  # the standard library takes several times as long
