@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bilinea.functions.text import page_number
-from bilinea.sources.readers import named_by_path
+from bilinea.sources.readers import files_below, named_by_path
 
 FILE = "corpus string, file string, path string, length long, changed timestamp"
 LEDGER = f"{FILE}, run int"
@@ -35,7 +35,7 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def files(spark: SparkSession, root: str, corpus: str = "*", content: bool = False) -> DataFrame:
     """corpus, file, path, length, changed of every page file; what is in them is not read unless content is asked for."""
     names = named_by_path(r"\.html")
-    found = spark.read.format("binaryFile").load(f"{root}/{corpus}/*.html").withColumnRenamed("modificationTime", "changed")
+    found = files_below(spark, "binaryFile", root, corpus, r"\.html").withColumnRenamed("modificationTime", "changed")
     return found.select(*names, *STATE, *["content"] * content)
 
 

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import uuid
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bilinea.operators.glossary import in_order
@@ -28,11 +35,50 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("corpus").parquet(path)
 
 
+def file_name(column: str) -> Column:
+    """column=value as the name of a file or folder, with odd characters as Spark writes them."""
+    odd = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+    shown = F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    for ch in sorted((c for c in map(chr, range(1, 128)) if odd.match(c)), key=lambda c: c != "%"):
+        shown = F.replace(shown, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
+    return F.concat(F.lit(f"{column}="), shown)
+
+
 def export_chunks(chunks: DataFrame, path: str, text: str = "text", keep: bool = False) -> None:
-    """The texts as text files, a folder for each corpus and chapter: for people, and for splitting by hand. keep: chapters
-    that are not written stay."""
-    out = chunks.select("corpus", "file", text).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep else "static")
-    out.partitionBy("corpus", "file").text(path)
+    """The texts as text files, a folder for each corpus and a file for each chapter: for people, and for splitting by hand.
+    keep: chapters that are not written stay. Rows of one chapter are lines of its file.
+
+    Tasks write the files themselves, under a hidden name until they are whole. Spark's writer would make a folder for each
+    file, and the driver would move or look at every one of them.
+    """
+    spark = chunks.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not keep:
+        system.delete(at, True)
+    system.mkdirs(at)
+    root = path if "://" in path or path.startswith("file:") else f"file://{system.makeQualified(at).toUri().getPath()}"
+    names = chunks.select(file_name("corpus").alias("corpus"), file_name("file").alias("file"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = names.repartition("corpus", "file").sortWithinPartitions("corpus", "file")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to, base = fs.FileSystem.from_uri(root)
+        folders: set[str] = set()
+        each = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        n = 0
+        for (corpus, file), texts in groupby(each, key=lambda row: row[:2]):
+            if corpus not in folders:
+                to.create_dir(f"{base}/{corpus}", recursive=True)
+                folders.add(corpus)
+            hidden = f"{base}/{corpus}/.{uuid.uuid4().hex}"
+            with to.open_output_stream(hidden) as out:
+                for row in texts:
+                    out.write(row[2].encode() + b"\n")
+            to.move(hidden, f"{base}/{corpus}/{file}")
+            n += 1
+        yield pa.record_batch([pa.array([n], pa.int64())], names=["n"])
+
+    rows.mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
 def write_para_map(para_map: DataFrame, path: str, key: str = "html") -> None:

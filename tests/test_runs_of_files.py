@@ -95,3 +95,30 @@ def test_a_map_written_by_tasks_that_end_in_any_order(spark, tmp_path):
     assert len(new) > 1
     found = sorted((r["pos"], r["html"], r["para_end"]) for r in readers.read_para_map(spark, path, files="*.json").collect())
     assert found == [(k, f"{k}.html", -1 if k % 3 == 0 else k) for k in range(400)]
+
+
+def test_exported_texts_are_a_file_each(spark, tmp_path):
+    root = f"{tmp_path}/out"
+    rows = [("a b", "1.html", "one\ntwo"), ("a b", "_2.html", ""), ("c%/", "x:3.html", "ā"), ("c%/", "..html", None)]
+    writers.export_chunks(spark.createDataFrame(rows, "corpus string, file string, html string"), root, "html")
+    found = {os.path.relpath(os.path.join(d, f), root) for d, _, files in os.walk(root) for f in files if not f.startswith(".")}
+    assert found == {"corpus=a b/file=1.html", "corpus=a b/file=_2.html", "corpus=c%25%2F/file=x%3A3.html", "corpus=c%25%2F/file=..html"}
+    more = [("a b", "1.html", "new"), ("d", "4.html", "four")]
+    writers.export_chunks(spark.createDataFrame(more, "corpus string, file string, html string"), root, "html", keep=True)
+    got = {(r["corpus"], r["file"]): r["html"] for r in readers.read_pages(spark, root).collect()}
+    assert got[("a b", "1.html")] == "new\n" and got[("d", "4.html")] == "four\n" and got[("a b", "_2.html")] == "\n" and len(got) == 5
+    writers.export_chunks(spark.createDataFrame(more, "corpus string, file string, html string"), root, "html")
+    assert readers.read_pages(spark, root).count() == 2
+
+
+def test_listing_pages_takes_few_tasks(spark, tmp_path):
+    root = f"{tmp_path}/out"
+    rows = spark.range(300).selectExpr("'c' AS corpus", "concat(id, '.html') AS file", "'p' AS html")
+    rows.write.partitionBy("corpus", "file").text(root)  # folders, as Spark writes them
+    put(root, "c/deeper", "1.html", "no page", 1_000_000)
+    spark.sparkContext.setJobGroup("listing", "")
+    pages_ = readers.read_pages(spark, root)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert all(tracker.getStageInfo(s).numTasks <= 16 for s in stages) and pages_.count() == 300
