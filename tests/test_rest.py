@@ -1,6 +1,7 @@
 import json
 import re
 
+from bilinea.functions.text import ordered_join
 from bilinea.functions import text as T
 from bilinea.operators import glossary, profile, replies, reports, summary
 from bilinea.sources import readers, writers
@@ -125,3 +126,9 @@ def test_source_tables(spark, tmp_path):
     spark.createDataFrame([(5, 1, 2, 3, 4, "x")], "id long, book int, paragraph int, word_begin int, word_end int, text string").write.parquet(f"{tmp_path}/pali_sentences")
     texts, sentences = readers.read_source_tables(spark, str(tmp_path))
     assert texts.first()["text"] == "x" and sentences.first()["word_end"] == 4
+
+
+def test_texts_are_joined_in_order_without_an_expression_for_each_pair(spark):
+    rows = spark.createDataFrame([(2, "b"), (1, "a"), (3, None), (10, "c")], "place int, text string").agg(ordered_join(F.col("place"), F.col("text"), "\n").alias("t"))
+    assert rows.first()["t"] == "a\nb\nc"
+    assert "lambdafunction" not in rows._jdf.queryExecution().executedPlan().toString()
