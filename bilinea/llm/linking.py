@@ -49,7 +49,8 @@ def partners(first: np.ndarray, last: np.ndarray, at_once: int = AT_ONCE) -> Ite
 
 def links_of(work: DataFrame, pairs_of: Callable[[pa.StructArray], Pairs]) -> DataFrame:
     """Links (a, b) within the rows of work: `held`, lists of members (side, node, root, ...). Members of side 0 are
-    compared with those after them, and members of side 1 with those of side 2. Members of one root are joined already."""
+    compared with those after them, and members of side 1 with those of side 2. Members of one root are joined already, and
+    a link joins two roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,7 +71,7 @@ def links_of(work: DataFrame, pairs_of: Callable[[pa.StructArray], Pairs]) -> Da
                 ok = pairs.similar(i, j)
                 i, j = i[ok], j[ok]
                 kept = forest.join(code[i], code[j])
-                yield pa.record_batch([pa.array(node[i[kept]]), pa.array(node[j[kept]])], names=["a", "b"])
+                yield pa.record_batch([pa.array(root[i[kept]]), pa.array(root[j[kept]])], names=["a", "b"])
 
     return work.mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
@@ -102,9 +103,12 @@ def link_groups(members: DataFrame, group: str, payload: list[str], pairs_of: Ca
     sized = rooted.groupBy(group, "root").agg(F.count(F.lit(1)).alias("n"))
     main = sized.groupBy(group).agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     rest = store(rooted.join(main, group).where("root <> main").drop("main"), "link-rest")
+    stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    if rest.isEmpty():
+        return stars
     cells = rest.groupBy(group).agg(blocks.alias("cells"))
     cell = F.pmod(F.xxhash64("node", F.lit(17)), F.col("cells")).cast("int").alias("cell")
     left = rest.join(cells, group).select(group, cell, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), F.lit(1).alias("side"), "root", "node", *payload)
     right = rooted.join(cells, group).select(group, F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), "own", F.lit(2).alias("side"), "root", "node", *payload)
     work = left.unionByName(right).groupBy(group, "cell", "own").agg(held("side", "root"))
-    return links.unionByName(links_of(work.select("held"), pairs_of))
+    return stars.unionByName(links_of(work.select("held"), pairs_of))

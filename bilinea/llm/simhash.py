@@ -13,6 +13,7 @@ the shingle sets decide, block by block, between all whose fingerprints are with
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -47,6 +48,8 @@ PIECES = 4
 BLOCK = 1_024
 #: Node pairs for each task, about, and links that a task looks at before it sets aside those between what is joined.
 PAIRS_A_TASK, PIECE = 64, 1 << 15
+#: Links of components that a task holds at once, about.
+EDGES = 1 << 16
 
 
 # Fingerprints
@@ -259,27 +262,55 @@ def self_join(prints: DataFrame, budget: Budget = STRICT, most_in_task: int = MO
 # Components
 
 
+def stars(edges: DataFrame) -> DataFrame:
+    """Links (v, u) that join what each task's rows join, every node hung on the smallest one: no link twice in a task, and
+    none along a path. A task holds EDGES rows at once."""
+
+    def hung(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        v, u = (np.concatenate([np.asarray(batch.column(k)) for batch in held]) for k in (0, 1))
+        nodes, code = np.unique(np.concatenate([v, u]), return_inverse=True)  # a smaller place is a smaller node
+        forest, none = Forest(len(nodes)), np.zeros(0, np.int64)
+        forest.join(code[: len(v)], code[len(v) :])
+        forest.apart(none, none)  # every place knows its root now
+        low = np.flatnonzero(forest.root != np.arange(len(nodes)))
+        return pa.record_batch([pa.array(nodes[low]), pa.array(nodes[forest.root[low]])], names=["v", "u"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many = [], 0
+        for batch in batches:
+            held.append(batch)
+            many += len(batch)
+            if many >= EDGES:
+                yield hung(held)
+                held, many = [], 0
+        if many:
+            yield hung(held)
+
+    return edges.select("v", "u").mapInArrow(run, "v long, u long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root: the smallest node that links (a, b) reach, for every node that has a link.
 
     Alternates large-star and small-star steps: each node's neighbours are hung on its smallest one, until every
-    component is a star, which takes about as many rounds as the logarithm of the longest path. Every step writes its
-    edges to the shared folder; nothing but two sums comes to the driver.
+    component is a star, which takes about as many rounds as the logarithm of the longest path. Before a step is written
+    to the shared folder each task joins what its own rows join. A round starts with each node's smallest and largest
+    neighbour: where a node below another has no second one, all is done, and these are the result. Tasks are as many as
+    cores, or more where edges are more than EDGES for each; nothing but a count comes to the driver.
     """
-    edges = store(links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
-    before = None
+    edges = store(stars(links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))), "edges")
     while True:
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
-        before = now
+        tasks = max(links.sparkSession.sparkContext.defaultParallelism, math.ceil(edges.count() / EDGES))
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v").distinct()
-        edges = store(large, "edges")
+        near = store(both.groupBy("v").agg(F.min("u").alias("m"), F.max("u").alias("most")).coalesce(tasks), "neighbours")
+        least = near.select("v", F.least("v", "m").alias("m"))
+        if near.where("m < v and m < most").isEmpty():
+            return least.select(F.col("v").alias("node"), F.col("m").alias("root"))
+        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v")
+        edges = store(stars(large.coalesce(tasks)), "edges")
         least = edges.groupBy("v").agg(F.min("u").alias("m"))
-        small = edges.join(least, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        edges = store(small.unionByName(least.select("v", F.col("m").alias("u"))).where("u <> v").distinct(), "edges")
+        small = edges.join(least, "v").select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("m").alias("u")), F.struct("v", F.col("m").alias("u")))).alias("e"))
+        edges = store(stars(small.select("e.v", "e.u").where("u <> v").coalesce(tasks)), "edges")
 
 
 def distinct_prints(prints: DataFrame) -> DataFrame:

@@ -125,3 +125,37 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     got = sorted(((r["doc_id"] or -1, r["component_id"]) for r in simhash.label(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == sorted([(-1, 5), (5, 5), (5, 5), (-1, None), (9, 2), (2, 2)], key=str)
     assert simhash.label(spark.createDataFrame([], schema)).count() == 0
+
+
+def linked(spark, pairs, parts):
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(parts)
+    return {r["node"]: r["root"] for r in simhash.components(links).collect()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_match_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(simhash, "EDGES", 50)
+    r = random.Random(seed)
+    names = [r.randrange(-(1 << 62), 1 << 62) for _ in range(600)]
+    pairs = [(names[i], names[i + 1]) for i in range(150)] + [(names[200], names[i]) for i in range(201, 300)] + [(r.choice(names[300:]), r.choice(names[300:])) for _ in range(200)]
+    r.shuffle(pairs)
+    root = {x: x for p in pairs for x in p if p[0] != p[1]}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, b in pairs:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    assert linked(spark, pairs, 7) == {x: find(x) for x in root}
+
+
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    """Each step is a job over all partitions: links that are stars already take none."""
+    written, plain = [], simhash.store
+    monkeypatch.setattr(simhash, "store", lambda df, label: written.append(label) or plain(df, label))
+    pairs = [(i % 5, i) for i in range(5, 500)]
+    assert linked(spark, pairs, 6) == {x: x % 5 for x in range(500)}
+    assert len(written) <= 2
+    assert linked(spark, [(3, 3)], 2) == {}
