@@ -126,7 +126,7 @@ def proportional_split(chunks: DataFrame, sentences: DataFrame, keys: list[str]
     keys = list(keys)
     names = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]  # a key may be named like a column below
     own, back = [f"_key{i}" for i in range(len(keys))], [F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)]
-    chapters = store(numbered(chunks.select(*names, F.coalesce("text", F.lit("")).alias("text")), "chapter"), "split-chapters")
+    chapters = numbered(chunks.select(*names, F.coalesce("text", F.lit("")).alias("text")), "chapter")  # stored, but for the number
     sized = sentences.select(*names, "seq", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), F.lit(1).cast("long").alias("one"))
     placed = running_within(sized, own, ["seq"], {"n": "before", "one": "index"}).join(chapters.select(*own, "chapter", F.length("text").alias("chars")), own)
     placed = store(placed, "split-slots")
@@ -138,9 +138,9 @@ def proportional_split(chunks: DataFrame, sentences: DataFrame, keys: list[str]
 
     found = slots.groupBy("chapter").agg((F.max("slot") + 1).alias("found"))
     fits = totals.join(found, "chapter", "left").select("chapter", (F.coalesce("found", F.lit(0)) == F.col("slots")).alias("fits"))
-    joined = pieces.join(slots, ["chapter", "number"]).groupBy("chapter", F.col("slot").alias("index"))
-    texts = joined.agg(ordered_join(F.col("number"), F.col("piece")).alias("own"))
+    # all pieces of a text that does not fit go to its first slot; only a text without characters has none
+    given = slots.join(fits, "chapter").select("chapter", "number", F.when(F.col("fits"), F.col("slot")).otherwise(F.lit(0)).alias("index"))
+    texts = pieces.select("chapter", "number", "piece").join(given, ["chapter", "number"]).groupBy("chapter", "index").agg(ordered_join(F.col("number"), F.col("piece")).alias("own"))
     rows = placed.join(fits, "chapter").join(texts, ["chapter", "index"], "left")
-    whole = chapters.join(fits.where(~F.col("fits")), "chapter", "left_semi").select("chapter", F.lit(0).cast("long").alias("index"), F.col("text").alias("whole"))
-    rows = rows.join(whole, ["chapter", "index"], "left")
-    return rows.select(*back, "seq", F.when(F.col("fits"), F.col("own")).otherwise(F.col("whole")).alias("content"))
+    content = F.coalesce("own", F.when(~F.col("fits") & (F.col("index") == 0), F.lit("")))
+    return rows.select(*back, "seq", content.alias("content"))

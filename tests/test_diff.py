@@ -3,6 +3,7 @@ import random
 import time
 
 import pytest
+from bilinea.functions import ranks
 from bilinea.operators import diff, reports, split, summary
 from pyspark.sql import functions as F
 
@@ -318,3 +319,20 @@ def test_the_time_of_a_comparison_does_not_grow_with_the_square():
     start = time.process_time()
     assert len(diff.hunks_of(text, text[:9_000] + text[9_001:30_000] + "§" + text[30_001:] + "§")) == 3
     assert time.process_time() - start < 10  # the standard library takes several times as long
+
+
+def test_proportional_split_moves_texts_once(spark, monkeypatch):
+    """A chapter's text is stored once, and not joined: one that does not fit is put together from its pieces."""
+    stored, plain = [], split.store
+    for module in (split, ranks):
+        monkeypatch.setattr(module, "store", lambda df, label: stored.append((label, df.columns)) or plain(df, label))
+    texts = {1: "甲，乙。丙", 2: "", 3: None, 4: "一。二", 5: "\n 甲，\n\n乙。"}
+    chunks = spark.createDataFrame([("c", k, t) for k, t in texts.items()], "corpus string, chapter int, text string")
+    slots = {1: ["a", "b", "c"], 2: ["a", "b"], 3: [None], 4: ["a"] * 4, 5: ["a" * 9]}
+    rows = spark.createDataFrame([("c", k, i, t) for k, own in slots.items() for i, t in enumerate(own)], "corpus string, chapter int, seq int, text string")
+    got = {(r["chapter"], r["seq"]): r["content"] for r in split.proportional_split(chunks, rows).collect()}
+    assert [got[1, i] for i in range(3)] == ["甲，", "乙。", "丙"]
+    assert (got[2, 0], got[2, 1], got[3, 0]) == ("", None, "")
+    assert [got[4, i] for i in range(4)] == ["一。二", None, None, None]
+    assert got[5, 0] == "\n 甲，\n\n乙。"
+    assert [label for label, columns in stored if "text" in columns] == ["numbered"]
