@@ -1,4 +1,5 @@
-
+import random
+from itertools import groupby
 
 import pytest
 from bilinea.functions import schemas
@@ -90,3 +91,21 @@ def test_readers_and_writers(spark, tmp_path):
     assert {(r["file"], r["status"]) for r in readers.read_chunks(spark, f"{tmp_path}/chunk").collect()} == {("1.txt", "ok"), ("2.txt", "blank_text")}
     writers.write_meta(readers.read_corpus_meta(spark, str(root)), f"{tmp_path}/meta")
     assert spark.read.schema(schemas.CORPUS_META).json(f"{tmp_path}/meta").select(F.col("book_id")).first()[0] == 7
+
+
+def test_plain_pages_are_walked_as_others():
+    """Random markup, plain or not, has the segments that the parser finds; plain pages do not need the parser."""
+    r = random.Random(5)
+    plain = ['<div id="east">', "<div>", "</div>", "<br>", "<br/>", '<a onmouseover="note(this, 7)">', "<a>", "</a>", "text ", "> \n", '<span id="note3">', "</span>", "<p/>", "</br>", '<img id="east">', '<div id="x" id="east">']
+    other = ["<script>", "</script>", "&amp;", "<!-- <div id=\"east\"> -->", "<DIV ID=east>", "< ", "<div id=\"e&#97;st\">", "<", "<title>", "</title>", "<textarea>", "<a href=x>", "<?x>", "<noscript>"]
+    walked = 0
+    for i in range(6000):
+        html = "".join(r.choice(plain if i % 2 or r.random() < 0.8 else other) for _ in range(r.randrange(1, 14)))
+        for strict in (False, True):
+            slow, quick = pages.Section("east", strict), pages.Section("east", strict)
+            slow.feed(html)
+            if quick.walk_plain(html):
+                walked += 1
+                joined = lambda s: [(k, n, "".join(t for _, _, t in g)) if k == "text" else x for (k, n), g in groupby(s, lambda x: x[:2]) for g in [list(g)] for x in (g if k != "text" else g[:1])]
+                assert joined(quick.segments) == joined(slow.segments), html
+    assert walked > 5000
