@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+from bilinea.functions.text import normalize_head, normalized_start
 from bilinea.operators import paragraphs
+from pyspark.sql import functions as F
 
 
 def by_steps(pages, source, cursor):
@@ -127,3 +129,18 @@ def test_pages_meet_their_paragraphs_however_either_side_is_dealt(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert rows == [(b, p, p, p + 3, "ok") for b in range(500) for p in (1, 5, 9)]
+
+
+def test_starts_of_texts(spark):
+    """What a text's first characters are without a look at the rest of it."""
+    r = random.Random(2)
+    signs = [*"abZÉßİΣσ_7 ,.-", "́", "ʰ", "한", "𝔸", "😀", "\n", "ǅ", "①"]
+    rows = [(i, "".join(r.choice(signs) for _ in range(r.choice([0, 1, 20, 40, 200])))) for i in range(2000)]
+    rows += [(2000, None), (2001, "." * 300_000 + "x" * 40), (2002, "a" * 29 + "Σ"), (2003, "a" * 29 + "Σb"), (2004, "a" * 29 + "Σ b")]
+    df = spark.createDataFrame(rows, "i long, t string")
+    for n in (1, paragraphs.HEAD):
+        same = normalized_start(F.col("t"), n).eqNullSafe(F.substring(normalize_head(F.col("t")), 1, n))
+        assert df.where(~same).count() == 0
+    long = spark.range(40).select((F.repeat(F.lit("Word, word. "), 100_000)).alias("text"))
+    head = paragraphs.measured(long, "text").select("head").distinct().collect()
+    assert [tuple(h) for h in head] == [("wordword" * 3 + "wordwo",)]
