@@ -1,7 +1,8 @@
 import os
 
 import pytest
-from bilinea.sources import compaction, readers, writers
+from bilinea.sources import compaction, listing, readers, writers
+from pyspark.errors import AnalysisException
 
 
 def put(root, corpus, name, text, when):
@@ -62,6 +63,75 @@ def test_content_is_read_under_a_pushed_filter(spark, tmp_path):
     assert "content" not in slim.split("ReadSchema")[1]
 
 
+def test_tasks_list_what_spark_lists(spark, tmp_path):
+    root = f"{tmp_path}/ht ml"
+    names = ["1.html", "a b.html", "c+d%41.html", "é.html", "_h.html", "_h=1.html", ".html", ".h.html", "1.html._COPYING_", "n.txt", "x.HTML", "2.html.gz", "file=3.html", "x\ny.html"]
+    for corpus in ("c", "corpus=d e", "_f", "é%2F"):
+        for k, name in enumerate(names):
+            put(root, corpus, name, "p" * k, 1_000_000 + k / 8)
+    put(root, "c", "empty.html", "", 1_000_000)
+    put(root, "c/deeper", "1.html", "p", 1_000_000)
+    put(root, "c/w.html", "part-0", "p", 1_000_000)
+    put(root, "c/w.html", "part-1", "pp", 2_000_000)
+    put(root, "c/w.html", "_SUCCESS", "p", 1_000_000)
+    put(root, "c/w.html", "other", "p", 1_000_000)
+    put(root, ".", "top.html", "p", 1_000_000)
+    os.symlink(f"{root}/c/1.html", f"{root}/c/link.html")
+    os.symlink(f"{root}/c/none.html", f"{root}/c/dangling.html")
+    for corpus in ("*", "c", "{c,_f}", "[a-c]*", "corpus=d ?"):
+        found = listing.list_files(spark, root, corpus, r"\.html")
+        want = compaction.files(spark, root, corpus)
+        assert found.schema.simpleString() == want.schema.simpleString()
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) and want.count() >= 6
+    assert compaction.compact_pages(spark, root, f"{tmp_path}/table") == compaction.files(spark, root).count()
+
+
+def test_compacting_lists_and_reads_in_tasks(spark, tmp_path, monkeypatch):
+    root, table = f"{tmp_path}/html", f"{tmp_path}/table"
+    rows = spark.range(30).selectExpr("concat('c ', id % 3) AS corpus", "concat(id, '.html') AS file", "repeat('é', 300000) AS html")  # several batches
+    writers.export_chunks(rows, root, "html")
+
+    def driver_lists(*args, **more):
+        raise AssertionError("Spark lists files for the driver")
+
+    monkeypatch.setattr(compaction, "files", driver_lists)
+    monkeypatch.setattr(readers, "files_below", driver_lists)
+    monkeypatch.setattr(compaction, "files_below", driver_lists)
+    assert compaction.compact_pages(spark, root, table, "corpus=c 1") == 10
+    assert compaction.compact_pages(spark, root, table) == 20 and compaction.compact_pages(spark, root, table) == 0
+    assert pages(spark, table) == {(f"c {k % 3}", f"{k}.html"): (k, "é" * 300000 + "\n") for k in range(30)}
+
+
+def test_bytes_that_are_no_text_stay(spark, tmp_path):
+    root, table = f"{tmp_path}/html", f"{tmp_path}/table"
+    os.makedirs(f"{root}/c")
+    with open(f"{root}/c/1.html", "wb") as f:
+        f.write(b"a\xff\x00b")
+    assert compaction.compact_pages(spark, root, table) == 1
+    assert bytes(compaction.read_compacted(spark, table).selectExpr("cast(html AS binary) AS b").first()["b"]) == b"a\xff\x00b"
+
+
+def test_stores_that_tasks_do_not_reach_are_listed_by_spark(spark, tmp_path, monkeypatch):
+    root, table = f"{tmp_path}/html", f"{tmp_path}/table"
+    assert listing.store_of(spark, root).local == root
+    put(root, "c", "1.html", "one", 1_000_000)
+    assert compaction.compact_pages(spark, root, table) == 1
+    monkeypatch.setattr(listing, "store_of", lambda *args: None)
+    assert compaction.compact_pages(spark, root, table) == 0  # both ways write the same ledger
+    put(root, "c", "1.html", "two", 1_000_001)
+    put(root, "d", "2.html", "more", 500_000)
+    assert compaction.pending_files(spark, root, table).count() == 2 and compaction.compact_pages(spark, root, table) == 2
+    monkeypatch.undo()
+    assert compaction.compact_pages(spark, root, table) == 0 and pages(spark, table) == {("c", "1.html"): (1, "two"), ("d", "2.html"): (2, "more")}
+
+
+def test_a_folder_that_is_not_there_is_an_error(spark, tmp_path):
+    put(f"{tmp_path}/html", "c", "1.html", "one", 1_000_000)
+    for root, corpus in ((f"{tmp_path}/none", "*"), (f"{tmp_path}/html", "d*")):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            compaction.compact_pages(spark, root, f"{tmp_path}/table", corpus)
+
+
 def test_runs_of_a_map_count_once_committed(spark, tmp_path):
     path = f"{tmp_path}/map"
     rows = lambda *r: spark.createDataFrame(list(r), "corpus string, html string, para_start int, para_end int, pos long")
