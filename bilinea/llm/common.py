@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from bilinea.functions.storage import store
 
@@ -90,6 +92,15 @@ def keep_rows(docs: DataFrame, id_col: str, all_rows: DataFrame, wanted: DataFra
     return clear.unionByName(found.select("row.*"))
 
 
+def driver_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """The driver's rows as a table, which Spark holds as it is. Given as plain rows each would go through Python on the
+    executors, whose workers for that are others than those of mapInArrow and stay for a minute, beside the next stage's."""
+    kind = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(kind)
+    arrow = to_arrow_schema(kind)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), kind)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1,000 rows, and of about 16 MB unless one row is larger, in this session: texts can be
     long, and a batch is held whole on both sides."""

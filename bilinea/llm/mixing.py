@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bilinea.llm.common import NOT_SPACE, order_hash, ranked, store
+from bilinea.llm.common import NOT_SPACE, driver_table, order_hash, ranked, store
 
 #: More sources than this are refused: one row for each is sent to the driver and broadcast.
 MAX_SOURCES = 100_000
@@ -90,7 +90,7 @@ def plan(docs: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", tex
     kinds = recipe.schedules
     wanted = targets([r["total"] for r in found], recipe)
     table = [(i, r["source"], r["total"], t, pieces(kinds[i % len(kinds)], t)) for i, (r, t) in enumerate(zip(found, wanted))]
-    sources = spark.createDataFrame(table, "number int, name string, source_size long, target double, schedule array<struct<time: double, before: double, rate: double, change: double>>")
+    sources = driver_table(spark, table, "number int, name string, source_size long, target double, schedule array<struct<time: double, before: double, rate: double, change: double>>")
     numbered = lambda df: df.join(F.broadcast(sources.select("number", "name")), F.col("source").eqNullSafe(F.col("name"))).drop("name")  # noqa: E731  at most MAX_SOURCES rows
     full = numbered(docs.select(*slim, *carry) if carry else rows)
     placed = ranked(full, "number", "hashed", ["doc_id", "size", "check"], max((r["n"] for r in found), default=0), "size", numbered(rows))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bilinea.llm.common import order_hash, ranked, slices, small_batches, store
+from bilinea.llm.common import driver_table, order_hash, ranked, slices, small_batches, store
 
 PLAN = "length int, rank_from long, rank_to long, sequence_from long, per_sequence int, offset_from int"
 PIECES = "row_tag long, doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
@@ -217,7 +217,7 @@ def pack(cut_pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     spark = cut_pieces.sparkSession
     keyed = store(cut_pieces.withColumn("hashed", order_hash(F.col("row_tag"), F.col("piece"))), "pack-pieces")
     counts = {r["length"]: r["n"] for r in keyed.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    places = spark.createDataFrame(plan(counts, capacity), PLAN).withColumnRenamed("length", "p_length")
+    places = driver_table(spark, plan(counts, capacity), PLAN).withColumnRenamed("length", "p_length")
     placed = ranked(keyed, "length", "hashed", ["row_tag", "piece"], max(counts.values(), default=0))
     here = (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to"))
     within = F.col("rank") - F.col("rank_from")

@@ -392,7 +392,9 @@ def similar_links(sets: DataFrame, groups: DataFrame, similar: float, budget: Bu
 def similar_roots(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, shingle: int, similar: float, budget: Budget, most_in_task: int, block: int) -> DataFrame:
     """node, root of the fingerprints that have near copies: the smallest one that chains of them reach. Only documents
     that the walk finds a candidate for are read again, for their shingles."""
-    groups = store(components(self_join(distinct.select("fp", "n", "more"), budget, most_in_task, similar)), "near-groups")
+    # links are stored before they are joined: two steps in Python in one stage would be two workers for each task
+    walked = store(self_join(distinct.select("fp", "n", "more"), budget, most_in_task, similar), "near-walked")
+    groups = store(components(walked), "near-groups")
     mine = f"_id_{uuid.uuid4().hex}"  # a name that no column of docs has
     met = groups.select(F.col("node").alias("fp"))
     ids = store(distinct.join(met, "fp", "left_semi").select(F.col("first").alias(mine)), "near-ids")
@@ -400,7 +402,7 @@ def similar_roots(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: s
     some = given.join(ids.where(F.col(mine).isNotNull()), F.col("_id") == F.col(mine), "left_semi").unionByName(given.where("_id is null"))
     found = fingerprints(some, "_id", "_text", shingle, distinct=True, with_set=True).withColumnRenamed("fingerprint", "fp")
     sets = found.join(met, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("n", "more", "shingles")).alias("r")).select("fp", "r.*")
-    return components(similar_links(store(sets, "near-sets"), groups, similar, budget, block))
+    return components(store(similar_links(store(sets, "near-sets"), groups, similar, budget, block), "near-links"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = NEAR_SHINGLE, similar: float = SIMILAR, budget: Budget = WIDE, most_in_task: int = MOST_IN_TASK, block: int = BLOCK) -> DataFrame:

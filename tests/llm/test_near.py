@@ -133,3 +133,16 @@ def test_leaves_sent_to_tasks_grow_no_faster_than_leaves(spark, monkeypatch):
         mine.join(a, b)
         assert not mine.apart(i[ok], j[ok]).any()
     assert sent[1] < 6 * sent[0]
+
+
+def test_a_task_has_one_python_worker_at_a_time(spark, monkeypatch):
+    plans, store = [], simhash.store
+
+    def recorded(df, label):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return store(df, label)
+
+    monkeypatch.setattr(simhash, "store", recorded)
+    docs = spark.createDataFrame(list(enumerate(near_copies())), "doc_id long, text string")
+    assert simhash.deduplicate(docs).count() < docs.count()
+    assert max(p.count("MapInArrow") for p in plans) == 1

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from bilinea.llm import packing
+from bilinea.llm import common, mixing, packing
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -79,3 +79,15 @@ def test_packed_sequences_are_gapless(spark, capacity):
 
 def test_no_documents(spark):
     assert packing.pack(packing.pieces(spark.createDataFrame([], "doc_id long, text string"), FILE)).count() == 0
+
+
+def test_the_driver_s_tables_need_no_python_on_executors(spark):
+    schema = "n int, name string, x double, many array<struct<a: double, b: long>>"
+    rows = [(1, None, 0.5, [(1.0, 2), (0.25, None)]), (2, "é", None, []), (3, "", 1.0, None)]
+    for some in (rows, []):
+        found = common.driver_table(spark, some, schema)
+        assert found.schema == spark.createDataFrame(some, schema).schema
+        assert [(r["n"], r["name"], r["x"], r["many"] and list(map(tuple, r["many"]))) for r in found.collect()] == some
+    docs = spark.createDataFrame([(i, "a b. " * i, f"s{i % 3}") for i in range(30)], "doc_id long, text string, source string")
+    for df in (packing.pack(packing.pieces(docs, FILE)), mixing.plan(docs)):
+        assert "LogicalRDD" not in df._jdf.queryExecution().analyzed().toString()
